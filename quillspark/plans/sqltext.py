@@ -104,3 +104,46 @@ FROM events
 def with_views(body: str, **views: str) -> str:
     ctes = ",\n".join(f"{name} AS ({sql})" for name, sql in views.items())
     return f"WITH {ctes}\n{body}" if views else body
+
+FX_RECORDS = """
+SELECT CASE WHEN sample_id % 2 = 0 THEN 'math' ELSE 'gsm8k' END AS dataset, sample_id,
+  CASE WHEN sample_id % 13 = 0 THEN concat('{"question": "', question, '", ')
+  ELSE CASE sample_id % 8
+    WHEN 0 THEN concat('{"problem": "  ", "question": "', question, '", "level": ', CAST(level AS VARCHAR), '}')
+    WHEN 1 THEN concat('{"query": {"problem": "', question, '"}, "level": "Level ', CAST(level AS VARCHAR), '"}')
+    WHEN 2 THEN concat('{"prompt": "', question, '", "level": " ', CAST(level AS VARCHAR), ' "}')
+    WHEN 3 THEN concat('{"problem": 7, "input": "', question, '", "level": ', CAST(level AS VARCHAR), '.7}')
+    WHEN 4 THEN concat('{"instruction": "", "query": "", "level": "', CAST(level AS VARCHAR), '.0"}')
+    WHEN 5 THEN concat('{"question": null, "query": {"question": "', question, '"}, "level": ', CAST(level AS VARCHAR), '}')
+    WHEN 6 THEN concat('{"question": "', question, '", "level": ', CAST(level + 1 AS VARCHAR), '}')
+    ELSE concat('{"question": "', question, '", "level": ', CAST(level - 1 AS VARCHAR), '}') END
+  END AS raw
+FROM fx_graded
+"""
+
+
+def json_string(raw: str, path: str) -> str:
+    return (f"CASE WHEN json_valid({raw}) AND json_type({raw}, {lit(path)}) = 'VARCHAR' "
+            f"THEN json_extract_string({raw}, {lit(path)}) END")
+
+
+def get_query(raw: str) -> str:
+    from ..operators.extraction import NESTED_QUERY_FIELDS, QUERY_FIELDS
+    cands = [f"$.{k}" for k in QUERY_FIELDS] + [f"$.query.{k}" for k in NESTED_QUERY_FIELDS]
+    parts = []
+    for p in cands:
+        s = json_string(raw, p)
+        parts.append(f"CASE WHEN {pystrip(s)} <> '' THEN {s} END")
+    return "coalesce(" + ", ".join(parts) + ")"
+
+
+def parse_level(raw: str) -> str:
+    from ..operators.extraction import INT_TEXT
+    p = "'$.level'"
+    s = pystrip(f"json_extract_string({raw}, {p})")
+    return (f"CASE WHEN NOT json_valid({raw}) THEN NULL "
+            f"WHEN json_type({raw}, {p}) = 'VARCHAR' THEN CASE WHEN regexp_matches({s}, {lit(INT_TEXT)}) "
+            f"THEN TRY_CAST(replace({s}, '_', '') AS BIGINT) END "
+            f"WHEN json_type({raw}, {p}) = 'BOOLEAN' THEN CASE WHEN CAST(json_extract({raw}, {p}) AS BOOLEAN) THEN 1 ELSE 0 END "
+            f"WHEN json_type({raw}, {p}) IN ('UBIGINT', 'BIGINT', 'DOUBLE') "
+            f"THEN CAST(trunc(CAST(json_extract({raw}, {p}) AS DOUBLE)) AS BIGINT) END")

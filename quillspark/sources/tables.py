@@ -92,3 +92,29 @@ def fx_trainlog(spark: SparkSession, sf_dir: str) -> DataFrame:
          .otherwise(F.col("value")).alias("eval_loss"),
         "ts",
     )
+
+
+def fx_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Loosely typed JSON lines built from ``fx_graded``: the query sits in
+    different fields (or an object), levels come as ints, floats, padded text,
+    ``"Level n"``, ``"n.0"`` or out of range, and some lines are malformed.
+    Columns: dataset, sample_id, raw (the line) and record (VARIANT)."""
+    g = fx_graded(spark, sf_dir)
+    k, q, lv = F.col("sample_id"), F.col("question"), F.col("level").cast("string")
+
+    def j(*parts):
+        return F.concat(*[p if not isinstance(p, str) else F.lit(p) for p in parts])
+
+    r = k % 8
+    raw = (F.when(r == 0, j('{"problem": "  ", "question": "', q, '", "level": ', lv, '}'))
+           .when(r == 1, j('{"query": {"problem": "', q, '"}, "level": "Level ', lv, '"}'))
+           .when(r == 2, j('{"prompt": "', q, '", "level": " ', lv, ' "}'))
+           .when(r == 3, j('{"problem": 7, "input": "', q, '", "level": ', lv, '.7}'))
+           .when(r == 4, j('{"instruction": "", "query": "", "level": "', lv, '.0"}'))
+           .when(r == 5, j('{"question": null, "query": {"question": "', q, '"}, "level": ', lv, '}'))
+           .when(r == 6, j('{"question": "', q, '", "level": ', (F.col("level") + 1).cast("string"), '}'))
+           .otherwise(j('{"question": "', q, '", "level": ', (F.col("level") - 1).cast("string"), '}')))
+    raw = F.when(k % 13 == 0, j('{"question": "', q, '", ')).otherwise(raw)
+    return g.select(
+        F.when(k % 2 == 0, F.lit("math")).otherwise(F.lit("gsm8k")).alias("dataset"),
+        k.alias("sample_id"), raw.alias("raw")).withColumn("record", F.try_parse_json("raw"))
