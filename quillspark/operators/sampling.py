@@ -33,36 +33,47 @@ def hash_unit(seed: int, *cols, modulus: int = 1000) -> Column:
     return (h % modulus).cast("int")
 
 
+def bucket_offsets(b: DataFrame, group_cols: Sequence[str]) -> DataFrame:
+    """Per (group, bucket): rows in earlier buckets of the group (``_off``)
+    and the group's size (``_gsize``).  One aggregate over the input, then
+    windows over the small counts table (at most groups x buckets rows)."""
+    group_cols = list(group_cols)
+    counts = b.groupBy(*group_cols, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
+    part = Window.partitionBy(*group_cols) if group_cols else Window.partitionBy()
+    before = part.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    return counts.select(*group_cols, "_bucket",
+                         F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"),
+                         F.sum("_n").over(part).alias("_gsize"))
+
+
+def with_bucket(df: DataFrame, key: str, hex_digits: int) -> DataFrame:
+    return df.withColumn("_bucket", F.conv(F.substring(F.col(key), 1, hex_digits), 16, 10).cast("int"))
+
+
+def rank_in_buckets(joined: DataFrame, group_cols: Sequence[str], key: str, tie_cols: Sequence[str],
+                    rank_col: str) -> DataFrame:
+    inner = Window.partitionBy(*group_cols, "_bucket").orderBy(key, *tie_cols)
+    return joined.withColumn(rank_col, F.col("_off") + F.row_number().over(inner))
+
+
 def hash_rank(df: DataFrame, group_cols: Sequence[str], key: str, tie_cols: Sequence[str] = (),
-              hex_digits: int = 3, max_rank: Column | int | None = None,
-              small_groups: bool = True, rank_col: str = "rank") -> tuple[DataFrame, DataFrame]:
+              hex_digits: int = 3, max_rank: int | None = None,
+              small_groups: bool = True, rank_col: str = "rank") -> DataFrame:
     """1-based rank of each row within its group, ordered by ``key`` then ``tie_cols``.
 
-    Returns ``(ranked, counts)`` where ``counts`` is the (group, bucket) size
-    table (reusable for group sizes).  ``max_rank`` (an int, or a column of the
-    input) drops whole buckets that start past it before any sort.  With
-    ``small_groups`` the offsets table (groups x 16^hex_digits rows) is
+    ``max_rank`` drops whole buckets that start past it before any sort.
+    With ``small_groups`` the offsets table (groups x 16^hex_digits rows) is
     broadcast; otherwise the join is left to AQE.
     """
     group_cols = list(group_cols)
-    bucket = F.conv(F.substring(F.col(key), 1, hex_digits), 16, 10).cast("int")
-    b = df.withColumn("_bucket", bucket)
-    counts = b.groupBy(*group_cols, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
-    w = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    if group_cols:
-        w = Window.partitionBy(*group_cols).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(*group_cols, "_bucket",
-                            F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
+    b = with_bucket(df, key, hex_digits)
+    offsets = bucket_offsets(b, group_cols).drop("_gsize")
     if small_groups:
         offsets = F.broadcast(offsets)
     j = b.join(offsets, group_cols + ["_bucket"], "inner")
     if max_rank is not None:
-        mr = F.lit(max_rank) if isinstance(max_rank, int) else max_rank
-        j = j.where(F.col("_off") < mr)
-    inner = Window.partitionBy(*group_cols, "_bucket").orderBy(key, *tie_cols)
-    ranked = (j.withColumn(rank_col, F.col("_off") + F.row_number().over(inner))
-              .drop("_bucket", "_off"))
-    return ranked, counts
+        j = j.where(F.col("_off") < F.lit(max_rank))
+    return rank_in_buckets(j, group_cols, key, tie_cols, rank_col).drop("_bucket", "_off")
 
 
 def seeded_shuffle(df: DataFrame, seed: int = DEFAULT_SEED, id_cols: Sequence[str] = ("dataset", "sample_id"),
@@ -73,8 +84,7 @@ def seeded_shuffle(df: DataFrame, seed: int = DEFAULT_SEED, id_cols: Sequence[st
     broadcast offsets table of at most 65,536 rows, and per-bucket row numbers.
     """
     keyed = df.withColumn("_key", hash_key(seed, *id_cols))
-    ranked, _ = hash_rank(keyed, [], "_key", list(id_cols), hex_digits=hex_digits,
-                          rank_col="_rank")
+    ranked = hash_rank(keyed, [], "_key", list(id_cols), hex_digits=hex_digits, rank_col="_rank")
     return ranked.withColumn(position_col, F.col("_rank") - 1).drop("_rank", "_key")
 
 
@@ -95,38 +105,39 @@ def sample_per_level(df: DataFrame, n: int = 5, seed: int = DEFAULT_SEED, level:
 MODES = ("sample", "balanced", "full")
 
 
-def level_pick_counts(counts: DataFrame, per_level: int, level: str = "level") -> DataFrame:
-    """How many rows each mode takes per level.
-
-    sample: min(n, size); balanced: min(smallest non-empty size, size); full: size.
-    Built from the (level, bucket) counts table, so it costs no extra scan.
-    """
-    sizes = counts.groupBy(level).agg(F.sum("_n").alias("size"))
-    min_size = sizes.where(F.col("size") > 0).agg(F.min("size")).scalar()
-    return sizes.select(
-        level, "size",
-        F.least(F.lit(per_level).cast("bigint"), F.col("size")).alias("n_sample"),
-        F.least(min_size, F.col("size")).alias("n_balanced"),
-        F.col("size").alias("n_full"))
-
-
 def analysis_pass(df: DataFrame, mode: str = "sample", per_level: int = 5, seed: int = DEFAULT_SEED,
-                  level: str = "level", id_cols: Sequence[str] = ("sample_id",)) -> DataFrame:
+                  level: str = "level", id_cols: Sequence[str] = ("sample_id",),
+                  hex_digits: int = 3) -> DataFrame:
     """one ranked frame, filtered per mode; ``all`` = the three modes
-    stacked with an ``analysis`` column (one rank computation, not three)."""
+    stacked with an ``analysis`` column (one rank computation, not three).
+
+    Pick counts per mode — sample: min(n, size); balanced: min(smallest
+    non-empty size, size); full: size — are columns of the bucket offsets
+    table, so sizes, the minimum and the offsets come from one aggregate and
+    one broadcast join.  Buckets that start past every mode's count are
+    dropped before the ranking sort.
+    """
     if mode not in MODES + ("all",):
         raise ValueError(f"Unknown mode {mode}")
     keyed = df.withColumn("_key", hash_key(seed, *id_cols))
-    ranked, counts = hash_rank(keyed, [level], "_key", list(id_cols), rank_col="sample_index")
-    picks = F.broadcast(level_pick_counts(counts, per_level, level))
-    j = ranked.join(picks, level, "inner")
+    b = with_bucket(keyed, "_key", hex_digits)
+    offs = bucket_offsets(b, [level])
+    offs = offs.withColumn("_min", F.min("_gsize").over(Window.partitionBy()))
+    offs = offs.select(level, "_bucket", "_off",
+                       F.least(F.lit(per_level).cast("bigint"), F.col("_gsize")).alias("n_sample"),
+                       F.least(F.col("_min"), F.col("_gsize")).alias("n_balanced"),
+                       F.col("_gsize").alias("n_full"))
     modes = MODES if mode == "all" else (mode,)
-    outs = [j.where(F.col("sample_index") <= F.col(f"n_{m}")).withColumn("analysis", F.lit(m))
+    j = b.join(F.broadcast(offs), [level, "_bucket"], "inner")
+    limit = F.greatest(*[F.col(f"n_{m}") for m in modes]) if len(modes) > 1 else F.col(f"n_{modes[0]}")
+    j = j.where(F.col("_off") < limit)
+    ranked = rank_in_buckets(j, [level], "_key", list(id_cols), "sample_index")
+    outs = [ranked.where(F.col("sample_index") <= F.col(f"n_{m}")).withColumn("analysis", F.lit(m))
             for m in modes]
     out = outs[0]
     for o in outs[1:]:
         out = out.unionByName(o)
-    return out.drop("_key", "size", "n_sample", "n_balanced", "n_full")
+    return out.drop("_key", "_bucket", "_off", "n_sample", "n_balanced", "n_full")
 
 
 def balanced_sample(df: DataFrame, seed: int = DEFAULT_SEED, level: str = "level",
@@ -192,8 +203,11 @@ def mix_datasets(df: DataFrame, mode: str = "alternate", weights: Mapping[str, f
     if mode != "alternate":
         raise ValueError(f"Unknown mix mode {mode}")
     keyed = df.withColumn("_key", hash_key(seed, *id_cols))
-    ranked, counts = hash_rank(keyed, [dataset], "_key", list(id_cols), rank_col="_r")
-    sizes = (counts.groupBy(dataset).agg(F.sum("_n").alias("n"))
+    b = with_bucket(keyed, "_key", 3)
+    offs = bucket_offsets(b, [dataset])
+    ranked = rank_in_buckets(b.join(F.broadcast(offs.drop("_gsize")), [dataset, "_bucket"]),
+                             [dataset], "_key", list(id_cols), "_r").drop("_bucket", "_off")
+    sizes = (offs.groupBy(dataset).agg(F.max("_gsize").alias("n"))
              .agg(F.collect_list(F.struct(F.col(dataset).alias("d"), F.col("n"))).alias("s"))
              .scalar())
     ranked = ranked.withColumn("_sizes", sizes)

@@ -1 +1,109 @@
-"""Queries registered later."""
+"""Training-log entry point (K1-K8)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..operators import trainlog as TL
+from ..sources import tables as TB
+from . import sqltext as Q
+from .registry import query
+
+SAVE_STEPS = 200           # save cadence (LoRA configuration)
+SAVE_LIMIT = 3             # save_total_limit (LoRA configuration)
+PATIENCE = 3
+SPIKE_WINDOW = 20
+SPIKE_Z = 3.0
+
+
+def log(spark, sf_dir):
+    return TB.fx_trainlog(spark, sf_dir).select("run_id", "global_step", "eval_loss")
+
+
+CLEAN = "SELECT run_id, global_step, CASE WHEN isnan(eval_loss) THEN NULL ELSE eval_loss END AS eval_loss FROM fx_trainlog"
+FLAGS = """SELECT *, eval_loss IS NOT NULL AND (prev IS NULL OR eval_loss < prev) AS is_best FROM (
+  SELECT *, min(eval_loss) OVER (PARTITION BY run_id ORDER BY global_step ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prev
+  FROM clean)"""
+LOG_VIEWS = dict(fx_trainlog=Q.FX_TRAINLOG, clean=CLEAN, flags=FLAGS)
+BEST_SQL = "SELECT run_id, global_step, eval_loss FROM flags WHERE is_best"
+INTERVAL_SQL = f"SELECT run_id, global_step FROM clean WHERE global_step > 0 AND global_step % {SAVE_STEPS} = 0"
+PLAN_SQL = f"""SELECT run_id, global_step, string_agg(reason, ',' ORDER BY reason) AS reasons FROM (
+  SELECT run_id, global_step, 'best' AS reason FROM ({BEST_SQL})
+  UNION ALL SELECT run_id, global_step, 'interval' AS reason FROM ({INTERVAL_SQL}))
+GROUP BY run_id, global_step"""
+
+
+@query("new_best", Q.with_views(BEST_SQL, **LOG_VIEWS))
+def new_best(spark, sf_dir):
+    return TL.new_best(log(spark, sf_dir))
+
+
+@query("interval", Q.with_views(INTERVAL_SQL, **LOG_VIEWS))
+def interval(spark, sf_dir):
+    return TL.interval_points(log(spark, sf_dir), SAVE_STEPS)
+
+
+@query("save_plan", Q.with_views(PLAN_SQL, **LOG_VIEWS))
+def save_plan(spark, sf_dir):
+    return TL.save_plan(log(spark, sf_dir), SAVE_STEPS)
+
+
+@query("retained", Q.with_views(f"""
+SELECT run_id, global_step, reasons FROM (
+  SELECT *, row_number() OVER (PARTITION BY run_id ORDER BY global_step DESC) AS rn FROM plan)
+WHERE rn <= {SAVE_LIMIT}
+""", **LOG_VIEWS, plan=PLAN_SQL))
+def retained(spark, sf_dir):
+    return TL.retain_last(TL.save_plan(log(spark, sf_dir), SAVE_STEPS), SAVE_LIMIT)
+
+
+@query("best_checkpoint", Q.with_views(f"""
+SELECT b.run_id, b.best_step, b.best_loss, a.next_eval_step,
+  CASE WHEN lm > 0 AND lm >= b.best_step THEN lm ELSE b.best_step END AS copied_step
+FROM (SELECT run_id, arg_min(global_step, (eval_loss, global_step)) AS best_step, min(eval_loss) AS best_loss
+      FROM clean WHERE eval_loss IS NOT NULL GROUP BY run_id) b
+JOIN (SELECT c.run_id, min(CASE WHEN c.global_step > b2.bs THEN c.global_step END) AS next_eval_step,
+             max(c.global_step) AS last_step
+      FROM clean c JOIN (SELECT run_id, arg_min(global_step, (eval_loss, global_step)) AS bs FROM clean
+                         WHERE eval_loss IS NOT NULL GROUP BY run_id) b2 ON b2.run_id = c.run_id
+      GROUP BY c.run_id) a ON a.run_id = b.run_id,
+LATERAL (SELECT CAST(floor((coalesce(a.next_eval_step, a.last_step + 1) - 1) / {SAVE_STEPS}) AS BIGINT) * {SAVE_STEPS} AS lm)
+""", **LOG_VIEWS))
+def best_checkpoint(spark, sf_dir):
+    return TL.best_checkpoint(log(spark, sf_dir), SAVE_STEPS)
+
+
+@query("run_metrics", Q.with_views("""
+SELECT run_id, count(*) AS n_evals, count(eval_loss) AS n_with_loss, min(global_step) AS first_step,
+       max(global_step) AS last_step, arg_max({'l': eval_loss}, global_step).l AS last_loss,
+       min(eval_loss) AS best_loss
+FROM clean GROUP BY run_id
+""", **LOG_VIEWS))
+def run_metrics(spark, sf_dir):
+    return TL.run_metrics(log(spark, sf_dir))
+
+
+@query("early_stop", Q.with_views(f"""
+SELECT r.run_id, s.stop_step FROM (SELECT DISTINCT run_id FROM clean) r LEFT JOIN (
+  SELECT run_id, min(global_step) AS stop_step FROM (
+    SELECT *, idx - coalesce(max(CASE WHEN is_best THEN idx END) OVER w, 0) AS stale FROM (
+      SELECT *, count(eval_loss) OVER w AS idx FROM flags
+      WINDOW w AS (PARTITION BY run_id ORDER BY global_step ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
+    WINDOW w AS (PARTITION BY run_id ORDER BY global_step ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
+  WHERE eval_loss IS NOT NULL AND stale >= {PATIENCE} GROUP BY run_id) s ON s.run_id = r.run_id
+""", **LOG_VIEWS))
+def early_stop(spark, sf_dir):
+    return TL.early_stop(log(spark, sf_dir), PATIENCE)
+
+
+@query("spikes", Q.with_views(f"""
+SELECT run_id, global_step, eval_loss, round(t_mean, 6) AS trailing_mean, round(t_std, 6) AS trailing_std FROM (
+  SELECT *, avg(CASE WHEN isnan(eval_loss) THEN NULL ELSE eval_loss END) OVER w AS t_mean,
+            stddev_samp(CASE WHEN isnan(eval_loss) THEN NULL ELSE eval_loss END) OVER w AS t_std
+  FROM fx_trainlog
+  WINDOW w AS (PARTITION BY run_id ORDER BY global_step ROWS BETWEEN {SPIKE_WINDOW} PRECEDING AND 1 PRECEDING))
+WHERE coalesce(isnan(eval_loss) OR eval_loss > t_mean + {SPIKE_Z} * t_std, false)
+""", fx_trainlog=Q.FX_TRAINLOG))
+def spikes(spark, sf_dir):
+    out = TL.spike_monitor(log(spark, sf_dir), SPIKE_WINDOW, SPIKE_Z)
+    return out.withColumns({"trailing_mean": F.round("trailing_mean", 6), "trailing_std": F.round("trailing_std", 6)})
