@@ -1 +1,190 @@
-"""Queries registered later."""
+"""Sources and sinks (A1, A4-A11) and the streaming best tracker (K9).
+
+Each query writes its frame to a fresh folder under the shared checkpoint
+folder and reads it back, so the check covers the written format.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..functions.text import WS_CLASS
+from ..operators import attention as AT
+from ..operators import prompts as P
+from ..operators import sampling as SM
+from ..operators.features import words
+from ..session import shared_dir
+from ..sources import jsonl, sinks
+from ..sources import tables as TB
+from ..streaming import best_tracker as BT
+from . import attention_q as AQ
+from . import features_q as FQ
+from . import grading_q as GQ
+from . import sqltext as Q
+from .registry import ORACLES, query
+from .sampling_q import USABLE_VIEWS, usable
+from .trainlog_q import BEST_SQL, LOG_VIEWS
+
+MODEL_PATH = "model"
+MAX_PLOT_TOKENS = 128
+
+
+@query("predictions_written", Q.with_views(
+    "SELECT dataset, sample_id, reference, prediction FROM fx_pred", fx_pred=Q.FX_PRED))
+def predictions_written(spark, sf_dir):
+    path = shared_dir(spark, "predictions")
+    p = TB.fx_pred(spark, sf_dir).select("dataset", "sample_id", "reference", "prediction")
+    sinks.write_predictions(p, path)
+    back = jsonl.read_jsonl(spark, path, "sample_id bigint, reference string, prediction string, "
+                                         "dataset string, run_id string")
+    return back.select("dataset", "sample_id", "reference", "prediction")
+
+
+@query("metrics_written", ORACLES["accuracy_by_dataset"])
+def metrics_written(spark, sf_dir):
+    path = shared_dir(spark, "metrics")
+    sinks.write_metrics(GQ.accuracy_by_dataset(spark, sf_dir), path)
+    return jsonl.read_jsonl(spark, path, "dataset string, total bigint, correct bigint, accuracy double")
+
+
+@query("records_jsonl", Q.with_views("SELECT dataset, sample_id, query, level FROM parsed",
+                                     **{k: v for k, v in USABLE_VIEWS.items() if k != "usable"}))
+def records_jsonl(spark, sf_dir):
+    """A1: the loosely typed records written as JSON lines (with a blank and a
+    whitespace-only line per task) and read back as VARIANT records."""
+    from ..operators import extraction as X
+    path = shared_dir(spark, "records")
+    r = TB.fx_records(spark, sf_dir).select(
+        F.concat_ws("\t", F.col("dataset"), F.col("sample_id").cast("string"), F.col("raw")).alias("v"))
+    blank = spark.range(1).select(F.lit("   ").alias("v"))
+    r.unionByName(blank).write.mode("overwrite").text(path)
+    lines = spark.read.text(path).where(F.trim("value") != "")
+    parts = F.split("value", "\t", 3)
+    back = lines.select(parts[0].alias("dataset"), parts[1].cast("bigint").alias("sample_id"),
+                        F.try_parse_json(parts[2]).alias("record"))
+    return back.select("dataset", "sample_id", X.get_query("record").alias("query"),
+                       X.parse_level("record").alias("level"))
+
+
+@query("details_written", Q.with_views(
+    "SELECT analysis, level, sample_index, sample, layer, "
+    + ", ".join(AQ.rnd(m, m) for m in AQ.METRICS) + " FROM details", **AQ.ATTN_VIEWS))
+def details_written(spark, sf_dir):
+    path = shared_dir(spark, "details")
+    d = AQ.attention_detail(spark, sf_dir)
+    sinks.write_details(d, path)
+    schema = ("sample_index bigint, sample int, layer int, "
+              + ", ".join(f"{m} double" for m in AQ.METRICS) + ", analysis string, level int")
+    return (spark.read.schema(schema).option("header", True).csv(path)
+            .select("analysis", "level", "sample_index", "sample", "layer", *AQ.METRICS))
+
+
+@query("summary_written", Q.with_views(
+    "SELECT analysis, level, "
+    + ", ".join(AQ.rnd(f"avg({m})", f"mean_{m}") for m in AQ.METRICS) + ", "
+    + ", ".join(AQ.rnd(f"coalesce(stddev_samp({m}), 0.0)", f"std_{m}") for m in AQ.METRICS)
+    + " FROM details GROUP BY analysis, level", **AQ.ATTN_VIEWS))
+def summary_written(spark, sf_dir):
+    path = shared_dir(spark, "summary")
+    s = AQ.level_summary(spark, sf_dir)
+    sinks.write_level_summary(s, path)
+    cols = [c for c in s.columns if c != "analysis"]
+    schema = ", ".join(f"{c} {'int' if c == 'level' else 'double'}" for c in cols) + ", analysis string"
+    return spark.read.schema(schema).option("header", True).csv(path).select(*s.columns)
+
+
+@query("sample_stats_written", Q.with_views(
+    "SELECT p.analysis, p.level, p.sample_index, p.sample, "
+    + ", ".join(AQ.rnd(f"avg(m.{m})", f"avg_{m}") for m in AQ.METRICS)
+    + ", CAST(count(DISTINCT m.layer) AS INT) AS n_layers"
+    + f" FROM picked p JOIN metrics m ON m.sample = p.sample JOIN ({AQ.SLOTS_SQL}) s ON s.layer = m.layer"
+      " GROUP BY p.analysis, p.level, p.sample_index, p.sample", **AQ.ATTN_VIEWS))
+def sample_stats_written(spark, sf_dir):
+    path = shared_dir(spark, "sample_stats")
+    _, layers, picked, metrics = AQ.prepared(spark, sf_dir)
+    details = AT.detail_rows(picked, metrics)
+    avgs = AT.sample_averages(picked, metrics, AT.measured_slots(spark, layers), AQ.KS)
+    stats = sinks.sample_stats(details, avgs, layers, "query_last", AQ.KS, AQ.METRICS)
+    sinks.write_sample_stats(stats, path)
+    back = spark.read.json(path)
+    return back.select("analysis", F.col("level").cast("int").alias("level"), "sample_index",
+                       F.col("sample").cast("int").alias("sample"),
+                       *[F.round(f"avg_{m}", 6).alias(f"avg_{m}") for m in AQ.METRICS],
+                       F.size(F.map_keys(F.from_json(F.to_json("per_layer"), "map<string, string>")))
+                       .cast("int").alias("n_layers"))
+
+
+def _tokens_sql(q):
+    w = (f"CASE WHEN {Q.pystrip(q)} = '' THEN []::VARCHAR[] "
+         f"ELSE string_split_regex({Q.pystrip(q)}, {Q.lit(WS_CLASS + '+')}) END")
+    cleaned = ("CASE WHEN length(replace(replace(replace(replace(x, 'Ġ', ' '), '▁', ' '), chr(10), chr(92) || 'n'), chr(9), chr(92) || 't')) > 16 "
+               "THEN concat(substr(replace(replace(replace(replace(x, 'Ġ', ' '), '▁', ' '), chr(10), chr(92) || 'n'), chr(9), chr(92) || 't'), 1, 15), '…') "
+               "ELSE replace(replace(replace(replace(x, 'Ġ', ' '), '▁', ' '), chr(10), chr(92) || 'n'), chr(9), chr(92) || 't') END")
+    return f"[{cleaned} for x in list_slice(list_concat(['<s>'], {w}), 1, {MAX_PLOT_TOKENS})]"
+
+
+@query("query_meta_written", Q.with_views(f"""
+SELECT level, sample_index AS index, query, CAST(len({_tokens_sql('query')}) AS INT) AS n_tokens,
+       array_to_string({_tokens_sql('query')}, '|') AS tokens, '{','.join(str(x) for x in AT.select_layers(AQ.NUM_LAYERS))}' AS chosen_layers,
+       '{MODEL_PATH}' AS model_path
+FROM (SELECT *, CAST(row_number() OVER (PARTITION BY level ORDER BY md5(concat_ws('#', '42', CAST(sample_id AS VARCHAR))), sample_id) AS INT) AS sample_index
+      FROM usable) WHERE sample_index <= 5
+""", **USABLE_VIEWS))
+def query_meta_written(spark, sf_dir):
+    path = shared_dir(spark, "query_meta")
+    picked = SM.sample_per_level(usable(spark, sf_dir), 5, 42)
+    toks = F.slice(F.concat(F.array(F.lit("<s>")), words("query")), 1, MAX_PLOT_TOKENS)
+    meta = picked.select(
+        "level", F.col("sample_index").alias("index"), "query",
+        F.transform(toks, lambda t: P.clean_token(t)).alias("tokens"),
+        F.array(*[F.lit(x) for x in AT.select_layers(AQ.NUM_LAYERS)]).alias("chosen_layers"),
+        F.lit(MODEL_PATH).alias("model_path"))
+    sinks.write_query_meta(meta, path)
+    back = jsonl.read_jsonl(spark, path, "index int, query string, tokens array<string>, "
+                                         "chosen_layers array<int>, model_path string, level bigint")
+    return back.select("level", "index", "query", F.size("tokens").alias("n_tokens"),
+                       F.array_join("tokens", "|").alias("tokens"),
+                       F.array_join(F.col("chosen_layers").cast("array<string>"), ",").alias("chosen_layers"),
+                       "model_path")
+
+
+@query("features_cached", FQ.ENC_CTES + "," + FQ.FEAT_SQL + """
+SELECT split, dataset, conv_id, turn, array_to_string(list_concat(prompt_ids, response_ids), ' ') AS input_ids,
+       CAST(len(prompt_ids) AS INT) AS n_prompt FROM feat
+""")
+def features_cached(spark, sf_dir):
+    path = shared_dir(spark, "features")
+    f, _ = FQ.features(spark, sf_dir)
+    sinks.cache_features(f.select("split", "dataset", "conv_id", "turn", "input_ids", "attention_mask",
+                                  "labels", "prompt_ids"), path)
+    back = spark.read.parquet(path)
+    return back.select("split", "dataset", "conv_id", "turn", FQ.ids_text("input_ids").alias("input_ids"),
+                       F.size("prompt_ids").alias("n_prompt"))
+
+
+@query("report_written", Q.with_views("""
+SELECT line FROM (
+  SELECT '| dataset | level | total | correct | accuracy |' AS line
+  UNION ALL SELECT '|---|---|---|---|---|'
+  UNION ALL SELECT concat('| ', concat_ws(' | ', coalesce(dataset, ''), coalesce(CAST(level AS VARCHAR), ''),
+                    CAST(total AS VARCHAR), CAST(correct AS VARCHAR), printf('%.4f', accuracy)), ' |')
+  FROM (SELECT dataset, level, count(*) AS total, count_if(correct) AS correct, count_if(correct) / count(*) AS accuracy
+        FROM graded GROUP BY ROLLUP (dataset, level)))
+""", fx_pred=Q.FX_PRED, graded=GQ.GRADED_SQL))
+def report_written(spark, sf_dir):
+    path = shared_dir(spark, "report")
+    r = GQ.accuracy_rollup(spark, sf_dir)
+    sinks.write_report(r, path, ["dataset", "level", "total", "correct", "accuracy"], "markdown")
+    return spark.read.text(path).withColumnRenamed("value", "line")
+
+
+EVENTS_SCHEMA = ("event_id bigint, ts timestamp, user_id bigint, event_type string, value double, "
+                 "props string")
+
+
+@query("best_stream", Q.with_views(BEST_SQL, **LOG_VIEWS))
+def best_stream(spark, sf_dir):
+    """K9: events as a file stream -> keyed running best -> Parquet -> read back."""
+    stream = BT.events_stream_as_log(spark, sf_dir, "events.parquet", EVENTS_SCHEMA)
+    out = BT.run_to_table(spark, stream)
+    return spark.read.parquet(out)
