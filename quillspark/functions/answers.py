@@ -23,8 +23,8 @@ def extract_math_answer(c, stripped: bool = False) -> Column:
     """
     c = col_of(c)
     t = c if stripped else pystrip(c)
-    cand = F.when(t.rlike(BOXED), F.regexp_extract(t, BOXED, 1)).otherwise(last_line(t))
-    cand = F.regexp_replace(cand, DOUBLE_BACKSLASH, "")
+    cand = F.when(t.rlike(BOXED), F.regexp_extract(t, BOXED, 1)).otherwise(last_line(t, stripped=True))
+    cand = F.replace(cand, F.lit("\\\\"), F.lit(""))
     cand = collapse_ws(cand, " ")
     return F.coalesce(strip_chars(cand, " ."), F.lit(""))
 

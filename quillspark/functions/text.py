@@ -20,6 +20,11 @@ WS_CLASS = (r"[\t-\r\x1c- \x85\xa0\x{1680}\x{2000}-\x{200a}"
             r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]")
 # Python str.splitlines() boundaries.
 LINE_BREAK = r"(?:\r\n|[\n\x0b\x0c\r\x1c-\x1e\x85\x{2028}\x{2029}])"
+# The same two sets as literal characters, for char-set functions (btrim, translate).
+WS_CHARS = ("\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+            "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+            "\u2028\u2029\u202f\u205f\u3000")
+LINE_BREAK_CHARS = "\n\x0b\x0c\r\x1c\x1d\x1e\x85\u2028\u2029"
 # --------------------------------------------------------------------------
 
 STRIP_WS = r"\A" + WS_CLASS + r"+|" + WS_CLASS + r"+\z"
@@ -30,14 +35,13 @@ def col_of(c) -> Column:
 
 
 def pystrip(c) -> Column:
-    """``str.strip()`` with no argument."""
-    return F.regexp_replace(col_of(c), STRIP_WS, "")
+    """``str.strip()`` with no argument: a character-set trim, no regex."""
+    return F.btrim(col_of(c), F.lit(WS_CHARS))
 
 
 def strip_chars(c, chars: str) -> Column:
     """``str.strip(chars)``."""
-    cls = "[" + "".join("\\" + ch if ch in "\\]^-[" else ch for ch in chars) + "]"
-    return F.regexp_replace(col_of(c), r"\A" + cls + r"+|" + cls + r"+\z", "")
+    return F.btrim(col_of(c), F.lit(chars))
 
 
 def collapse_ws(c, repl: str = " ") -> Column:
@@ -45,9 +49,16 @@ def collapse_ws(c, repl: str = " ") -> Column:
     return F.regexp_replace(col_of(c), WS_CLASS + "+", repl)
 
 
-def last_line(c) -> Column:
-    """``s.splitlines()[-1]``; ``""`` where Python would raise on an empty list."""
+def last_line(c, stripped: bool = False) -> Column:
+    """``s.splitlines()[-1]``; ``""`` where Python would raise on an empty list.
+
+    For stripped text (which cannot end in a line break) every break
+    character is mapped to ``\\n`` and the text after the last one is taken:
+    no regex, no array.
+    """
     c = col_of(c)
+    if stripped:
+        return F.substring_index(F.translate(c, LINE_BREAK_CHARS, "\n" * len(LINE_BREAK_CHARS)), "\n", -1)
     trimmed = F.regexp_replace(c, LINE_BREAK + r"\z", "")
     return F.element_at(F.split(trimmed, LINE_BREAK), -1)
 

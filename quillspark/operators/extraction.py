@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import WS_CLASS, col_of, pystrip
+from ..session import literal_table
 
 # --- fixed values: field names searched for the query text, in order --------
 QUERY_FIELDS = ["problem", "question", "query", "prompt", "instruction", "input"]
@@ -36,8 +37,9 @@ def get_query(record) -> Column:
     object; returned unstripped; null when there is none.
 
     The candidates form one array and a single lambda picks the first usable
-    one, which keeps the generated code small (nine inlined checks overflow
-    the 64 KB method limit once a filter on the result is pushed down).
+    one.  This is faster than nine inlined checks here and keeps the generated
+    code small (the inlined form overflows the 64 KB method limit once a
+    filter on the result is pushed down and duplicates it).
     """
     v = col_of(record)
     paths = [f"$.{k}" for k in QUERY_FIELDS] + [f"$.query.{k}" for k in NESTED_QUERY_FIELDS]
@@ -80,6 +82,18 @@ def parse_level_column(c, dtype: T.DataType) -> Column:
     return c.cast("bigint")
 
 
+def with_query_and_level(df: DataFrame, record: str = "record") -> DataFrame:
+    """D1 + D2 as columns ``query`` and ``level``.
+
+    They come out of a one-row ``inline`` so that later filters on them
+    (B3/B4) stay above this step instead of being pushed down, duplicated,
+    into the scan stage (below a round-robin spread of a small input).
+    """
+    one = F.inline(F.array(F.struct(get_query(F.col(record)).alias("query"),
+                                    parse_level(F.col(record)).alias("level"))))
+    return df.select("*", one)
+
+
 def has_query(df: DataFrame, query_col: str = "query") -> DataFrame:
     """B3"""
     return df.where(F.col(query_col).isNotNull())
@@ -93,7 +107,7 @@ def valid_level(df: DataFrame, level_col: str = "level") -> DataFrame:
 def level_sizes(df: DataFrame, level_col: str = "level") -> DataFrame:
     """D3: usable rows per level, zero-filled for 1..5 (tiny spine, broadcast)."""
     spark = df.sparkSession
-    spine = spark.createDataFrame([(lv,) for lv in LEVELS], f"{level_col} bigint")
+    spine = literal_table(spark, [(lv,) for lv in LEVELS], f"{level_col} bigint")
     counts = df.groupBy(F.col(level_col).cast("bigint").alias(level_col)).agg(
         F.count(F.lit(1)).alias("n"))
     return (F.broadcast(spine).join(counts, level_col, "left")

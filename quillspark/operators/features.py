@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import WS_CLASS, col_of, pystrip
+from ..session import literal_table
 
 # --- fixed values: special tokens, label mask value ------------------------
 DEFAULT_SPECIALS = ("<pad>", "<s>", "</s>", "<unk>")
@@ -58,7 +59,7 @@ def build_vocab(texts: DataFrame, text_cols: Sequence[str], max_size: int,
     top = counts.orderBy(F.desc("n"), F.asc("token")).limit(max(room, 0))
     ranked = top.withColumn("id", (F.row_number().over(Window.orderBy(F.desc("n"), F.asc("token")))
                                    - 1 + len(named)).cast("int")).select("token", "id")
-    special_df = spark.createDataFrame([(s, i) for i, s in enumerate(named)], "token string, id int")
+    special_df = literal_table(spark, [(s, i) for i, s in enumerate(named)], "token string, id int")
     ids = {s: i for i, s in enumerate(named)}
     eos_id = ids[eos]
     return Vocab(special_df.unionByName(ranked), ids[bos], eos_id, ids[unk],

@@ -132,11 +132,10 @@ def analysis_pass(df: DataFrame, mode: str = "sample", per_level: int = 5, seed:
     limit = F.greatest(*[F.col(f"n_{m}") for m in modes]) if len(modes) > 1 else F.col(f"n_{modes[0]}")
     j = j.where(F.col("_off") < limit)
     ranked = rank_in_buckets(j, [level], "_key", list(id_cols), "sample_index")
-    outs = [ranked.where(F.col("sample_index") <= F.col(f"n_{m}")).withColumn("analysis", F.lit(m))
-            for m in modes]
-    out = outs[0]
-    for o in outs[1:]:
-        out = out.unionByName(o)
+    # every row is emitted once per mode that takes it: one pass, no union
+    member = F.array_compact(F.array(*[F.when(F.col("sample_index") <= F.col(f"n_{m}"), F.lit(m))
+                                       for m in modes]))
+    out = ranked.withColumn("analysis", F.explode(member))
     return out.drop("_key", "_bucket", "_off", "n_sample", "n_balanced", "n_full")
 
 

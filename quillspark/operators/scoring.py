@@ -13,6 +13,7 @@ from ..functions.answers import (
     numbers_match, to_number,
 )
 from ..functions.text import pystrip
+from ..session import literal_table
 
 KEY = ["dataset", "sample_id"]
 
@@ -67,7 +68,7 @@ def accuracy(graded: DataFrame, by: Sequence[str] = ("dataset",),
         if list(by) != ["dataset"]:
             raise ValueError("requested datasets need grouping by dataset")
         spark = graded.sparkSession
-        spine = spark.createDataFrame([(d,) for d in requested], "dataset string")
+        spine = literal_table(spark, [(d,) for d in requested], "dataset string")
         agg = (F.broadcast(spine).join(agg, "dataset", "left")
                .select("dataset",
                        F.coalesce("total", F.lit(0)).cast("bigint").alias("total"),
@@ -80,7 +81,7 @@ def accuracy(graded: DataFrame, by: Sequence[str] = ("dataset",),
 def select_eval_datasets(spark: SparkSession, requested: Sequence[str],
                          available: DataFrame) -> tuple[DataFrame, DataFrame]:
     """B2: (kept, skipped) requested dataset names, by semi / anti join."""
-    req = spark.createDataFrame([(d,) for d in requested], "dataset string")
+    req = literal_table(spark, [(d,) for d in requested], "dataset string")
     avail = available.select("dataset").distinct()
     kept = req.join(avail, "dataset", "left_semi")
     skipped = req.join(avail, "dataset", "left_anti")

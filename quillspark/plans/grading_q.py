@@ -185,7 +185,7 @@ def number_from_text(spark, sf_dir):
     p = TB.fx_pred(spark, sf_dir).select(
         F.lit("pred").alias("src"), F.col("sample_id").alias("id"),
         A.number_from_text("prediction").alias("number"))
-    d = TB.load(spark, sf_dir, "documents").select(
+    d = TB.load(spark, sf_dir, "documents", ["doc_id", "text"]).select(
         F.lit("doc").alias("src"), F.col("doc_id").alias("id"),
         A.number_from_text("text").alias("number"))
     return p.unionByName(d)

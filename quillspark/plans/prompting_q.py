@@ -122,7 +122,7 @@ SELECT conv_id, CAST(count(*) AS BIGINT) AS n_turns,
 FROM conversations GROUP BY conv_id
 """)
 def chat_join(spark, sf_dir):
-    conv = TB.load(spark, sf_dir, "conversations").select("conv_id", "turn", "text")
+    conv = TB.load(spark, sf_dir, "conversations", ["conv_id", "turn", "text"])
     return P.join_turns(conv)
 
 
@@ -150,6 +150,6 @@ SELECT token, CAST(count(*) AS BIGINT) AS n FROM (
 GROUP BY token
 """)
 def token_clean(spark, sf_dir):
-    docs = TB.load(spark, sf_dir, "documents").select("text")
+    docs = TB.load(spark, sf_dir, "documents", ["text"])
     words = docs.select(F.explode(F.split("text", " ")).alias("w"))
     return words.groupBy(P.clean_token("w").alias("token")).agg(F.count(F.lit(1)).alias("n"))

@@ -32,8 +32,7 @@ def unit_sql(*cols, modulus=1000):
 
 def parsed(spark, sf_dir):
     r = TB.fx_records(spark, sf_dir)
-    return r.select("dataset", "sample_id", "raw",
-                    X.get_query("record").alias("query"), X.parse_level("record").alias("level"))
+    return X.with_query_and_level(r).select("dataset", "sample_id", "raw", "query", "level")
 
 
 def usable(spark, sf_dir):

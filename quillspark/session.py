@@ -66,3 +66,17 @@ def shared_dir(spark: SparkSession, name: str | None = None) -> str:
 
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
+
+
+def literal_table(spark: SparkSession, rows, schema: str):
+    """A small parameter table (a few dozen rows from the job's configuration)
+    built JVM-side from literals.  ``createDataFrame`` on a Python list would
+    become a Python RDD scan and start Python workers for a handful of rows."""
+    from pyspark.sql import functions as F
+    from pyspark.sql import types as T
+
+    st = T._parse_datatype_string(schema)
+    if not rows:
+        return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in st.fields])
+    structs = [F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(r, st.fields)]) for r in rows]
+    return spark.range(1).select(F.inline(F.array(*structs)))

@@ -8,6 +8,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from ..session import literal_table
 
 # --- fixed values: output formats -------------------------------------------
 RUN_ID_FORMAT = "yyyyMMdd'T'HHmmss'Z'"
@@ -83,7 +84,7 @@ def report_lines(df: DataFrame, cols: Sequence[str], digits: int = 4) -> DataFra
              else F.coalesce(F.col(c).cast("string"), F.lit("")) for c in cols]
     body = df.select(F.concat(F.lit("| "), F.concat_ws(" | ", *cells), F.lit(" |")).alias("line"),
                      F.lit(2).alias("part"))
-    head = spark.createDataFrame([("| " + " | ".join(cols) + " |", 0),
+    head = literal_table(spark, [("| " + " | ".join(cols) + " |", 0),
                                   ("|" + "|".join(["---"] * len(cols)) + "|", 1)], "line string, part int")
     return head.unionByName(body)
 

@@ -17,13 +17,36 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
           "embeddings pages benchmark labels conversations").split()
 
 
-def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(table_path(sf_dir, name))
+def load(spark: SparkSession, sf_dir: str, name: str, cols: list[str] | None = None,
+         spread: bool = True) -> DataFrame:
+    """Read a table (only ``cols`` when given).
+
+    ``spread``: when the scan yields fewer splits than the cluster's default
+    parallelism (a small file, or one Parquet row group, is one task), the
+    pruned rows are spread round-robin over that many partitions so per-row
+    work (regex, JSON, tokenising) runs in parallel.  The check is made at
+    plan time from the scan's split count; on a large input with many splits
+    it does nothing.
+    """
+    df = spark.read.parquet(table_path(sf_dir, name))
+    if cols is not None:
+        df = df.select(*cols)
+    if spread:
+        df = spread_small(df)
+    return df
+
+
+def spread_small(df: DataFrame, target: int | None = None) -> DataFrame:
+    spark = df.sparkSession
+    target = target or spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() * 2 <= target:
+        return df.repartition(target)
+    return df
 
 
 def fx_qa(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A user turn and the assistant turn right after it."""
-    conv = load(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    conv = load(spark, sf_dir, "conversations", ["conv_id", "turn", "role", "text"])
     u = conv.where(F.col("role") == "user").select(
         "conv_id", "turn", F.col("text").alias("question"))
     a = conv.where(F.col("role") == "assistant").select(
@@ -33,7 +56,7 @@ def fx_qa(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def fx_graded(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Questions with a difficulty level 1..5; one in seven is blank."""
-    o = load(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority")
+    o = load(spark, sf_dir, "orders", ["o_orderkey", "o_orderstatus", "o_orderpriority"])
     return o.select(
         F.col("o_orderkey").alias("sample_id"),
         F.substring("o_orderpriority", 1, 1).cast("int").alias("level"),
@@ -45,7 +68,7 @@ def fx_graded(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def fx_pred(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predictions/references in the answer formats the graders distinguish."""
-    o = load(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
+    o = load(spark, sf_dir, "orders", ["o_orderkey", "o_custkey", "o_orderpriority"])
     k, cust = F.col("o_orderkey"), F.col("o_custkey").cast("string")
     r = k % 6
     pred = (F.when(r == 0, F.concat(F.lit("so \\boxed{"), cust, F.lit("} done")))
@@ -70,7 +93,7 @@ def fx_attn(spark: SparkSession, sf_dir: str) -> DataFrame:
     Every embedding row is used; 24 rows make one sample (6 layers x 4 heads),
     so a trailing partial sample simply has fewer layers.
     """
-    e = load(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    e = load(spark, sf_dir, "embeddings", ["vec_id", "embedding"])
     s = F.floor(F.col("vec_id") / 24).cast("int")
     return e.select(
         s.alias("sample"),
@@ -84,7 +107,7 @@ def fx_attn(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def fx_trainlog(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Evaluation log: run, step, nullable loss."""
-    ev = load(spark, sf_dir, "events").select("user_id", "event_id", "event_type", "value", "ts")
+    ev = load(spark, sf_dir, "events", ["user_id", "event_id", "event_type", "value", "ts"])
     return ev.select(
         F.col("user_id").alias("run_id"),
         F.col("event_id").alias("global_step"),
