@@ -167,7 +167,7 @@ SELECT line FROM (
   SELECT '| dataset | level | total | correct | accuracy |' AS line
   UNION ALL SELECT '|---|---|---|---|---|'
   UNION ALL SELECT concat('| ', concat_ws(' | ', coalesce(dataset, ''), coalesce(CAST(level AS VARCHAR), ''),
-                    CAST(total AS VARCHAR), CAST(correct AS VARCHAR), printf('%.4f', accuracy)), ' |')
+                    CAST(total AS VARCHAR), CAST(correct AS VARCHAR), CAST(round(CAST(accuracy AS DECIMAL(38,18)), 4) AS VARCHAR)), ' |')
   FROM (SELECT dataset, level, count(*) AS total, count_if(correct) AS correct, count_if(correct) / count(*) AS accuracy
         FROM graded GROUP BY ROLLUP (dataset, level)))
 """, fx_pred=Q.FX_PRED, graded=GQ.GRADED_SQL))

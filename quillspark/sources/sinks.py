@@ -76,11 +76,13 @@ def cache_features(df: DataFrame, path: str, partition_cols: Sequence[str] = ("s
 
 def report_lines(df: DataFrame, cols: Sequence[str], digits: int = 4) -> DataFrame:
     """A11 (Markdown): a header, a rule and one ``| a | b |`` line per row.
-    Doubles are printed with a fixed number of digits."""
+    Doubles are printed with a fixed number of digits, rounded half-up on
+    their decimal value (through DECIMAL, so the text does not depend on
+    binary ties)."""
     spark = df.sparkSession
     cols = list(cols)
     fields = {f.name: f.dataType.simpleString() for f in df.schema.fields}
-    cells = [F.format_string(f"%.{digits}f", F.col(c)) if fields[c] in ("double", "float")
+    cells = [F.round(F.col(c).cast("decimal(38,18)"), digits).cast("string") if fields[c] in ("double", "float")
              else F.coalesce(F.col(c).cast("string"), F.lit("")) for c in cols]
     body = df.select(F.concat(F.lit("| "), F.concat_ws(" | ", *cells), F.lit(" |")).alias("line"),
                      F.lit(2).alias("part"))
