@@ -56,3 +56,31 @@ def prefix_agg(df: DataFrame, part: Sequence[str], order: str, value: Column | s
     if how in ("min", "max"):
         res = F.coalesce(res, F.col("_carry"))
     return j.withColumn(out, res).drop("_chunk", "_v", "_carry")
+
+
+def trailing_agg(df: DataFrame, part: Sequence[str], order: str, aggs: dict, width: int,
+                 block: int | None = None, chunk: int | None = 4096) -> DataFrame:
+    """Window aggregates over the ``width`` rows before each row (a
+    ``rowsBetween(-width, -1)`` frame) without one task per partition.
+
+    Rows get their index in ``order`` (chunked prefix count), are cut into
+    blocks of ``block`` (>= width) consecutive indices, and the last ``width``
+    rows of each block are also copied into the next block as halo rows, so
+    every frame is complete inside one (run, block) window partition.  Only
+    non-halo rows are returned.  ``aggs`` maps output name -> function of a
+    window spec returning a Column, e.g. ``{"m": lambda w: F.avg("x").over(w)}``.
+    """
+    part = list(part)
+    block = max(block or 4 * width, width, 1)
+    if chunk is None:
+        w = Window.partitionBy(*part).orderBy(order).rowsBetween(-width, -1)
+        return df.withColumns({k: f(w) for k, f in aggs.items()})
+    d = prefix_agg(df, part, order, F.lit(1), "count", "_idx", inclusive=True, chunk=chunk)
+    i0 = F.col("_idx") - 1
+    d = d.withColumns({"_blk": F.floor(i0 / F.lit(block)).cast("bigint"), "_pos": i0 % F.lit(block)})
+    shift = F.explode(F.when(F.col("_pos") >= F.lit(block - width), F.array(F.lit(0), F.lit(1)))
+                      .otherwise(F.array(F.lit(0))))
+    d = d.select("*", shift.alias("_shift")).withColumn("_blk", F.col("_blk") + F.col("_shift"))
+    w = Window.partitionBy(*part, "_blk").orderBy("_idx").rowsBetween(-width, -1)
+    out = d.withColumns({k: f(w) for k, f in aggs.items()})
+    return out.where(F.col("_shift") == 0).drop("_idx", "_blk", "_pos", "_shift")

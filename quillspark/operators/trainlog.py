@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .scan import prefix_agg
+from .scan import prefix_agg, trailing_agg
 
 RUN, STEP, LOSS = "run_id", "global_step", "eval_loss"
 
@@ -117,12 +117,16 @@ def early_stop(log: DataFrame, patience: int, chunk: int | None = 4096) -> DataF
     return runs.join(stops, RUN, "left")
 
 
-def spike_monitor(log: DataFrame, window: int = 20, z: float = 3.0) -> DataFrame:
+def spike_monitor(log: DataFrame, window: int = 20, z: float = 3.0, chunk: int | None = 4096) -> DataFrame:
     """K8: evaluations whose loss is NaN, or above the trailing mean plus ``z``
-    trailing standard deviations of the previous ``window`` evaluations."""
-    w = Window.partitionBy(RUN).orderBy(STEP).rowsBetween(-window, -1)
+    trailing standard deviations of the previous ``window`` evaluations.
+    The trailing frame is computed in bounded blocks (``trailing_agg``), so a
+    run holding most of the log is still spread over many tasks."""
     raw = F.col(LOSS)
     c = F.when(~F.isnan(raw), raw)
-    d = log.withColumns({"trailing_mean": F.avg(c).over(w), "trailing_std": F.stddev_samp(c).over(w)})
+    d = trailing_agg(log.withColumn("_c", c), [RUN], STEP,
+                     {"trailing_mean": lambda w: F.avg("_c").over(w),
+                      "trailing_std": lambda w: F.stddev_samp("_c").over(w)},
+                     window, chunk=chunk).drop("_c")
     flag = F.isnan(raw) | (c > F.col("trailing_mean") + F.lit(z) * F.col("trailing_std"))
     return d.where(F.coalesce(flag, F.lit(False))).select(RUN, STEP, LOSS, "trailing_mean", "trailing_std")

@@ -143,3 +143,18 @@ def last_query_vector(spark, sf_dir):
     """J2 (query_last) on the matrix reading of the fixture."""
     return AT.select_query_position(matrix_input(spark, sf_dir), "query_last").select(
         "sample", "level", "layer", "pos", "weight")
+
+
+@query("first_gen_vector", Q.with_views("""
+SELECT sample, level, layer, pos, weight FROM fx_attn WHERE head = 0 AND sample % 2 = 0
+UNION ALL
+SELECT a.sample, a.level, a.layer, a.pos, a.weight FROM fx_attn a
+JOIN (SELECT sample, max(head) AS q FROM fx_attn GROUP BY sample) m ON m.sample = a.sample AND a.head = m.q
+WHERE a.sample NOT IN (SELECT DISTINCT sample FROM fx_attn WHERE head = 0 AND sample % 2 = 0)
+""", fx_attn=Q.FX_ATTN))
+def first_gen_vector(spark, sf_dir):
+    """J2 (first_gen): generation-step rows where a sample has them (stand-in:
+    query position 0 of even samples), else the last query position."""
+    m = matrix_input(spark, sf_dir)
+    gen = m.where((F.col("q_pos") == 0) & (F.col("sample") % 2 == 0))
+    return AT.select_query_position(m, "first_gen", gen).select("sample", "level", "layer", "pos", "weight")

@@ -201,3 +201,46 @@ def strip_echo(spark, sf_dir):
     qa = TB.fx_qa(spark, sf_dir)
     out = F.when(F.col("conv_id") % 2 == 0, F.concat("question", "answer")).otherwise(F.col("answer"))
     return qa.select("conv_id", "turn", S.strip_echo(out, F.col("question")).alias("generated"))
+
+
+# --- H3 / B2 ---------------------------------------------------------------------
+
+REQUESTED = ["math", "gsm8k", "aqua"]     # eval configuration naming a dataset that has no data
+
+
+def _refs_preds(spark, sf_dir):
+    p = TB.fx_pred(spark, sf_dir)
+    refs = p.select("dataset", "sample_id", "reference")
+    # generation returned nothing for one sample in eleven
+    preds = p.where(F.col("sample_id") % 11 != 0).select("dataset", "sample_id", "prediction")
+    return refs, preds
+
+
+@query("paired_accuracy", Q.with_views(f"""
+SELECT dataset, CAST(count(*) AS BIGINT) AS total, CAST(count_if(correct) AS BIGINT) AS correct,
+       count_if(correct) / count(*) AS accuracy
+FROM (SELECT *, pred_norm = ref_norm AS correct FROM (
+  SELECT dataset, {Q.normalize_for_dataset('dataset', 'prediction')} AS pred_norm,
+         {Q.normalize_for_dataset('dataset', 'reference')} AS ref_norm
+  FROM (SELECT r.dataset, r.sample_id, r.reference, coalesce(p.prediction, '') AS prediction
+        FROM (SELECT dataset, sample_id, reference FROM fx_pred) r
+        LEFT JOIN (SELECT dataset, sample_id, prediction FROM fx_pred WHERE sample_id % 11 <> 0) p
+        USING (dataset, sample_id))))
+GROUP BY dataset
+""", fx_pred=Q.FX_PRED))
+def paired_accuracy(spark, sf_dir):
+    """H3: references joined to predictions by key; a missing prediction is ""."""
+    refs, preds = _refs_preds(spark, sf_dir)
+    return S.accuracy(S.grade(S.pair(refs, preds))).select("dataset", "total", "correct", "accuracy")
+
+
+@query("eval_datasets", Q.with_views("""
+SELECT r.dataset, CASE WHEN a.dataset IS NULL THEN 'skipped' ELSE 'kept' END AS status
+FROM (VALUES ('math'), ('gsm8k'), ('aqua')) r(dataset)
+LEFT JOIN (SELECT DISTINCT dataset FROM fx_pred) a ON a.dataset = r.dataset
+""", fx_pred=Q.FX_PRED))
+def eval_datasets(spark, sf_dir):
+    """B2: requested datasets kept (semi join) or skipped (anti join)."""
+    kept, skipped = S.select_eval_datasets(spark, REQUESTED, TB.fx_pred(spark, sf_dir))
+    return (kept.withColumn("status", F.lit("kept"))
+            .unionByName(skipped.withColumn("status", F.lit("skipped"))))

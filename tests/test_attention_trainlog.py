@@ -98,3 +98,16 @@ def test_early_stop(spark):
                                 "run_id long, global_step long, eval_loss double")
     assert TL.early_stop(log, 3, chunk=2).first()["stop_step"] == 6
     assert TL.early_stop(log, 4, chunk=None).first()["stop_step"] is None
+
+
+def test_trailing_blocks_equal_window(spark):
+    rnd = random.Random(5)
+    rows = [(0 if i % 3 else 1, i * 7 + rnd.randint(0, 3), rnd.random()) for i in range(5000)]
+    df = spark.createDataFrame(rows, "run_id long, global_step long, v double").dropDuplicates(["run_id", "global_step"])
+    aggs = {"m": lambda w: F.avg("v").over(w), "s": lambda w: F.stddev_samp("v").over(w)}
+    a = scan.trailing_agg(df, ["run_id"], "global_step", aggs, 20, block=64, chunk=500)
+    b = scan.trailing_agg(df, ["run_id"], "global_step", aggs, 20, chunk=None)
+    key = lambda r: (r["run_id"], r["global_step"], None if r["m"] is None else round(r["m"], 9),
+                     None if r["s"] is None else round(r["s"], 9))
+    assert a.count() == df.count()
+    assert sorted(map(key, a.collect()), key=str) == sorted(map(key, b.collect()), key=str)
