@@ -36,11 +36,9 @@ def vocab_for(spark, sf_dir):
 
 def encoded(spark, sf_dir):
     recs, vocab = vocab_for(spark, sf_dir)
-    recs = recs.withColumns({"_src": _cap_col(0), "_tgt": _cap_col(1)})
-    p = FT.encode(recs, "prompt", vocab, F.col("_src"), KEYS, "prompt_ids")
-    r = FT.encode(recs, "response", vocab, F.col("_tgt"), KEYS, "response_ids")
-    meta = recs.select(*KEYS, "split")
-    return meta.join(p, KEYS).join(r, KEYS), vocab
+    enc = FT.encode_many(recs, {"prompt_ids": ("prompt", _cap_col(0)), "response_ids": ("response", _cap_col(1))},
+                         vocab, KEYS, carry=["split"])
+    return enc, vocab
 
 
 def features(spark, sf_dir):
