@@ -28,34 +28,54 @@ _COMBINE = {
 }
 
 
-def prefix_agg(df: DataFrame, part: Sequence[str], order: str, value: Column | str, how: str,
-               out: str, inclusive: bool = False, chunk: int | None = 4096) -> DataFrame:
-    """Add ``out`` = ``how`` (min/max/sum/count) of ``value`` over the rows of
-    the same ``part`` that come before (``inclusive``: up to and including)
-    the current row in ``order`` (unique within a partition).
+def prefix_aggs(df: DataFrame, part: Sequence[str], order: str, specs, chunk: int | None = 4096) -> DataFrame:
+    """Several running aggregates in one pass.
 
-    ``chunk`` is the width of an order-key chunk; ``None`` uses a plain window.
+    ``specs``: iterable of ``(value, how, out, inclusive)``; each adds ``out`` =
+    ``how`` (min/max/sum/count) of ``value`` over the rows of the same
+    ``part`` that come before (``inclusive``: up to and including) the current
+    row in ``order`` (unique within a partition).  ``chunk`` is the width of an
+    order-key chunk; ``None`` uses plain windows.
     """
-    agg, merge, combine = _COMBINE[how]
     part = list(part)
-    v = F.col(value) if isinstance(value, str) else value
-    end = Window.currentRow if inclusive else -1
+    specs = [(F.col(v) if isinstance(v, str) else v, how, out, inc) for v, how, out, inc in specs]
     if chunk is None:
-        w = Window.partitionBy(*part).orderBy(order).rowsBetween(Window.unboundedPreceding, end)
-        res = agg(v).over(w)
-        if how in ("sum", "count"):
-            res = F.coalesce(res, F.lit(0))
-        return df.withColumn(out, res)
-    d = df.withColumn("_chunk", F.floor(F.col(order) / F.lit(chunk)).cast("bigint")).withColumn("_v", v)
-    totals = d.groupBy(*part, "_chunk").agg(agg("_v").alias("_t"))
+        cols = {}
+        for v, how, out, inc in specs:
+            agg = _COMBINE[how][0]
+            w = Window.partitionBy(*part).orderBy(order).rowsBetween(
+                Window.unboundedPreceding, Window.currentRow if inc else -1)
+            res = agg(v).over(w)
+            cols[out] = F.coalesce(res, F.lit(0)) if how in ("sum", "count") else res
+        return df.withColumns(cols)
+    d = df.withColumn("_chunk", F.floor(F.col(order) / F.lit(chunk)).cast("bigint"))
+    d = d.withColumns({f"_v{i}": v for i, (v, _, _, _) in enumerate(specs)})
+    # one exchange by (part, chunk) feeds the in-chunk windows; the chunk totals
+    # are a partial aggregate of the same rows
+    d = d.repartition(*part, "_chunk")
+    totals = d.groupBy(*part, "_chunk").agg(*[_COMBINE[how][0](f"_v{i}").alias(f"_t{i}")
+                                              for i, (_, how, _, _) in enumerate(specs)])
     before = Window.partitionBy(*part).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    carry = totals.select(*part, "_chunk", merge("_t").over(before).alias("_carry"))
-    inner = Window.partitionBy(*part, "_chunk").orderBy(order).rowsBetween(Window.unboundedPreceding, end)
-    j = d.join(carry, part + ["_chunk"], "inner")
-    res = combine(F.col("_carry"), agg("_v").over(inner))
-    if how in ("min", "max"):
-        res = F.coalesce(res, F.col("_carry"))
-    return j.withColumn(out, res).drop("_chunk", "_v", "_carry")
+    carry = totals.select(*part, "_chunk", *[_COMBINE[how][1](f"_t{i}").over(before).alias(f"_c{i}")
+                                             for i, (_, how, _, _) in enumerate(specs)])
+    j = d.join(carry, part + ["_chunk"], "left")
+    cols = {}
+    for i, (_, how, out, inc) in enumerate(specs):
+        agg, _, combine = _COMBINE[how]
+        inner = Window.partitionBy(*part, "_chunk").orderBy(order).rowsBetween(
+            Window.unboundedPreceding, Window.currentRow if inc else -1)
+        res = combine(F.col(f"_c{i}"), agg(f"_v{i}").over(inner))
+        if how in ("min", "max"):
+            res = F.coalesce(res, F.col(f"_c{i}"))
+        cols[out] = res
+    drop = ["_chunk"] + [f"_{k}{i}" for i in range(len(specs)) for k in "vc"]
+    return j.withColumns(cols).drop(*drop)
+
+
+def prefix_agg(df: DataFrame, part: Sequence[str], order: str, value: Column | str, how: str,
+               out: str, inclusive: bool = False, chunk: int | None = 4096) -> DataFrame:
+    """One running aggregate (see ``prefix_aggs``)."""
+    return prefix_aggs(df, part, order, [(value, how, out, inclusive)], chunk)
 
 
 def trailing_agg(df: DataFrame, part: Sequence[str], order: str, aggs: dict, width: int,

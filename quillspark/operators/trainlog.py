@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .scan import prefix_agg, trailing_agg
+from .scan import prefix_agg, prefix_aggs, trailing_agg
 
 RUN, STEP, LOSS = "run_id", "global_step", "eval_loss"
 
@@ -103,16 +103,20 @@ def early_stop(log: DataFrame, patience: int, chunk: int | None = 4096) -> DataF
     """K7: first evaluation at which ``patience`` evaluations in a row brought
     no new best (null-loss evaluations do not count); null when never.
 
-    ``stale`` = evaluations so far minus the index of the last best, both
-    running aggregates computed with the chunked prefix scan.
+    ``stale`` = evaluations so far minus the index of the last best.  Two
+    chunked prefix passes: (running min of earlier losses, running count of
+    evaluations), then the running max of the index of best rows.
     """
-    f = flag_best(log, chunk)
-    f = f.withColumn("_has", F.col(LOSS).isNotNull())
-    f = prefix_agg(f, [RUN], STEP, F.when(F.col("_has"), F.lit(1)), "count", "_idx", inclusive=True, chunk=chunk)
+    c = clean_loss(log)
+    f = prefix_aggs(c, [RUN], STEP, [(LOSS, "min", "_prev_best", False),
+                                     (F.when(F.col(LOSS).isNotNull(), F.lit(1)), "count", "_idx", True)], chunk)
+    best = F.col(LOSS).isNotNull() & (F.col("_prev_best").isNull() | (F.col(LOSS) < F.col("_prev_best")))
+    f = f.withColumn("is_best", best)
     f = prefix_agg(f, [RUN], STEP, F.when(F.col("is_best"), F.col("_idx")), "max", "_last_best",
                    inclusive=True, chunk=chunk)
     f = f.withColumn("stale", F.col("_idx") - F.coalesce(F.col("_last_best"), F.lit(0)))
-    stops = f.where(F.col("_has") & (F.col("stale") >= patience)).groupBy(RUN).agg(F.min(STEP).alias("stop_step"))
+    stops = (f.where(F.col(LOSS).isNotNull() & (F.col("stale") >= patience))
+             .groupBy(RUN).agg(F.min(STEP).alias("stop_step")))
     runs = log.select(RUN).distinct()
     return runs.join(stops, RUN, "left")
 
