@@ -8,7 +8,7 @@ Parquet scan is pruned, and each grows with its source table.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import table_path
@@ -47,18 +47,16 @@ def spread_small(df: DataFrame, target: int | None = None) -> DataFrame:
 def fx_qa(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A user turn and the assistant turn right after it (turn + 1).
 
-    One scan and one exchange by conversation: the next turn comes from
-    ``lead`` over the conversation instead of a self-join.  A window group is
-    one conversation.
+    An equi-join on the unique key (conv_id, turn): rows hash-spread evenly
+    even when one conversation holds a large share of all turns (a ``lead``
+    window would put that conversation in one task).
     """
     conv = load(spark, sf_dir, "conversations", ["conv_id", "turn", "role", "text"])
-    w = Window.partitionBy("conv_id").orderBy("turn")
-    nxt = conv.select("conv_id", "turn", "role", F.col("text").alias("question"),
-                      F.lead("turn").over(w).alias("_nt"), F.lead("role").over(w).alias("_nr"),
-                      F.lead("text").over(w).alias("answer"))
-    return (nxt.where((F.col("role") == "user") & (F.col("_nr") == "assistant")
-                      & (F.col("_nt") == F.col("turn") + 1))
-            .select("conv_id", "turn", "question", "answer"))
+    u = conv.where(F.col("role") == "user").select(
+        "conv_id", "turn", F.col("text").alias("question"))
+    a = conv.where(F.col("role") == "assistant").select(
+        "conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("answer"))
+    return u.join(a, ["conv_id", "turn"], "inner")
 
 
 def fx_graded(spark: SparkSession, sf_dir: str) -> DataFrame:
