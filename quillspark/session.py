@@ -49,15 +49,19 @@ def shared_dir(spark: SparkSession, name: str | None = None) -> str:
     the cluster).  Only when the setting is absent (local tests) do we make one
     and register it, so that ``DataFrame.checkpoint()`` works too.
     """
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - remote session: the conf is all we have
+        sc = None
     base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base and sc is not None:
+        base = sc.getCheckpointDir()
     if not base:
-        base = spark.sparkContext.getCheckpointDir()
-    if not base:
+        # only when the cluster names no shared folder (local runs and tests)
         base = tempfile.mkdtemp(prefix="quillspark-ckpt-")
         spark.conf.set("spark.checkpoint.dir", base)
-        spark.sparkContext.setCheckpointDir(base)
-    elif spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(base)
+    if sc is not None and sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(base)
     base = base.rstrip("/")
     if name is None:
         return base

@@ -15,14 +15,16 @@ RUN_ID_FORMAT = "yyyyMMdd'T'HHmmss'Z'"
 # --------------------------------------------------------------------------
 
 
-def run_id_now() -> Column:
-    """UTC run stamp like 20240101T000000Z (session time zone must be UTC)."""
-    return F.date_format(F.current_timestamp(), RUN_ID_FORMAT)
+def run_id_now(session_tz: str = "UTC") -> Column:
+    """UTC run stamp like 20240101T000000Z, whatever the session time zone
+    (``date_format`` renders in the session zone, so shift to UTC wall time)."""
+    return F.date_format(F.to_utc_timestamp(F.current_timestamp(), session_tz), RUN_ID_FORMAT)
 
 
 def write_predictions(df: DataFrame, path: str, run_id: str | Column | None = None) -> None:
     """A4: ``{prompt, reference, prediction}`` (+ ids) per dataset and run."""
-    rid = run_id_now() if run_id is None else (F.lit(run_id) if isinstance(run_id, str) else run_id)
+    tz = df.sparkSession.conf.get("spark.sql.session.timeZone", "UTC")
+    rid = run_id_now(tz) if run_id is None else (F.lit(run_id) if isinstance(run_id, str) else run_id)
     (df.withColumn("run_id", rid).write.mode("append")
        .partitionBy("dataset", "run_id").json(path))
 

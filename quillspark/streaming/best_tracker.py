@@ -26,12 +26,14 @@ def _track(key, pdfs, state):
     best = state.get[0] if state.exists else None
     if best is not None and math.isnan(best):
         best = None
-    frames = [p for p in pdfs if len(p)]
-    if not frames:
+    rows = []
+    for p in pdfs:
+        rows.extend(zip(p["global_step"].tolist(), p["eval_loss"].tolist()))
+    if not rows:
         return
-    pdf = pd.concat(frames).sort_values("global_step", kind="stable")
-    steps, losses, out_steps, out_losses = pdf["global_step"].tolist(), pdf["eval_loss"].tolist(), [], []
-    for s, v in zip(steps, losses):
+    rows.sort(key=lambda r: r[0])
+    out_steps, out_losses = [], []
+    for s, v in rows:
         if v is None or (isinstance(v, float) and math.isnan(v)):
             continue
         if best is None or v < best:
