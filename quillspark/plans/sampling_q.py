@@ -50,7 +50,7 @@ def level_parse(spark, sf_dir):
 
 
 @query("level_sizes", Q.with_views("""
-SELECT s.level, CAST(coalesce(c.n, 0) AS BIGINT) AS n
+SELECT CAST(s.level AS BIGINT) AS level, CAST(coalesce(c.n, 0) AS BIGINT) AS n
 FROM (VALUES (1), (2), (3), (4), (5)) s(level)
 LEFT JOIN (SELECT level, count(*) AS n FROM usable GROUP BY level) c ON c.level = s.level
 """, **USABLE_VIEWS))
