@@ -84,3 +84,31 @@ def literal_table(spark: SparkSession, rows, schema: str):
         return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in st.fields])
     structs = [F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(r, st.fields)]) for r in rows]
     return spark.range(1).select(F.inline(F.array(*structs)))
+
+
+def cluster_conf(input_bytes: int, total_cores: int, split_bytes: int = 512 << 20,
+                 shuffle_target_bytes: int = 256 << 20) -> dict:
+    """Settings for a large run, sized from the input and the cluster.
+
+    * scan splits of ``split_bytes`` (100 TB / 512 MB ~ 200k tasks);
+    * initial shuffle partitions so that a full-width shuffle lands near
+      ``shuffle_target_bytes`` per partition (at least 2 x cores); AQE then
+      coalesces small ones and splits skewed join partitions;
+    * a broadcast threshold that only AQE's runtime sizes can trigger beyond
+      the explicit, size-bounded broadcasts in the operators;
+    * Arrow batches for the one Python operator (G8) kept small.
+    """
+    parts = max(2 * total_cores, int(input_bytes // shuffle_target_bytes) + 1)
+    return {
+        "spark.sql.files.maxPartitionBytes": str(split_bytes),
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(shuffle_target_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+        "spark.sql.execution.arrow.maxRecordsPerBatch": "4096",
+        "spark.sql.execution.sortBeforeRepartition": "true",
+        "spark.sql.session.timeZone": "UTC",
+    }
