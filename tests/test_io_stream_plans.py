@@ -76,8 +76,7 @@ def test_stream_equals_batch_over_several_batches(spark, tmp):
     src = os.path.join(tmp, "events_src")
     for i, lo in enumerate(range(0, 10000, 2500)):
         ev.where((F.col("event_id") >= lo) & (F.col("event_id") < lo + 2500)).coalesce(1) \
-          .write.parquet(os.path.join(src, f"part{i}"))
-        os.rename(os.path.join(src, f"part{i}"), os.path.join(src, f"d{i}"))
+          .write.parquet(os.path.join(src, f"d{i}"))
     import glob
     flat = os.path.join(tmp, "flat")
     os.makedirs(flat)
@@ -118,3 +117,41 @@ def test_filters_and_pruning_reach_scan(spark):
     txt = p._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(event_id), GreaterThan(event_id,10)]" in txt
     assert "ReadSchema: struct<event_id:bigint,user_id:bigint>" in txt or "ReadSchema: struct<user_id:bigint,event_id:bigint>" in txt
+
+
+def test_sft_feature_invariants(spark):
+    from quillspark.operators import features as FT
+    from quillspark.operators import sampling as SM
+    from quillspark.plans import features_q as FQ
+    f, vocab = FQ.features(spark, MEDIUM)
+    rows = f.select(F.size("input_ids").alias("n"), F.size("labels").alias("nl"),
+                    F.size("prompt_ids").alias("np"),
+                    F.size(F.filter("labels", lambda x: x == -100)).alias("masked"),
+                    F.size(F.filter("attention_mask", lambda x: x == 1)).alias("ones"),
+                    F.element_at("response_ids", -1).alias("last")).collect()
+    for r in rows:
+        assert r["n"] == r["nl"] == r["ones"] and r["masked"] == r["np"] and r["last"] == vocab.eos_id
+    padded = FT.pad_batch(FT.assign_batches(SM.seeded_shuffle(f, id_cols=FQ.KEYS), 16), vocab.pad_id)
+    chk = padded.select("batch_id", F.size("input_ids").alias("n"), F.size("labels").alias("nl"),
+                        F.size(F.filter("attention_mask", lambda x: x == 0)).alias("zeros"),
+                        F.size(F.filter("input_ids", lambda x: x == vocab.pad_id)).alias("pads")).collect()
+    by_batch = {}
+    for r in chk:
+        assert r["n"] == r["nl"] and r["zeros"] <= r["pads"]
+        by_batch.setdefault(r["batch_id"], set()).add(r["n"])
+    assert all(len(v) == 1 for v in by_batch.values())
+    assert max(len([r for r in chk if r["batch_id"] == b]) for b in by_batch) <= 16
+
+
+def test_single_partition_only_over_aggregates(spark, registry):
+    """A SinglePartition exchange may only carry an aggregate (bounded small
+    tables: bucket counts, chunk totals, top-k), never raw rows."""
+    for name in ["shuffle_position", "all_modes", "balanced_sample", "mix", "batches", "new_best",
+                 "early_stop", "spikes", "vocab"]:
+        df = registry.QUERIES[name](spark, SMALL)
+        lines = df._jdf.queryExecution().executedPlan().toString().split("\n")
+        for i, line in enumerate(lines):
+            if "Exchange SinglePartition" in line:
+                below = " ".join(lines[i + 1:i + 4])
+                assert "HashAggregate" in below or "TakeOrderedAndProject" in below or "Window" in below \
+                    and "HashAggregate" in " ".join(lines[i + 1:i + 8]), (name, lines[i:i + 5])
