@@ -11,6 +11,7 @@ from ..functions.answers import NUMBER
 from ..functions.text import WS_CLASS
 from ..operators import features as FT
 from ..operators import sampling as SM
+from ..session import materialize
 from . import sqltext as Q
 from .prompting_q import CONFIGS, QA_VIEWS, eval_samples, rendered_union
 from .registry import query
@@ -143,6 +144,10 @@ FROM padded
 """)
 def batches(spark, sf_dir):
     f, vocab = features(spark, sf_dir)
+    # A10: the features are written once (split/dataset folders) and batching
+    # reads them back, so a lost executor never re-tokenises the corpus
+    f = materialize(f.select(*KEYS, "split", "input_ids", "attention_mask", "labels"), "features",
+                    ["split", "dataset"])
     train = f.where(F.col("split") == "train")
     pos = SM.seeded_shuffle(train, SM.DEFAULT_SEED, KEYS)
     b = FT.pad_batch(FT.assign_batches(pos, TRAIN_BATCH), vocab.pad_id)
