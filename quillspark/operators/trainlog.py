@@ -57,19 +57,22 @@ def retain_last(points: DataFrame, limit: int) -> DataFrame:
     return points.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= limit).drop("_rn")
 
 
-def best_checkpoint(log: DataFrame, n: int | None) -> DataFrame:
-    """K2: the final best evaluation per run (lowest loss, earliest step on a
-    tie) and ``copied_step``: the last save between it and the next
-    evaluation, whose weights end up in the best-checkpoint folder.
+def best_checkpoint(log: DataFrame, n: int | None, metric: str = LOSS,
+                    higher_is_better: bool = False) -> DataFrame:
+    """K2: the final best evaluation per run (best ``metric`` — lowest loss by
+    default, or e.g. highest accuracy — earliest step on a tie) and
+    ``copied_step``: the last save between it and the next evaluation, whose
+    weights end up in the best-checkpoint folder.
 
     Saves after the best one come from the interval cadence, so the last
     of them is computed arithmetically: the largest multiple of ``n`` below
     the next evaluation step (or up to the run's last logged step).
     """
-    c = clean_loss(log)
-    best = (c.where(F.col(LOSS).isNotNull()).groupBy(RUN)
-            .agg(F.min_by(F.struct(F.col(STEP).alias("s"), F.col(LOSS).alias("l")),
-                          F.struct(F.col(LOSS), F.col(STEP))).alias("_b"))
+    c = clean_loss(log, metric)
+    m = F.col(metric)
+    order = F.struct((-m if higher_is_better else m), F.col(STEP))
+    best = (c.where(m.isNotNull()).groupBy(RUN)
+            .agg(F.min_by(F.struct(F.col(STEP).alias("s"), m.alias("l")), order).alias("_b"))
             .select(RUN, F.col("_b.s").alias("best_step"), F.col("_b.l").alias("best_loss")))
     after = (c.select(RUN, STEP).join(best, RUN)
              .groupBy(RUN).agg(

@@ -111,3 +111,10 @@ def test_trailing_blocks_equal_window(spark):
                      None if r["s"] is None else round(r["s"], 9))
     assert a.count() == df.count()
     assert sorted(map(key, a.collect()), key=str) == sorted(map(key, b.collect()), key=str)
+
+
+def test_best_checkpoint_by_accuracy(spark):
+    log = spark.createDataFrame([(1, 10, 0.2), (1, 20, 0.5), (1, 30, 0.5), (1, 40, 0.1)],
+                                "run_id long, global_step long, acc double")
+    r = TL.best_checkpoint(log, 25, metric="acc", higher_is_better=True).first()
+    assert (r["best_step"], r["best_loss"], r["next_eval_step"], r["copied_step"]) == (20, 0.5, 30, 25)
