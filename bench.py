@@ -24,12 +24,12 @@ from quillspark.plans import registry  # noqa: E402
 from quillspark.session import get_session  # noqa: E402
 
 HEADLINE = [
-    "accuracy_by_dataset", "scored_samples", "error_types", "numeric_match",
-    "query_pick", "all_modes", "shuffle_position", "split_811", "mix",
+    "accuracy_by_dataset", "paired_accuracy", "scored_samples", "error_types", "numeric_match",
+    "query_pick", "validate", "all_modes", "level_sample", "shuffle_position", "split_811", "mix",
     "prompts_union", "chat_join", "token_clean",
-    "vocab", "sft_features", "batches",
-    "attention_detail", "level_summary", "layer_profile",
-    "new_best", "best_checkpoint", "early_stop", "save_plan",
+    "vocab", "encode", "sft_features", "batches", "length_stats", "batch_predict",
+    "attention_detail", "level_summary", "layer_profile", "attention_matrix",
+    "new_best", "best_checkpoint", "early_stop", "save_plan", "retained", "spikes",
 ]
 
 
@@ -37,7 +37,7 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     names = [q for q in os.environ.get("BENCH_QUERIES", ",".join(HEADLINE)).split(",") if q]
-    spark = get_session(f"local[{cpus}]", shuffle_partitions=cpus * 2,
+    spark = get_session(f"local[{cpus}]", shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", cpus * 2)),
                         extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g")})
     registry.load_all()
     warm = os.environ.get("BENCH_WARMUP_DIR", "/root/testdata/sf0.001")
