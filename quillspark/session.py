@@ -96,7 +96,8 @@ def cluster_conf(input_bytes: int, total_cores: int, split_bytes: int = 512 << 2
       coalesces small ones and splits skewed join partitions;
     * a broadcast threshold that only AQE's runtime sizes can trigger beyond
       the explicit, size-bounded broadcasts in the operators;
-    * Arrow batches for the one Python operator (G8) kept small.
+    * Arrow batches for the one Python operator (G8) kept small;
+    * the RocksDB state store for the streaming tracker (K9).
     """
     parts = max(2 * total_cores, int(input_bytes // shuffle_target_bytes) + 1)
     return {
@@ -111,6 +112,9 @@ def cluster_conf(input_bytes: int, total_cores: int, split_bytes: int = 512 << 2
         "spark.sql.execution.arrow.maxRecordsPerBatch": "4096",
         "spark.sql.execution.sortBeforeRepartition": "true",
         "spark.sql.session.timeZone": "UTC",
+        # K9 keeps one state row per training run: RocksDB keeps it off-heap
+        "spark.sql.streaming.stateStore.providerClass":
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     }
 
 
