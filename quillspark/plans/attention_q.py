@@ -23,7 +23,7 @@ def _metrics_round(df):
 def prepared(spark, sf_dir, mode="all"):
     attn = TB.fx_attn(spark, sf_dir)
     layers = AT.select_layers(NUM_LAYERS)
-    picked = AT.pick_samples(attn, mode, PER_LEVEL, SEED)
+    picked = AT.pick_samples(TB.fx_attn_samples(spark, sf_dir), mode, PER_LEVEL, SEED)
     metrics = AT.layer_metrics(attn, layers, picked, KS)
     return attn, layers, picked, metrics
 
@@ -128,7 +128,7 @@ GROUP BY a.sample, a.layer, a.head, a.pos
 """, **ATTN_VIEWS))
 def attention_matrix(spark, sf_dir):
     a = matrix_input(spark, sf_dir)
-    picked = AT.pick_samples(TB.fx_attn(spark, sf_dir), "sample", PER_LEVEL, SEED)
+    picked = AT.pick_samples(TB.fx_attn_samples(spark, sf_dir), "sample", PER_LEVEL, SEED)
     a = a.where(F.col("layer").isin(sorted(set(AT.select_layers(NUM_LAYERS)))))
     a = a.join(picked.select("sample"), "sample", "left_semi")
     m = AT.attention_matrix(a, MAX_PLOT_TOKENS)

@@ -113,6 +113,14 @@ def fx_attn(spark: SparkSession, sf_dir: str) -> DataFrame:
              F.abs(F.col("w")).cast("double").alias("weight"))
 
 
+def fx_attn_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The (sample, level) pairs present in ``fx_attn``, from the vector rows
+    themselves (no explode of the weights)."""
+    e = load(spark, sf_dir, "embeddings", ["vec_id"])
+    s = F.floor(F.col("vec_id") / 24).cast("int")
+    return e.select(s.alias("sample"), (s % 5 + 1).alias("level")).distinct()
+
+
 def fx_trainlog(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Evaluation log: run, step, nullable loss."""
     ev = load(spark, sf_dir, "events", ["user_id", "event_id", "event_type", "value", "ts"])
