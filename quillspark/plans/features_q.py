@@ -143,14 +143,20 @@ SELECT batch_id, dataset, conv_id, turn,
 FROM padded
 """)
 def batches(spark, sf_dir):
-    f, vocab = features(spark, sf_dir)
-    # A10: the features are written once (split/dataset folders) and batching
-    # reads them back, so a lost executor never re-tokenises the corpus
-    f = materialize(f.select(*KEYS, "split", "input_ids", "attention_mask", "labels"), "features",
-                    ["split", "dataset"])
-    train = f.where(F.col("split") == "train")
-    pos = SM.seeded_shuffle(train, SM.DEFAULT_SEED, KEYS)
-    b = FT.pad_batch(FT.assign_batches(pos, TRAIN_BATCH), vocab.pad_id)
+    recs, vocab = vocab_for(spark, sf_dir)
+    # F1 positions depend only on the ids, so they are ranked on the rendered
+    # train records (cheap) and ride through the one-pass encoding
+    train = SM.seeded_shuffle(recs.where(F.col("split") == "train"), SM.DEFAULT_SEED, KEYS)
+    enc = FT.encode_many(train, {"prompt_ids": ("prompt", _cap_col(0)),
+                                 "response_ids": ("response", _cap_col(1))},
+                         vocab, KEYS, carry=["split", "position"])
+    enc = enc.withColumn("response_ids", FT.append_eos("response_ids", vocab.eos_id))
+    f = FT.sft_features(enc, "prompt_ids", "response_ids")
+    # A10: large feature sets are written once (split/dataset folders) and
+    # batching reads them back, so a lost executor never re-tokenises the corpus
+    f = materialize(f.select(*KEYS, "split", "position", "input_ids", "attention_mask", "labels"),
+                    "features", ["split", "dataset"])
+    b = FT.pad_batch(FT.assign_batches(f, TRAIN_BATCH), vocab.pad_id)
     return b.select("batch_id", *KEYS, ids_text("input_ids").alias("input_ids"),
                     F.size("input_ids").alias("n_padded"),
                     (F.size("attention_mask") - F.aggregate("attention_mask", F.lit(0), lambda a, x: a + x))
