@@ -124,16 +124,18 @@ def early_stop(log: DataFrame, patience: int, chunk: int | None = 4096) -> DataF
     return runs.join(stops, RUN, "left")
 
 
-def spike_monitor(log: DataFrame, window: int = 20, z: float = 3.0, chunk: int | None = 4096) -> DataFrame:
-    """K8: evaluations whose loss is NaN, or above the trailing mean plus ``z``
-    trailing standard deviations of the previous ``window`` evaluations.
+def spike_monitor(log: DataFrame, window: int = 20, z: float = 3.0, chunk: int | None = 4096,
+                  metric: str = LOSS) -> DataFrame:
+    """K8: evaluations whose ``metric`` (loss by default; a gradient norm or a
+    learning rate works the same way) is NaN, or above the trailing mean plus
+    ``z`` trailing standard deviations of the previous ``window`` rows.
     The trailing frame is computed in bounded blocks (``trailing_agg``), so a
     run holding most of the log is still spread over many tasks."""
-    raw = F.col(LOSS)
+    raw = F.col(metric)
     c = F.when(~F.isnan(raw), raw)
     d = trailing_agg(log.withColumn("_c", c), [RUN], STEP,
                      {"trailing_mean": lambda w: F.avg("_c").over(w),
                       "trailing_std": lambda w: F.stddev_samp("_c").over(w)},
                      window, chunk=chunk).drop("_c")
     flag = F.isnan(raw) | (c > F.col("trailing_mean") + F.lit(z) * F.col("trailing_std"))
-    return d.where(F.coalesce(flag, F.lit(False))).select(RUN, STEP, LOSS, "trailing_mean", "trailing_std")
+    return d.where(F.coalesce(flag, F.lit(False))).select(RUN, STEP, metric, "trailing_mean", "trailing_std")

@@ -118,3 +118,11 @@ def test_best_checkpoint_by_accuracy(spark):
                                 "run_id long, global_step long, acc double")
     r = TL.best_checkpoint(log, 25, metric="acc", higher_is_better=True).first()
     assert (r["best_step"], r["best_loss"], r["next_eval_step"], r["copied_step"]) == (20, 0.5, 30, 25)
+
+
+def test_spike_monitor_any_metric(spark):
+    vals = [1.0, 1.1, 0.9, 1.0, 1.05, 0.95, 1.0, 9.0, 1.0, float("nan")]
+    log = spark.createDataFrame([(1, i + 1, v) for i, v in enumerate(vals)],
+                                "run_id long, global_step long, grad_norm double")
+    got = TL.spike_monitor(log, window=5, z=3.0, chunk=4, metric="grad_norm").orderBy("global_step").collect()
+    assert [r["global_step"] for r in got] == [8, 10]
