@@ -34,8 +34,9 @@ NOTES = {
     "attention_detail": "Layer filter on the scan side; head mean is a partial/final aggregate keyed by "
                         "(sample, layer, pos); vectors are collected per (sample, layer) and all metrics "
                         "are higher-order array expressions.",
-    "early_stop": "Chunked prefix scans: exchanges by (run, chunk); carries from windows over the small "
-                  "chunk-total table; no window partitioned by run alone.",
+    "early_stop": "Chunked prefix scans: raw rows are exchanged and windowed by (run, chunk); only the "
+                  "small chunk-total table is windowed by run (for the carries), so no task holds a "
+                  "whole run's rows.",
     "spikes": "Trailing window in blocks of row index with a halo: window partitions are "
               "(run, block), never a whole run.",
 }
