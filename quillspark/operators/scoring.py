@@ -12,7 +12,7 @@ from ..functions.answers import (
     ANSWER_MARK, BOXED, latex_to_plain, normalize_for_dataset, normalize_number_string,
     numbers_match, to_number,
 )
-from ..functions.text import pystrip
+from ..functions.text import col_of, pystrip
 from ..session import literal_table
 
 KEY = ["dataset", "sample_id"]
@@ -31,8 +31,7 @@ def pair(references: DataFrame, predictions: DataFrame, keys: Sequence[str] = KE
 
 def strip_echo(output, prompt) -> Column:
     """Cut a leading copy of the prompt from the generated text, strip either way."""
-    out, p = F.col(output) if isinstance(output, str) else output, \
-        F.col(prompt) if isinstance(prompt, str) else prompt
+    out, p = col_of(output), col_of(prompt)
     cut = F.when(F.startswith(out, p), F.substr(out, F.length(p) + 1)).otherwise(out)
     return pystrip(cut)
 
@@ -94,8 +93,7 @@ def scored_samples(graded: DataFrame) -> DataFrame:
         "dataset", "sample_id",
         F.col("pred_norm").alias("prediction"),
         F.col("ref_norm").alias("reference"),
-        F.col("prediction").alias("raw_prediction") if "raw_prediction" not in graded.columns
-        else F.col("raw_prediction"),
+        F.col("prediction").alias("raw_prediction"),
         "correct",
     )
 
