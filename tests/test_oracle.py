@@ -38,3 +38,13 @@ def test_entry_smoke(spark):
     rows = df.collect()
     assert {r["dataset"] for r in rows} == {"math", "gsm8k"}
     assert set(E.queries()) == set(E.oracle_sql())
+
+
+def test_fixture_expectations(spark):
+    """Figures stated in FIXTURES.md for sf0.01."""
+    from conftest import MEDIUM
+
+    acc = {r["dataset"]: (r["total"], r["correct"]) for r in R.QUERIES["accuracy_by_dataset"](spark, MEDIUM).collect()}
+    assert acc == {"math": (7500, 5000), "gsm8k": (7500, 5000)}
+    assert R.QUERIES["new_best"](spark, MEDIUM).count() == 665
+    assert R.QUERIES["prompts_union"](spark, MEDIUM).count() == 233
