@@ -126,3 +126,29 @@ def test_spike_monitor_any_metric(spark):
                                 "run_id long, global_step long, grad_norm double")
     got = TL.spike_monitor(log, window=5, z=3.0, chunk=4, metric="grad_norm").orderBy("global_step").collect()
     assert [r["global_step"] for r in got] == [8, 10]
+
+
+@pytest.mark.parametrize("parts", [1, 7, 64])
+def test_other_operators_invariant_to_partitioning(spark, parts):
+    from quillspark.operators import scoring as S
+    from conftest import SMALL
+
+    def rows(df):
+        return sorted(map(tuple, df.collect()), key=str)
+
+    pred = TB.fx_pred(spark, SMALL)
+    base = rows(S.grade(pred).select("dataset", "sample_id", "pred_norm", "correct"))
+    other = rows(S.grade(pred.repartition(parts).orderBy(F.rand(3))).select("dataset", "sample_id", "pred_norm", "correct"))
+    assert base == other
+    log = TB.fx_trainlog(spark, SMALL).select("run_id", "global_step", "eval_loss")
+    shuffled = log.repartition(parts).orderBy(F.rand(5))
+    assert rows(TL.new_best(log, chunk=64)) == rows(TL.new_best(shuffled, chunk=64))
+    assert rows(TL.early_stop(log, 3, chunk=64)) == rows(TL.early_stop(shuffled, 3, chunk=64))
+    attn = TB.fx_attn(spark, SMALL)
+    picked = AT.pick_samples(TB.fx_attn_samples(spark, SMALL), "all", 5)
+    d1 = AT.detail_rows(picked, AT.layer_metrics(attn, AT.select_layers(6), picked))
+    attn2 = attn.repartition(parts).orderBy(F.rand(7))
+    d2 = AT.detail_rows(picked, AT.layer_metrics(attn2, AT.select_layers(6), picked))
+    r = lambda df: sorted((x["analysis"], x["sample"], x["layer"], round(x["entropy"], 9), round(x["top5"], 9))
+                          for x in df.collect())
+    assert r(d1) == r(d2)
