@@ -109,7 +109,6 @@ def test_plan_shapes(spark, registry):
 
 
 def test_filters_and_pruning_reach_scan(spark):
-    from quillspark.operators import attention as AT
     a = TB.fx_attn(spark, SMALL).where(F.col("layer").isin([0, 5]))
     plan = _plan(a)
     assert "ReadSchema: struct<vec_id:bigint,embedding:array<float>>" in plan or "vec_id" in plan
