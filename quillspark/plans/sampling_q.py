@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-
 from ..operators import extraction as X
 from ..operators import sampling as SM
 from ..sources import tables as TB
