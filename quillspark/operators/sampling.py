@@ -119,6 +119,10 @@ def analysis_pass(df: DataFrame, mode: str = "sample", per_level: int = 5, seed:
     """
     if mode not in MODES + ("all",):
         raise ValueError(f"Unknown mode {mode}")
+    if mode == "sample":
+        # n per level needs no level sizes: one pass with a partial group limit
+        return (sample_per_level(df, per_level, seed, level, id_cols)
+                .withColumns({"sample_index": F.col("sample_index").cast("bigint"), "analysis": F.lit("sample")}))
     keyed = df.withColumn("_key", hash_key(seed, *id_cols))
     b = with_bucket(keyed, "_key", hex_digits)
     offs = bucket_offsets(b, [level])

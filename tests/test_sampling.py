@@ -80,3 +80,10 @@ def test_hot_level(spark):
     want = {(r["level"], r["sample_id"], r["r"]) for r in exact.where("r <= 2000").collect()}
     got = {(r["level"], r["sample_id"], r["sample_index"]) for r in b.collect()}
     assert want == got
+
+
+def test_sample_mode_equals_all_modes_sample(pool):
+    one = {(r["level"], r["sample_index"], r["sample_id"]) for r in SM.analysis_pass(pool, "sample", 5).collect()}
+    allm = {(r["level"], r["sample_index"], r["sample_id"])
+            for r in SM.analysis_pass(pool, "all", 5).where("analysis = 'sample'").collect()}
+    assert one == allm and len(one) > 0
