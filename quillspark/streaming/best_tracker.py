@@ -3,8 +3,10 @@
 The training callback keeps ``best_metric`` between evaluation events; here
 that is keyed state per run (``applyInPandasWithState``).  Inside a
 micro-batch each run's rows are sorted by step; across micro-batches a run's
-evaluations are assumed to arrive in step order (as a training run emits
-them).  Output rows are exactly the batch K1 rows for such input.
+evaluations arrive in step order (as a training run emits them).  The state
+keeps the run's last processed step, and a late row (a step the run has
+already passed) is dropped, like data behind a watermark.  Output rows are
+exactly the batch K1 rows for in-order input.
 """
 
 from __future__ import annotations
@@ -19,11 +21,11 @@ from pyspark.sql.streaming.state import GroupStateTimeout
 from ..session import shared_dir
 
 OUT_SCHEMA = "run_id long, global_step long, eval_loss double"
-STATE_SCHEMA = "best double"
+STATE_SCHEMA = "best double, last_step long"
 
 
 def _track(key, pdfs, state):
-    best = state.get[0] if state.exists else None
+    best, last_step = (state.get[0], state.get[1]) if state.exists else (None, None)
     if best is not None and math.isnan(best):
         best = None
     rows = []
@@ -34,13 +36,16 @@ def _track(key, pdfs, state):
     rows.sort(key=lambda r: r[0])
     out_steps, out_losses = [], []
     for s, v in rows:
+        if last_step is not None and s <= last_step:
+            continue            # late: the run has already moved past this step
+        last_step = int(s)
         if v is None or (isinstance(v, float) and math.isnan(v)):
             continue
         if best is None or v < best:
             best = float(v)
             out_steps.append(int(s))
             out_losses.append(best)
-    state.update((best,))
+    state.update((best, last_step))
     if out_steps:
         yield pd.DataFrame({"run_id": [int(key[0])] * len(out_steps), "global_step": out_steps,
                             "eval_loss": out_losses})

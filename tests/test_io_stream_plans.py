@@ -165,3 +165,23 @@ def test_materialize_cuts_lineage_when_large(spark):
     assert "FileScan parquet" in m._jdf.queryExecution().executedPlan().toString()
     assert sorted(map(tuple, m.select("sample_id", "prediction").collect())) == \
         sorted(map(tuple, df.select("sample_id", "prediction").collect()))
+
+
+def test_stream_drops_late_rows(spark, tmp):
+    import pandas as pd
+    src = os.path.join(tmp, "late")
+    os.makedirs(src)
+    batches = [[(1, 10, "view", 3.0), (1, 20, "view", 2.0)], [(1, 15, "view", 1.0), (1, 30, "view", 1.5)]]
+    for i, rows in enumerate(batches):
+        pdf = pd.DataFrame(rows, columns=["user_id", "event_id", "event_type", "value"])
+        spark.createDataFrame(pdf).coalesce(1).write.parquet(os.path.join(src, f"b{i}"))
+    flat = os.path.join(tmp, "late_flat")
+    os.makedirs(flat)
+    import glob
+    for i, f in enumerate(sorted(glob.glob(os.path.join(src, "b*", "*.parquet")))):
+        os.link(f, os.path.join(flat, f"events_{i}.parquet"))
+    stream = BT.events_stream_as_log(spark, flat, "events_*.parquet",
+                                     "user_id bigint, event_id bigint, event_type string, value double",
+                                     max_files_per_trigger=1)
+    out = spark.read.parquet(BT.run_to_table(spark, stream))
+    assert sorted((r["global_step"], r["eval_loss"]) for r in out.collect()) == [(10, 3.0), (20, 2.0), (30, 1.5)]
