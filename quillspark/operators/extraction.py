@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.answers import number_from_text
 from ..functions.text import WS_CLASS, col_of, pystrip
 from ..session import literal_table
 
@@ -118,8 +119,8 @@ def validate_records(df: DataFrame, by: Sequence[str] = ("dataset",), raw: str =
                      record: str = "record", id_col: str = "sample_id") -> DataFrame:
     """Format and annotation defects per dataset.
 
-    Counts rows, unparseable JSON, missing query, unusable level, and rows
-    whose id occurs more than once.  Duplicates are counted with a two-level
+    Counts rows, blank lines, unparseable JSON, missing query, unusable level,
+    answers with no number in them, and rows whose id occurs more than once.  Duplicates are counted with a two-level
     aggregate (per id, then per dataset) so a hot id is pre-aggregated
     map-side rather than gathered by a window.
     """
@@ -131,17 +132,23 @@ def validate_records(df: DataFrame, by: Sequence[str] = ("dataset",), raw: str =
         (F.col(record).isNotNull()
          & F.coalesce(~parse_level(F.col(record)).between(LEVELS[0], LEVELS[-1]), F.lit(True))
          ).alias("_badlvl"),
-        (F.col(raw).isNull() | (pystrip(F.col(raw)) == "")).alias("_blank"))
+        (F.col(raw).isNull() | (pystrip(F.col(raw)) == "")).alias("_blank"),
+        (F.col(record).isNotNull() & F.coalesce(
+            (F.schema_of_variant(F.variant_get(F.col(record), "$.answer", "variant")) == "STRING")
+            & number_from_text(F.variant_get(F.col(record), "$.answer", "string")).isNull(),
+            F.lit(False))).alias("_noans"))
     per_id = flags.groupBy(*by, id_col).agg(
         F.count(F.lit(1)).alias("_c"),
         F.count_if("_corrupt").alias("_corrupt"),
         F.count_if("_noq").alias("_noq"),
         F.count_if("_badlvl").alias("_badlvl"),
-        F.count_if("_blank").alias("_blank"))
+        F.count_if("_blank").alias("_blank"),
+        F.count_if("_noans").alias("_noans"))
     return per_id.groupBy(*by).agg(
         F.sum("_c").cast("bigint").alias("n_rows"),
         F.sum("_blank").cast("bigint").alias("n_blank"),
         F.sum("_corrupt").cast("bigint").alias("n_corrupt"),
         F.sum("_noq").cast("bigint").alias("n_no_query"),
         F.sum("_badlvl").cast("bigint").alias("n_bad_level"),
+        F.sum("_noans").cast("bigint").alias("n_unparsed_answer"),
         F.sum(F.when(F.col("_c") > 1, F.col("_c")).otherwise(F.lit(0))).cast("bigint").alias("n_duplicate_id"))

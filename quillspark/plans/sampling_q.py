@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from ..functions.answers import NUMBER
 from ..operators import extraction as X
 from ..operators import sampling as SM
 from ..sources import tables as TB
@@ -59,14 +60,17 @@ def level_sizes(spark, sf_dir):
 @query("validate", Q.with_views(f"""
 SELECT dataset, CAST(sum(c) AS BIGINT) AS n_rows, CAST(sum(blank) AS BIGINT) AS n_blank,
        CAST(sum(corrupt) AS BIGINT) AS n_corrupt, CAST(sum(noq) AS BIGINT) AS n_no_query,
-       CAST(sum(badlvl) AS BIGINT) AS n_bad_level,
+       CAST(sum(badlvl) AS BIGINT) AS n_bad_level, CAST(sum(noans) AS BIGINT) AS n_unparsed_answer,
        CAST(sum(CASE WHEN c > 1 THEN c ELSE 0 END) AS BIGINT) AS n_duplicate_id
 FROM (
   SELECT dataset, sample_id, count(*) AS c,
          count_if(raw IS NULL OR {Q.pystrip('raw')} = '') AS blank,
          count_if(NOT json_valid(raw)) AS corrupt,
          count_if(json_valid(raw) AND query IS NULL) AS noq,
-         count_if(json_valid(raw) AND coalesce(NOT (level BETWEEN 1 AND 5), true)) AS badlvl
+         count_if(json_valid(raw) AND coalesce(NOT (level BETWEEN 1 AND 5), true)) AS badlvl,
+         count_if(CASE WHEN json_valid(raw) THEN coalesce(json_type(raw, '$.answer') = 'VARCHAR'
+                  AND len(regexp_extract_all(json_extract_string(raw, '$.answer'), {Q.lit(NUMBER)}, 0)) = 0, false)
+                  ELSE false END) AS noans
   FROM parsed GROUP BY dataset, sample_id)
 GROUP BY dataset
 """, **dict(REC_VIEWS, parsed=PARSED_SQL)))

@@ -185,3 +185,16 @@ def test_stream_drops_late_rows(spark, tmp):
                                      max_files_per_trigger=1)
     out = spark.read.parquet(BT.run_to_table(spark, stream))
     assert sorted((r["global_step"], r["eval_loss"]) for r in out.collect()) == [(10, 3.0), (20, 2.0), (30, 1.5)]
+
+
+def test_validate_counts(spark):
+    from quillspark.operators import extraction as X
+    rows = [("d", 1, '{"question": "q", "level": 2, "answer": "about five"}'),
+            ("d", 2, '{"question": "q", "level": 9, "answer": "so 5"}'),
+            ("d", 2, '{"question": " ", "level": "3"}'),
+            ("d", 3, '{"question": '), ("d", 4, "   ")]
+    df = spark.createDataFrame(rows, "dataset string, sample_id long, raw string") \
+        .withColumn("record", F.try_parse_json("raw"))
+    r = X.validate_records(df).first()
+    assert (r["n_rows"], r["n_blank"], r["n_corrupt"], r["n_no_query"], r["n_bad_level"],
+            r["n_unparsed_answer"], r["n_duplicate_id"]) == (5, 1, 2, 1, 1, 1, 2)
