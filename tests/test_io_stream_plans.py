@@ -198,3 +198,13 @@ def test_validate_counts(spark):
     r = X.validate_records(df).first()
     assert (r["n_rows"], r["n_blank"], r["n_corrupt"], r["n_no_query"], r["n_bad_level"],
             r["n_unparsed_answer"], r["n_duplicate_id"]) == (5, 1, 2, 1, 1, 1, 2)
+
+
+def test_cluster_conf_scales_with_input():
+    from quillspark.session import cluster_conf
+    small = cluster_conf(1 << 30, 64)
+    big = cluster_conf(100 << 40, 8000)
+    assert int(small["spark.sql.shuffle.partitions"]) == 128            # floor of 2 x cores
+    assert int(big["spark.sql.shuffle.partitions"]) == (100 << 40) // (256 << 20) + 1
+    assert big["spark.sql.adaptive.skewJoin.enabled"] == "true"
+    assert big["spark.sql.session.timeZone"] == "UTC"
