@@ -4,7 +4,13 @@
 from __future__ import annotations
 
 from . import common as C
-from . import gam_quality, quality_rules
+from . import decontam, gam_quality, packing, quality_rules, token_counts, token_store
+
+
+def _vocabulary(name):
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
 
 
 def _docs(spark, sf_dir):
@@ -16,6 +22,22 @@ def op1_gam_quality(spark, sf_dir):
     return gam_quality.score(docs, gam_quality.train(docs, C.read(spark, sf_dir, "labels")))
 
 
+def op2_decontamination(spark, sf_dir):
+    return decontam.report(_docs(spark, sf_dir), C.read(spark, sf_dir, "benchmark"))
+
+
+def op4_packing(spark, sf_dir, tokenizer=None):
+    return packing.pack(_docs(spark, sf_dir), tokenizer or _vocabulary("byte_bpe_50k.json"))
+
+
+def op5_token_counts(spark, sf_dir, vocabulary=None):
+    return token_counts.count_tokens(_docs(spark, sf_dir), vocabulary or _vocabulary("byte_bpe_50k.tiktoken"))
+
+
+def op6_token_store(spark, sf_dir, tokenizer=None):
+    return token_store.round_trip(_docs(spark, sf_dir), tokenizer or _vocabulary("word_bpe_49k.json"))
+
+
 def op10_quality_rules(spark, sf_dir):
     docs = _docs(spark, sf_dir)
     target = quality_rules.trusted(docs, C.read(spark, sf_dir, "labels"))
@@ -24,6 +46,10 @@ def op10_quality_rules(spark, sf_dir):
 
 QUERIES = {
     "op1_gam_quality": op1_gam_quality,
+    "op2_decontamination": op2_decontamination,
+    "op4_packing": op4_packing,
+    "op5_token_counts": op5_token_counts,
+    "op6_token_store": op6_token_store,
     "op10_quality_rules": op10_quality_rules,
 }
 SQL: dict[str, str] = {}
