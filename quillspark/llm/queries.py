@@ -4,7 +4,7 @@
 from __future__ import annotations
 
 from . import common as C
-from . import decontam, gam_quality, packing, quality_rules, token_counts, token_store
+from . import decontam, gam_quality, packing, quality_rules, substring_dedup, token_counts, token_store
 
 
 def _vocabulary(name):
@@ -38,6 +38,10 @@ def op6_token_store(spark, sf_dir, tokenizer=None):
     return token_store.round_trip(_docs(spark, sf_dir), tokenizer or _vocabulary("word_bpe_49k.json"))
 
 
+def op8_substring_dedup(spark, sf_dir):
+    return substring_dedup.report(_docs(spark, sf_dir))
+
+
 def op10_quality_rules(spark, sf_dir):
     docs = _docs(spark, sf_dir)
     target = quality_rules.trusted(docs, C.read(spark, sf_dir, "labels"))
@@ -50,6 +54,7 @@ QUERIES = {
     "op4_packing": op4_packing,
     "op5_token_counts": op5_token_counts,
     "op6_token_store": op6_token_store,
+    "op8_substring_dedup": op8_substring_dedup,
     "op10_quality_rules": op10_quality_rules,
 }
 SQL: dict[str, str] = {}
