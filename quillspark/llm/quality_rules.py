@@ -67,7 +67,8 @@ def gram_counts(texts: DataFrame, buckets: int = BUCKETS) -> DataFrame:
 def trusted(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Texts of the rows whose labels say good quality and not toxic."""
     good = labels.where("quality = 1 and coalesce(toxic, 0) = 0").select(F.col("doc_id").cast("long").alias("doc_id"))
-    return docs.join(good.distinct(), "doc_id", "left_semi").select("text")
+    # a merge join at every size: whether labels could be broadcast must not decide what is moved
+    return docs.join(good.distinct().hint("merge"), "doc_id", "left_semi").select("text")
 
 
 def fit(raw: DataFrame, target: DataFrame, buckets: int = BUCKETS, smoothing: float = SMOOTHING) -> np.ndarray:
