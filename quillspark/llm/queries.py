@@ -4,7 +4,7 @@
 from __future__ import annotations
 
 from . import common as C
-from . import decontam, gam_quality, packing, quality_rules, substring_dedup, token_counts, token_store
+from . import decontam, gam_quality, packing, quality_rules, substring_dedup, suffix_dedup, token_counts, token_store
 
 
 def _vocabulary(name):
@@ -26,6 +26,10 @@ def op2_decontamination(spark, sf_dir):
     return decontam.report(_docs(spark, sf_dir), C.read(spark, sf_dir, "benchmark"))
 
 
+def op3_suffix_dedup(spark, sf_dir):
+    return suffix_dedup.report(_docs(spark, sf_dir))
+
+
 def op4_packing(spark, sf_dir, tokenizer=None):
     return packing.pack(_docs(spark, sf_dir), tokenizer or _vocabulary("byte_bpe_50k.json"))
 
@@ -51,6 +55,7 @@ def op10_quality_rules(spark, sf_dir):
 QUERIES = {
     "op1_gam_quality": op1_gam_quality,
     "op2_decontamination": op2_decontamination,
+    "op3_suffix_dedup": op3_suffix_dedup,
     "op4_packing": op4_packing,
     "op5_token_counts": op5_token_counts,
     "op6_token_store": op6_token_store,
