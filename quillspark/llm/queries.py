@@ -4,7 +4,7 @@
 from __future__ import annotations
 
 from . import common as C
-from . import decontam, gam_quality, packing, quality_rules, substring_dedup, suffix_dedup, token_counts, token_store
+from . import decontam, gam_quality, jaccard_join, packing, quality_rules, substring_dedup, suffix_dedup, token_counts, token_store
 
 
 def _vocabulary(name):
@@ -46,6 +46,10 @@ def op8_substring_dedup(spark, sf_dir):
     return substring_dedup.report(_docs(spark, sf_dir))
 
 
+def op9_jaccard_join(spark, sf_dir):
+    return jaccard_join.report(_docs(spark, sf_dir))
+
+
 def op10_quality_rules(spark, sf_dir):
     docs = _docs(spark, sf_dir)
     target = quality_rules.trusted(docs, C.read(spark, sf_dir, "labels"))
@@ -60,6 +64,7 @@ QUERIES = {
     "op5_token_counts": op5_token_counts,
     "op6_token_store": op6_token_store,
     "op8_substring_dedup": op8_substring_dedup,
+    "op9_jaccard_join": op9_jaccard_join,
     "op10_quality_rules": op10_quality_rules,
 }
 SQL: dict[str, str] = {}
