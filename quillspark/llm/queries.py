@@ -4,7 +4,7 @@
 from __future__ import annotations
 
 from . import common as C
-from . import decontam, gam_quality, jaccard_join, packing, quality_rules, substring_dedup, suffix_dedup, token_counts, token_store
+from . import decontam, gam_quality, jaccard_join, packing, pii, quality_rules, substring_dedup, suffix_dedup, token_counts, token_store
 
 
 def _vocabulary(name):
@@ -42,6 +42,10 @@ def op6_token_store(spark, sf_dir, tokenizer=None):
     return token_store.round_trip(_docs(spark, sf_dir), tokenizer or _vocabulary("word_bpe_49k.json"))
 
 
+def op7_pii(spark, sf_dir):
+    return pii.report(_docs(spark, sf_dir))
+
+
 def op8_substring_dedup(spark, sf_dir):
     return substring_dedup.report(_docs(spark, sf_dir))
 
@@ -63,6 +67,7 @@ QUERIES = {
     "op4_packing": op4_packing,
     "op5_token_counts": op5_token_counts,
     "op6_token_store": op6_token_store,
+    "op7_pii": op7_pii,
     "op8_substring_dedup": op8_substring_dedup,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_quality_rules": op10_quality_rules,
