@@ -28,10 +28,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import common as C
-from .tokens import encoder
+from .tokens import binaries, encoder
 
 LENGTH = 1024
 END_ID = 0
+#: Text bytes encoded at once.
+ENCODE_BYTES = 4 << 20
 
 PIECES = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, "
           "offset long, continues boolean")
@@ -43,18 +45,15 @@ def tokenized(docs: DataFrame, path: str, end_id: int = END_ID, leading_space: b
 
     def rows(batches):
         enc = encoder(path, leading_space)
-        end = np.array([end_id], enc.kind).tobytes()
-        width = enc.kind.itemsize
         part, at = TaskContext.get().partitionId(), 0
-        for b, col in C.batches_of(batches, "text"):
-            ids = [x + end for x in enc.encode(col.to_pylist())]
-            sizes = np.array([len(x) for x in ids], np.int64) // width
-            starts = at + np.cumsum(sizes) - sizes
-            at += int(sizes.sum())
+        for b, col in C.batches_of(batches, "text", ENCODE_BYTES):
+            ids, off = enc.encode_documents(col, end_id)
+            n = len(col)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(ids), part, np.int32)), pa.array(starts), b.column(0), pa.array(sizes),
-                 pa.array(np.full(len(ids), width, np.int32)), pa.array(ids, pa.binary())],
+                [pa.array(np.full(n, part, np.int32)), pa.array(at + off[:-1]), b.column(0), pa.array(np.diff(off)),
+                 pa.array(np.full(n, enc.kind.itemsize, np.int32)), binaries(ids, off)],
                 ["part", "local_start", "doc_id", "n", "width", "ids"])
+            at += len(ids)
 
     table = docs.select("doc_id", "text").mapInArrow(
         rows, "part int, local_start long, doc_id long, n long, width int, ids binary")

@@ -1,23 +1,42 @@
-"""Encoding texts with a tokenizer file, one cached piece at a time.
+"""Encoding columns of texts with a tokenizer file.
 
 Both kinds of tokenizer used here cut a text before any merge is made, and
-always at a space between two other characters: such pieces can be encoded
-alone, and most pieces of a corpus have been seen before.  A text with other
-white space arrangements is encoded whole.  The ids are those of the
-tokenizers library in either case (tests compare whole encodings).
+always at a space (or line end) between two other characters: such pieces can
+be encoded alone.  So the pieces of a slice of texts are told apart by hash,
+each different piece is looked up or encoded once, and the texts' ids are
+gathered from the pieces' ids.  A text with other white space arrangements is
+encoded whole.  The ids are those of the tokenizers library in either case
+(tests compare whole encodings).
 """
 
 from __future__ import annotations
 
 import os
-import re
+from array import array
 
 import numpy as np
+import pyarrow as pa
 
-#: Pieces remembered by a worker (about 200 bytes each).
-CACHE = 400_000
-_SPACE_RUN = re.compile(r"\s[ \n]")
-_ODD_SPACE = re.compile("[\x1c-\x1f]")
+from . import common as C
+
+#: Pieces remembered by a worker (about 200 bytes each), in two generations.
+CACHE = 1_000_000
+
+_LINE_WORD = np.ones(256, bool)
+_LINE_WORD[[0x20, 0x0A]] = False
+# UTF-8 bytes of white space characters.
+_SPACE_1 = np.zeros(256, bool)
+_SPACE_1[[0x09, 0x0A, 0x0B, 0x0C, 0x0D, 0x1C, 0x1D, 0x1E, 0x1F, 0x20]] = True
+_SPACE_C2 = np.zeros(256, bool)
+_SPACE_C2[[0x85, 0xA0]] = True
+_SPACE_E280 = np.zeros(256, bool)
+_SPACE_E280[[*range(0x80, 0x8B), 0xA8, 0xA9, 0xAF]] = True
+
+
+def _wide_space(a: np.ndarray, b: np.ndarray, c: np.ndarray) -> np.ndarray:
+    """Are three bytes a white space character?"""
+    return ((a == 0xE2) & (((b == 0x80) & _SPACE_E280[c]) | ((b == 0x81) & (c == 0x9F)))
+            | (a == 0xE1) & (b == 0x9A) & (c == 0x80) | (a == 0xE3) & (b == 0x80) & (c == 0x80))
 
 
 class Encoder:
@@ -32,59 +51,113 @@ class Encoder:
         self.tok.encode_special_tokens = True
         self.kind = np.dtype("<u2") if self.tok.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
         self.leading = leading_space
-        self.spaced: dict[str, bytes] = {}
-        self.bare: dict[str, bytes] = {}
+        self.newer: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
 
     def _encode(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, dtype=self.kind).tobytes()
-                for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _learn(self, cache: dict[str, bytes], pieces: set[str], prefix: str) -> None:
-        new = list(pieces.difference(cache))
-        for i in range(0, len(new), 20_000):
-            part = new[i:i + 20_000]
-            cache.update(zip(part, self._encode([prefix + p for p in part] if prefix else part)))
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text as little-endian integers of ``kind``."""
-        if len(self.spaced) + len(self.bare) > CACHE:
-            self.spaced.clear()
-            self.bare.clear()
-        out: list[bytes | None] = [None] * len(texts)
-        whole, cut = [], []
-        bare: set[str] = set()
-        spaced: set[str] = set()
-        for i, t in enumerate(texts):
-            if self.leading:
-                if _SPACE_RUN.search(t):
-                    whole.append(i)
-                    continue
-                lines = [line.split(" ") for line in t.split("\n")]
-                for parts in lines:
-                    bare.add(parts[0])
-                    spaced.update(parts[1:])
-                cut.append((i, lines))
-            elif _ODD_SPACE.search(t):
-                whole.append(i)
-            else:
-                parts = t.split()
-                bare.update(parts)
-                cut.append((i, parts))
-        self._learn(self.bare, bare, "")
-        if self.leading:
-            self._learn(self.spaced, spaced, " ")
-            if "\n" not in self.bare:
-                self._learn(self.bare, {"\n"}, "")
-            line_end = self.bare["\n"]
-        for i, parts in cut:
-            if self.leading:
-                get = self.spaced.__getitem__
-                out[i] = line_end.join(self.bare[p[0]] + b"".join(map(get, p[1:])) for p in parts)
+        code = "H" if self.kind.itemsize == 2 else "I"
+        return [array(code, e.ids).tobytes() for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _pieces(self, pieces: list[bytes]) -> list[bytes]:
+        """Ids of different pieces (a space in front is part of a piece)."""
+        if len(self.newer) > CACHE // 2:
+            self.older, self.newer = self.newer, {}
+        found = list(map(self.newer.get, pieces))
+        missing = [i for i, x in enumerate(found) if x is None]
+        learn = []
+        for i in missing:
+            x = found[i] = self.older.get(pieces[i])
+            if x is None:
+                learn.append(i)
             else:
-                out[i] = b"".join(map(self.bare.__getitem__, parts))
-        for i, ids in zip(whole, self._encode([texts[i] for i in whole])):
-            out[i] = ids
-        return out
+                self.newer[pieces[i]] = x
+        for a in range(0, len(learn), 20_000):
+            part = learn[a:a + 20_000]
+            for i, x in zip(part, self._encode([pieces[i].decode() for i in part])):
+                found[i] = self.newer[pieces[i]] = x
+        return found
+
+    def _odd(self, data: np.ndarray, off: np.ndarray) -> np.ndarray:
+        """Texts that must be encoded whole."""
+        n = len(off) - 1
+        if not self.leading or not len(data):
+            return np.zeros(n, bool)
+        # a space or line end beside other white space
+        p = np.flatnonzero(~_LINE_WORD[data])
+        x = np.concatenate((np.zeros(3, np.uint8), data, np.zeros(3, np.uint8)))
+        a3, a2, a1, b1, b2, b3 = (x[p + 3 + d] for d in (-3, -2, -1, 1, 2, 3))
+        beside = (_SPACE_1[a1] | ((a2 == 0xC2) & _SPACE_C2[a1]) | _wide_space(a3, a2, a1)
+                  | _SPACE_1[b1] | ((b1 == 0xC2) & _SPACE_C2[b2]) | _wide_space(b1, b2, b3))
+        at = p[beside]
+        odd = np.zeros(n, bool)
+        odd[np.searchsorted(off, at, side="right") - 1] = True
+        full = np.flatnonzero(np.diff(off) > 0)
+        odd[full] |= ~_LINE_WORD[data[off[full]]] | ~_LINE_WORD[data[off[full + 1] - 1]]
+        return odd
+
+    def encode(self, col: pa.LargeStringArray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts one after the other, and their offsets."""
+        data, off = C.raw_bytes(col)
+        odd = self._odd(data, off)
+        if odd.any():
+            plain = np.flatnonzero(~odd)
+            ids, at = self._regular(col.take(pa.array(plain)))
+            parts: list = [None] * len(col)
+            for k, i in enumerate(plain.tolist()):
+                parts[i] = ids[at[k]:at[k + 1]]
+            whole = np.flatnonzero(odd).tolist()
+            for i, x in zip(whole, self._encode(col.take(pa.array(whole)).to_pylist())):
+                parts[i] = np.frombuffer(x, self.kind)
+            sizes = [len(x) for x in parts]
+            return np.concatenate(parts), np.concatenate(([0], np.cumsum(sizes)))
+        return self._regular(col)
+
+    def _regular(self, col: pa.LargeStringArray) -> tuple[np.ndarray, np.ndarray]:
+        w = C.Words(col, _LINE_WORD if self.leading else C.SPACE_WORD, False)
+        if not len(w.starts):
+            return np.zeros(0, self.kind), np.zeros(len(col) + 1, np.int64)
+        before = np.where(w.starts > w.off[:-1][w.doc], w.data[w.starts - 1], 0) if self.leading else np.zeros(len(w.starts), np.uint8)
+        spaced = before == 0x20
+        lengths = w.ends - w.starts
+        seed = 0
+        h = w.hashes()
+        while True:
+            keys, first, item = np.unique(h + spaced.astype(C.U64) * C.U64(0x9E3779B97F4A7C15), return_index=True, return_inverse=True)
+            if (lengths[first][item] == lengths).all() and (not self.leading or (spaced[first][item] == spaced).all()):
+                break
+            seed += 1  # two pieces with one hash: tell them apart by another
+            h = C.mix(h + w.hashes(seed))
+        raw = w.data.tobytes()
+        found = self._pieces([(b" " if sp else b"") + raw[s:e] for s, e, sp in zip(
+            w.starts[first].tolist(), w.ends[first].tolist(), spaced[first].tolist())])
+        line_end = before == 0x0A
+        per_word = np.ones(len(item), np.int64)
+        if line_end.any():
+            found += self._pieces([b"\n"])
+            per_word += line_end
+            at = np.cumsum(per_word) - per_word
+            item = np.repeat(item, per_word)
+            item[at[line_end]] = len(found) - 1
+        sizes = np.array([len(x) for x in found], np.int64) // self.kind.itemsize
+        pool = np.frombuffer(b"".join(found), self.kind)
+        begin = np.cumsum(sizes) - sizes
+        n = sizes[item]
+        end = np.cumsum(n)
+        ids = pool[np.repeat(begin[item] - (end - n), n) + np.arange(int(end[-1]))]
+        items_end = np.concatenate(([0], np.cumsum(per_word)))[w.first]
+        return ids, np.concatenate(([0], end))[items_end]
+
+    def encode_documents(self, col: pa.LargeStringArray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        """``encode`` with ``end_id`` after each text."""
+        ids, off = self.encode(col)
+        return np.insert(ids, off[1:], self.kind.type(end_id)), off + np.arange(len(off))
+
+
+def binaries(ids: np.ndarray, off: np.ndarray) -> pa.Array:
+    """Arrow binary column of the slices of ``ids``."""
+    at = (off * ids.dtype.itemsize).astype(np.int64)
+    return pa.Array.from_buffers(pa.large_binary(), len(off) - 1, [None, pa.py_buffer(at), pa.py_buffer(np.ascontiguousarray(ids))]
+                                 ).cast(pa.binary())
 
 
 _KEPT: dict[tuple[str, bool], Encoder] = {}
