@@ -44,6 +44,8 @@ SHARD_IDS = 4_000_000
 #: Text bytes for one range partition.
 PART_BYTES = 24 << 20
 END_ID = 2
+#: Text bytes encoded at once.
+ENCODE_BYTES = 4 << 20
 
 
 class EliasFano:
@@ -147,28 +149,27 @@ def write(docs: DataFrame, folder: str, path: str, end_id: int = END_ID, leading
 
     def shards(batches):
         enc = encoder(path, leading_space)
-        end = np.array([end_id], enc.kind).tobytes()
         part = TaskContext.get().partitionId()
-        ids, docs_, null, k, held = [], [], [], 0, 0
+        ids, ends, docs_, null, k, held = [], [], [], [], 0, 0
 
         def flush():
-            nonlocal ids, docs_, null, k, held
-            ends = np.cumsum([len(x) for x in ids]) // enc.kind.itemsize
-            raw = Shard(np.array(docs_, np.int64), np.array(null), EliasFano.of(ends),
-                        np.frombuffer(b"".join(ids), enc.kind), part).dumps()
-            _put(folder, f"part-{part:06d}-{k:06d}-{int(ends[-1])}.tok", raw)
-            out = pa.RecordBatch.from_pydict({"n_docs": [len(docs_)], "n_ids": [int(ends[-1])]})
-            ids, docs_, null, k, held = [], [], [], k + 1, 0
+            nonlocal ids, ends, docs_, null, k, held
+            ef = EliasFano.of(np.concatenate(ends))
+            raw = Shard(np.concatenate(docs_), np.concatenate(null), ef, np.concatenate(ids), part).dumps()
+            _put(folder, f"part-{part:06d}-{k:06d}-{held}.tok", raw)
+            out = pa.RecordBatch.from_pydict({"n_docs": [ef.n], "n_ids": [held]})
+            ids, ends, docs_, null, k, held = [], [], [], [], k + 1, 0
             return out
 
-        for b, col in C.batches_of(batches, "text"):
-            for d, x in zip(b.column(0).to_pylist(), enc.encode(col.to_pylist())):
-                ids.append(x + end)
-                docs_.append(d or 0)
-                null.append(d is None)
-                held += len(ids[-1])
-                if held >= shard_ids * enc.kind.itemsize:
-                    yield flush()
+        for b, col in C.batches_of(batches, "text", ENCODE_BYTES):
+            x, off = enc.encode_documents(col, end_id)
+            ids.append(x)
+            ends.append(held + off[1:])
+            docs_.append(b.column(0).fill_null(0).to_numpy(zero_copy_only=False))
+            null.append(b.column(0).is_null().to_numpy(zero_copy_only=False))
+            held += len(x)
+            if held >= shard_ids:
+                yield flush()
         if ids:
             yield flush()
 
