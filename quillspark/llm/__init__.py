@@ -1,5 +1,5 @@
 """Training-data pipeline operators (see README, "Training-data operators").
 
-Nothing outside this package imports it; ``queries.register()`` adds its
-queries to a registry that is passed in.
+Nothing outside this package imports it but the entry point, which adds
+``queries.QUERIES``.
 """

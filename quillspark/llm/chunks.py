@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from . import common as C
 
-CHUNK_BYTES = 6 << 20
+CHUNK_BYTES = 4 << 20
 #: Keys sent to one block, about.
 BLOCK_KEYS = 2_000_000
 #: Address bits inside a block.

@@ -1,5 +1,6 @@
-"""The package's registered queries; ``register(query)`` takes the decorator
-``query(name, sql=None)`` of a registry."""
+"""The package's queries by name, and SQL for those that SQL can express (none:
+fitted models, tokenizers, or too slow on whole tables; tests compare them with
+brute force)."""
 
 from __future__ import annotations
 
@@ -73,8 +74,3 @@ QUERIES = {
     "op10_quality_rules": op10_quality_rules,
 }
 SQL: dict[str, str] = {}
-
-
-def register(query) -> None:
-    for name, fn in QUERIES.items():
-        query(name, SQL.get(name))(fn)

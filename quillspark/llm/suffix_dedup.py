@@ -56,47 +56,49 @@ def _sliding_min(v: np.ndarray, width: int) -> np.ndarray:
 
 
 class _Strings:
-    """The strings of a chunk's own texts: hash, row, start and anchor of each."""
+    """The strings of a chunk's own texts as runs of starts under one anchor:
+    first start, number, anchor hash and row of each run."""
 
     def __init__(self, text: pa.LargeStringArray, length: int, gram: int):
         self.data, self.off = C.raw_bytes(text)
-        start, anchor, key = [], [], []
-        for i, j in C.slices(text):
+        self.length = length
+        found = [[np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, C.U64)]]
+        for i, j in C.slices(text, C.SLICE_BYTES // 2):
             lo, hi = int(self.off[i]), int(self.off[j])
             n = hi - lo
             if n < length:
                 continue
-            codes = C._byte_codes(0)[self.data[lo:hi]]
             at = np.arange(n - gram + 1)
-            h = C.span_hash(codes, at, at + gram, 0)
+            h = C.span_hash(C._byte_codes(0)[self.data[lo:hi]], at, at + gram, 0)
             # 32 bits of hash, then the place: the leftmost smallest
-            v = (h & C.U64(0xFFFFFFFF00000000)) | at.astype(C.U64)
-            best = (_sliding_min(v, length - gram + 1) & C.U64(0xFFFFFFFF)).astype(np.int64)
+            anchor = _sliding_min((h & C.U64(0xFFFFFFFF00000000)) | at.astype(C.U64), length - gram + 1) & C.U64(0xFFFFFFFF)
             ends = self.off[i + 1:j + 1] - lo
-            s = np.arange(n - length + 1)
-            inside = s + length <= ends[np.searchsorted(ends, s, side="right")]
-            s = s[inside]
-            start.append(s + lo)
-            anchor.append(best[inside] + lo)
-            key.append(h[best[inside]])
-        self.start = np.concatenate(start) if start else np.zeros(0, np.int64)
-        self.anchor = np.concatenate(anchor) if anchor else np.zeros(0, np.int64)
-        self.key = np.concatenate(key) if key else np.zeros(0, C.U64)
+            start = np.arange(n - length + 1)
+            start = start[start + length <= np.repeat(ends, np.diff(self.off[i:j + 1]))[:len(start)]]
+            anchor = anchor[start].astype(np.int64)
+            b = C.bounds(anchor)
+            for f, x in zip(found, (start[b] + lo, np.diff(np.append(b, len(start))), h[anchor[b]])):
+                f.append(x)
+        self.start, self.n, self.key = map(np.concatenate, found)
         self.row = np.searchsorted(self.off, self.start, side="right") - 1
-        self.length = length
 
     def only(self, keep: np.ndarray) -> None:
-        self.start, self.anchor, self.key, self.row = (x[keep] for x in (self.start, self.anchor, self.key, self.row))
+        self.start, self.n, self.key, self.row = (x[keep] for x in (self.start, self.n, self.key, self.row))
+
+    def starts(self) -> tuple[np.ndarray, np.ndarray]:
+        """Every string's start and run."""
+        run = np.repeat(np.arange(len(self.n)), self.n)
+        return self.start[run] + np.arange(len(run)) - (np.cumsum(self.n) - self.n)[run], run
 
-    def hashes(self) -> np.ndarray:
-        """Hash of each remaining string."""
-        out = np.zeros(len(self.start), C.U64)
+    def hashes(self, start: np.ndarray) -> np.ndarray:
+        """Hash of each string."""
+        out = np.zeros(len(start), C.U64)
         a = 0
-        while a < len(self.start):  # over stretches of text of bounded size
-            lo = int(self.start[a])
-            b = max(int(np.searchsorted(self.start, lo + C.SLICE_BYTES)), a + 1)
-            hi = int(self.start[b - 1]) + self.length
-            s = self.start[a:b] - lo
+        while a < len(start):  # over stretches of text of bounded size
+            lo = int(start[a])
+            b = max(int(np.searchsorted(start, lo + C.SLICE_BYTES // 2)), a + 1)
+            hi = int(start[b - 1]) + self.length
+            s = start[a:b] - lo
             out[a:b] = C.span_hash(C._byte_codes(1)[self.data[lo:hi]], s, s + self.length, 1)
             a = b
         return out
@@ -109,21 +111,20 @@ class _Runs:
     def __init__(self, chunk: Chunk, bits: int, length: int, gram: int, stage: int):
         text, self.ids = chunk.own()
         self.s = s = _Strings(text, length, gram)
-        owner = self.ids[s.row] if len(s.row) else np.zeros(0, np.int64)
-        first = C.bounds(s.anchor)  # one entry an anchor place
-        self.sketch = Sketch(s.key[first], bits, owner[first])
+        self.sketch = Sketch(s.key, bits, self.ids[s.row])
         if stage == 1:
             return
-        marked = self.sketch.among(chunk.bits(1, self.sketch.sizes), s.key[first])
-        s.only(np.repeat(marked, np.diff(np.append(first, len(s.anchor)))))
-        h = s.hashes()
-        self.sketch = Sketch(h, bits, self.ids[s.row])
+        s.only(self.sketch.among(chunk.bits(1, self.sketch.sizes), s.key))
+        start, run = s.starts()
+        h = s.hashes(start)
+        self.sketch = Sketch(h, bits, self.ids[s.row[run]])
         if stage == 2:
             return
-        s.only(self.sketch.among(chunk.bits(2, self.sketch.sizes), h))
-        b = C.bounds(np.column_stack([s.anchor, s.start - np.arange(len(s.start))])) if len(s.start) else np.zeros(0, np.int64)
-        self.begin, self.n = s.start[b], np.diff(np.append(b, len(s.start)))
-        self.row, key = s.row[b], s.key[b]
+        again = self.sketch.among(chunk.bits(2, self.sketch.sizes), h)
+        start, run = start[again], run[again]
+        b = C.bounds(np.column_stack([run, start - np.arange(len(start))]))
+        self.begin, self.n = start[b], np.diff(np.append(b, len(start)))
+        self.row, key = s.row[run[b]], s.key[run[b]]
         # distinct runs, by block; the smallest document of each
         raw = s.data.tobytes()
         seen: dict[bytes, int] = {}
