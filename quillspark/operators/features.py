@@ -2,8 +2,9 @@
 
 The vocabulary is built by Spark from the corpus (a stand-in for a loaded
 tokeniser): whitespace-separated words, most frequent first, special ids in
-front.  Encoding is a broadcast join against that vocabulary; the vocabulary's
-size is capped by ``max_size``, which is what makes broadcasting it safe.
+front.  It holds every word; ``max_size`` limits it only when a caller asks.
+Its ``HEAD`` most frequent words - a fixed number - are joined by broadcast, so
+that hot words never shuffle; the rest is an ordinary join on the word.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import WS_CLASS, col_of, pystrip
-from ..session import literal_table
+from ..session import literal_table, saved
 
 # --- fixed values: special tokens, label mask value ------------------------
 DEFAULT_SPECIALS = ("<pad>", "<s>", "</s>", "<unk>")
@@ -32,7 +33,11 @@ class Vocab:
     eos_id: int
     unk_id: int
     pad_id: int
-    max_size: int
+    max_size: int | None
+
+
+#: Words joined by broadcast: the most frequent ones, whatever the vocabulary's size.
+HEAD = 20_000
 
 
 def words(text) -> Column:
@@ -41,24 +46,36 @@ def words(text) -> Column:
     return F.when(t == "", F.array().cast("array<string>")).otherwise(F.split(t, WS_CLASS + "+"))
 
 
-def build_vocab(texts: DataFrame, text_cols: Sequence[str], max_size: int,
+def build_vocab(texts: DataFrame, text_cols: Sequence[str], max_size: int | None = None,
                 specials: Sequence[str | None] = DEFAULT_SPECIALS) -> Vocab:
     """G1: token -> id.  Specials (pad, bos, eos, unk) take the first ids; a
-    missing pad falls back to eos.  Remaining ids go to the most frequent
-    tokens (ties by token), at most ``max_size`` ids in all.
+    missing pad falls back to eos.  Remaining ids go to all other tokens, most
+    frequent first (ties by token); with ``max_size`` only to so many that it
+    holds ids in all.
 
-    Counting is a partial/final aggregate; the top tokens come from a
-    TakeOrdered limit, so only ``max_size`` rows ever reach a single task.
+    Ranks are distributed: a range exchange by (count, token), the index inside
+    each range partition, and the partitions' offsets (one row a partition).
+    The ranked table is written, so ids stay when an executor is lost.
     """
     pad, bos, eos, unk = specials
     named = [s for s in (pad, bos, eos, unk) if s is not None]
     spark = texts.sparkSession
     toks = texts.select(F.explode(F.flatten(F.array(*[words(c) for c in text_cols]))).alias("token"))
     counts = toks.where(~F.col("token").isin(named)).groupBy("token").agg(F.count(F.lit(1)).alias("n"))
-    room = max_size - len(named)
-    top = counts.orderBy(F.desc("n"), F.asc("token")).limit(max(room, 0))
-    ranked = top.withColumn("id", (F.row_number().over(Window.orderBy(F.desc("n"), F.asc("token")))
-                                   - 1 + len(named)).cast("int")).select("token", "id")
+    order = [F.desc("n"), F.asc("token")]
+    # the low 33 bits of the running id are the row's index in its partition
+    dealt = counts.repartitionByRange(*order).sortWithinPartitions(*order).select(
+        "token", F.spark_partition_id().alias("part"),
+        F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)).alias("at"))
+    dealt = saved(dealt, "vocab-ranks")
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = dealt.groupBy("part").agg(F.count(F.lit(1)).alias("n")).select(
+        "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
+    # one row for each range partition
+    ranked = dealt.join(F.broadcast(offsets), "part").select(
+        "token", (F.col("before") + F.col("at") + len(named)).cast("int").alias("id"))
+    if max_size is not None:
+        ranked = ranked.where(F.col("id") < max_size)
     special_df = literal_table(spark, [(s, i) for i, s in enumerate(named)], "token string, id int")
     ids = {s: i for i, s in enumerate(named)}
     eos_id = ids[eos]
@@ -68,75 +85,55 @@ def build_vocab(texts: DataFrame, text_cols: Sequence[str], max_size: int,
 
 def encode(df: DataFrame, text_col: str, vocab: Vocab, max_len: int | Column, id_cols: Sequence[str],
            out_col: str = "ids", add_bos: bool = True) -> DataFrame:
-    """Text -> ids (bos first), truncated to ``max_len`` ids.
-
-    Also returns ``<out_col>_full_len``: the id count before truncation (for
-    G7).  The input is hash-partitioned by its ids once; explode, the
-    broadcast vocabulary join and the re-assembling aggregate then run inside
-    that partitioning, so the (larger) per-token rows never shuffle.  Only
-    tokens that survive truncation reach the join.
-    """
-    id_cols = list(id_cols)
-    cap = F.lit(max_len) if isinstance(max_len, int) else max_len
-    base = (df.select(*id_cols, words(text_col).alias("_w"), cap.cast("int").alias("_cap"))
-            .repartition(*id_cols))
-    ex = base.select(*id_cols, "_cap", F.size("_w").alias("_n"),
-                     F.posexplode_outer("_w").alias("_pos", "token"))
-    ex = ex.where(F.col("_pos").isNull() | (F.col("_pos") < F.col("_cap") - F.lit(1 if add_bos else 0)))
-    j = ex.join(F.broadcast(vocab.table), "token", "left")
-    tok_id = F.coalesce(F.col("id"), F.lit(vocab.unk_id))
-    g = j.groupBy(*id_cols).agg(
-        F.max("_n").alias("_n"),
-        F.max("_cap").alias("_cap"),
-        F.array_sort(F.collect_list(F.when(F.col("_pos").isNotNull(), F.struct("_pos", tok_id.alias("id"))))
-                     ).alias("_s"))
-    ids = F.transform(F.col("_s"), lambda s: s["id"])
-    if add_bos:
-        ids = F.concat(F.array(F.lit(vocab.bos_id)), ids)
-    full = F.col("_n") + F.lit(1 if add_bos else 0)
-    return g.select(*id_cols, F.slice(ids, F.lit(1), F.col("_cap").cast("int")).alias(out_col),
-                    full.cast("int").alias(f"{out_col}_full_len"))
+    """Text -> ids (bos first), truncated to ``max_len`` ids; also
+    ``<out_col>_full_len``, the id count before truncation (for G7)."""
+    return encode_many(df, {out_col: (text_col, max_len)}, vocab, id_cols, add_bos=add_bos)
 
 
 def encode_many(df: DataFrame, texts: dict[str, tuple[str, int | Column]], vocab: Vocab,
                 id_cols: Sequence[str], carry: Sequence[str] = (), add_bos: bool = True) -> DataFrame:
-    """G2 for several text columns in one pass.
-
-    ``texts`` maps an output name to ``(text column, max_len)``.  The rows are
-    hash-partitioned by ``id_cols`` once; every text is exploded into
-    ``(field, pos, token)`` rows, joined to the broadcast vocabulary once, and
-    re-assembled with two aggregates that both reuse the id partitioning (no
-    further exchange, no join between per-text results).  ``carry`` columns
-    (functionally dependent on the ids) ride along.  For each output ``o`` the
-    result has ``o`` (ids) and ``o_full_len`` (ids before truncation).
+    """G2 for several text columns in one pass, row by row (rows with equal ids
+    stay apart).
+
+    ``texts`` maps an output name to ``(text column, max_len)``.  Every text is
+    exploded into (row, field, position, token) - only tokens that survive
+    truncation - and joined to the vocabulary, frequent words by broadcast, the
+    others by token; two aggregates put the rows together again.  ``carry``
+    columns ride along.  For each output ``o`` the result has ``o`` (ids) and
+    ``o_full_len`` (ids before truncation).
     """
-    id_cols, carry = list(id_cols), list(carry)
-    names = list(texts)
+    keep, names, first = [*id_cols, *carry], list(texts), int(add_bos)
     fields = []
-    for i, (name, (col, cap)) in enumerate(texts.items()):
+    for i, (col, cap) in enumerate(texts.values()):
         capc = F.lit(cap) if isinstance(cap, int) else cap
         fields.append(F.struct(F.lit(i).alias("f"), words(col).alias("w"), capc.cast("int").alias("cap")))
-    base = df.select(*id_cols, *carry, F.explode(F.array(*fields)).alias("_t")).repartition(*id_cols)
-    ex = base.select(*id_cols, *carry, F.col("_t.f").alias("_f"), F.col("_t.cap").alias("_cap"),
-                     F.size("_t.w").alias("_n"), F.posexplode_outer("_t.w").alias("_pos", "token"))
-    ex = ex.where(F.col("_pos").isNull() | (F.col("_pos") < F.col("_cap") - F.lit(1 if add_bos else 0)))
-    j = ex.join(F.broadcast(vocab.table), "token", "left")
-    tok_id = F.coalesce(F.col("id"), F.lit(vocab.unk_id))
-    per = j.groupBy(*id_cols, "_f").agg(
-        *[F.first(c).alias(c) for c in carry],
-        F.max("_n").alias("_n"), F.max("_cap").alias("_cap"),
-        F.array_sort(F.collect_list(F.when(F.col("_pos").isNotNull(), F.struct("_pos", tok_id.alias("id"))))
-                     ).alias("_s"))
+    numbered = df.select("*", F.monotonically_increasing_id().alias("_row"))  # before the texts are laid out
+    base = numbered.select(*keep, "_row", F.explode(F.array(*fields)).alias("_t"))
+    ex = base.select(*keep, "_row", F.col("_t.f").alias("_f"), F.col("_t.cap").alias("_cap"), F.size("_t.w").alias("_n"),
+                     F.posexplode_outer("_t.w").alias("_pos", "token"))
+    # a cut text keeps its first position, for its length
+    ex = ex.where(F.col("_pos").isNull() | (F.col("_pos") < F.greatest(F.col("_cap") - first, F.lit(1))))
+    head = vocab.table.where(F.col("id") < HEAD).withColumnsRenamed({"id": "_head"})
+    tail = vocab.table.where(F.col("id") >= HEAD).withColumnsRenamed({"token": "_word", "id": "_tail"})
+    j = ex.join(F.broadcast(head), "token", "left")
+    # words already found get a key that matches nothing and is not the same for all
+    key = F.when(F.col("_head").isNull() & F.col("token").isNotNull(), F.col("token")).otherwise(
+        F.concat(F.lit(" "), F.col("_row").cast("string")))
+    j = j.join(tail, key == F.col("_word"), "left")
+    tok_id = F.coalesce("_head", "_tail", F.lit(vocab.unk_id))
+    per = j.groupBy("_row", "_f").agg(
+        *[F.first(c).alias(c) for c in keep], F.max("_n").alias("_n"), F.max("_cap").alias("_cap"),
+        F.array_sort(F.collect_list(F.when(F.col("_pos").isNotNull(), F.struct("_pos", tok_id.alias("id"))))).alias("_s"))
     ids = F.transform(F.col("_s"), lambda s: s["id"])
     if add_bos:
         ids = F.concat(F.array(F.lit(vocab.bos_id)), ids)
-    per = per.select(*id_cols, *carry, "_f", F.slice(ids, F.lit(1), F.col("_cap")).alias("_ids"),
-                     (F.col("_n") + F.lit(1 if add_bos else 0)).cast("int").alias("_full"))
-    aggs = [F.first(c).alias(c) for c in carry]
+    per = per.select(*keep, "_row", "_f", F.slice(ids, F.lit(1), F.col("_cap")).alias("_ids"),
+                     (F.col("_n") + first).cast("int").alias("_full"))
+    aggs = [F.first(c).alias(c) for c in keep]
     for i, name in enumerate(names):
         aggs.append(F.max(F.when(F.col("_f") == i, F.col("_ids"))).alias(name))
         aggs.append(F.max(F.when(F.col("_f") == i, F.col("_full"))).alias(f"{name}_full_len"))
-    return per.groupBy(*id_cols).agg(*aggs)
+    return per.groupBy("_row").agg(*aggs).drop("_row")
 
 
 def append_eos(ids, eos_id: int) -> Column:
@@ -208,13 +205,16 @@ def batch_predict(df: DataFrame, fn: Callable[[list[str]], list[str]], batch_siz
 
     def run(it):
         for pdf in it:
-            for start in range(0, len(pdf), batch_size):
-                chunk = pdf.iloc[start:start + batch_size]
-                outs = fn([("" if p is None else str(p)) for p in chunk[prompt].tolist()])
-                if len(outs) != len(chunk):
+            prompts = ["" if p is None else str(p) for p in pdf[prompt].tolist()]
+            outs: list[str] = []
+            for start in range(0, len(prompts), batch_size):
+                part = prompts[start:start + batch_size]
+                got = list(fn(part))
+                if len(got) != len(part):
                     raise ValueError("batch function must return one output per prompt")
-                res = chunk[id_cols].copy()
-                res[out] = pd.Series(list(outs), index=chunk.index, dtype=object)
-                yield res
+                outs += got
+            res = pdf[id_cols].copy()
+            res[out] = pd.Series(outs, index=pdf.index, dtype=object)
+            yield res
 
     return df.select(*id_cols, prompt).mapInPandas(run, ddl)

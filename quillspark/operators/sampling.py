@@ -22,15 +22,25 @@ from pyspark.sql import functions as F
 DEFAULT_SEED = 42
 
 
-def hash_key(seed: int, *cols) -> Column:
-    parts = [F.lit(str(seed))] + [(F.col(c) if isinstance(c, str) else c).cast("string") for c in cols]
+def hash_key(seed: int, *cols, salt: str = "") -> Column:
+    """md5 of seed, ids and the operator's own ``salt``: two operators with one
+    seed must not make the same draw."""
+    parts = [F.lit(f"{seed}{salt}")] + [(F.col(c) if isinstance(c, str) else c).cast("string") for c in cols]
     return F.md5(F.concat_ws("#", *parts))
 
 
-def hash_unit(seed: int, *cols, modulus: int = 1000) -> Column:
-    """Stable integer in [0, modulus) from the first 32 bits of the md5 key."""
-    h = F.conv(F.substring(hash_key(seed, *cols), 1, 8), 16, 10).cast("bigint")
-    return (h % modulus).cast("int")
+#: Draws are 52-bit numbers, exact as doubles.
+DRAWS = 1 << 52
+
+
+def hash_unit(seed: int, *cols, salt: str = "") -> Column:
+    """Stable integer in [0, ``DRAWS``) from the first 52 bits of the md5 key."""
+    return F.conv(F.substring(hash_key(seed, *cols, salt=salt), 1, 13), 16, 10).cast("bigint")
+
+
+def share(fraction) -> Column:
+    """The draw below which a row belongs to a share in [0, 1]."""
+    return (F.lit(fraction) if not isinstance(fraction, Column) else fraction) * F.lit(float(DRAWS))
 
 
 def bucket_offsets(b: DataFrame, group_cols: Sequence[str]) -> DataFrame:
@@ -159,7 +169,7 @@ SPLIT_NAMES = ("train", "validation", "test")
 
 def split_dataset(df: DataFrame, ratios: Sequence[int] = (8, 1, 1), seed: int = DEFAULT_SEED,
                   id_cols: Sequence[str] = ("dataset", "sample_id"), split_col: str = "split") -> DataFrame:
-    """train/validation/test by hash bucket in [0, 1000).
+    """train/validation/test by a 52-bit draw.
 
     A row's split depends only on its id and the seed, so it is stable across
     partitionings and when rows are added.
@@ -168,11 +178,11 @@ def split_dataset(df: DataFrame, ratios: Sequence[int] = (8, 1, 1), seed: int =
     cuts, acc = [], 0.0
     for r in ratios[:-1]:
         acc += r
-        cuts.append(int(round(1000 * acc / total)))
-    h = hash_unit(seed, *id_cols)
+        cuts.append(acc / total)
+    h = hash_unit(seed, *id_cols, salt=".split")
     expr = F.lit(SPLIT_NAMES[len(ratios) - 1])
     for name, cut in reversed(list(zip(SPLIT_NAMES, cuts))):
-        expr = F.when(h < cut, F.lit(name)).otherwise(expr)
+        expr = F.when(h < share(cut), F.lit(name)).otherwise(expr)
     return df.withColumn(split_col, expr)
 
 
@@ -182,7 +192,7 @@ def stratified_sample(df: DataFrame, fractions: Mapping[int, float], seed: int =
     frac = F.lit(0.0)
     for lv, f in sorted(fractions.items(), reverse=True):
         frac = F.when(F.col(level) == F.lit(lv), F.lit(float(f))).otherwise(frac)
-    return df.where(hash_unit(seed, *id_cols, modulus=1000) < frac * 1000)
+    return df.where(hash_unit(seed, *id_cols, salt=".stratified") < share(frac))
 
 
 def mix_datasets(df: DataFrame, mode: str = "alternate", weights: Mapping[str, float] | None = None,
@@ -202,7 +212,7 @@ def mix_datasets(df: DataFrame, mode: str = "alternate", weights: Mapping[str, f
         w = F.lit(0.0)
         for d, f in sorted(weights.items()):
             w = F.when(F.col(dataset) == F.lit(d), F.lit(float(f))).otherwise(w)
-        return df.where(hash_unit(seed, *id_cols, modulus=1000) < w * 1000)
+        return df.where(hash_unit(seed, *id_cols, salt=".mix") < share(w))
     if mode != "alternate":
         raise ValueError(f"Unknown mix mode {mode}")
     keyed = df.withColumn("_key", hash_key(seed, *id_cols))

@@ -48,7 +48,10 @@ def prefix_aggs(df: DataFrame, part: Sequence[str], order: str, specs, chunk: in
             res = agg(v).over(w)
             cols[out] = F.coalesce(res, F.lit(0)) if how in ("sum", "count") else res
         return df.withColumns(cols)
-    d = df.withColumn("_chunk", F.floor(F.col(order) / F.lit(chunk)).cast("bigint"))
+    # integer division, exact at every size; a plain % keeps the sign, so shift negatives down
+    step = F.col(order).cast("bigint")
+    d = df.withColumn("_chunk", F.expr(f"({{}}) div {int(chunk)}".format(f"cast(`{order}` as bigint)"))
+                      - F.when(step % chunk < 0, 1).otherwise(0))
     d = d.withColumns({f"_v{i}": v for i, (v, _, _, _) in enumerate(specs)})
     # one exchange by (part, chunk) feeds the in-chunk windows; the chunk totals
     # are a partial aggregate of the same rows
@@ -58,7 +61,13 @@ def prefix_aggs(df: DataFrame, part: Sequence[str], order: str, specs, chunk: in
     before = Window.partitionBy(*part).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     carry = totals.select(*part, "_chunk", *[_COMBINE[how][1](f"_t{i}").over(before).alias(f"_c{i}")
                                              for i, (_, how, _, _) in enumerate(specs)])
-    j = d.join(carry, part + ["_chunk"], "left")
+    # null-safe: a null run id is a run of its own
+    names = part + ["_chunk"]
+    carry = carry.withColumnsRenamed({c: f"_p_{c}" for c in names})
+    same = F.lit(True)
+    for c in names:
+        same = same & F.col(c).eqNullSafe(F.col(f"_p_{c}"))
+    j = d.join(carry, same, "left").drop(*[f"_p_{c}" for c in names])
     cols = {}
     for i, (_, how, out, inc) in enumerate(specs):
         agg, _, combine = _COMBINE[how]

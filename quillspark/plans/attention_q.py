@@ -12,7 +12,7 @@ from .registry import query
 NUM_LAYERS = 6             # layers in the attention fixture (model property)
 PER_LEVEL = 5
 KS = AT.DEFAULT_KS
-MAX_PLOT_TOKENS = 32
+MAX_PLOT_TOKENS = 128
 SEED = 42
 
 
@@ -38,11 +38,8 @@ def details(spark, sf_dir, mode="all"):
 LAYERS_SQL = ", ".join(str(x) for x in sorted(set(AT.select_layers(NUM_LAYERS))))
 SLOTS_SQL = "SELECT * FROM (VALUES " + ", ".join(
     f"({i + 1}, {layer})" for i, layer in enumerate(AT.select_layers(NUM_LAYERS))) + ") s(slot, layer)"
-PAD = AT.select_layers(NUM_LAYERS)
-while len(PAD) < 6:
-    PAD.append(PAD[-1])
 GROUPS_SQL = "SELECT * FROM (VALUES " + ", ".join(
-    f"({i + 1}, {layer}, '{AT.SLOT_GROUPS[i][0]}', {AT.SLOT_GROUPS[i][1]})" for i, layer in enumerate(PAD)
+    f"({slot}, {layer}, '{group}', {place})" for slot, layer, group, place in AT.slot_rows(AT.select_layers(NUM_LAYERS))
 ) + ") s(slot, layer, slot_group, group_slot)"
 
 ATTN_VIEWS = dict(

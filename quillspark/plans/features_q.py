@@ -11,12 +11,11 @@ from ..functions.answers import NUMBER
 from ..functions.text import WS_CLASS
 from ..operators import features as FT
 from ..operators import sampling as SM
-from ..session import materialize
+from ..session import saved
 from . import sqltext as Q
 from .prompting_q import CONFIGS, QA_VIEWS, eval_samples, rendered_union
 from .registry import query
 
-VOCAB_SIZE = 4000
 EVAL_BATCH = 4                       # eval batch size
 TRAIN_BATCH = 16                     # per-device 1 x accumulation 16
 CAPS = {c.name: (c.max_source_length, c.max_target_length) for c in CONFIGS}
@@ -31,8 +30,9 @@ def _cap_col(which: int):
 
 
 def vocab_for(spark, sf_dir):
-    recs = rendered_union(spark, sf_dir)
-    return recs, FT.build_vocab(recs, ["prompt", "response"], VOCAB_SIZE)
+    # written once: the vocabulary, the positions and the encoding all read it
+    recs = saved(rendered_union(spark, sf_dir), "rendered")
+    return recs, FT.build_vocab(recs, ["prompt", "response"])
 
 
 def encoded(spark, sf_dir):
@@ -72,7 +72,6 @@ SELECT token, CAST(rn + 3 AS INT) AS id FROM (
       SELECT unnest({words_sql('prompt')}) AS token FROM rendered
       UNION ALL SELECT unnest({words_sql('response')}) AS token FROM rendered)
     WHERE token NOT IN ('<pad>', '<s>', '</s>', '<unk>') GROUP BY token))
-WHERE rn <= {VOCAB_SIZE - 4}
 """
 
 
@@ -152,10 +151,10 @@ def batches(spark, sf_dir):
                          vocab, KEYS, carry=["split", "position"])
     enc = enc.withColumn("response_ids", FT.append_eos("response_ids", vocab.eos_id))
     f = FT.sft_features(enc, "prompt_ids", "response_ids")
-    # A10: large feature sets are written once (split/dataset folders) and
-    # batching reads them back, so a lost executor never re-tokenises the corpus
-    f = materialize(f.select(*KEYS, "split", "position", "input_ids", "attention_mask", "labels"),
-                    "features", ["split", "dataset"])
+    # A10: feature sets are written once (split/dataset folders) and batching
+    # reads them back, so a lost executor never re-tokenises the corpus
+    f = saved(f.select(*KEYS, "split", "position", "input_ids", "attention_mask", "labels"),
+              "features", ["split", "dataset"])
     b = FT.pad_batch(FT.assign_batches(f, TRAIN_BATCH), vocab.pad_id)
     return b.select("batch_id", *KEYS, ids_text("input_ids").alias("input_ids"),
                     F.size("input_ids").alias("n_padded"),

@@ -9,10 +9,9 @@ from ..functions.text import template_parts
 from ..operators import prompts as P
 from ..operators import sampling as SM
 from ..sources import tables as TB
-from ..sources.jsonl import concat_datasets
 from . import sqltext as Q
 from .registry import query
-from .sampling_q import USABLE_VIEWS, usable
+from .sampling_q import USABLE_VIEWS, unit_sql, usable
 
 # --- fixed values: the two dataset configurations ---------------------------
 MATH_CFG = P.DatasetConfig(
@@ -40,10 +39,7 @@ def qa_records(spark, sf_dir):
 
 def rendered_union(spark, sf_dir, names=None):
     """E1 over B1-selected configs: each dataset rendered with its own templates."""
-    recs = qa_records(spark, sf_dir)
-    frames = [P.build_prompt(P.filter_datasets(recs, [c.name]), c)
-              for c in P.filter_configs(CONFIGS, names)]
-    return concat_datasets(frames)
+    return P.build_prompts(qa_records(spark, sf_dir), P.filter_configs(CONFIGS, names))
 
 
 def render_sql(template, ctx):
@@ -54,8 +50,8 @@ def render_sql(template, ctx):
 
 
 def _qa_sql():
-    u = f"CAST(CAST(('0x' || substr(md5(concat_ws('#', '{SEED}', dataset, CAST(conv_id AS VARCHAR), CAST(turn AS VARCHAR))), 1, 8)) AS BIGINT) % 1000 AS INT)"
-    return f"""SELECT *, CASE WHEN {u} < 800 THEN 'train' WHEN {u} < 900 THEN 'validation' ELSE 'test' END AS split
+    u = unit_sql("dataset", "conv_id", "turn", salt=".split")
+    return f"""SELECT *, CASE WHEN {u} < 0.8 THEN 'train' WHEN {u} < 0.9 THEN 'validation' ELSE 'test' END AS split
 FROM (SELECT *, CASE WHEN conv_id % 2 = 0 THEN 'math' ELSE 'gsm8k' END AS dataset FROM fx_qa)"""
 
 

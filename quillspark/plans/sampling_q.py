@@ -20,13 +20,14 @@ USABLE_SQL = "SELECT dataset, sample_id, query, level FROM parsed WHERE query IS
 USABLE_VIEWS = dict(REC_VIEWS, parsed=PARSED_SQL, usable=USABLE_SQL)
 
 
-def key_sql(*cols):
+def key_sql(*cols, salt=""):
     parts = ", ".join(f"CAST({c} AS VARCHAR)" for c in cols)
-    return f"md5(concat_ws('#', '{SEED}', {parts}))"
+    return f"md5(concat_ws('#', '{SEED}{salt}', {parts}))"
 
 
-def unit_sql(*cols, modulus=1000):
-    return f"CAST(CAST(('0x' || substr({key_sql(*cols)}, 1, 8)) AS BIGINT) % {modulus} AS INT)"
+def unit_sql(*cols, salt):
+    """A 52-bit draw as a fraction of one."""
+    return f"(CAST(CAST(('0x' || substr({key_sql(*cols, salt=salt)}, 1, 13)) AS BIGINT) AS DOUBLE) / 4503599627370496)"
 
 
 def parsed(spark, sf_dir):
@@ -124,8 +125,8 @@ def all_modes(spark, sf_dir):
 
 @query("split_811", Q.with_views(f"""
 SELECT dataset, sample_id,
-       CASE WHEN u < 800 THEN 'train' WHEN u < 900 THEN 'validation' ELSE 'test' END AS split
-FROM (SELECT *, {unit_sql('dataset', 'sample_id')} AS u FROM fx_pred)
+       CASE WHEN u < 0.8 THEN 'train' WHEN u < 0.9 THEN 'validation' ELSE 'test' END AS split
+FROM (SELECT *, {unit_sql('dataset', 'sample_id', salt='.split')} AS u FROM fx_pred)
 """, fx_pred=Q.FX_PRED))
 def split_811(spark, sf_dir):
     p = TB.fx_pred(spark, sf_dir).select("dataset", "sample_id")
@@ -137,7 +138,7 @@ def _frac_sql():
 
 
 @query("stratified", Q.with_views(f"""
-SELECT level, sample_id FROM usable WHERE {unit_sql('sample_id')} < ({_frac_sql()}) * 1000
+SELECT level, sample_id FROM usable WHERE {unit_sql('sample_id', salt='.stratified')} < ({_frac_sql()})
 """, **USABLE_VIEWS))
 def stratified(spark, sf_dir):
     return SM.stratified_sample(usable(spark, sf_dir), FRACTIONS, SEED).select("level", "sample_id")
@@ -160,8 +161,23 @@ def _weight_sql():
 
 
 @query("mix_weighted", Q.with_views(f"""
-SELECT dataset, sample_id FROM fx_pred WHERE {unit_sql('dataset', 'sample_id')} < ({_weight_sql()}) * 1000
+SELECT dataset, sample_id FROM fx_pred WHERE {unit_sql('dataset', 'sample_id', salt='.mix')} < ({_weight_sql()})
 """, fx_pred=Q.FX_PRED))
 def mix_weighted(spark, sf_dir):
     p = TB.fx_pred(spark, sf_dir).select("dataset", "sample_id")
     return SM.mix_datasets(p, "weighted", MIX_WEIGHTS, seed=SEED)
+
+
+@query("mix_then_split", Q.with_views(f"""
+SELECT dataset, CASE WHEN u < 0.8 THEN 'train' WHEN u < 0.9 THEN 'validation' ELSE 'test' END AS split,
+       CAST(count(*) AS BIGINT) AS n
+FROM (SELECT *, {unit_sql('dataset', 'sample_id', salt='.split')} AS u FROM fx_pred
+      WHERE {unit_sql('dataset', 'sample_id', salt='.mix')} < ({_weight_sql()}))
+GROUP BY ALL
+""", fx_pred=Q.FX_PRED))
+def mix_then_split(spark, sf_dir):
+    """E2 then F7 with one seed: two draws, so all splits keep their share."""
+    from pyspark.sql import functions as F
+
+    p = SM.mix_datasets(TB.fx_pred(spark, sf_dir).select("dataset", "sample_id"), "weighted", MIX_WEIGHTS, seed=SEED)
+    return SM.split_dataset(p, (8, 1, 1), SEED).groupBy("dataset", "split").agg(F.count(F.lit(1)).alias("n"))

@@ -58,7 +58,9 @@ def shared_dir(spark: SparkSession, name: str | None = None) -> str:
     if not base and sc is not None:
         base = sc.getCheckpointDir()
     if not base:
-        # only when the cluster names no shared folder (local runs and tests)
+        if sc is None or not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        # one machine: any folder is shared
         base = tempfile.mkdtemp(prefix="quillspark-ckpt-")
         spark.conf.set("spark.checkpoint.dir", base)
     if sc is not None and sc.getCheckpointDir() is None:
@@ -145,35 +147,15 @@ def cluster_conf(input_bytes: int, total_cores: int, split_bytes: int = 512 << 2
     }
 
 
-def input_bytes(df) -> int | None:
-    """Bytes of input feeding ``df``: the sum of its plan's leaf relations
-    (file sizes for scans).  Catalyst's estimate for the whole plan is not
-    used: without column statistics it explodes through joins.  None when the
-    plan is not reachable (e.g. a remote session)."""
-    try:
-        leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-        it = leaves.iterator()
-        total = 0
-        while it.hasNext():
-            total += int(str(it.next().stats().sizeInBytes()))
-        return total
-    except Exception:  # noqa: BLE001
-        return None
-
-
-def materialize(df, name: str, partition_cols=None, min_bytes: int = 1 << 30):
-    """Cut the lineage of a large intermediate: write ``df`` as Parquet under
-    the shared folder and return a frame that reads it back, so recomputation
-    after a lost executor stops here.  Frames fed by less than ``min_bytes``
-    of input (cheap to recompute) are returned unchanged.  When it writes, it is an
-    action: the write runs now."""
-    size = input_bytes(df)
-    if size is not None and size < min_bytes:
-        return df
+def saved(df, name: str, partition_cols=None):
+    """Cut the lineage of an intermediate: write ``df`` as Parquet under the
+    shared folder (an action: it runs now) and return a frame that reads it
+    back, so recomputation after a lost executor stops here."""
     spark = df.sparkSession
     path = shared_dir(spark, name)
-    w = df.write.mode("overwrite")
+    w = df.write
     if partition_cols:
         w = w.partitionBy(*partition_cols)
     w.parquet(path)
-    return spark.read.parquet(path)
+    back = spark.read.schema(df.schema).parquet(path)
+    return back.select(*df.columns)

@@ -17,34 +17,11 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
           "embeddings pages benchmark labels conversations").split()
 
 
-def load(spark: SparkSession, sf_dir: str, name: str, cols: list[str] | None = None,
-         spread: bool = True) -> DataFrame:
-    """Read a table (only ``cols`` when given).
-
-    ``spread``: when the scan yields fewer splits than the cluster's default
-    parallelism (a small file, or one Parquet row group, is one task), the
-    pruned rows are spread round-robin over that many partitions so per-row
-    work (regex, JSON, tokenising) runs in parallel.  The check is made at
-    plan time from the scan's split count; on a large input with many splits
-    it does nothing.
-    """
+def load(spark: SparkSession, sf_dir: str, name: str, cols: list[str] | None = None) -> DataFrame:
+    """Read a table (only ``cols`` when given).  How a file is split is the
+    session's business (``spark.sql.files.*``), at every size."""
     df = spark.read.parquet(table_path(sf_dir, name))
-    if cols is not None:
-        df = df.select(*cols)
-    if spread:
-        df = spread_small(df)
-    return df
-
-
-def spread_small(df: DataFrame, target: int | None = None) -> DataFrame:
-    try:
-        target = target or df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - no RDD view (e.g. a remote session): leave the plan as is
-        return df
-    if splits * 2 <= target:
-        return df.repartition(target)
-    return df
+    return df.select(*cols) if cols is not None else df
 
 
 def fx_qa(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,7 +7,7 @@ import datetime as dt
 import math
 from collections import Counter
 
-from .registry import ORACLES, QUERIES
+from quillspark.plans.registry import ORACLES, QUERIES
 
 
 def norm(v):

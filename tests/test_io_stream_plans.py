@@ -156,15 +156,12 @@ def test_single_partition_only_over_aggregates(spark, registry):
                     and "HashAggregate" in " ".join(lines[i + 1:i + 8]), (name, lines[i:i + 5])
 
 
-def test_materialize_cuts_lineage_when_large(spark):
-    from quillspark.session import input_bytes, materialize
-    df = TB.fx_pred(spark, SMALL)
-    assert 0 < input_bytes(df) < 10 << 20
-    assert materialize(df, "m_small") is df                     # small: unchanged
-    m = materialize(df, "m_forced", ["dataset"], min_bytes=0)  # forced: written and read back
-    assert "FileScan parquet" in m._jdf.queryExecution().executedPlan().toString()
-    assert sorted(map(tuple, m.select("sample_id", "prediction").collect())) == \
-        sorted(map(tuple, df.select("sample_id", "prediction").collect()))
+def test_saved_cuts_lineage(spark):
+    from quillspark.session import saved
+    df = spark.range(20).selectExpr("id", "id % 2 AS dataset", "cast(null AS string) AS n")
+    m = saved(df, "m", ["dataset"])
+    assert m.columns == df.columns and m.count() == 20
+    assert "Range" not in m._jdf.queryExecution().optimizedPlan().toString()
 
 
 def test_stream_drops_late_rows(spark, tmp):
