@@ -66,8 +66,8 @@ class Rule:
         return out
 
     def difference(self, a, b):
-        """Largest symmetric difference of linked sets of sizes a and b."""
-        return (a + b) - 2 * (-((-self.num * (a + b)) // (self.num + self.den)))
+        """Bound of the symmetric difference of linked sets of sizes up to a and b."""
+        return (a + b) * (self.den - self.num) // (self.den + self.num)
 
     def linked(self, overlap, a, b):
         return self.den * overlap >= self.num * (a + b - overlap)
