@@ -3,8 +3,11 @@
 Two multinomials over ``buckets`` hash buckets of word 1- and 2-grams are
 counted over *all* rows: the raw corpus, and the trusted target (the rows a
 label table marks as good).  A document's score is the mean, over its n-grams,
-of log(p_target / p_raw) (both smoothed), and the document passes when it is
-at least ``threshold``; plain rules on length and repetition come first.
+of log(p_target / p_raw), and the document passes when it is at least
+``threshold``; plain rules on length and repetition come first.  A bucket's
+ratio is taken between its target count and the count the raw corpus makes
+expected, each plus ``smoothing``: a few n-grams more or less say nothing, so a
+small target does not turn rare words into evidence.
 
 Scale: counting is one scan; each task sends one row per bucket it saw
 (``buckets`` at most), so the shuffle does not grow with the text.  The weight
@@ -29,8 +32,8 @@ from . import common as C
 BUCKETS = 1 << 16
 #: Mean log-likelihood ratio per n-gram from which a document is kept.
 THRESHOLD = -0.2
-#: Added to every bucket's count, in n-grams.
-SMOOTHING = 1.0
+#: Added to every bucket's counts, in n-grams of the target.
+SMOOTHING = 5.0
 MIN_WORDS = 10
 REPEAT_WINDOW = 5
 MAX_REPEAT_PCT = 20
@@ -72,14 +75,13 @@ def trusted(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def fit(raw: DataFrame, target: DataFrame, buckets: int = BUCKETS, smoothing: float = SMOOTHING) -> np.ndarray:
-    """Weight of each bucket: log of target share over raw share."""
-    shares = []
-    for side in (target, raw):
-        n = np.full(buckets, smoothing)
+    """Weight of each bucket: log of target count over expected count."""
+    counts = np.zeros((2, buckets))
+    for n, side in zip(counts, (target, raw)):
         for r in gram_counts(side, buckets).collect():  # at most ``buckets`` rows
-            n[r["bucket"]] += r["n"]
-        shares.append(np.log(n / n.sum()))
-    return shares[0] - shares[1]
+            n[r["bucket"]] = r["n"]
+    expected = counts[1] * (counts[0].sum() / max(counts[1].sum(), 1.0))
+    return np.log((counts[0] + smoothing) / (expected + smoothing))
 
 
 MEASURES = ("n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
