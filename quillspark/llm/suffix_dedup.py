@@ -42,6 +42,8 @@ from .chunks import QUESTION, Chunk, Corpus, Sketch, questions, repeated_counter
 LENGTH = 50
 GRAM = 24
 SHALLOW = 24
+#: Bits by which the blocks that sort suffixes are finer than those of the sketches.
+FINER = 4
 #: About one anchor for so many bytes of text.
 BYTES_PER_KEY = 14
 
@@ -130,7 +132,8 @@ class _Runs:
         seen: dict[bytes, int] = {}
         self.block, self.size, self.bytes, self.least = [], [], [], []
         self.run = np.empty(len(b), np.int64)
-        blocks = (key >> C.U64(64 - bits)).astype(np.int64) if bits else np.zeros(len(b), np.int64)
+        # whole strings take more room than sketch addresses: finer blocks
+        blocks = (key >> C.U64(64 - bits - FINER)).astype(np.int64)
         for k, (p, n, d, block) in enumerate(zip(self.begin.tolist(), self.n.tolist(), self.ids[self.row].tolist(),
                                                  blocks.tolist())):
             content = raw[p:p + n + length - 1]
