@@ -44,13 +44,31 @@ def normalize_for_dataset(dataset, text, stripped: bool = False) -> Column:
     d = F.lower(col_of(dataset))
     return (F.when(d == "math", extract_math_answer(text, stripped))
             .when(d == "gsm8k", normalize_numeric_answer(text, stripped))
-            .otherwise(F.raise_error(F.concat(F.lit("Unsupported evaluation dataset: "),
+            .otherwise(F.raise_error(F.concat(F.lit("no grader for dataset "),
                                                F.coalesce(col_of(dataset), F.lit("null"))))))
 
 
+def balanced_boxed(depth: int = 4) -> str:
+    """Pattern of a ``\boxed{...}`` whose braces balance, nested up to ``depth``
+    levels; group 1 is the content."""
+    inner = r"[^{}]*"
+    for _ in range(depth):
+        inner = r"(?:[^{}]|\{" + inner + r"\})*"
+    return r"\\boxed\{(" + inner + r")\}"
+
+
+def boxed_answer(c) -> Column:
+    """Content of the first balanced ``\boxed{...}``; null without one."""
+    c = col_of(c)
+    return F.when(c.rlike(balanced_boxed()), F.regexp_extract(c, balanced_boxed(), 1))
+
+
 # --- fixed values: LaTeX rewrites (H11), applied in this order -------------
+MIXED = "\u0001"  # stands for the space of a mixed number while other spaces go
 LATEX_REWRITES = [
-    (r"\\boxed\{([^{}]*)\}", "$1"),
+    (balanced_boxed(), "$1"), (balanced_boxed(), "$1"),  # a box in a box
+    (r"([0-9])\s*\\[dt]?frac\{\s*([0-9]+)\s*\}\{\s*([0-9]+)\s*\}", "$1" + MIXED + "$2/$3"),
+    (r"([0-9])\s+([0-9]+)\s*/\s*([0-9]+)", "$1" + MIXED + "$2/$3"),
     (r"\\[dt]?frac\{([^{}]*)\}\{([^{}]*)\}", "($1)/($2)"),
     (r"\\text\{([^{}]*)\}", "$1"),
     (r"\\mathrm\{([^{}]*)\}", "$1"),
@@ -59,32 +77,37 @@ LATEX_REWRITES = [
     (r"\\[,;:! ]", ""),
     (r"\\cdot", "*"),
     (r"\\times", "*"),
-    (r"\$", ""),
+    (r"\\?\$", ""),
+    (r"\\%", "%"),
 ]
 # --------------------------------------------------------------------------
 
 
 def latex_to_plain(c) -> Column:
-    """Common LaTeX answer markup to plain text, then whitespace removed."""
+    """Common LaTeX answer markup to plain text without white space, but
+    for the one space of a mixed number (``1 1/2``)."""
     out = col_of(c)
     for pat, rep in LATEX_REWRITES:
         out = F.regexp_replace(out, pat, rep)
     out = F.regexp_replace(out, r"\(([0-9.\-]+)\)", "$1")
-    return F.regexp_replace(out, WS_CLASS + "+", "")
+    return F.translate(F.regexp_replace(out, WS_CLASS + "+", ""), MIXED, " ")
 
 
 # --- fixed values: number-string clean-up (H12) -----------------------------
 UNIT_WORDS = ["dollars", "dollar", "cents", "cent", "percent", "units", "unit",
-              "meters", "meter", "cm", "km", "kg", "g", "hours", "hour",
+              "meters", "meter", "m", "cm", "km", "kg", "g", "hours", "hour",
               "minutes", "minute", "seconds", "second", "days", "day"]
 # --------------------------------------------------------------------------
 
 
 def normalize_number_string(c) -> Column:
-    """Drop commas, spaces, currency/percent signs and trailing unit words."""
-    s = F.regexp_replace(col_of(c), r"[,$%" + WS_CLASS[1:-1] + r"]", "")
-    s = F.regexp_replace(s, r"(?i)(" + "|".join(UNIT_WORDS) + r")\.?\z", "")
-    return strip_chars(s, ".")
+    """Drop thousands commas, currency signs, and a percent sign or unit
+    word that follows a digit; letters of a word never go."""
+    s = F.regexp_replace(col_of(c), r"[$]", "")
+    s = F.regexp_replace(s, r"([0-9]),", "$1")
+    s = F.regexp_replace(s, r"(?i)([0-9])" + WS_CLASS + r"*(?:%|" + "|".join(UNIT_WORDS) + r")\.?\z", "$1")
+    s = F.regexp_replace(s, WS_CLASS + r"+\z|\A" + WS_CLASS + "+", "")
+    return F.regexp_replace(s, r"\.\z", "")
 
 
 def number_from_text(c) -> Column:
@@ -94,18 +117,33 @@ def number_from_text(c) -> Column:
     return F.when(F.size(nums) > 0, F.replace(last, F.lit(","), F.lit("")))
 
 
+# --- fixed values: number formats (H10) -------------------------------------
+_UNSIGNED = r"(?:[0-9]+(?:\.[0-9]*)?|\.[0-9]+)"
+PLAIN_NUMBER = r"\A[+-]?" + _UNSIGNED + r"\z"
+FRACTION = r"\A([+-]?)\(?([+-]?" + _UNSIGNED + r")\)?/\(?([+-]?" + _UNSIGNED + r")\)?\z"
+MIXED_NUMBER = r"\A([+-]?)([0-9]+) ([0-9]+)/([0-9]+)\z"
+# --------------------------------------------------------------------------
+
+
 def to_number(c, cleaned: bool = False) -> Column:
-    """A decimal, an integer, or a fraction ``a/b`` as DOUBLE; null otherwise.
+    """A decimal (``.5``, ``+5``, ``-3.``), a fraction ``a/b`` or a mixed
+    number ``1 1/2`` as DOUBLE; null otherwise.
 
     ``cleaned=True``: the input already went through ``normalize_number_string``.
     """
     s = col_of(c) if cleaned else normalize_number_string(c)
-    frac = r"\A\(?(-?[0-9]+(?:\.[0-9]+)?)\)?/\(?(-?[0-9]+(?:\.[0-9]+)?)\)?\z"
-    num = F.regexp_extract(s, frac, 1).try_cast("double")
-    den = F.regexp_extract(s, frac, 2).try_cast("double")
-    as_frac = F.when(s.rlike(frac) & (den != 0), num / den)
-    plain = F.when(s.rlike(r"\A-?[0-9]+(\.[0-9]+)?\z"), s.try_cast("double"))
-    return F.coalesce(plain, as_frac)
+
+    def part(pattern: str, group: int) -> Column:
+        return F.regexp_extract(s, pattern, group).try_cast("double")
+
+    def sign(pattern: str) -> Column:
+        return F.when(F.regexp_extract(s, pattern, 1) == "-", -1.0).otherwise(1.0)
+
+    plain = F.when(s.rlike(PLAIN_NUMBER), s.try_cast("double"))
+    fraction = F.when(part(FRACTION, 3) != 0, sign(FRACTION) * part(FRACTION, 2) / part(FRACTION, 3))
+    mixed = F.when(part(MIXED_NUMBER, 4) != 0, sign(MIXED_NUMBER) * (
+        part(MIXED_NUMBER, 2) + part(MIXED_NUMBER, 3) / part(MIXED_NUMBER, 4)))
+    return F.coalesce(plain, mixed, fraction)
 
 
 def numbers_match(a, b, tol: float = 1e-6, parsed: bool = False) -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.answers import (
+from ..functions.answers import (boxed_answer, 
     ANSWER_MARK, BOXED, latex_to_plain, normalize_for_dataset, normalize_number_string,
     numbers_match, to_number,
 )
@@ -113,8 +113,14 @@ def accuracy_by_category(graded: DataFrame, cols: Sequence[str]) -> DataFrame:
             .withColumn("accuracy", F.col("correct") / F.col("total")))
 
 
-def error_type(graded: DataFrame, dataset: str = "dataset",
-               prediction: str = "prediction") -> DataFrame:
+def answer_text(raw: str, normalised: str):
+    """What to read an answer from: the whole balanced box of the raw
+    text, else the grader's normalised answer (which stops at the first brace)."""
+    return F.coalesce(boxed_answer(F.col(raw)), F.col(normalised))
+
+
+def error_type(graded: DataFrame, dataset: str = "dataset", prediction: str = "prediction",
+               reference: str = "reference") -> DataFrame:
     """H9: a category per graded row.
 
     correct / empty_prediction / no_answer_marker (the grader had no marker to
@@ -124,25 +130,27 @@ def error_type(graded: DataFrame, dataset: str = "dataset",
     d = F.lower(F.col(dataset))
     raw = F.col(prediction)
     marker = F.when(d == "math", raw.rlike(BOXED)).otherwise(raw.rlike(ANSWER_MARK))
-    plain_pred = normalize_number_string(latex_to_plain(F.col("pred_norm")))
-    plain_ref = normalize_number_string(latex_to_plain(F.col("ref_norm")))
+    # a projection of its own: each clean-up chain runs once a row
+    graded = graded.withColumns({"_pp": normalize_number_string(latex_to_plain(answer_text(prediction, "pred_norm"))),
+                                 "_pr": normalize_number_string(latex_to_plain(answer_text(reference, "ref_norm")))})
     kind = (F.when(F.col("correct"), F.lit("correct"))
             .when(raw.isNull() | (pystrip(raw) == ""), F.lit("empty_prediction"))
-            .when(plain_pred == plain_ref, F.lit("format_only"))
+            .when(F.col("_pp") == F.col("_pr"), F.lit("format_only"))
             .when(~marker, F.lit("no_answer_marker"))
             .otherwise(F.lit("wrong_value")))
-    return graded.withColumn("error_type", kind)
+    return graded.withColumn("error_type", kind).drop("_pp", "_pr")
 
 
-def numeric_match(graded: DataFrame, tol: float = 1e-6) -> DataFrame:
-    """Tolerant numeric comparison of the normalised answers.
+def numeric_match(graded: DataFrame, tol: float = 1e-6, prediction: str = "prediction",
+                  reference: str = "reference") -> DataFrame:
+    """Tolerant numeric comparison of the answers (``answer_text``).
 
     Clean-up, parse and compare run as three projections so each regex chain
     is evaluated once per row.
     """
     cleaned = graded.withColumns({
-        "_pc": normalize_number_string(latex_to_plain(F.col("pred_norm"))),
-        "_rc": normalize_number_string(latex_to_plain(F.col("ref_norm")))})
+        "_pc": normalize_number_string(latex_to_plain(answer_text(prediction, "pred_norm"))),
+        "_rc": normalize_number_string(latex_to_plain(answer_text(reference, "ref_norm")))})
     parsed = cleaned.withColumns({"_pn": to_number("_pc", cleaned=True),
                                   "_rn": to_number("_rc", cleaned=True)})
     return (parsed.withColumn("numeric_correct",
@@ -166,4 +174,4 @@ def unparsed(graded: DataFrame, dataset: str = "dataset", prediction: str = "pre
     d = F.lower(F.col(dataset))
     raw = F.col(prediction)
     marker = F.when(d == "math", raw.rlike(BOXED)).otherwise(raw.rlike(ANSWER_MARK))
-    return graded.where(~marker)
+    return graded.where(~F.coalesce(marker, F.lit(False)))

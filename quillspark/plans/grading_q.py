@@ -58,30 +58,38 @@ def accuracy_rollup(spark, sf_dir):
     return out.withColumn("mean_pred_len", F.round("mean_pred_len", 6))
 
 
-# error types: the SQL spelling of error_type()
-def _err_sql():
-    from ..functions.answers import LATEX_REWRITES, UNIT_WORDS
-    from ..functions.text import WS_CLASS
+# The SQL spells the rules out by itself; it shares no pattern with the code.
+_WS = r"[\s\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+_BOX = r"\\boxed\{((?:[^{}]|\{(?:[^{}]|\{(?:[^{}]|\{(?:[^{}]|\{[^{}]*\})*\})*\})*\})*)\}"
 
-    def latex(e):
-        for pat, rep in LATEX_REWRITES:
-            e = f"regexp_replace({e}, {Q.lit(pat)}, {Q.lit(rep.replace('$', chr(92)))}, 'g')"
-        e = f"regexp_replace({e}, {Q.lit(r'\(([0-9.\-]+)\)')}, {Q.lit(chr(92) + '1')}, 'g')"
-        return f"regexp_replace({e}, {Q.lit(WS_CLASS + '+')}, '', 'g')"
 
-    def numstr(e):
-        s = f"regexp_replace({e}, {Q.lit('[,$%' + WS_CLASS[1:-1] + ']')}, '', 'g')"
-        s = f"regexp_replace({s}, {Q.lit('(?i)(' + '|'.join(UNIT_WORDS) + r')\.?\z')}, '', 'g')"
-        return Q.strip_chars(s, ".")
-    return latex, numstr
+def _replaced(e, *rules):
+    for pattern, new in rules:
+        e = f"regexp_replace({e}, {Q.lit(pattern)}, {new if new.startswith('chr') or new.startswith('concat') else Q.lit(new)}, 'g')"
+    return e
 
 
 def latex_sql(e):
-    return _err_sql()[0](e)
+    mixed = r"concat('\1', chr(1), '\2/\3')"
+    e = _replaced(
+        e, (_BOX, r"\1"), (_BOX, r"\1"), (r"([0-9])\s*\\[dt]?frac\{\s*([0-9]+)\s*\}\{\s*([0-9]+)\s*\}", mixed),
+        (r"([0-9])\s+([0-9]+)\s*/\s*([0-9]+)", mixed), (r"\\[dt]?frac\{([^{}]*)\}\{([^{}]*)\}", r"(\1)/(\2)"),
+        (r"\\(?:text|mathrm)\{([^{}]*)\}", r"\1"), (r"\\left|\\right", ""), (r"\^\{?\\circ\}?", ""), (r"\\[,;:! ]", ""),
+        (r"\\cdot|\\times", "*"), (r"\\?\$", ""), (r"\\%", "%"), (r"\(([0-9.\-]+)\)", r"\1"), (_WS + "+", ""))
+    return f"replace({e}, chr(1), ' ')"
 
 
 def numstr_sql(e):
-    return _err_sql()[1](e)
+    return _replaced(e, (r"\$", ""), (r"([0-9]),", r"\1"),
+                     (r"(?i)([0-9])" + _WS + r"*(?:%|dollars?|cents?|percent|units?|meters?|m|cm|km|kg|g|hours?|minutes?|seconds?|days?)\.?$", r"\1"),
+                     (_WS + "+$|^" + _WS + "+", ""), (r"\.$", ""))
+
+
+def answer_sql(raw, normalised):
+    return f"CASE WHEN regexp_matches({raw}, {Q.lit(_BOX)}) THEN regexp_extract({raw}, {Q.lit(_BOX)}, 1) ELSE {normalised} END"
+
+
+PRED_ANSWER, REF_ANSWER = answer_sql("prediction", "pred_norm"), answer_sql("reference", "ref_norm")
 
 
 def _marker_sql():
@@ -93,7 +101,7 @@ ERROR_SQL = f"""
 SELECT dataset, sample_id, correct,
   CASE WHEN correct THEN 'correct'
        WHEN prediction IS NULL OR {Q.pystrip('prediction')} = '' THEN 'empty_prediction'
-       WHEN {numstr_sql(latex_sql('pred_norm'))} = {numstr_sql(latex_sql('ref_norm'))} THEN 'format_only'
+       WHEN {numstr_sql(latex_sql(PRED_ANSWER))} = {numstr_sql(latex_sql(REF_ANSWER))} THEN 'format_only'
        WHEN NOT ({_marker_sql()}) THEN 'no_answer_marker'
        ELSE 'wrong_value' END AS error_type
 FROM graded
@@ -107,12 +115,21 @@ def error_types(spark, sf_dir):
 
 def to_number_sql(e):
     s = numstr_sql(e)
-    frac = r"\A\(?(-?[0-9]+(?:\.[0-9]+)?)\)?/\(?(-?[0-9]+(?:\.[0-9]+)?)\)?\z"
-    num = f"TRY_CAST(regexp_extract({s}, {Q.lit(frac)}, 1) AS DOUBLE)"
-    den = f"TRY_CAST(regexp_extract({s}, {Q.lit(frac)}, 2) AS DOUBLE)"
-    as_frac = f"CASE WHEN regexp_matches({s}, {Q.lit(frac)}) AND {den} <> 0 THEN {num} / {den} END"
-    plain = f"CASE WHEN regexp_matches({s}, {Q.lit(r'\A-?[0-9]+(\.[0-9]+)?\z')}) THEN TRY_CAST({s} AS DOUBLE) END"
-    return f"coalesce({plain}, {as_frac})"
+
+    def part(pattern, group):
+        return f"TRY_CAST(regexp_extract({s}, {Q.lit(pattern)}, {group}) AS DOUBLE)"
+
+    num = r"(?:[0-9]+(?:\.[0-9]*)?|\.[0-9]+)"
+    frac = rf"^([+-]?)\(?([+-]?{num})\)?/\(?([+-]?{num})\)?$"
+    mixed = r"^([+-]?)([0-9]+) ([0-9]+)/([0-9]+)$"
+
+    def sign(pattern):
+        return f"CASE WHEN regexp_extract({s}, {Q.lit(pattern)}, 1) = '-' THEN -1 ELSE 1 END"
+
+    plain = f"CASE WHEN regexp_matches({s}, {Q.lit(rf'^[+-]?{num}$')}) THEN TRY_CAST({s} AS DOUBLE) END"
+    as_mixed = f"CASE WHEN {part(mixed, 4)} <> 0 THEN {sign(mixed)} * ({part(mixed, 2)} + {part(mixed, 3)} / {part(mixed, 4)}) END"
+    as_frac = f"CASE WHEN {part(frac, 3)} <> 0 THEN {sign(frac)} * {part(frac, 2)} / {part(frac, 3)} END"
+    return f"coalesce({plain}, {as_mixed}, {as_frac})"
 
 
 def numbers_match_sql(a, b, tol=1e-6):
@@ -122,7 +139,7 @@ def numbers_match_sql(a, b, tol=1e-6):
 
 NUMERIC_SQL = f"""
 SELECT dataset, sample_id, correct,
-       correct OR {numbers_match_sql(latex_sql('pred_norm'), latex_sql('ref_norm'))} AS numeric_correct
+       correct OR {numbers_match_sql(latex_sql(PRED_ANSWER), latex_sql(REF_ANSWER))} AS numeric_correct
 FROM graded
 """
 
@@ -244,3 +261,11 @@ def eval_datasets(spark, sf_dir):
     kept, skipped = S.select_eval_datasets(spark, REQUESTED, TB.fx_pred(spark, sf_dir))
     return (kept.withColumn("status", F.lit("kept"))
             .unionByName(skipped.withColumn("status", F.lit("skipped"))))
+
+
+@query("unparsed_log", Q.with_views(f"""
+SELECT dataset, sample_id, prediction FROM graded WHERE NOT coalesce({_marker_sql()}, false)
+""", fx_pred=Q.FX_PRED, graded=GRADED_SQL))
+def unparsed_log(spark, sf_dir):
+    """Samples whose prediction has no answer marker, for review."""
+    return S.unparsed(graded_pred(spark, sf_dir)).select("dataset", "sample_id", "prediction")

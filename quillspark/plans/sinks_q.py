@@ -13,13 +13,14 @@ from ..operators import attention as AT
 from ..operators import prompts as P
 from ..operators import sampling as SM
 from ..operators.features import words
-from ..session import shared_dir
+from ..session import shared_dir, table_path
 from ..sources import jsonl, sinks
 from ..sources import tables as TB
 from ..streaming import best_tracker as BT
 from . import attention_q as AQ
 from . import features_q as FQ
 from . import grading_q as GQ
+from . import prompting_q as PQ
 from . import sqltext as Q
 from .registry import ORACLES, query
 from .sampling_q import USABLE_VIEWS, usable
@@ -30,14 +31,17 @@ MAX_PLOT_TOKENS = 128
 
 
 @query("predictions_written", Q.with_views(
-    "SELECT dataset, sample_id, reference, prediction FROM fx_pred", fx_pred=Q.FX_PRED))
+    "SELECT dataset, sample_id, concat('Question ', CAST(sample_id AS VARCHAR)) AS prompt, reference, prediction FROM fx_pred",
+    fx_pred=Q.FX_PRED))
 def predictions_written(spark, sf_dir):
     path = shared_dir(spark, "predictions")
-    p = TB.fx_pred(spark, sf_dir).select("dataset", "sample_id", "reference", "prediction")
+    p = TB.fx_pred(spark, sf_dir).select(
+        "dataset", "sample_id", F.concat(F.lit("Question "), F.col("sample_id").cast("string")).alias("prompt"),
+        "reference", "prediction")
     sinks.write_predictions(p, path)
-    back = jsonl.read_jsonl(spark, path, "sample_id bigint, reference string, prediction string, "
+    back = jsonl.read_jsonl(spark, path, "sample_id bigint, prompt string, reference string, prediction string, "
                                          "dataset string, run_id string")
-    return back.select("dataset", "sample_id", "reference", "prediction")
+    return back.select("dataset", "sample_id", "prompt", "reference", "prediction")
 
 
 @query("metrics_written", ORACLES["accuracy_by_dataset"])
@@ -47,23 +51,64 @@ def metrics_written(spark, sf_dir):
     return jsonl.read_jsonl(spark, path, "dataset string, total bigint, correct bigint, accuracy double")
 
 
-@query("records_jsonl", Q.with_views("SELECT dataset, sample_id, query, level FROM parsed",
-                                     **{k: v for k, v in USABLE_VIEWS.items() if k != "usable"}))
+_RECORD_VIEWS = {k: v for k, v in USABLE_VIEWS.items() if k != "usable"}
+
+
+def _record_lines(spark, sf_dir):
+    """The loosely typed records as a JSON-lines file (one in 13 is cut off) with
+    a blank and a white-space line; returns its folder."""
+    path = shared_dir(spark, "records")
+    r = TB.fx_records(spark, sf_dir)
+    line = F.concat(F.lit('{"dataset": "'), "dataset", F.lit('", "sample_id": '), F.col("sample_id").cast("string"),
+                    F.lit(', "record": '), "raw", F.lit("}"))
+    blank = spark.range(2).select(F.when(F.col("id") == 0, F.lit("   ")).otherwise(F.lit("")).alias("line"))
+    r.select(line.alias("line")).unionByName(blank).write.text(path)
+    return path
+
+
+@query("records_jsonl", Q.with_views("SELECT dataset, sample_id, query, level FROM parsed WHERE json_valid(raw)", **_RECORD_VIEWS))
 def records_jsonl(spark, sf_dir):
-    """A1: the loosely typed records written as JSON lines (with a blank and a
-    whitespace-only line per task) and read back as VARIANT records."""
+    """A1: the records of a JSON-lines file as VARIANT, malformed lines set apart."""
     from ..operators import extraction as X
-    path = shared_dir(spark, "records")
-    r = TB.fx_records(spark, sf_dir).select(
-        F.concat_ws("\t", F.col("dataset"), F.col("sample_id").cast("string"), F.col("raw")).alias("v"))
-    blank = spark.range(1).select(F.lit("   ").alias("v"))
-    r.unionByName(blank).write.mode("overwrite").text(path)
-    lines = spark.read.text(path).where(F.trim("value") != "")
-    parts = F.split("value", "\t", 3)
-    back = lines.select(parts[0].alias("dataset"), parts[1].cast("bigint").alias("sample_id"),
-                        F.try_parse_json(parts[2]).alias("record"))
-    return back.select("dataset", "sample_id", X.get_query("record").alias("query"),
-                       X.parse_level("record").alias("level"))
+
+    back = jsonl.read_jsonl_variant(spark, _record_lines(spark, sf_dir), mode="PERMISSIVE").where(F.col("record").isNotNull())
+    inner = F.variant_get("record", "$.record", "variant")
+    return back.select(F.variant_get("record", "$.dataset", "string").alias("dataset"),
+                       F.variant_get("record", "$.sample_id", "bigint").alias("sample_id"), inner.alias("inner")).select(
+        "dataset", "sample_id", X.get_query("inner").alias("query"), X.parse_level("inner").alias("level"))
+
+
+@query("jsonl_audit", Q.with_views("""
+SELECT CAST(count(*) AS BIGINT) AS n_lines, CAST(count_if(NOT json_valid(raw)) AS BIGINT) AS n_malformed FROM fx_records
+""", **_RECORD_VIEWS))
+def jsonl_audit(spark, sf_dir):
+    """A1: no line is lost without a trace: lines and malformed lines of a file."""
+    back = jsonl.read_jsonl_variant(spark, _record_lines(spark, sf_dir), mode="PERMISSIVE")
+    return back.agg(F.count(F.lit(1)).alias("n_lines"), F.count_if(F.col("record").isNull()).alias("n_malformed"))
+
+
+@query("splits_read", Q.with_views(
+    "SELECT split, conv_id, turn, prompt, response FROM rendered WHERE dataset = 'math'", **PQ.QA_VIEWS))
+def splits_read(spark, sf_dir):
+    """One file a split, read as one frame with a literal split, rendered, pruned."""
+    from dataclasses import replace
+
+    folder = shared_dir(spark, "splits")
+    math = P.filter_datasets(PQ.qa_records(spark, sf_dir), ["math"])
+    files = {s: f"{folder}/{s}" for s in ("train", "validation", "test")}
+    for split, path in files.items():
+        math.where(F.col("split") == split).select("conv_id", "turn", "question", "answer").write.json(path)
+    cfg = replace(PQ.MATH_CFG, train_file=files["train"], validation_file=files["validation"], test_file=files["test"])
+    back = jsonl.read_splits(spark, cfg, "conv_id bigint, turn bigint, question string, answer string")
+    return P.prune(P.build_prompt(back, cfg), ("split", "conv_id", "turn", "prompt", "response")).withColumn(
+        "turn", F.col("turn").cast(math.schema["turn"].dataType))
+
+
+@query("eval_samples_math", Q.with_views(
+    "SELECT conv_id, prompt, response AS reference FROM rendered WHERE dataset = 'math'", **PQ.QA_VIEWS))
+def eval_samples_math(spark, sf_dir):
+    """C5 as it stands: (id, prompt, reference) of one dataset."""
+    return P.eval_samples(P.filter_datasets(PQ.qa_records(spark, sf_dir), ["math"]), PQ.MATH_CFG, "conv_id")
 
 
 @query("details_written", Q.with_views(
@@ -100,18 +145,35 @@ def summary_written(spark, sf_dir):
     + f" FROM picked p JOIN metrics m ON m.sample = p.sample JOIN ({AQ.SLOTS_SQL}) s ON s.layer = m.layer"
       " GROUP BY p.analysis, p.level, p.sample_index, p.sample", **AQ.ATTN_VIEWS))
 def sample_stats_written(spark, sf_dir):
+    back = _stats_back(spark, sf_dir)
+    return back.select("analysis", "level", "sample_index", "sample",
+                       *[F.round(f"avg_{m}", 6).alias(f"avg_{m}") for m in AQ.METRICS],
+                       F.size("per_layer").alias("n_layers"))
+
+
+def _stats_back(spark, sf_dir):
+    """A5 written and read back with its schema."""
     path = shared_dir(spark, "sample_stats")
     _, layers, picked, metrics = AQ.prepared(spark, sf_dir)
     details = AT.detail_rows(picked, metrics)
     avgs = AT.sample_averages(picked, metrics, AT.measured_slots(spark, layers), AQ.KS)
     stats = sinks.sample_stats(details, avgs, layers, "query_last", AQ.KS, AQ.METRICS)
     sinks.write_sample_stats(stats, path)
-    back = spark.read.json(path)
-    return back.select("analysis", F.col("level").cast("int").alias("level"), "sample_index",
-                       F.col("sample").cast("int").alias("sample"),
-                       *[F.round(f"avg_{m}", 6).alias(f"avg_{m}") for m in AQ.METRICS],
-                       F.size(F.map_keys(F.from_json(F.to_json("per_layer"), "map<string, string>")))
-                       .cast("int").alias("n_layers"))
+    metrics_ddl = ", ".join(f"{m}: double" for m in AQ.METRICS)
+    schema = ("sample_index bigint, sample int, per_layer map<string, struct<" + metrics_ddl + ">>, "
+              + ", ".join(f"avg_{m} double" for m in AQ.METRICS) + ", analysis string, level int")
+    return spark.read.schema(schema).json(path)
+
+
+@query("sample_layers_written", Q.with_views(
+    "SELECT analysis, level, sample_index, sample, layer, "
+    + ", ".join(AQ.rnd(m, m) for m in AQ.METRICS) + " FROM details", **AQ.ATTN_VIEWS))
+def sample_layers_written(spark, sf_dir):
+    """A5: the per-layer values of the sample files."""
+    rows = _stats_back(spark, sf_dir).select("analysis", "level", "sample_index", "sample",
+                                             F.explode("per_layer").alias("layer", "m"))
+    return rows.select("analysis", "level", "sample_index", "sample", F.col("layer").cast("int").alias("layer"),
+                       *[F.round(f"m.{m}", 6).alias(m) for m in AQ.METRICS])
 
 
 def _tokens_sql(q):
@@ -178,13 +240,22 @@ def report_written(spark, sf_dir):
     return spark.read.text(path).withColumnRenamed("value", "line")
 
 
+@query("report_csv", Q.with_views("""
+SELECT dataset, level, CAST(count(*) AS BIGINT) AS total, CAST(count_if(correct) AS BIGINT) AS correct
+FROM graded GROUP BY ROLLUP (dataset, level)
+""", fx_pred=Q.FX_PRED, graded=GQ.GRADED_SQL))
+def report_csv(spark, sf_dir):
+    """A11 as CSV; the roll-up's null cells come back as nulls."""
+    path = shared_dir(spark, "report")
+    sinks.write_report(GQ.accuracy_rollup(spark, sf_dir), path, ["dataset", "level", "total", "correct"], "csv")
+    return spark.read.schema("dataset string, level int, total bigint, correct bigint").option("header", True).csv(path)
+
+
 EVENTS_SCHEMA = ("event_id bigint, ts timestamp, user_id bigint, event_type string, value double, "
                  "props string")
 
 
 @query("best_stream", Q.with_views(BEST_SQL, **LOG_VIEWS))
 def best_stream(spark, sf_dir):
-    """K9: events as a file stream -> keyed running best -> Parquet -> read back."""
-    stream = BT.events_stream_as_log(spark, sf_dir, "events.parquet", EVENTS_SCHEMA)
-    out = BT.run_to_table(spark, stream)
-    return spark.read.parquet(out)
+    """K9: events as a file stream -> candidates per micro-batch -> new bests."""
+    return BT.run_to_table(spark, BT.events_stream_as_log(spark, table_path(sf_dir, "events"), EVENTS_SCHEMA))

@@ -53,25 +53,34 @@ def normalize_numeric_answer(e: str) -> str:
 def normalize_for_dataset(ds: str, e: str) -> str:
     return (f"CASE WHEN lower({ds}) = 'math' THEN {extract_math_answer(e)} "
             f"WHEN lower({ds}) = 'gsm8k' THEN {normalize_numeric_answer(e)} "
-            f"ELSE error('Unsupported evaluation dataset: ' || {ds}) END")
+            f"ELSE error('no grader for dataset ' || {ds}) END")
 
 
 # --- derived views (FIXTURES.md §3), as CTE bodies --------------------------
 
-FX_PRED = """
+_PLAIN_PRED = """
+       CASE o_orderkey % 6
+         WHEN 0 THEN concat('so ', chr(92), 'boxed{', c, '} done')
+         WHEN 1 THEN concat('Answer: ', c, '.')
+         WHEN 2 THEN concat('step', chr(10), c, '  .')
+         WHEN 3 THEN concat('1,', c, chr(10), 'tail')
+         WHEN 4 THEN concat(c, chr(10), 'unsure')
+         ELSE concat('answer - ', chr(10), CAST(o_custkey + 1 AS VARCHAR)) END"""
+FX_PRED = rf"""
 SELECT o_orderkey AS sample_id,
        CASE WHEN o_orderkey % 2 = 0 THEN 'math' ELSE 'gsm8k' END AS dataset,
        CAST(substr(o_orderpriority, 1, 1) AS INT) AS level,
-       CASE o_orderkey % 6
-         WHEN 0 THEN concat('so ', chr(92), 'boxed{', CAST(o_custkey AS VARCHAR), '} done')
-         WHEN 1 THEN concat('Answer: ', CAST(o_custkey AS VARCHAR), '.')
-         WHEN 2 THEN concat('step', chr(10), CAST(o_custkey AS VARCHAR), '  .')
-         WHEN 3 THEN concat('1,', CAST(o_custkey AS VARCHAR), chr(10), 'tail')
-         WHEN 4 THEN concat(CAST(o_custkey AS VARCHAR), chr(10), 'unsure')
-         ELSE concat('answer - ', chr(10), CAST(o_custkey + 1 AS VARCHAR)) END AS prediction,
-       CASE o_orderkey % 6 WHEN 3 THEN concat('Answer: 1', CAST(o_custkey AS VARCHAR))
-            ELSE CAST(o_custkey AS VARCHAR) END AS reference
-FROM orders
+       CASE WHEN o_orderkey % 5 <> 4 THEN {_PLAIN_PRED}
+         ELSE CASE (o_orderkey // 5) % 14
+         WHEN 0 THEN 'so \boxed{{\frac{{' || c || '}}{{2}}}}' WHEN 1 THEN 'Answer: ' || c || '.5 km' WHEN 2 THEN ''
+         WHEN 3 THEN 'Answer: $1,' || c WHEN 4 THEN '\boxed{{' || c || '\frac{{1}}{{2}}}}' WHEN 5 THEN '+' || c WHEN 6 THEN '.5'
+         WHEN 7 THEN 'The answer is dog' WHEN 9 THEN 'Answer: ' || c || '\%' WHEN 10 THEN 'Answer: ' || c || ' 1/2'
+         WHEN 11 THEN '\boxed{{\text{{' || c || '}}}}' WHEN 12 THEN '  ' WHEN 13 THEN '\boxed{{\frac{{1}}{{2}}}}' END END AS prediction,
+       CASE WHEN o_orderkey % 5 <> 4 THEN CASE o_orderkey % 6 WHEN 3 THEN 'Answer: 1' || c ELSE c END
+         ELSE CASE (o_orderkey // 5) % 14
+         WHEN 0 THEN c || '/2' WHEN 1 THEN c || '.5' WHEN 3 THEN '1' || c WHEN 4 THEN c || '.5' WHEN 6 THEN '0.5' WHEN 7 THEN 'do'
+         WHEN 10 THEN c || '.5' WHEN 13 THEN '\boxed{{\frac{{1}}{{3}}}}' ELSE c END END AS reference
+FROM (SELECT *, CAST(o_custkey AS VARCHAR) AS c FROM orders)
 """
 
 FX_QA = """

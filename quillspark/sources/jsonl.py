@@ -30,13 +30,14 @@ def read_jsonl(spark: SparkSession, path: str | Sequence[str], schema: T.StructT
     return r.json(path if isinstance(path, str) else list(path))
 
 
-def read_jsonl_variant(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
+def read_jsonl_variant(spark: SparkSession, path: str | Sequence[str], mode: str = "FAILFAST") -> DataFrame:
     """A1 for loosely typed records: each line kept whole as ``raw`` and parsed
-    into a ``record`` VARIANT (null for a malformed line).  Blank lines are
-    dropped."""
+    into a ``record`` VARIANT.  Blank lines are dropped.  ``FAILFAST`` raises on
+    a malformed line; ``PERMISSIVE`` gives it a null record, so that a caller can
+    count such lines."""
     lines = spark.read.text(path if isinstance(path, str) else list(path)).withColumnRenamed("value", "raw")
     lines = lines.where(F.trim(F.col("raw")) != "")
-    return lines.withColumn("record", F.try_parse_json("raw"))
+    return lines.withColumn("record", F.parse_json("raw") if mode == "FAILFAST" else F.try_parse_json("raw"))
 
 
 def read_splits(spark: SparkSession, cfg: DatasetConfig, schema: T.StructType | str | None = None,

@@ -23,6 +23,9 @@ def run_id_now(session_tz: str = "UTC") -> Column:
 
 def write_predictions(df: DataFrame, path: str, run_id: str | Column | None = None) -> None:
     """A4: ``{prompt, reference, prediction}`` (+ ids) per dataset and run."""
+    missing = {"prompt", "reference", "prediction"}.difference(df.columns)
+    if missing:
+        raise ValueError(f"predictions need the columns {sorted(missing)}")
     tz = df.sparkSession.conf.get("spark.sql.session.timeZone", "UTC")
     rid = run_id_now(tz) if run_id is None else (F.lit(run_id) if isinstance(run_id, str) else run_id)
     (df.withColumn("run_id", rid).write.mode("append")
@@ -84,8 +87,8 @@ def report_lines(df: DataFrame, cols: Sequence[str], digits: int = 4) -> DataFra
     spark = df.sparkSession
     cols = list(cols)
     fields = {f.name: f.dataType.simpleString() for f in df.schema.fields}
-    cells = [F.round(F.col(c).cast("decimal(38,18)"), digits).cast("string") if fields[c] in ("double", "float")
-             else F.coalesce(F.col(c).cast("string"), F.lit("")) for c in cols]
+    cells = [F.coalesce((F.round(F.col(c).cast("decimal(38,18)"), digits) if fields[c] in ("double", "float")
+                         else F.col(c)).cast("string"), F.lit("")) for c in cols]
     body = df.select(F.concat(F.lit("| "), F.concat_ws(" | ", *cells), F.lit(" |")).alias("line"),
                      F.lit(2).alias("part"))
     head = literal_table(spark, [("| " + " | ".join(cols) + " |", 0),

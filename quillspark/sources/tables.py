@@ -51,6 +51,14 @@ def fx_graded(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: (prediction, reference) in other notations; C stands for a number of the row.
+ODD_ANSWERS = [
+    (r"so \boxed{\frac{C}{2}}", "C/2"), ("Answer: C.5 km", "C.5"), ("", "C"), ("Answer: $1,C", "1C"),
+    (r"\boxed{C\frac{1}{2}}", "C.5"), ("+C", "C"), (".5", "0.5"), ("The answer is dog", "do"), (None, "C"),
+    (r"Answer: C\%", "C"), ("Answer: C 1/2", "C.5"), (r"\boxed{\text{C}}", "C"), ("  ", "C"), (r"\boxed{\frac{1}{2}}", r"\boxed{\frac{1}{3}}"),
+]
+
+
 def fx_pred(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predictions/references in the answer formats the graders distinguish."""
     o = load(spark, sf_dir, "orders", ["o_orderkey", "o_custkey", "o_orderpriority"])
@@ -63,6 +71,14 @@ def fx_pred(spark: SparkSession, sf_dir: str) -> DataFrame:
             .when(r == 4, F.concat(cust, F.lit("\nunsure")))
             .otherwise(F.concat(F.lit("answer - \n"), (F.col("o_custkey") + 1).cast("string"))))
     ref = F.when(r == 3, F.concat(F.lit("Answer: 1"), cust)).otherwise(cust)
+    # one row in five has an answer in another notation
+    odd = (F.floor(k / 5) % len(ODD_ANSWERS) + 1).cast("int")
+
+    def other(i: int):
+        texts = F.array(*[F.lit(a[i]).cast("string") for a in ODD_ANSWERS])
+        return F.replace(F.element_at(texts, odd), F.lit("C"), cust)
+
+    pred, ref = F.when(k % 5 == 4, other(0)).otherwise(pred), F.when(k % 5 == 4, other(1)).otherwise(ref)
     return o.select(
         k.alias("sample_id"),
         F.when(k % 2 == 0, F.lit("math")).otherwise(F.lit("gsm8k")).alias("dataset"),

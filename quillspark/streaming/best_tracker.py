@@ -1,86 +1,61 @@
 """K9: the running-best evaluation as a Structured Streaming job.
 
-The training callback keeps ``best_metric`` between evaluation events; here
-that is keyed state per run (``applyInPandasWithState``).  Inside a
-micro-batch each run's rows are sorted by step; across micro-batches a run's
-evaluations arrive in step order (as a training run emits them).  The state
-keeps the run's last processed step, and a late row (a step the run has
-already passed) is dropped, like data behind a watermark.  Output rows are
-exactly the batch K1 rows for in-order input.
+An evaluation is a new best when its loss is below all earlier ones of its run.
+Files of an event table arrive in any order, so a new best of one micro-batch
+may turn out not to be one; but every new best is one within its own batch,
+and the earlier best of a batch is among that batch's rows too.  So each batch
+keeps only its own new bests (the parallel K1 scan; a hot run is spread over
+many tasks), and K1 over what was kept gives exactly the rows of K1 over all
+events - for any file layout, batch size or restart.
+
+A batch writes to a folder of its own number, overwriting it when it is run
+again, so a restarted job neither loses nor doubles rows.
 """
 
 from __future__ import annotations
 
-import math
-
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupStateTimeout
 
+from ..operators.trainlog import new_best
 from ..session import shared_dir
 
-OUT_SCHEMA = "run_id long, global_step long, eval_loss double"
-STATE_SCHEMA = "best double, last_step long"
-
-
-def _track(key, pdfs, state):
-    best, last_step = (state.get[0], state.get[1]) if state.exists else (None, None)
-    if best is not None and math.isnan(best):
-        best = None
-    rows = []
-    for p in pdfs:
-        rows.extend(zip(p["global_step"].tolist(), p["eval_loss"].tolist()))
-    if not rows:
-        return
-    rows.sort(key=lambda r: r[0])
-    out_steps, out_losses = [], []
-    for s, v in rows:
-        if last_step is not None and s <= last_step:
-            continue            # late: the run has already moved past this step
-        last_step = int(s)
-        if v is None or (isinstance(v, float) and math.isnan(v)):
-            continue
-        if best is None or v < best:
-            best = float(v)
-            out_steps.append(int(s))
-            out_losses.append(best)
-    state.update((best, last_step))
-    if out_steps:
-        yield pd.DataFrame({"run_id": [int(key[0])] * len(out_steps), "global_step": out_steps,
-                            "eval_loss": out_losses})
-
-
-def best_tracker(events: DataFrame) -> DataFrame:
-    """Streaming (or batch) frame ``(run_id, global_step, eval_loss)`` ->
-    new-best rows, keyed state per run."""
-    return (events.select("run_id", "global_step", "eval_loss")
-            .groupBy("run_id")
-            .applyInPandasWithState(_track, OUT_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout))
-
-
-def events_stream_as_log(spark: SparkSession, folder: str, file_glob: str, schema: str,
+LOG_SCHEMA = "run_id long, global_step long, eval_loss double"
+
+
+def events_stream_as_log(spark: SparkSession, table: str, schema: str,
                          max_files_per_trigger: int | None = None) -> DataFrame:
-    """A file stream of event rows mapped to the log columns (``fx_trainlog``)."""
-    r = spark.readStream.schema(schema).option("pathGlobFilter", file_glob)
+    """A table of event rows (one file or a folder of part files) as a stream of
+    the log columns (``fx_trainlog``)."""
+    r = spark.readStream.schema(schema)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-    ev = r.parquet(folder)
+    # a pattern that matches this path only: the source takes a plain path for a folder
+    ev = r.parquet(f"{table[:-1]}[{table[-1]}]")
     return ev.select(F.col("user_id").alias("run_id"), F.col("event_id").alias("global_step"),
                      F.when(F.col("event_type") == "error", F.lit(None).cast("double"))
                       .otherwise(F.col("value")).alias("eval_loss"))
 
 
-def run_to_table(spark: SparkSession, stream: DataFrame, name: str = "best_stream") -> str:
-    """Run the tracker over everything available (``availableNow``) into a
-    Parquet folder under the shared checkpoint folder; returns that folder.
-    The checkpoint location sits next to it, so a restarted job resumes."""
-    base = shared_dir(spark, name)
-    q = (best_tracker(stream).writeStream.format("parquet")
-         .option("checkpointLocation", f"{base}/_checkpoint")
-         .option("path", f"{base}/out")
-         .outputMode("append")
-         .trigger(availableNow=True)
-         .start())
-    q.awaitTermination()
-    return f"{base}/out"
+def track(stream: DataFrame, folder: str):
+    """Start the job over everything available; candidates go under ``folder``,
+    next to its checkpoint, so a restarted job resumes."""
+
+    def keep(batch: DataFrame, number: int) -> None:
+        new_best(batch).write.mode("overwrite").parquet(f"{folder}/kept/batch={number}")
+
+    return (stream.writeStream.foreachBatch(keep).option("checkpointLocation", f"{folder}/checkpoint")
+            .trigger(availableNow=True).start())
+
+
+def best_so_far(spark: SparkSession, folder: str) -> DataFrame:
+    """New-best rows of all events processed so far."""
+    kept = spark.read.schema(f"{LOG_SCHEMA}, batch long").parquet(f"{folder}/kept")
+    return new_best(kept.drop("batch"))
+
+
+def run_to_table(spark: SparkSession, stream: DataFrame, name: str = "best_stream") -> DataFrame:
+    """Run the tracker to the end of what is available; the new-best rows."""
+    folder = shared_dir(spark, name)
+    track(stream, folder).awaitTermination()
+    return best_so_far(spark, folder)

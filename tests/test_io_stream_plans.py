@@ -60,7 +60,7 @@ def test_variant_records(spark, tmp):
                 '{"input": "x", "level": " 3 "}\n{"level": 5.7, "prompt": "p"}\n'
                 '{"level": true, "question": 7}\nnot json\n')
     from quillspark.operators import extraction as X
-    df = X.with_query_and_level(jsonl.read_jsonl_variant(spark, p)).orderBy("raw").collect()
+    df = X.with_query_and_level(jsonl.read_jsonl_variant(spark, p, mode="PERMISSIVE")).orderBy("raw").collect()
     got = {r["raw"]: (r["query"], r["level"]) for r in df}
     assert got['{"input": "x", "level": " 3 "}'] == ("x", 3)
     assert got['{"level": 5.7, "prompt": "p"}'] == ("p", 5)
@@ -70,7 +70,7 @@ def test_variant_records(spark, tmp):
 
 
 def test_stream_equals_batch_over_several_batches(spark, tmp):
-    """K9 over four in-order files (one micro-batch each) gives batch K1's rows."""
+    """K9 over four files (one micro-batch each) gives batch K1's rows."""
     from quillspark.operators import trainlog as TL
     ev = TB.load(spark, MEDIUM, "events")
     src = os.path.join(tmp, "events_src")
@@ -82,10 +82,10 @@ def test_stream_equals_batch_over_several_batches(spark, tmp):
     os.makedirs(flat)
     for i, f in enumerate(sorted(glob.glob(os.path.join(src, "d*", "*.parquet")))):
         os.link(f, os.path.join(flat, f"events_{i}.parquet"))
-    stream = BT.events_stream_as_log(spark, flat, "events_*.parquet",
+    stream = BT.events_stream_as_log(spark, flat,
                                      "event_id bigint, ts timestamp, user_id bigint, event_type string, "
                                      "value double, props string", max_files_per_trigger=1)
-    out = spark.read.parquet(BT.run_to_table(spark, stream))
+    out = BT.run_to_table(spark, stream)
     batch = TL.new_best(TB.fx_trainlog(spark, MEDIUM).select("run_id", "global_step", "eval_loss"))
     key = lambda r: (r["run_id"], r["global_step"], r["eval_loss"])
     assert sorted(map(key, out.collect())) == sorted(map(key, batch.collect()))
@@ -164,7 +164,7 @@ def test_saved_cuts_lineage(spark):
     assert "Range" not in m._jdf.queryExecution().optimizedPlan().toString()
 
 
-def test_stream_drops_late_rows(spark, tmp):
+def test_stream_rows_in_any_order(spark, tmp):
     import pandas as pd
     src = os.path.join(tmp, "late")
     os.makedirs(src)
@@ -177,11 +177,11 @@ def test_stream_drops_late_rows(spark, tmp):
     import glob
     for i, f in enumerate(sorted(glob.glob(os.path.join(src, "b*", "*.parquet")))):
         os.link(f, os.path.join(flat, f"events_{i}.parquet"))
-    stream = BT.events_stream_as_log(spark, flat, "events_*.parquet",
+    stream = BT.events_stream_as_log(spark, flat,
                                      "user_id bigint, event_id bigint, event_type string, value double",
                                      max_files_per_trigger=1)
-    out = spark.read.parquet(BT.run_to_table(spark, stream))
-    assert sorted((r["global_step"], r["eval_loss"]) for r in out.collect()) == [(10, 3.0), (20, 2.0), (30, 1.5)]
+    out = BT.run_to_table(spark, stream)
+    assert sorted((r["global_step"], r["eval_loss"]) for r in out.collect()) == [(10, 3.0), (15, 1.0)]
 
 
 def test_validate_counts(spark):
@@ -205,3 +205,69 @@ def test_cluster_conf_scales_with_input():
     assert int(big["spark.sql.shuffle.partitions"]) == (100 << 40) // (256 << 20) + 1
     assert big["spark.sql.adaptive.skewJoin.enabled"] == "true"
     assert big["spark.sql.session.timeZone"] == "UTC"
+
+
+def test_stream_over_a_folder_of_part_files(spark, tmp):
+    """K9 does not depend on the file layout: one file, or shuffled part files
+    read two at a time."""
+    from quillspark.operators import trainlog as TL
+
+    folder = os.path.join(tmp, "many", "events.parquet")
+    TB.load(spark, MEDIUM, "events").repartition(7, "event_id").write.parquet(folder)
+    stream = BT.events_stream_as_log(spark, folder, "event_id bigint, ts timestamp, user_id bigint, event_type string, "
+                                     "value double, props string", max_files_per_trigger=2)
+    got = BT.run_to_table(spark, stream)
+    want = TL.new_best(TB.fx_trainlog(spark, MEDIUM).select("run_id", "global_step", "eval_loss"))
+    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty() and want.count() > 600
+
+
+def test_null_run_is_a_run(spark):
+    from quillspark.operators import trainlog as TL
+
+    log = spark.createDataFrame([(None, 1, 3.0), (None, 5000, 4.0), (None, 9000, 2.0), (1, 1, 5.0)],
+                                "run_id long, global_step long, eval_loss double")
+    assert {(r.run_id, r.global_step) for r in TL.new_best(log).collect()} == {(None, 1), (None, 9000), (1, 1)}
+
+
+def test_normalisation_is_linear(spark):
+    import time
+
+    from quillspark.operators import attention as AT
+
+    def seconds(n):
+        df = spark.createDataFrame([([1.0] * n,)] * 8, "v array<double>").repartition(1).cache()
+        df.count()
+        t = time.time()
+        df.select(AT.entropy(AT.normalize_vector("v")).alias("e")).collect()
+        return time.time() - t
+
+    seconds(100)
+    assert seconds(16_000) < 10
+
+
+def test_report_with_empty_cells(spark):
+    from quillspark.sources import sinks
+
+    df = spark.createDataFrame([("a", None), ("b", 0.5)], "d string, x double")
+    assert {r.line for r in sinks.report_lines(df, ["d", "x"]).collect()} == {"| d | x |", "|---|---|", "| a |  |", "| b | 0.5000 |"}
+
+
+def test_malformed_lines_raise(spark, tmp):
+    from quillspark.sources import jsonl
+
+    path = os.path.join(tmp, "bad")
+    spark.createDataFrame([('{"a": 1}',), ("  ",), ('{"a": ',)], "v string").coalesce(1).write.text(path)
+    with pytest.raises(Exception):
+        jsonl.read_jsonl_variant(spark, path).collect()
+    back = jsonl.read_jsonl_variant(spark, path, mode="PERMISSIVE").collect()
+    assert sorted(r.record is None for r in back) == [False, True]
+
+
+def test_rows_with_equal_ids_stay_apart(spark):
+    from quillspark.operators import features as FT
+
+    df = spark.createDataFrame([(1, "x y"), (1, "z"), (2, None), (2, "")], "i int, t string")
+    v = FT.build_vocab(df, ["t"])
+    ids = {r.token: r.id for r in v.table.collect()}
+    got = sorted((r.i, r.ids) for r in FT.encode(df, "t", v, 5, ["i"]).collect())
+    assert got == sorted([(1, [1, ids["x"], ids["y"]]), (1, [1, ids["z"]]), (2, [1]), (2, [1])])

@@ -45,6 +45,14 @@ def test_fixture_expectations(spark):
     from conftest import MEDIUM
 
     acc = {r["dataset"]: (r["total"], r["correct"]) for r in R.QUERIES["accuracy_by_dataset"](spark, MEDIUM).collect()}
-    assert acc == {"math": (7500, 5000), "gsm8k": (7500, 5000)}
+    assert {d: n for d, (n, _) in acc.items()} == {"math": 7500, "gsm8k": 7500}
+    kinds = {r["error_type"]: r["n"] for r in R.QUERIES["error_types"](spark, MEDIUM).groupBy("error_type").count()
+             .withColumnRenamed("count", "n").collect()}
+    assert set(kinds) == {"correct", "wrong_value", "no_answer_marker", "format_only", "empty_prediction"}
+    moved = R.QUERIES["numeric_match"](spark, MEDIUM).where("numeric_correct and not correct").count()
+    assert moved > 100
+    assert all(r["rescored_correct"] > r["correct"] for r in R.QUERIES["rescored"](spark, MEDIUM).collect())
+    splits = {r["split"]: r["n"] for r in R.QUERIES["mix_then_split"](spark, MEDIUM).groupBy("split").sum("n").withColumnRenamed("sum(n)", "n").collect()}
+    assert splits["train"] > 7 * splits["test"] > 0 and splits["validation"] > 0
     assert R.QUERIES["new_best"](spark, MEDIUM).count() == 665
     assert R.QUERIES["prompts_union"](spark, MEDIUM).count() == 233

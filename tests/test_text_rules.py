@@ -102,3 +102,49 @@ def test_random_strings_keep_the_rules(spark):
         assert "," not in r["g"] and "\n" not in r["g"]  # one line, no separators
         for found in (r["m"].replace(" ", ""), r["g"]):  # only characters of the text
             assert set(found) <= set(r["t"])
+
+
+# answer text, number (None: not a number): written out by hand
+NUMBERS = [
+    ("1 1/2", 1.5), (r"1\frac{1}{2}", 1.5), (r"-2\frac{3}{4}", -2.75), (".5", 0.5), ("+5", 5.0), ("-3.", -3.0), ("11/2", 5.5),
+    (r"\boxed{\frac{1}{2}}", 0.5), (r"\boxed{\boxed{7}}", 7.0), (r"50\%", 50.0), ("10 m", 10.0), ("10 km.", 10.0), ("3 hours", 3.0),
+    ("$1,200", 1200.0), (r"\$1,200", 1200.0), ("dog", None), ("Monday", None), ("1/0", None), ("", None), ("(3)/(4)", 0.75),
+    (r"\dfrac{-3}{4}", -0.75), (r"\text{12}", 12.0), ("12 34/5", 18.8),
+]
+
+
+def test_numbers_by_hand(spark):
+    df = spark.createDataFrame(list(enumerate(t for t, _ in NUMBERS)), "i int, t string")
+    got = {r.i: r.v for r in df.select("i", A.to_number(A.latex_to_plain("t")).alias("v")).collect()}
+    for i, (t, want) in enumerate(NUMBERS):
+        assert (got[i] is None) == (want is None) and (want is None or abs(got[i] - want) < 1e-9), (t, got[i])
+
+
+def test_units_only_after_digits(spark):
+    df = spark.createDataFrame([("dog",), ("Monday",), ("5 kg",), ("kg",), ("12%",), ("%",)], "t string")
+    assert [r.s for r in df.select(A.normalize_number_string("t").alias("s")).collect()] == ["dog", "Monday", "5", "kg", "12", "%"]
+
+
+def test_grading_by_hand(spark):
+    from quillspark.operators import scoring as S
+
+    rows = [  # dataset, prediction, reference, correct, error type, numerically correct
+        ("math", r"so \boxed{\frac{1}{2}}", "0.5", False, "wrong_value", True),
+        ("math", r"\boxed{\frac{1}{2}}", r"\boxed{\frac{1}{3}}", True, "correct", True),  # the grader stops at the first brace
+        ("math", r"\boxed{3}", "3", True, "correct", True),
+        ("gsm8k", "Answer: 7 km", "7", False, "format_only", True),
+        ("gsm8k", "The answer is dog", "do", False, "no_answer_marker", False),
+        ("gsm8k", "", "4", False, "empty_prediction", False), ("gsm8k", None, "4", False, "empty_prediction", False),
+        ("gsm8k", "Answer: 1 1/2", "1.5", False, "wrong_value", True), ("gsm8k", "Answer: 11/2", "1.5", False, "wrong_value", False),
+        ("math", r"\boxed{2\frac{1}{2}}", "2.5", False, "wrong_value", True),
+    ]
+    df = spark.createDataFrame([(i, *r[:3]) for i, r in enumerate(rows)], "sample_id long, dataset string, prediction string, reference string")
+    g = S.grade(df)
+    kinds = {r.sample_id: (r.correct, r.error_type) for r in S.error_type(g).collect()}
+    numeric = {r.sample_id: r.numeric_correct for r in S.numeric_match(g).collect()}
+    for i, r in enumerate(rows):
+        assert (*kinds[i], numeric[i]) == r[3:], (r, kinds[i], numeric[i])
+    over = spark.createDataFrame([("gsm8k", 3, True), ("math", 2, False)], "dataset string, sample_id long, correct_override boolean")
+    changed = {r.sample_id for r in S.rescore(g, over).where("rescored != correct").collect()}
+    assert changed == {2, 3}
+    assert {r.sample_id for r in S.unparsed(g).collect()} == {4, 5, 6}
