@@ -1,6 +1,5 @@
-"""The package's queries by name, and SQL for those that SQL can express (none:
-fitted models, tokenizers, or too slow on whole tables; tests compare them with
-brute force)."""
+"""The package's queries by name, and SQL for those that SQL can express (not:
+fitted models, tokenizers, keyed permutations, classes of a similarity join)."""
 
 from __future__ import annotations
 
@@ -61,6 +60,56 @@ def op10_quality_rules(spark, sf_dir):
     return quality_rules.judge(docs, quality_rules.fit(docs, target))
 
 
+# DuckDB SQL of the queries that SQL can express; it shares nothing with the code.
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def _bench_words(text):
+    return rf"regexp_extract_all(translate(coalesce({text}, ''), '{_UPPER}', '{_LOWER}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+
+OP2_SQL = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_bench_words('text')} AS w FROM documents),
+b AS (SELECT coalesce(CAST(item_id AS VARCHAR), 'null') AS item, w, least(10, len(w)) AS k
+      FROM (SELECT item_id, {_bench_words('text')} AS w FROM benchmark) WHERE len(w) > 0),
+grams AS (SELECT DISTINCT item, k, array_to_string(list_slice(w, i, i + k - 1), ' ') AS g
+          FROM (SELECT *, unnest(range(1, len(w) - k + 2)) AS i FROM b)),
+wins AS (SELECT r, k, i, array_to_string(list_slice(w, i, i + k - 1), ' ') AS g
+       FROM (SELECT r, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM d, (SELECT DISTINCT k FROM grams) WHERE len(w) >= k)),
+hit AS (SELECT r, wins.k, i, item FROM wins JOIN grams USING (k, g)),
+words AS (SELECT r, count(DISTINCT p) AS n FROM (SELECT r, unnest(range(i, i + k)) AS p FROM hit) GROUP BY r),
+items AS (SELECT r, count(DISTINCT item) AS n, string_agg(DISTINCT item, ',' ORDER BY item) AS names FROM hit GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(words.n, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(items.n, 0) AS BIGINT) AS n_items, sha256(coalesce(names, '')) AS items_sha256,
+       coalesce(words.n, 0) > 0 AS contaminated
+FROM d LEFT JOIN words USING (r) LEFT JOIN items USING (r)
+"""
+
+OP3_SQL = """
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+wins AS (SELECT r, doc_id, p, substr(h, 2 * p - 1, 2) AS c, CASE WHEN 2 * p + 98 <= length(h) THEN substr(h, 2 * p - 1, 100) END AS s
+       FROM (SELECT *, unnest(range(1, length(h) // 2 + 1)) AS p FROM d)),
+old AS (SELECT r, p, c, coalesce(s IS NOT NULL AND doc_id > min(doc_id) OVER (PARTITION BY s), false) AS old FROM wins),
+gone AS (SELECT r, p, c, bool_or(old) OVER (PARTITION BY r ORDER BY p ROWS BETWEEN 49 PRECEDING AND CURRENT ROW) AS gone FROM old),
+runs AS (SELECT *, gone AND NOT lag(gone, 1, false) OVER (PARTITION BY r ORDER BY p) AS starts FROM gone),
+k AS (SELECT r, count_if(gone) AS n, count_if(starts) AS spans, string_agg(c, '' ORDER BY p) FILTER (NOT gone) AS kept FROM runs GROUP BY r)
+SELECT doc_id, CAST(length(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n, 0) AS BIGINT) AS n_removed,
+       CAST(coalesce(spans, 0) AS BIGINT) AS n_spans, sha256(unhex(coalesce(kept, ''))) AS kept_sha256
+FROM d LEFT JOIN k USING (r)
+"""
+
+OP8_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+wins AS (SELECT r, doc_id, i, array_to_string(list_slice(w, i, i + 19), ' ') AS g
+       FROM (SELECT *, unnest(range(1, len(w) - 18)) AS i FROM d WHERE len(w) >= 20)),
+again AS (SELECT r, i FROM (SELECT r, i, row_number() OVER (PARTITION BY g ORDER BY doc_id, i) AS k FROM wins) WHERE k > 1),
+gone AS (SELECT DISTINCT r, unnest(range(i, i + 20)) AS p FROM again),
+kept AS (SELECT r, string_agg(x, ' ' ORDER BY p) AS t, count(*) AS n
+         FROM (SELECT r, unnest(w) AS x, unnest(range(1, len(w) + 1)) AS p FROM d) ANTI JOIN gone USING (r, p) GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (r)
+"""
+
 QUERIES = {
     "op1_gam_quality": op1_gam_quality,
     "op2_decontamination": op2_decontamination,
@@ -73,4 +122,8 @@ QUERIES = {
     "op9_jaccard_join": op9_jaccard_join,
     "op10_quality_rules": op10_quality_rules,
 }
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op2_decontamination": OP2_SQL,
+    "op3_suffix_dedup": OP3_SQL,
+    "op8_substring_dedup": OP8_SQL,
+}
