@@ -48,6 +48,8 @@ from . import common as C
 from .chunks import NULL_ID
 
 TILE = 1024
+#: Bits of the filter that spares texts outside all buckets an exchange (16 MB).
+FILTER_BITS = 1 << 27
 #: Tokens from which a segment counts, by allocation.
 RICH = {1: 2, 2: 3}
 
@@ -81,21 +83,22 @@ def _poisson_below(mean: float, k: int) -> float:
     return min(1.0, total)
 
 
-def allocation(sets: int, smallest: int, d: int) -> tuple[int, int]:
+def allocation(sets: int, cases: list[tuple[int, int]], d: int) -> tuple[int, int]:
     """(segments with v = 1, segments with v = 2) of least expected cost for
-    ``sets`` sets of ``smallest`` tokens or more and difference ``d``."""
+    ``sets`` sets and difference ``d``; cases: sizes of sets that must do, each
+    with the difference that sets of this size can have."""
     best = (math.inf, (d + 1, 0))
-    for spare in (0, 1, 2, 3, 4, 6, 8, 12, 16, 24, 32, 48, 64, 96, 128):
+    for spare in sorted({d * k // 40 + k // 4 for k in range(0, 41)}):
         total = d + 1 + spare
         for two in {0, total // 4, total // 2}:
             one = total - 2 * two
-            mean = smallest / (one + two)
-            p1, p2 = _poisson_below(mean, RICH[1]), _poisson_below(mean, RICH[2])
-            poor = one * p1 + 2 * two * p2
-            short = 1 - _poisson_below(poor, spare + 1) if poor < 700 else 1.0
-            entries = one + two * (1 + mean)
-            chance = sets * short * short * (one + two) * math.exp(-mean)
-            best = min(best, (sets * (entries + chance), (one, two)))
+            cost = one + two * (1 + cases[0][0] / (one + two))
+            for size, own in cases:
+                mean = size / (one + two)
+                poor = one * _poisson_below(mean, RICH[1]) + 2 * two * _poisson_below(mean, RICH[2])
+                short = 1 - _poisson_below(poor, total - own) if poor < 700 else 1.0
+                cost += sets * short * short * (one + two) * math.exp(-mean) / len(cases)
+            best = min(best, (cost, (one, two)))
     return best[1]
 
 
@@ -143,9 +146,12 @@ class _Schemes:
         self.d, self.one, self.two = np.zeros(k, np.int64), np.zeros(k, np.int64), np.zeros(k, np.int64)
         for i in range(k):
             self.d[i] = rule.difference(int(self.edges[i]), int(self.edges[i]))
-            low = int(self.edges[i - 2]) + 1 if i > 1 else 1
             if self.d[i] > 0:
-                self.one[i], self.two[i] = allocation(int(per[i] + per[i - 1]) if i else int(per[i]), low, int(self.d[i]))
+                top = int(self.edges[i])
+                sizes = (top, int(self.edges[i - 1]) + 1, int(self.edges[i - 2]) + 1 if i > 1 else 1)
+                cases = [(n, rule.difference(n, min(top, n * rule.den // rule.num))) for n in sizes]
+                self.one[i], self.two[i] = allocation(int(per[i] + per[i - 1]), cases, int(self.d[i]))
+        self.rule = rule
 
     def signatures(self, x: np.ndarray, off: np.ndarray):
         """(signature, set, role) of the sets' index entries; role: 1 own band, 2 whole subset."""
@@ -173,7 +179,9 @@ class _Schemes:
             two = place >= self.one[k][owner]
             v = 1 + two
             rich = count >= np.where(two, RICH[2], RICH[1])
-            enough = np.bincount(owner, v * rich, len(use)) >= self.d[k] + 1
+            # the difference that a set of this size can have under the scheme
+            own = self.rule.difference(size[use], np.minimum(self.edges[k], size[use] * self.rule.den // self.rule.num))
+            enough = np.bincount(owner, v * rich, len(use)) >= own + 1
             kept = (count >= 2) | ~enough[owner]
             salt = C.mix((k[owner].astype(C.U64) << C.U64(32)) + place.astype(C.U64))
             whole = np.flatnonzero(kept)
@@ -186,6 +194,12 @@ class _Schemes:
         return [np.concatenate(o) if o else np.zeros(0, t) for o, t in zip(out, kinds)]
 
 
+def _texts(keyed: DataFrame, lead: DataFrame) -> DataFrame:
+    """(node, text): one text of each node in ``lead(id, th, node)``."""
+    # repeated rows: equal (id, th), the key of the join's exchange
+    return (keyed.join(lead.hint("merge"), ["id", "th"]).dropDuplicates(["id", "th"]).select("node", "text"))
+
+
 def _index(nodes: DataFrame, schemes: _Schemes, rule: Rule) -> DataFrame:
     """(sig, node, center) of all buckets with two nodes or more; center: the
     bucket's smallest node."""
@@ -193,13 +207,15 @@ def _index(nodes: DataFrame, schemes: _Schemes, rule: Rule) -> DataFrame:
     def rows(batches):
         for b, col in C.batches_of(batches, "text", C.SLICE_BYTES // 2):
             sig, at, role = schemes.signatures(*_sets(col, rule.words))
-            yield pa.RecordBatch.from_arrays([pa.array(sig.view(np.int64)), b.column("node").take(pa.array(at)), pa.array(role)],
-                                             ["sig", "node", "role"])
+            node = b.column("node").to_numpy()[at]
+            yield pa.RecordBatch.from_arrays([pa.array(sig.view(np.int64)), pa.array(node * 4 + role)], ["sig", "entry"])
 
     sig = Window.partitionBy("sig")
-    entries = nodes.select("node", "text").mapInArrow(rows, "sig long, node long, role byte")
-    return (entries.select("sig", "node", F.min("node").over(sig).alias("center"), F.max("node").over(sig).alias("top"),
-                           F.max(F.col("role") % 2).over(sig).alias("own"), F.max(F.col("role") >= 2).over(sig).alias("whole"))
+    # an entry is the node and, in its two low bits, the role
+    entries = nodes.select("node", "text").mapInArrow(rows, "sig long, entry long")
+    node, role = F.shiftright("entry", 2), F.col("entry").bitwiseAND(F.lit(3))
+    return (entries.select("sig", node.alias("node"), F.min(node).over(sig).alias("center"), F.max(node).over(sig).alias("top"),
+                           F.max(role % 2).over(sig).alias("own"), F.max(role >= 2).over(sig).alias("whole"))
             .where("center < top and own = 1 and whole").select("sig", "node", "center").distinct())
 
 
@@ -209,7 +225,7 @@ def _sketch(x: np.ndarray, width: int) -> np.ndarray:
     return np.packbits(hit.astype(np.uint8), bitorder="little")
 
 
-def _candidates(nodes: DataFrame, members: DataFrame, rule: Rule) -> DataFrame:
+def _candidates(keyed: DataFrame, lead: DataFrame, members: DataFrame, rule: Rule) -> DataFrame:
     """(node, n, tokens, sketch) of the nodes in ``members``."""
 
     def rows(batches):
@@ -218,32 +234,39 @@ def _candidates(nodes: DataFrame, members: DataFrame, rule: Rule) -> DataFrame:
             own = [x[s:e] for s, e in zip(off[:-1], off[1:])]
             width = [1 << max(8, int(32 * rule.difference(len(s), len(s))).bit_length()) for s in own]
             yield pa.RecordBatch.from_arrays(
-                [b.column("node"), pa.array([len(s) for s in own], pa.int64()), pa.array([s.tobytes() for s in own], pa.binary()),
+                [b.column("node"), pa.array([len(s) for s in own], pa.int64()),
+                 pa.ListArray.from_arrays(pa.array(off.astype(np.int32)), pa.array(x.view(np.int64))),
                  pa.array([_sketch(s, w).tobytes() for s, w in zip(own, width)], pa.binary())],
                 ["node", "n", "tokens", "sketch"])
 
-    picked = nodes.select("node", "text").join(members.select("node").distinct().hint("merge"), "node", "left_semi")
-    return C.saved(picked.mapInArrow(rows, "node long, n long, tokens binary, sketch binary"), "jaccard-sets")
+    wanted = C.saved(lead.join(members.select("node").distinct(), "node", "left_semi"), "jaccard-wanted")
+    # a bitmap of fixed size keeps most other texts from moving; the join decides
+    place = F.pmod(F.xxhash64("id", "th"), F.lit(FILTER_BITS)) + 1
+    parts = (wanted.groupBy(F.bitmap_bucket_number(place).alias("k"))
+             .agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits")).collect())
+    bits = np.zeros(FILTER_BITS // 8, np.uint8)
+    for r in parts:  # of 4 kB each
+        bits[(r["k"] - 1) * 4096:r["k"] * 4096] = np.frombuffer(r["bits"], np.uint8)
+
+    def likely(batches):
+        for b in batches:
+            p = b.column("place").to_numpy() - 1
+            yield b.select(["id", "th", "text"]).filter(pa.array((bits[p >> 3] >> (p & 7) & 1).astype(bool)))
+
+    some = keyed.select("id", "th", "text", place.alias("place")).mapInArrow(likely, "id long, th long, text string")
+    return C.saved(_texts(some, wanted).mapInArrow(rows, "node long, n long, tokens array<long>, sketch binary"), "jaccard-sets")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
     """The pairs (a, b) whose sets link."""
-    tokens = sets.select("node", "tokens")
-    both = (pairs.join(tokens.withColumnsRenamed({"node": "a", "tokens": "ta"}), "a")
-            .join(tokens.withColumnsRenamed({"node": "b", "tokens": "tb"}), "b"))
+    pairs = C.saved(pairs, "jaccard-pairs")  # a known size: few pairs need no exchange of the sets
 
-    def keep(batches):
-        for t in batches:
-            a, b, ok = t.column("a"), t.column("b"), []
-            for p, q in zip(t.column("ta"), t.column("tb")):
-                x, y = np.frombuffer(p.as_buffer(), C.U64), np.frombuffer(q.as_buffer(), C.U64)
-                if len(x) > len(y):
-                    x, y = y, x
-                overlap = int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum())
-                ok.append(rule.linked(overlap, len(x), len(y)))
-            yield pa.RecordBatch.from_arrays([a, b], ["a", "b"]).filter(pa.array(ok, pa.bool_()))
+    def side(end: str) -> DataFrame:
+        return pairs.join(sets.select(F.col("node").alias(end), F.col("tokens").alias(f"t{end}")), end)
 
-    return both.select("a", "b", "ta", "tb").mapInArrow(keep, "a long, b long")
+    overlap = F.size(F.array_intersect("ta", "tb"))
+    both = side("a").join(side("b"), ["a", "b"]).select("a", "b", overlap.alias("o"), F.size("ta").alias("na"), F.size("tb").alias("nb"))
+    return both.where(rule.linked(F.col("o"), F.col("na"), F.col("nb"))).select("a", "b")
 
 
 def _fold(sketch: bytes, width: int) -> np.ndarray:
@@ -356,10 +379,9 @@ def classes(docs: DataFrame, rule: Rule | None = None) -> DataFrame:
     counts = [(r["m"], r["c"]) for r in nodes.groupBy(step).agg(F.max("n").alias("m"), F.count(F.lit(1)).alias("c")).collect()]
     schemes = _Schemes(rule, counts)
 
-    lead = nodes.select("node", F.col("lead.id").alias("id"), F.col("lead.th").alias("th")).hint("merge")
-    texts = C.saved(keyed.join(lead, ["id", "th"]).dropDuplicates(["node"]).select("node", "text"), "jaccard-texts")
-    members = C.saved(_index(texts, schemes, rule), "jaccard-buckets")
-    sets = _candidates(texts, members, rule)
+    lead = nodes.select("node", F.col("lead.id").alias("id"), F.col("lead.th").alias("th"))
+    members = C.saved(_index(_texts(keyed, lead), schemes, rule), "jaccard-buckets")
+    sets = _candidates(keyed, lead, members, rule)
 
     first = members.groupBy("node").agg(F.min("center").alias("b")).select(F.col("node").alias("a"), "b").where("a != b")
     links = C.saved(_verified(first, sets, rule), "jaccard-links")

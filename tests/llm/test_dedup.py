@@ -182,7 +182,7 @@ def test_allocation_covers_the_difference():
     for n in (10, 100, 10**6):
         for size in (5, 30, 400, 20_000):
             d = rule.difference(size, size)
-            one, two = jaccard_join.allocation(n, size, d)
+            one, two = jaccard_join.allocation(n, [(size, d)], d)
             assert one + 2 * two >= d + 1
     edges = rule.edges(10**6)
     for a in range(1, 3000):  # linked sizes lie in neighbouring bands
