@@ -19,12 +19,11 @@ NEAR = jaccard_join.Rule(words=5, num=80, den=100)
 
 
 def quality(spark, docs, sf_dir):
-    """Rows that pass the rules (operator 10); the trusted texts are the labelled
-    rows of ``documents``, the raw corpus is ``docs``."""
-    trusted = quality_rules.trusted(C.plain(C.read(spark, sf_dir, "documents"), "doc_id", "text"),
-                                    C.read(spark, sf_dir, "labels"))
-    weights = quality_rules.fit(C.plain(docs, "doc_id", "text"), trusted)
-    return quality_rules.keep_good(docs, weights)
+    """Rows that pass the rules (operator 10); the trusted and the toxic texts are
+    the labelled rows of ``documents``, the raw corpus is ``docs``."""
+    weights, toxicity = quality_rules.learn(
+        C.plain(docs, "doc_id", "text"), C.plain(C.read(spark, sf_dir, "documents"), "doc_id", "text"), C.read(spark, sf_dir, "labels"))
+    return quality_rules.keep_good(docs, weights, toxicity=toxicity)
 
 
 def near_duplicates(spark, docs, sf_dir):

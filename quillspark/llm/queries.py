@@ -56,8 +56,8 @@ def op9_jaccard_join(spark, sf_dir):
 
 def op10_quality_rules(spark, sf_dir):
     docs = _docs(spark, sf_dir)
-    target = quality_rules.trusted(docs, C.read(spark, sf_dir, "labels"))
-    return quality_rules.judge(docs, quality_rules.fit(docs, target))
+    weights, toxicity = quality_rules.learn(docs, docs, C.read(spark, sf_dir, "labels"))
+    return quality_rules.judge(docs, weights, toxicity=toxicity)
 
 
 # DuckDB SQL of the queries that SQL can express; it shares nothing with the code.

@@ -9,6 +9,7 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from quillspark.llm import common as C
 from quillspark.llm import decontam, gam_quality, quality_rules
@@ -175,3 +176,38 @@ def test_empty_tables(spark, odd):
     assert quality_rules.judge(none, quality_rules.fit(none, none)).count() == 0
     assert gam_quality.score(none, gam_quality.train(none, labels)).count() == 0
     assert not math.isnan(gam_quality.Model().score(np.zeros((1, 3)))[0])
+
+
+def test_toxic_rows_are_dropped_out_of_sample(spark):
+    """Every row judged by weights counted without its own label's fold."""
+    docs = C.plain(C.read(spark, "/root/testdata/sf0.01", "documents"), "doc_id", "text").cache()
+    labels = C.read(spark, "/root/testdata/sf0.01", "labels").withColumn("fold", F.pmod(F.xxhash64("doc_id"), F.lit(3))).cache()
+    n, kept = Counter(), Counter()
+    for fold in range(3):
+        weights, toxicity = quality_rules.learn(docs, docs, labels.where(F.col("fold") != fold))
+        out = quality_rules.judge(docs, weights, toxicity=toxicity).where("not base_failed").join(labels.where(F.col("fold") == fold), "doc_id")
+        for r in out.collect():
+            n[r.quality, r.toxic] += 1
+            kept[r.quality, r.toxic] += r.kept
+    assert kept[1, 0] >= 0.98 * n[1, 0]
+    assert kept[1, 1] <= 0.35 * n[1, 1]  # texts in other languages than English hold no toxic word
+
+
+def test_one_toxic_word_in_a_long_text(spark):
+    rnd = random.Random(6)
+    prose = [f"w{i}" for i in range(2000)]
+    texts = [" ".join(rnd.choices(prose, k=40)) for _ in range(400)]
+    for i in range(0, 100):
+        texts[i] = texts[i] + " vile " + texts[i + 100]
+    rows = list(enumerate(texts)) + [(900, " ".join(rnd.choices(prose, k=20_000)) + " vile"), (901, " ".join(rnd.choices(prose, k=20_000)))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1, int(i < 100)) for i in range(0, 400, 2)] + [(2, 1, 0), (None, 1, 1), (4, None, None)], "doc_id long, quality int, toxic int")
+    weights, toxicity = quality_rules.learn(docs, docs, labels)
+    assert np.allclose(weights, quality_rules.fit(docs, quality_rules.trusted(docs, labels)))
+    got = {r.doc_id: r.kept for r in quality_rules.judge(docs, weights, toxicity=toxicity).collect()}
+    assert not got[900] and not any(got[i] for i in range(100)) and got[901] and sum(got[i] for i in range(100, 400)) >= 298
+    same = quality_rules.keep_good(docs, weights, toxicity=toxicity)
+    assert {r.doc_id for r in same.collect()} == {i for i, k in got.items() if k}
+    for only in ("toxic = 1", "toxic = 0", "false"):  # nothing to hold against
+        _, none = quality_rules.learn(docs, docs, labels.where(only))
+        assert not none.any()
