@@ -80,7 +80,7 @@ PATTERNS = {
 }
 _ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 #: What every entity has somewhere: cheap to look for.
-_TRIGGER = (r"[0-9@]|[=:][\"' ]{0,3}[A-Za-z0-9+/_.-]{6}|(?=\p{Lu})" + _PRE + "(?:"
+_TRIGGER = (r"[0-9@]|[=:][\s\"']{0,5}[A-Za-z0-9+/_.-]{6}|(?=\p{Lu})" + _PRE + "(?:"
             + "|".join(sorted({*(t + "[. ]" for t in TITLES), *(n + " " for n in _ALL_GIVEN)})) + ")")
 
 

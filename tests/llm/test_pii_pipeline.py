@@ -117,3 +117,19 @@ def test_pipeline(spark):
     for _, stage in corpus_pipeline.STAGES:
         nothing = stage(spark, nothing, SF)
     assert nothing.count() == 0
+
+
+def test_every_entity_has_a_trigger(spark):
+    """Each entity alone is looked at, whatever stands between key word and value."""
+    import itertools
+
+    gaps = ["", " ", "\t", "\n", "\r\n", " \t", "\x0b\x0c"]
+    found = [f"{word}{q}{a}{sign}{b}{q}CorrectHorse" for word, q, a, sign, b in itertools.product(
+        ("password", "API_key"), ("", '"', "'"), gaps, "=:", gaps)]
+    found += [f"{t}{dot} Xaver" for t in pii.TITLES for dot in ("", ".")] + [f"{g} Xaver" for g in pii._ALL_GIVEN]
+    found += ["a@b.example.com", "17.252.227.210", "DE89 3704 0044 0532 0130 00", "123-45-6789", "(632) 555-4827", "4111111111111111"]
+    df = spark.createDataFrame(list(enumerate(found)), "doc_id long, text string")
+    assert df.where(~F.col("text").rlike(pii._TRIGGER)).collect() == []
+    out = {r.doc_id: r for r in pii.report(df).collect()}
+    assert all(r.n_entities == 1 for r in out.values())
+    assert not any("CorrectHorse" in r.text for r in out.values())
