@@ -45,7 +45,7 @@ def packed(spark, docs, sf_dir):
     """Pieces of packed sequences, with their ids (operator 4)."""
     import public_tokenizers
 
-    return packing.pack(C.plain(docs, "doc_id", "text"), public_tokenizers.path("byte_bpe_50k.json"), ids=True)
+    return packing.pack(C.plain(docs, "doc_id", "text"), public_tokenizers.path("byte_bpe_50k.json"), ids=True, literal=False)
 
 
 STAGES = [

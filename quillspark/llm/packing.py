@@ -39,12 +39,13 @@ PIECES = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long
           "offset long, continues boolean")
 
 
-def tokenized(docs: DataFrame, path: str, end_id: int = END_ID, leading_space: bool = True) -> DataFrame:
+def tokenized(docs: DataFrame, path: str, end_id: int = END_ID, leading_space: bool = True, literal: bool = True) -> DataFrame:
     """Written table (part, local_start, doc_id, ids) of ``docs(doc_id, text)``;
-    ids: little-endian 16- or 32-bit numbers with ``end_id`` last."""
+    ids: little-endian 16- or 32-bit numbers with ``end_id`` last.  ``literal``:
+    special tokens written out in a text are ordinary text (the queries: not)."""
 
     def rows(batches):
-        enc = encoder(path, leading_space)
+        enc = encoder(path, leading_space, literal)
         part, at = TaskContext.get().partitionId(), 0
         for b, col in C.batches_of(batches, "text", ENCODE_BYTES):
             ids, off = enc.encode_documents(col, end_id)
@@ -110,5 +111,5 @@ def padding(used: int, length: int = LENGTH) -> int:
     return 0 if used & (used - 1) == 0 else length - used
 
 
-def pack(docs: DataFrame, path: str, length: int = LENGTH, end_id: int = END_ID, ids: bool = False) -> DataFrame:
-    return pieces(tokenized(docs, path, end_id), length, ids)
+def pack(docs: DataFrame, path: str, length: int = LENGTH, end_id: int = END_ID, ids: bool = False, literal: bool = True) -> DataFrame:
+    return pieces(tokenized(docs, path, end_id, literal=literal), length, ids)

@@ -31,7 +31,7 @@ def op3_suffix_dedup(spark, sf_dir):
 
 
 def op4_packing(spark, sf_dir, tokenizer=None):
-    return packing.pack(_docs(spark, sf_dir), tokenizer or _vocabulary("byte_bpe_50k.json"))
+    return packing.pack(_docs(spark, sf_dir), tokenizer or _vocabulary("byte_bpe_50k.json"), literal=False)
 
 
 def op5_token_counts(spark, sf_dir, vocabulary=None):
@@ -39,7 +39,7 @@ def op5_token_counts(spark, sf_dir, vocabulary=None):
 
 
 def op6_token_store(spark, sf_dir, tokenizer=None):
-    return token_store.round_trip(_docs(spark, sf_dir), tokenizer or _vocabulary("word_bpe_49k.json"))
+    return token_store.round_trip(_docs(spark, sf_dir), tokenizer or _vocabulary("word_bpe_49k.json"), literal=False)
 
 
 def op7_pii(spark, sf_dir):

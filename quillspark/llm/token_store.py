@@ -136,8 +136,9 @@ def _put(folder: str, name: str, raw: bytes) -> None:
 
 
 def write(docs: DataFrame, folder: str, path: str, end_id: int = END_ID, leading_space: bool = False,
-          shard_ids: int = SHARD_IDS) -> None:
-    """Write the shards of ``docs(doc_id, text)`` in ascending doc_id order."""
+          shard_ids: int = SHARD_IDS, literal: bool = True) -> None:
+    """Write the shards of ``docs(doc_id, text)`` in ascending doc_id order.  ``literal``:
+    special tokens written out in a text are ordinary text (the query: not)."""
     from pyarrow import fs
 
     system, where = fs.FileSystem.from_uri(folder if "://" in folder or folder.startswith("file:") else f"file://{folder}")
@@ -148,7 +149,7 @@ def write(docs: DataFrame, folder: str, path: str, end_id: int = END_ID, leading
     dealt = keyed.repartitionByRange(parts, "doc_id", "tie").sortWithinPartitions("doc_id", "tie")
 
     def shards(batches):
-        enc = encoder(path, leading_space)
+        enc = encoder(path, leading_space, literal)
         part = TaskContext.get().partitionId()
         ids, ends, docs_, null, k, held = [], [], [], [], 0, 0
 

@@ -4,8 +4,8 @@ Both kinds of tokenizer used here cut a text before any merge is made, and
 always at a space (or line end) between two other characters: such pieces can
 be encoded alone.  So the pieces of a slice of texts are told apart by hash,
 each different piece is looked up or encoded once, and the texts' ids are
-gathered from the pieces' ids.  A text with other white space arrangements is
-encoded whole.  The ids are those of the tokenizers library in either case
+gathered from the pieces' ids.  A text with other white space arrangements, or
+one that holds an added token of the file, is encoded whole.  The ids are those of the tokenizers library in either case
 (tests compare whole encodings).
 """
 
@@ -16,6 +16,7 @@ from array import array
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 from . import common as C
 
@@ -41,14 +42,17 @@ def _wide_space(a: np.ndarray, b: np.ndarray, c: np.ndarray) -> np.ndarray:
 
 class Encoder:
     """``leading_space``: a piece keeps the space before it (byte-level BPE);
-    otherwise white space is dropped by the tokenizer (word BPE)."""
+    otherwise white space is dropped by the tokenizer (word BPE).  ``literal``: the
+    characters of a special token in a text are ordinary text; otherwise they are
+    that token, as the library has it."""
 
-    def __init__(self, path: str, leading_space: bool):
+    def __init__(self, path: str, leading_space: bool, literal: bool = False):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
-        self.tok.encode_special_tokens = True
+        self.tok.encode_special_tokens = literal
+        self.added = [t for t in self.tok.get_added_tokens_decoder().values() if not (literal and t.special)]
         self.kind = np.dtype("<u2") if self.tok.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
         self.leading = leading_space
         self.newer: dict[bytes, bytes] = {}
@@ -99,6 +103,8 @@ class Encoder:
         """Ids of all texts one after the other, and their offsets."""
         data, off = C.raw_bytes(col)
         odd = self._odd(data, off)
+        for t in self.added:
+            odd |= pc.match_substring(col, t.content, ignore_case=t.normalized).to_numpy(zero_copy_only=False)
         if odd.any():
             plain = np.flatnonzero(~odd)
             ids, at = self._regular(col.take(pa.array(plain)))
@@ -160,12 +166,12 @@ def binaries(ids: np.ndarray, off: np.ndarray) -> pa.Array:
                                  ).cast(pa.binary())
 
 
-_KEPT: dict[tuple[str, bool], Encoder] = {}
+_KEPT: dict[tuple[str, bool, bool], Encoder] = {}
 
 
-def encoder(path: str, leading_space: bool) -> Encoder:
+def encoder(path: str, leading_space: bool, literal: bool) -> Encoder:
     """The worker's encoder for a file (kept between tasks)."""
-    key = (path, leading_space)
+    key = (path, leading_space, literal)
     if key not in _KEPT:
-        _KEPT[key] = Encoder(path, leading_space)
+        _KEPT[key] = Encoder(path, leading_space, literal)
     return _KEPT[key]

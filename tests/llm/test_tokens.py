@@ -136,3 +136,27 @@ def test_token_store(spark, odd, shard, tmp_path):
 
 def test_empty_store(odd):
     assert token_store.round_trip(odd.limit(0), WORD).count() == 0
+
+
+MARKED = ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|>\ny <|ENDOFTEXT|>", "<|startoftext|>Hello  <|endoftext|> \n", "a <|endoftext |> b", "plain text"]
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.sampled_from(["a", "B", " ", "\n", "\t", "é", "'", "1", "<|endoftext|>", "<|startoftext|>", "<|", "endoftext", "|>"]),
+                max_size=12).map("".join))
+def test_encoding_is_that_of_the_untouched_file(encoders, text):
+    for e, path in zip(encoders, (BYTE, WORD)):
+        ids, off = e.encode(pa.array([text, *MARKED], pa.large_string()))
+        tok = Tokenizer.from_file(path)
+        assert [ids[a:b].tolist() for a, b in zip(off, off[1:])] == [tok.encode(t, add_special_tokens=False).ids for t in (text, *MARKED)]
+
+
+def test_queries_take_markers_as_the_library_does(spark, tmp_path):
+    from quillspark.llm import queries
+
+    spark.createDataFrame(list(enumerate(MARKED)), "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    for query, path, end in ((queries.op4_packing, BYTE, packing.END_ID), (queries.op6_token_store, WORD, token_store.END_ID)):
+        tok = Tokenizer.from_file(path)
+        want = {i: np.array([*tok.encode(t, add_special_tokens=False).ids, end], "<u4") for i, t in enumerate(MARKED)}
+        got = {r.doc_id: (r.ids_crc32, r.asDict().get("n_tokens", r.asDict().get("length"))) for r in query(spark, str(tmp_path)).collect()}
+        assert got == {i: (zlib.crc32(x.tobytes()), len(x)) for i, x in want.items()}
