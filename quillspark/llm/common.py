@@ -3,11 +3,12 @@ arithmetic on Arrow string columns, and a distributed connected-components
 loop.
 
 Word classes are byte classes of UTF-8, so a batch of texts is handled as one
-byte array with document offsets.  All arithmetic on hashes is modulo 2**64.
+byte array with document offsets.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
@@ -66,13 +67,16 @@ def powers(seed: int, n: int) -> tuple[np.ndarray, np.ndarray]:
             a[0] = 1
             out.append(np.cumprod(a, dtype=U64))
         have = (out[0], out[1])
-        if size <= 1 << 22:
+        if size <= 1 << 20:  # what a worker keeps: 16 MB a seed
             _POW[seed] = have
     return have[0][:n], have[1][:n]
 
 
 def span_hash(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int = 0) -> np.ndarray:
-    """Position-free hash of each span [start, end) of a sequence of 64-bit codes."""
+    """Rolling hash of spans [start, end) of a sequence of 64-bit codes.  Unequal
+    spans with the structure of a Thue-Morse word can share it under every seed,
+    so it only ever drops what cannot match: equality is decided on the bytes,
+    or by ``byte_hash`` and ``window_hash``."""
     n = len(values)
     p, inv = powers(seed, n + 1)
     pre = np.empty(n + 1, dtype=U64)
@@ -82,6 +86,83 @@ def span_hash(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: in
     return mix((pre[ends] - pre[starts]) * inv[starts] + length * U64(0x9E3779B97F4A7C15))
 
 
+#: Spans of more bytes are hashed one by one (BLAKE2b), shorter ones eight bytes a step.
+LONG_SPAN = 64
+_LOW_BYTES = np.array([(1 << 8 * k) - 1 for k in range(8)] + [(1 << 64) - 1], dtype=U64)
+
+
+def _eights(data: np.ndarray) -> np.ndarray:
+    """The eight bytes from each place on as one number (zeros after the end)."""
+    padded = np.concatenate((data, np.zeros(8, np.uint8)))
+    return np.ndarray((len(data) + 1,), "<u8", padded, 0, (1,))
+
+
+def byte_hash(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int = 0) -> np.ndarray:
+    """64-bit hash of the bytes of each span.  Every step mixes the state with the
+    next eight bytes, so no arithmetic relation between bytes survives; hashes of
+    different seeds are independent."""
+    left = ends - starts
+    eight = _eights(data)
+    h = mix(left.astype(U64) + U64((seed + 1) * 0x9E3779B97F4A7C15 & (1 << 64) - 1))
+    long_ = np.flatnonzero(left > LONG_SPAN)
+    rows, at = np.flatnonzero((left > 0) & (left <= LONG_SPAN)), 0
+    while len(rows):
+        rest = left[rows] - at
+        x = eight[starts[rows] + at] & _LOW_BYTES[np.minimum(rest, 8)]
+        h[rows] = mix(h[rows] ^ x)
+        rows, at = rows[rest > 8], at + 8
+    if len(long_):
+        raw, salt = memoryview(data), seed.to_bytes(8, "little")
+        h[long_] = np.frombuffer(b"".join(
+            hashlib.blake2b(raw[s:e], digest_size=8, salt=salt).digest()
+            for s, e in zip(starts[long_].tolist(), ends[long_].tolist())), "<u8")
+    return h
+
+
+def equal_bytes(a: np.ndarray, at: np.ndarray, n: np.ndarray, b: np.ndarray, bt: np.ndarray, m: np.ndarray) -> np.ndarray:
+    """Which spans of ``a`` (from ``at``, ``n`` bytes) have the bytes of their
+    counterparts of ``b`` (from ``bt``, ``m`` bytes)?"""
+    same = n == m
+    x, y = _eights(a), _eights(b)
+    far = np.flatnonzero(same & (n > LONG_SPAN))
+    rows, k = np.flatnonzero(same & (n > 0) & (n <= LONG_SPAN)), 0
+    while len(rows):
+        rest = n[rows] - k
+        ok = (x[at[rows] + k] ^ y[bt[rows] + k]) & _LOW_BYTES[np.minimum(rest, 8)] == 0
+        same[rows[~ok]] = False
+        rows, k = rows[ok & (rest > 8)], k + 8
+    for i in far.tolist():
+        same[i] = np.array_equal(a[at[i]:at[i] + n[i]], b[bt[i]:bt[i] + n[i]])
+    return same
+
+
+def window_hash(h: np.ndarray, at: np.ndarray, size: int, seed: int = 0) -> np.ndarray:
+    """64-bit hash of the ``size`` hashes from each place ``at`` on, built from
+    windows of one, two, four ... places, each mixed."""
+    level = mix(h ^ U64((seed + 1) * 0xD6E8FEB86659FD93 & (1 << 64) - 1))
+    out, bit = mix(np.full(len(at), size, U64)), 1
+    if not len(at):
+        return out
+    while True:
+        if size & bit:
+            out = mix(out * U64(0xA0761D6478BD642F) + level[at])
+            at = at + bit
+        if 2 * bit > size:
+            return out
+        level = mix(level[:-bit] * U64(0xE7037ED1A0B428DB) + level[bit:])
+        bit *= 2
+
+
+def codes_of(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(number of each key among the different ones, first place of each different key)."""
+    import pandas as pd
+
+    code, different = pd.factorize(keys)
+    first = np.empty(len(different), np.int64)
+    first[code[::-1]] = np.arange(len(keys))[::-1]
+    return code, first
+
+
 def texts_of(col: pa.Array | pa.ChunkedArray) -> pa.LargeStringArray:
     """A text column as one large_string array; null counts as the empty text."""
     if isinstance(col, pa.ChunkedArray):
@@ -153,7 +234,7 @@ class Words:
         return np.repeat(np.arange(self.n_docs), self.counts)
 
     def hashes(self, seed: int = 0) -> np.ndarray:
-        return span_hash(_byte_codes(seed)[self.data], self.starts, self.ends, seed)
+        return byte_hash(self.data, self.starts, self.ends, seed)
 
     def windows(self, size: int) -> tuple[np.ndarray, np.ndarray]:
         """First word and document of every window of ``size`` words of one document."""

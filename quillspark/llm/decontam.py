@@ -52,7 +52,7 @@ class Grams:
                 continue
             size = min(window, n)
             at, _ = w.windows(size)
-            found.setdefault(size, set()).update(C.span_hash(w.hashes(), at, at + size, 2).tolist())
+            found.setdefault(size, set()).update(C.window_hash(w.hashes(), at, size).tolist())
             for a in at:
                 names = self.items.setdefault(window_words(w, a, size), [])
                 if name not in names:
@@ -67,7 +67,7 @@ class Grams:
         items: list[set[str]] = [set() for _ in range(w.n_docs)]
         for size, known in self.hashes.items():
             at, doc = w.windows(size)
-            wh = C.span_hash(h, at, at + size, 2)
+            wh = C.window_hash(h, at, size)
             k = np.minimum(np.searchsorted(known, wh), len(known) - 1)
             maybe = np.flatnonzero(known[k] == wh)
             sure = []

@@ -80,7 +80,7 @@ def featurise(col: pa.LargeStringArray) -> np.ndarray:
     s2, d2 = w.windows(2)
     twins = np.bincount(d2[h[s2] == h[s2 + 1]], minlength=nd)
     s5, d5 = w.windows(5)
-    wh = C.span_hash(h, s5, s5 + 5, 2) + C.mix(d5.astype(C.U64))
+    wh = C.window_hash(h, s5, 5) + C.mix(d5.astype(C.U64))
     order = np.argsort(wh)
     b = C.bounds(wh[order])
     runs = np.diff(np.append(b, len(wh)))
@@ -92,7 +92,7 @@ def featurise(col: pa.LargeStringArray) -> np.ndarray:
     ls = ls[ls < len(w.data)]
     le = np.append(ls[1:], len(w.data))
     ld = np.searchsorted(w.off, ls, side="right") - 1
-    lh = C.span_hash(C._byte_codes(1)[w.data], ls, le, 1) + C.mix(ld.astype(C.U64))
+    lh = C.byte_hash(w.data, ls, le, 1) + C.mix(ld.astype(C.U64))
     order = np.argsort(lh)
     again = np.ones(len(lh), bool)
     again[C.bounds(lh[order])] = False

@@ -107,11 +107,12 @@ def _sets(col: pa.LargeStringArray, words: int) -> tuple[np.ndarray, np.ndarray]
     w = C.Words(col, C.SPACE_WORD, True)
     h = w.hashes()
     at, doc = w.windows(words)
-    x = C.span_hash(h, at, at + words, 2)
+    x = C.window_hash(h, at, words)
     few = np.flatnonzero((w.counts > 0) & (w.counts < words))
-    if len(few):
-        x = np.concatenate((x, C.span_hash(h, w.first[few], w.first[few + 1], 2)))
-        doc = np.concatenate((doc, few))
+    for size in np.unique(w.counts[few]).tolist():
+        own = few[w.counts[few] == size]
+        x = np.concatenate((x, C.window_hash(h, w.first[own], size)))
+        doc = np.concatenate((doc, own))
     order = np.lexsort((x, doc))
     x, doc = x[order], doc[order]
     b = C.bounds(np.column_stack([x, doc.astype(C.U64)]))

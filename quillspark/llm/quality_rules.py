@@ -187,7 +187,7 @@ def measure(col: pa.LargeStringArray, weights: np.ndarray, threshold: float = TH
     wordy = C.sums_by(np.append(starts, size), w.isw) > 0 if len(starts) else np.zeros(0, bool)
     starts, ends = starts[wordy], ends[wordy]
     line_doc = np.searchsorted(w.off, starts, side="right") - 1
-    lh = C.span_hash(C._byte_codes(1)[w.data], starts, ends, 1) + C.mix(line_doc.astype(C.U64))
+    lh = C.byte_hash(w.data, starts, ends, 1) + C.mix(line_doc.astype(C.U64))
     order = np.argsort(lh, kind="stable")
     again = np.ones(len(lh), bool)
     again[C.bounds(lh[order])] = False
@@ -196,7 +196,7 @@ def measure(col: pa.LargeStringArray, weights: np.ndarray, threshold: float = TH
     # words inside windows that occur twice or more in their text
     h = w.hashes()
     ws, wd = w.windows(REPEAT_WINDOW)
-    wh = C.span_hash(h, ws, ws + REPEAT_WINDOW, 2) + C.mix(wd.astype(C.U64) + C.U64(7))
+    wh = C.window_hash(h, ws, REPEAT_WINDOW) + C.mix(wd.astype(C.U64) + C.U64(7))
     order = np.argsort(wh)
     b = C.bounds(wh[order])
     many = np.repeat(np.diff(np.append(b, len(wh))) > 1, np.diff(np.append(b, len(wh))))

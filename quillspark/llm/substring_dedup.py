@@ -40,7 +40,7 @@ def _windows(col: pa.LargeStringArray, size: int):
     for i, j in C.slices(col):
         w = C.Words(col.slice(i, j - i), C.SPACE_WORD, False)
         at, doc = w.windows(size)
-        for part, x in zip(parts, (C.span_hash(w.hashes(0), at, at + size, 2), C.span_hash(w.hashes(1), at, at + size, 0),
+        for part, x in zip(parts, (C.window_hash(w.hashes(0), at, size, 0), C.window_hash(w.hashes(1), at, size, 1),
                                    doc + i, at - w.first[:-1][doc])):
             part.append(x)
     kinds = (C.U64, C.U64, np.int64, np.int64)
