@@ -12,9 +12,14 @@ partition (16 bytes each), whatever the number of documents.  A task that is
 run again writes its own partition again; the table of ids is written before
 the offsets are read, so a lost executor cannot change them.
 
-Defined results: null text counts as empty and has the end id only; repeated
-rows are packed one by one; an empty table gives no pieces; the last sequence
-is short by the padding, which is 0 at a power of two.
+A task holds the longest document of its partition whole, with its ids.
+
+Defined results: null text counts as empty and has the end id only; a very long
+text is cut into as many pieces as sequences it reaches; repeated rows are packed
+one by one, in the order of their partition, and so are rows with equal ids (no
+order is defined between documents); other columns, of whatever name, are not
+read; an empty table gives no pieces; the last sequence is short by the padding,
+which is 0 at a power of two.
 """
 
 from __future__ import annotations
@@ -28,12 +33,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import common as C
-from .tokens import binaries, encoder
+from .tokens import binaries, encoder, sent
 
 LENGTH = 1024
 END_ID = 0
 #: Text bytes encoded at once.
-ENCODE_BYTES = 4 << 20
+ENCODE_BYTES = 2 << 20
+#: Ids cut at once.
+CUT_IDS = 1 << 19
 
 PIECES = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, "
           "offset long, continues boolean")
@@ -44,8 +51,10 @@ def tokenized(docs: DataFrame, path: str, end_id: int = END_ID, leading_space: b
     ids: little-endian 16- or 32-bit numbers with ``end_id`` last.  ``literal``:
     special tokens written out in a text are ordinary text (the queries: not)."""
 
+    name, content = sent(docs.sparkSession, path)
+
     def rows(batches):
-        enc = encoder(path, leading_space, literal)
+        enc = encoder(name, content, leading_space, literal)
         part, at = TaskContext.get().partitionId(), 0
         for b, col in C.batches_of(batches, "text", ENCODE_BYTES):
             ids, off = enc.encode_documents(col, end_id)
@@ -71,6 +80,41 @@ def partition_offsets(table: DataFrame) -> dict[int, int]:
     return out
 
 
+def _stretches(n: np.ndarray):
+    """Row ranges of about ``CUT_IDS`` ids (one row at least)."""
+    end, i = np.cumsum(n), 0
+    while i < len(n):
+        j = max(i + 1, int(np.searchsorted(end, (end[i - 1] if i else 0) + CUT_IDS, side="right")))
+        yield i, j
+        i = j
+
+
+def _cut(b: pa.RecordBatch, offsets: dict[int, int], length: int, with_ids: bool) -> pa.RecordBatch:
+    """Pieces of some tokenized documents."""
+    n = b.column("n").to_numpy()
+    begin = np.array([offsets[p] for p in b.column("part").to_pylist()], np.int64) + b.column("local_start").to_numpy()
+    first, last = begin // length, (begin + n - 1) // length
+    per = last - first + 1
+    row = np.repeat(np.arange(len(n)), per)
+    seq = first[row] + np.arange(len(row)) - (np.cumsum(per) - per)[row]
+    at = np.maximum(seq * length, begin[row])
+    end = np.minimum((seq + 1) * length, (begin + n)[row])
+    kind = ["<u2" if w == 2 else "<u4" for w in b.column("width").to_pylist()]
+    pool = np.concatenate([np.frombuffer(x.as_buffer(), k).astype("<u4") for x, k in zip(b.column("ids"), kind)])
+    own = np.cumsum(n) - n
+    size = end - at
+    lo = own[row] + at - begin[row]
+    crc = [zlib.crc32(pool[s:e]) for s, e in zip(lo.tolist(), (lo + size).tolist())]
+    take = pa.array(row)
+    arrays = [b.column("doc_id").take(take), pa.array(at - begin[row]), pa.array(size), pa.array(crc, pa.int64()),
+              b.column("n").take(take), pa.array(seq), pa.array(at - seq * length), pa.array(end < (begin + n)[row])]
+    names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "continues"]
+    if with_ids:  # the pieces of consecutive documents are the pool, cut
+        arrays.append(pa.ListArray.from_arrays(pa.array(np.append(lo, len(pool)).astype(np.int32)), pa.array(pool.view("<i4"))))
+        names.append("ids")
+    return pa.RecordBatch.from_arrays(arrays, names)
+
+
 def pieces(table: DataFrame, length: int = LENGTH, ids: bool = False) -> DataFrame:
     """Pieces of every document of a tokenized table; with ``ids`` also the ids
     themselves (array<int>).  ``continues``: the document goes on in the next
@@ -78,30 +122,9 @@ def pieces(table: DataFrame, length: int = LENGTH, ids: bool = False) -> DataFra
     offsets = partition_offsets(table)
 
     def cut(batches):
-        for b in batches:
-            cols = {k: [] for k in ("row", "start", "length", "crc", "ids", "seq", "off", "more")}
-            for row, (part, local, n, width, raw) in enumerate(zip(*(
-                    b.column(c).to_pylist() for c in ("part", "local_start", "n", "width", "ids")))):
-                own = np.frombuffer(raw, "<u2" if width == 2 else "<u4").astype("<u4")
-                begin = offsets[part] + local
-                at = 0
-                while at < n:
-                    seq, off = divmod(begin + at, length)
-                    size = min(n - at, length - off)
-                    piece = own[at:at + size]
-                    for k, v in zip(cols, (row, at, size, zlib.crc32(piece), piece if ids else None, seq, off, at + size < n)):
-                        cols[k].append(v)
-                    at += size
-            row = np.array(cols["row"], np.int64)
-            arrays = [b.column("doc_id").take(pa.array(row)), pa.array(cols["start"], pa.int64()),
-                      pa.array(cols["length"], pa.int64()), pa.array(cols["crc"], pa.int64()),
-                      b.column("n").take(pa.array(row)), pa.array(cols["seq"], pa.int64()),
-                      pa.array(cols["off"], pa.int64()), pa.array(cols["more"], pa.bool_())]
-            names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "continues"]
-            if ids:
-                arrays.append(pa.array([x.astype(np.int32) for x in cols["ids"]], pa.list_(pa.int32())))
-                names.append("ids")
-            yield pa.RecordBatch.from_arrays(arrays, names)
+        for whole in batches:
+            for i, j in _stretches(whole.column("n").to_numpy()):
+                yield _cut(whole.slice(i, j - i), offsets, length, ids)
 
     return table.mapInArrow(cut, PIECES + (", ids array<int>" if ids else ""))
 

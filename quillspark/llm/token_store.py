@@ -15,10 +15,12 @@ Scale: one range exchange by (doc_id, hash of the text) - the second key keeps
 a repeated id from filling one task - then each task sorts and writes its
 shards of ``SHARD_IDS`` ids (a long document makes a longer shard).  Files
 appear under their final name only when complete, and a task run again writes
-the same bytes, so executors may be lost.  The driver sees one row a shard.
+the same bytes, so executors may be lost.  The shards' offsets are a table, joined
+to what is read from the files; the driver sees neither.
 
-Defined results: null text counts as empty and has the end id only; null ids
-sort first; rows with equal ids follow the hash of their text; an empty table
+Defined results: null text counts as empty and has the end id only; a very long
+text makes its shard longer; null ids sort first; rows with equal ids follow the
+hash of their text; other columns, of whatever name, are not read; an empty table
 gives no files and no rows.
 """
 
@@ -31,12 +33,12 @@ import zlib
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import shared_dir
 from . import common as C
-from .tokens import encoder
+from .tokens import encoder, sent
 
 MAGIC = b"QSTOKEF1"
 STEP = 256
@@ -45,7 +47,7 @@ SHARD_IDS = 4_000_000
 PART_BYTES = 24 << 20
 END_ID = 2
 #: Text bytes encoded at once.
-ENCODE_BYTES = 4 << 20
+ENCODE_BYTES = 2 << 20
 
 
 class EliasFano:
@@ -71,23 +73,35 @@ class EliasFano:
         low = np.unpackbits(self.low, bitorder="little", count=self.n * self.low_bits).reshape(self.n, self.low_bits)
         return ((ones - np.arange(self.n)) << self.low_bits) + (low.astype(np.int64) << np.arange(self.low_bits)).sum(1)
 
-    def __getitem__(self, i: int) -> int:
-        """Value i: select of the i-th set bit from the nearest sample, plus its low bits."""
-        at, need = int(self.samples[i // STEP]), i % STEP
-        byte = at >> 3
-        window = np.unpackbits(self.high[byte:byte + 1], bitorder="little")
-        window[:at & 7] = 0
-        have = int(window.sum())
-        while have <= need:
-            need -= have
-            byte += 1
-            window = np.unpackbits(self.high[byte:byte + 1], bitorder="little")
-            have = int(window.sum())
-        one = (byte << 3) + int(np.flatnonzero(window)[need])
+    def select(self, i: np.ndarray) -> np.ndarray:
+        """Values ``i``: each set bit is looked for from the nearest sample on (all
+        together, a byte a step), then the low bits are added."""
+        i = np.asarray(i, np.int64)
+        at = self.samples[i // STEP].astype(np.int64)
+        need, byte = i % STEP, at >> 3
+        bits = self.high[byte] >> (at & 7).astype(np.uint8) << (at & 7).astype(np.uint8)
+        open_ = np.arange(len(i))
+        while len(open_):
+            have = np.bitwise_count(bits[open_])
+            open_ = open_[have <= need[open_]]
+            need[open_] -= np.bitwise_count(bits[open_])
+            byte[open_] += 1
+            bits[open_] = self.high[byte[open_]]
+        place = np.cumsum(np.unpackbits(bits[:, None], axis=1, bitorder="little"), axis=1, dtype=np.int64)
+        one = (byte << 3) + (place <= need[:, None]).sum(axis=1)
+        # the low bits lie in nine bytes at most
         start = i * self.low_bits
-        first, last = start >> 3, (start + self.low_bits + 7) >> 3
-        low = int.from_bytes(self.low[first:last].tobytes(), "little") >> (start & 7) & ((1 << self.low_bits) - 1)
-        return (one - i) << self.low_bits | low
+        padded = np.concatenate((self.low, np.zeros(9, np.uint8)))
+        eight = np.ndarray((len(self.low) + 2,), "<u8", padded, 0, (1,))
+        shift = (start & 7).astype(np.uint64)
+        low = eight[start >> 3] >> shift
+        if self.low_bits > 57:
+            low |= np.where(shift > 0, padded[(start >> 3) + 8].astype(np.uint64) << (np.uint64(64) - np.maximum(shift, np.uint64(1))), np.uint64(0))
+        low &= np.uint64((1 << self.low_bits) - 1)
+        return ((one - i) << self.low_bits) | low.astype(np.int64)
+
+    def __getitem__(self, i: int) -> int:
+        return int(self.select(np.array([i]))[0])
 
 
 class Shard:
@@ -125,10 +139,17 @@ class Shard:
         return self.ids[self.ends[i - 1] if i else 0:self.ends[i]]
 
 
-def _put(folder: str, name: str, raw: bytes) -> None:
+def _system(folder: str):
+    """File system of a folder (as pyarrow has them: local, hdfs, s3, gs, abfs) and its path there."""
     from pyarrow import fs
 
-    system, path = fs.FileSystem.from_uri(folder if "://" in folder or folder.startswith("file:") else f"file://{folder}")
+    for spark_name in ("s3a://", "s3n://"):
+        folder = folder.replace(spark_name, "s3://", 1) if folder.startswith(spark_name) else folder
+    return fs.FileSystem.from_uri(folder if "://" in folder or folder.startswith("file:") else f"file://{folder}")
+
+
+def _put(folder: str, name: str, raw: bytes) -> None:
+    system, path = _system(folder)
     draft = f"{path}/.{name}.{uuid.uuid4().hex}"
     with system.open_output_stream(draft) as f:
         f.write(raw)
@@ -139,17 +160,17 @@ def write(docs: DataFrame, folder: str, path: str, end_id: int = END_ID, leading
           shard_ids: int = SHARD_IDS, literal: bool = True) -> None:
     """Write the shards of ``docs(doc_id, text)`` in ascending doc_id order.  ``literal``:
     special tokens written out in a text are ordinary text (the query: not)."""
-    from pyarrow import fs
-
-    system, where = fs.FileSystem.from_uri(folder if "://" in folder or folder.startswith("file:") else f"file://{folder}")
+    system, where = _system(folder)
     system.create_dir(where)
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = max(docs.sparkSession.sparkContext.defaultParallelism, int(size // PART_BYTES) + 1)
     keyed = docs.select("doc_id", "text", F.xxhash64("text").alias("tie"))
     dealt = keyed.repartitionByRange(parts, "doc_id", "tie").sortWithinPartitions("doc_id", "tie")
 
+    name, content = sent(docs.sparkSession, path)
+
     def shards(batches):
-        enc = encoder(path, leading_space, literal)
+        enc = encoder(name, content, leading_space, literal)
         part = TaskContext.get().partitionId()
         ids, ends, docs_, null, k, held = [], [], [], [], 0, 0
 
@@ -157,7 +178,7 @@ def write(docs: DataFrame, folder: str, path: str, end_id: int = END_ID, leading
             nonlocal ids, ends, docs_, null, k, held
             ef = EliasFano.of(np.concatenate(ends))
             raw = Shard(np.concatenate(docs_), np.concatenate(null), ef, np.concatenate(ids), part).dumps()
-            _put(folder, f"part-{part:06d}-{k:06d}-{held}.tok", raw)
+            _put(folder, f"part-{part:012d}-{k:012d}-{held}.tok", raw)
             out = pa.RecordBatch.from_pydict({"n_docs": [ef.n], "n_ids": [held]})
             ids, ends, docs_, null, k, held = [], [], [], [], k + 1, 0
             return out
@@ -178,29 +199,50 @@ def write(docs: DataFrame, folder: str, path: str, end_id: int = END_ID, leading
     done.agg(F.count(F.lit(1))).collect()
 
 
+#: Shards under one sum of the offsets.
+SHARD_GROUP = 4096
+
+
+def shard_starts(names: DataFrame) -> DataFrame:
+    """(part, k, base) of every shard from ``names(path)``: ids of all shards before
+    it, by the numbers in the names.  Two levels of prefix sums: within groups of
+    partitions, and over the groups' sums."""
+    at = r"part-(\d+)-(\d+)-(\d+)\.tok$"
+    shards = names.select(*[F.regexp_extract("path", at, i + 1).cast("long").alias(c) for i, c in enumerate(("part", "k", "ids"))])
+    shards = shards.withColumn("g", F.floor(F.col("part") / SHARD_GROUP))
+    groups = shards.groupBy("g").agg(F.sum("ids").alias("t"))
+    before = Window.orderBy("g").rowsBetween(Window.unboundedPreceding, -1)  # a row for 100 GB of text
+    groups = groups.select("g", F.coalesce(F.sum("t").over(before), F.lit(0)).alias("s"))
+    inside = Window.partitionBy("g").orderBy("part", "k").rowsBetween(Window.unboundedPreceding, -1)
+    return (shards.withColumn("o", F.coalesce(F.sum("ids").over(inside), F.lit(0))).join(groups, "g")
+            .select("part", "k", (F.col("s") + F.col("o")).alias("base")))
+
+
 def read(spark, folder: str) -> DataFrame:
-    """(doc_id, start, n_tokens, ids_crc32) of every document, from the files."""
+    """(doc_id, start, n_tokens, ids_crc32) of every document, from the files: each
+    document's start and end are selected from its shard's Elias-Fano code."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.tok").load(folder)
-    # shards follow their names, which end with their number of ids; one name a shard reaches the driver
-    starts, at = {}, 0
-    for name in sorted(r["path"].rsplit("/", 1)[1] for r in files.select("path").collect()):
-        starts[name] = at
-        at += int(name[:-4].rsplit("-", 1)[1])
 
     def rows(batches):
         for b in batches:
             for path, raw in zip(b.column(0).to_pylist(), b.column(1)):
                 shard = Shard.loads(raw.as_buffer())
-                ends = shard.ends.all()
-                begin = np.concatenate(([0], ends[:-1])).astype(np.int64)
-                crc = [zlib.crc32(shard.ids[s:e].astype("<u4")) for s, e in zip(begin, ends)]
-                ids = pa.array(shard.docs, mask=shard.null.astype(bool))
-                yield pa.RecordBatch.from_arrays(
-                    [ids, pa.array(begin + starts[path.rsplit("/", 1)[1]]), pa.array(ends - begin),
-                     pa.array(crc, pa.int64())], ["doc_id", "start", "n_tokens", "ids_crc32"])
-
-    return files.select("path", "content").mapInArrow(
-        rows, "doc_id long, start long, n_tokens long, ids_crc32 long")
+                part, k = path.rsplit("/", 1)[1].split("-")[1:3]
+                end = shard.ends.select(np.arange(shard.ends.n))
+                begin = np.concatenate(([0], end[:-1])).astype(np.int64)
+                n = len(end)
+                for i in range(0, n, 10_000):
+                    s, e = begin[i:i + 10_000], end[i:i + 10_000]
+                    crc = [zlib.crc32(shard.ids[x:y].astype("<u4")) for x, y in zip(s.tolist(), e.tolist())]
+                    ids = pa.array(shard.docs[i:i + 10_000], mask=shard.null[i:i + 10_000].astype(bool))
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.full(len(s), int(part))), pa.array(np.full(len(s), int(k))), ids, pa.array(s), pa.array(e - s),
+                         pa.array(crc, pa.int64())], ["part", "k", "doc_id", "local", "n_tokens", "ids_crc32"])
+
+    found = files.select("path", "content").mapInArrow(
+        rows, "part long, k long, doc_id long, local long, n_tokens long, ids_crc32 long")
+    return (found.join(shard_starts(files.select("path")), ["part", "k"])
+            .select("doc_id", (F.col("base") + F.col("local")).alias("start"), "n_tokens", "ids_crc32"))
 
 
 def round_trip(docs: DataFrame, path: str, **kw) -> DataFrame:

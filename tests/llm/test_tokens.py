@@ -106,10 +106,25 @@ def test_elias_fano(steps):
     values = np.cumsum(np.array(steps, np.int64))
     e = token_store.EliasFano.of(values)
     assert e.all().tolist() == values.tolist()
-    for i in range(0, len(values), 7):
+    assert e.select(np.arange(len(values))).tolist() == values.tolist()
+    for i in range(0, len(values), 97):
         assert e[i] == values[i]
 
 
+def test_select_of_wide_numbers():
+    for top in (1 << 40, 1 << 58, 1 << 61):
+        values = np.array([0, 5, top // 3, top // 2, top])
+        e = token_store.EliasFano.of(values)
+        assert e.select(np.arange(5)).tolist() == values.tolist()
+
+
+def test_shards_follow_their_numbers(spark):
+    names = [f"x/part-{p:012d}-{k:012d}-{n}.tok" for p, k, n in ((0, 0, 5), (0, 1, 7), (999_999, 0, 11), (1_000_000, 0, 13), (1_000_000, 2, 17),
+                                                              (2_000_000_000_000, 0, 19))]
+    rows = token_store.shard_starts(spark.createDataFrame([(n,) for n in reversed(names)], "path string")).orderBy("part", "k").collect()
+    assert [r.base for r in rows] == [0, 5, 12, 23, 36, 53]
+
+
 def test_store_is_small():
     rnd = random.Random(2)
     values = np.cumsum([rnd.randint(1, 2000) for _ in range(20_000)])
