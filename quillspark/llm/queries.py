@@ -3,8 +3,11 @@ fitted models, tokenizers, keyed permutations, classes of a similarity join)."""
 
 from __future__ import annotations
 
+from itertools import permutations
+
 from . import common as C
-from . import decontam, gam_quality, jaccard_join, packing, pii, quality_rules, substring_dedup, suffix_dedup, token_counts, token_store
+from . import (centroids, decontam, filter_audit, gam_quality, jaccard_join, packing, pii, quality_rules, substring_dedup, suffix_dedup,
+               token_counts, token_store)
 
 
 def _vocabulary(name):
@@ -60,6 +63,16 @@ def op10_quality_rules(spark, sf_dir):
     return quality_rules.judge(docs, weights, toxicity=toxicity)
 
 
+def op11_centroids(spark, sf_dir):
+    return centroids.cluster(C.read(spark, sf_dir, "embeddings"))
+
+
+def op12_filter_audit(spark, sf_dir):
+    docs = C.read(spark, sf_dir, "documents").selectExpr("cast(doc_id as long) as doc_id", "cast(text as string) as text",
+                                                         "cast(source as string) as part")
+    return filter_audit.audit(docs, C.read(spark, sf_dir, "labels"))
+
+
 # DuckDB SQL of the queries that SQL can express; it shares nothing with the code.
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -110,6 +123,60 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) A
 FROM d LEFT JOIN kept USING (r)
 """
 
+
+
+def _op11_sql(rounds=centroids.ROUNDS):
+    """Rounds of assignment and floor means, spelled out."""
+    def assigned(r):
+        return f"""d{r} AS MATERIALIZED (SELECT r, c, sum((x - y) * (x - y)) AS d FROM e JOIN c{r} USING (i) GROUP BY r, c),
+a{r} AS MATERIALIZED (SELECT r, c, d FROM d{r} QUALIFY row_number() OVER (PARTITION BY r ORDER BY d, c) = 1)"""
+
+    steps = []
+    for r in range(rounds):
+        steps.append(f"""{assigned(r)},
+c{r + 1} AS MATERIALIZED (SELECT c, i, coalesce((s - ((s % n) + n) % n) // n, y) AS y FROM c{r} LEFT JOIN
+  (SELECT c, i, sum(x) AS s, count(*) AS n FROM a{r} JOIN e USING (r) GROUP BY c, i) USING (c, i)),""")
+    body = "\n".join(steps)
+    return f"""
+WITH k AS MATERIALIZED (SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS HUGEINT)) AS v
+  FROM embeddings WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(CAST(x AS DOUBLE)))) = 64),
+e AS MATERIALIZED (SELECT r, unnest(v) AS x, unnest(range(64)) AS i FROM k),
+s AS (SELECT r, row_number() OVER (ORDER BY h, v) - 1 AS c
+      FROM (SELECT r, v, sha256('3:' || coalesce(CAST(vec_id AS VARCHAR), '')) AS h FROM k) QUALIFY c < 8),
+c0 AS MATERIALIZED (SELECT c, i, x AS y FROM s JOIN e USING (r)),
+{body}
+{assigned(rounds)},
+h AS (SELECT c, sha256(string_agg(CAST(y AS VARCHAR), ',' ORDER BY i)) AS h FROM c{rounds} GROUP BY c)
+SELECT vec_id, CAST(c AS INTEGER) AS cluster, CAST(d AS BIGINT) AS distance, CAST(sum(d) OVER (PARTITION BY c) AS BIGINT) AS cluster_inertia,
+       CAST(sum(d) OVER () AS BIGINT) AS inertia, h AS centroid_sha256
+FROM a{rounds} JOIN k USING (r) JOIN h USING (c)
+"""
+
+
+_ORDERS = ", ".join("('" + "".join(p) + "')" for p in permutations("ABCDE"))
+
+OP12_SQL = rf"""
+WITH lab AS (SELECT doc_id, bool_or(coalesce(quality = 1, false)) AS good, bool_or(coalesce(toxic = 1, false)) AS toxic FROM labels GROUP BY doc_id),
+d AS (SELECT doc_id, coalesce(source, '') AS part, t, regexp_extract_all(t, '[^ 	-]+') AS w,
+             coalesce(good, false) AS good, coalesce(toxic, false) AS toxic
+      FROM (SELECT *, coalesce(text, '') AS t FROM documents) LEFT JOIN lab USING (doc_id)),
+f AS (SELECT part, good, toxic, list_filter(['A', 'B', 'C', 'D', 'E'], lambda x: CASE x
+        WHEN 'A' THEN len(w) < 200 WHEN 'B' THEN 100 * len(list_distinct(w)) < 50 * len(w)
+        WHEN 'C' THEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 2 * length(t) WHEN 'D' THEN regexp_matches(t, '[#$%&*|]') ELSE copy END) AS bad
+      FROM (SELECT *, coalesce(doc_id > min(doc_id) OVER (PARTITION BY t), false) AS copy FROM d)),
+g AS (SELECT part, bad, count(*) AS n, count_if(good) AS n_good, count_if(toxic) AS n_toxic FROM f GROUP BY part, bad),
+o AS (SELECT o, s, o[s] AS x, o[:s - 1] AS before FROM (VALUES {_ORDERS}) AS v(o), range(1, 6) AS r(s)),
+m AS (SELECT *, list_contains(bad, x) AS fails, len(list_filter(bad, lambda b: contains(before, b))) > 0 AS earlier FROM g, o),
+r AS (SELECT part, o, s, x, sum(CASE WHEN earlier OR fails THEN 0 ELSE n END) AS kept, sum(CASE WHEN fails AND NOT earlier THEN n ELSE 0 END) AS removed,
+             sum(CASE WHEN fails AND earlier THEN n ELSE 0 END) AS redundant, sum(CASE WHEN bad = [x] THEN n ELSE 0 END) AS unique_fails,
+             sum(CASE WHEN fails AND NOT earlier THEN n_good ELSE 0 END) AS good_lost, sum(CASE WHEN fails AND NOT earlier THEN n_toxic ELSE 0 END) AS toxic_lost
+      FROM m GROUP BY part, o, s, x)
+SELECT part, o AS filter_order, CAST(s AS INTEGER) AS step, x AS "filter", CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+       CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost,
+       CAST(toxic_lost AS BIGINT) AS toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, x) AS BIGINT) AS shapley
+FROM r
+"""
+
 QUERIES = {
     "op1_gam_quality": op1_gam_quality,
     "op2_decontamination": op2_decontamination,
@@ -121,9 +188,13 @@ QUERIES = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_quality_rules": op10_quality_rules,
+    "op11_centroids": op11_centroids,
+    "op12_filter_audit": op12_filter_audit,
 }
 SQL: dict[str, str] = {
     "op2_decontamination": OP2_SQL,
     "op3_suffix_dedup": OP3_SQL,
     "op8_substring_dedup": OP8_SQL,
+    "op11_centroids": _op11_sql(),
+    "op12_filter_audit": OP12_SQL,
 }
