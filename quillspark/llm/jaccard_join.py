@@ -25,14 +25,16 @@ components that the sketch allows is verified.  So no link that could join two
 components is left out, and a large group of near copies costs about its size.
 
 Scale: one exchange of texts (to the sets' first documents), then only
-signatures, sketches and the candidates' sets move.  Buckets of more than
-``TILE`` nodes are compared in tiles, so no task holds a whole bucket.  The
-driver sees band counts and loop counters only.
+signatures, sketches and the candidates' sets move.  Large buckets are compared
+in tiles (see ``buckets``), so no task holds a whole one.  The driver sees band
+counts and loop counters only.
 
 Defined results: null and empty texts have no set, link with nothing and are
-their own component; repeated rows link like any equal texts; a null id counts
-as larger than all others (a component of such rows only has a null id); other
-columns are not read.  Shingles are compared by 64 bits of hash.
+their own component; a very long text is one set, held by one task; repeated rows
+link like any equal texts; a null id counts as larger than all others (a
+component of such rows only has a null id); ties have no effect, the smallest id
+names a component; other columns, of whatever name, are not read; an empty table
+gives no rows.  Shingles are compared by 64 bits of hash.
 """
 
 from __future__ import annotations
@@ -45,9 +47,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import common as C
+from .buckets import dealt, forest, groups, pair_batches, sides, tiled
 from .chunks import NULL_ID
 
-TILE = 1024
 #: Bits of the filter that spares texts outside all buckets an exchange (16 MB).
 FILTER_BITS = 1 << 27
 #: Tokens from which a segment counts, by allocation.
@@ -102,7 +104,7 @@ def allocation(sets: int, cases: list[tuple[int, int]], d: int) -> tuple[int, in
     return best[1]
 
 
-def _sets(col: pa.LargeStringArray, words: int) -> tuple[np.ndarray, np.ndarray]:
+def sets_of(col: pa.LargeStringArray, words: int) -> tuple[np.ndarray, np.ndarray]:
     """Distinct shingle hashes of the texts, sorted within each, and offsets."""
     w = C.Words(col, C.SPACE_WORD, True)
     h = w.hashes()
@@ -125,7 +127,7 @@ def digests(docs: DataFrame, rule: Rule) -> DataFrame:
 
     def rows(batches):
         for b, col in C.batches_of(batches, "text"):
-            x, off = _sets(col, rule.words)
+            x, off = sets_of(col, rule.words)
             zero = np.zeros(1, C.U64)
             pre = [np.concatenate((zero, np.cumsum(C.mix(x ^ C.U64(s)), dtype=C.U64))) for s in (0x51, 0xA7)]
             h = [(p[off[1:]] - p[off[:-1]]).view(np.int64) for p in pre]
@@ -207,7 +209,7 @@ def _index(nodes: DataFrame, schemes: _Schemes, rule: Rule) -> DataFrame:
 
     def rows(batches):
         for b, col in C.batches_of(batches, "text", C.SLICE_BYTES // 2):
-            sig, at, role = schemes.signatures(*_sets(col, rule.words))
+            sig, at, role = schemes.signatures(*sets_of(col, rule.words))
             node = b.column("node").to_numpy()[at]
             yield pa.RecordBatch.from_arrays([pa.array(sig.view(np.int64)), pa.array(node * 4 + role)], ["sig", "entry"])
 
@@ -226,12 +228,12 @@ def _sketch(x: np.ndarray, width: int) -> np.ndarray:
     return np.packbits(hit.astype(np.uint8), bitorder="little")
 
 
-def _candidates(keyed: DataFrame, lead: DataFrame, members: DataFrame, rule: Rule) -> DataFrame:
+def candidates(keyed: DataFrame, lead: DataFrame, members: DataFrame, rule: Rule) -> DataFrame:
     """(node, n, tokens, sketch) of the nodes in ``members``."""
 
     def rows(batches):
         for b, col in C.batches_of(batches, "text"):
-            x, off = _sets(col, rule.words)
+            x, off = sets_of(col, rule.words)
             own = [x[s:e] for s, e in zip(off[:-1], off[1:])]
             width = [1 << max(8, int(32 * rule.difference(len(s), len(s))).bit_length()) for s in own]
             yield pa.RecordBatch.from_arrays(
@@ -258,7 +260,7 @@ def _candidates(keyed: DataFrame, lead: DataFrame, members: DataFrame, rule: Rul
     return C.saved(_texts(some, wanted).mapInArrow(rows, "node long, n long, tokens array<long>, sketch binary"), "jaccard-sets")
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
+def verified(pairs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
     """The pairs (a, b) whose sets link."""
     pairs = C.saved(pairs, "jaccard-pairs")  # a known size: few pairs need no exchange of the sets
 
@@ -295,75 +297,29 @@ def _possible(sketches: list, sizes: np.ndarray, rule: Rule, rows: np.ndarray, c
     return [np.concatenate(o) for o in out]
 
 
-def _across(members: DataFrame, sets: DataFrame, comp: DataFrame, rule: Rule, forest: bool) -> DataFrame:
+def _across(members: DataFrame, sets: DataFrame, comp: DataFrame, rule: Rule, spanning: bool) -> DataFrame:
     """Pairs (a, b) of one bucket, in different components, that may link: all,
-    or a spanning forest of the components of each bucket (closest first)."""
-    of = members.select("sig", "node").join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-    split = (of.groupBy("sig").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("size"),
-                                   F.sum(F.xxhash64("node").cast("decimal(20,0)")).alias("who"))
-             .where("lo < hi")
-             # buckets of the same nodes are looked at once
-             .groupBy("who", "size").agg(F.min("sig").alias("sig")))
-    rows = of.join(split.select("sig", F.ceil(F.col("size") / TILE).cast("int").alias("tiles")), "sig")
-    tile = F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int")
-    rows = (rows.withColumn("own", tile)
-            .select("sig", "node", "comp", "own", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("other"))
-            .select("sig", F.least("own", "other").alias("ti"), F.greatest("own", "other").alias("tj"), "own", "node", "comp")
-            .join(sets.select("node", "n", "sketch"), "node"))
-    rows = rows.repartition("sig", "ti", "tj").sortWithinPartitions("sig", "ti", "tj")
-
-    def tiles(batches):
-        held: list[pa.RecordBatch] = []
-
-        def pairs(t: pa.Table):
-            node, comp_, n = (t.column(c).to_numpy() for c in ("node", "comp", "n"))
-            own, ti, tj = t.column("own").to_numpy(), t.column("ti")[0].as_py(), t.column("tj")[0].as_py()
-            sketches = [x.as_buffer() for c in t.column("sketch").chunks for x in c]
-            p, q, least = _possible(sketches, n, rule, np.flatnonzero(own == ti), np.flatnonzero(own == tj))
-            ok = comp_[p] != comp_[q]
-            if ti == tj:
-                ok &= p < q
-            p, q, least = p[ok], q[ok], least[ok]
-            if forest:
-                parent: dict[int, int] = {}
-
-                def find(x):
-                    while parent.get(x, x) != x:
-                        parent[x] = parent.get(parent[x], parent[x])
-                        x = parent[x]
-                    return x
-
-                chosen = []
-                for k in np.argsort(least, kind="stable").tolist():
-                    x, y = find(int(comp_[p[k]])), find(int(comp_[q[k]]))
-                    if x != y:
-                        parent[x] = y
-                        chosen.append(k)
-                p, q = p[chosen], q[chosen]
-            a, b = node[p], node[q]
-            for i in range(0, len(a), 100_000):
-                yield pa.RecordBatch.from_pydict({"a": np.minimum(a, b)[i:i + 100_000], "b": np.maximum(a, b)[i:i + 100_000]})
-
-        def groups(done: bool):
-            """Complete groups of what is held; the last stays unless ``done``."""
-            nonlocal held
-            t = pa.Table.from_batches(held)
-            keys = np.column_stack([t.column(c).to_numpy() for c in ("sig", "ti", "tj")])
-            b = np.append(C.bounds(keys), len(keys))
-            last = len(b) - 1 if done else len(b) - 2
-            for s, e in zip(b[:last], b[1:last + 1]):
-                if e - s > 1:
-                    yield from pairs(t.slice(s, e - s))
-            held = [] if done else t.slice(b[last]).to_batches()
-
-        for batch in batches:
-            if batch.num_rows:
-                held.append(batch)
-                yield from groups(False)
-        if held:
-            yield from groups(True)
-
-    return rows.select("sig", "ti", "tj", "own", "node", "comp", "n", "sketch").mapInArrow(tiles, "a long, b long").distinct()
+    or a spanning forest of the components of each tile (closest first)."""
+    rows = dealt(tiled(members.select("sig", "node"), comp, ()).join(sets.select("node", "n", "sketch"), "node"))
+
+    def compare(t: pa.Table):
+        node, comp_, n = (t.column(c).to_numpy() for c in ("node", "comp", "n"))
+        sketches = [x.as_buffer() for c in t.column("sketch").chunks for x in c]
+        first, second, same = sides(t)
+        if not len(first) or not len(second):
+            return
+        p, q, least = _possible(sketches, n, rule, first, second)
+        ok = comp_[p] != comp_[q]
+        if same:
+            ok &= p < q
+        p, q, least = p[ok], q[ok], least[ok]
+        if spanning:
+            chosen = forest(comp_[p], comp_[q], least)
+            p, q = p[chosen], q[chosen]
+        yield from pair_batches(node[p], node[q])
+
+    rows = rows.select("sig", "ti", "tj", "side", "node", "comp", "n", "sketch")
+    return rows.mapInArrow(lambda batches: groups(batches, ("sig", "ti", "tj"), compare), "a long, b long").distinct()
 
 
 def classes(docs: DataFrame, rule: Rule | None = None) -> DataFrame:
@@ -382,13 +338,13 @@ def classes(docs: DataFrame, rule: Rule | None = None) -> DataFrame:
 
     lead = nodes.select("node", F.col("lead.id").alias("id"), F.col("lead.th").alias("th"))
     members = C.saved(_index(_texts(keyed, lead), schemes, rule), "jaccard-buckets")
-    sets = _candidates(keyed, lead, members, rule)
+    sets = candidates(keyed, lead, members, rule)
 
     first = members.groupBy("node").agg(F.min("center").alias("b")).select(F.col("node").alias("a"), "b").where("a != b")
-    links = C.saved(_verified(first, sets, rule), "jaccard-links")
+    links = C.saved(verified(first, sets, rule), "jaccard-links")
     comp = C.components(links)
-    for forest in (True, True, False):
-        more = C.saved(_verified(_across(members, sets, comp, rule, forest), sets, rule), "jaccard-links")
+    for spanning in (True, True, False):
+        more = C.saved(verified(_across(members, sets, comp, rule, spanning), sets, rule), "jaccard-links")
         if not more.isEmpty():
             comp = C.components(comp.select(F.col("node").alias("a"), F.col("comp").alias("b")).union(more))
 
@@ -400,14 +356,14 @@ def classes(docs: DataFrame, rule: Rule | None = None) -> DataFrame:
                       F.coalesce(F.col("top.th"), "th").alias("lead_th"))
 
 
-def _id(col: str):
+def id_of(col: str):
     return F.when(F.col(col) != NULL_ID, F.col(col))
 
 
 def report(docs: DataFrame, rule: Rule | None = None) -> DataFrame:
     """One row per row of ``docs(doc_id, text)``: n_shingles, component_id."""
-    return classes(docs, rule).select(_id("id").alias("doc_id"), F.col("n").alias("n_shingles"),
-                                      _id("lead_id").alias("component_id"))
+    return classes(docs, rule).select(id_of("id").alias("doc_id"), F.col("n").alias("n_shingles"),
+                                      id_of("lead_id").alias("component_id"))
 
 
 def keep_one(docs: DataFrame, rule: Rule, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

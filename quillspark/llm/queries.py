@@ -6,7 +6,7 @@ from __future__ import annotations
 from itertools import permutations
 
 from . import common as C
-from . import (centroids, decontam, filter_audit, gam_quality, jaccard_join, packing, pii, quality_rules, substring_dedup, suffix_dedup,
+from . import (centroids, chosen_path, decontam, filter_audit, gam_quality, jaccard_join, packing, pii, quality_rules, substring_dedup, suffix_dedup,
                token_counts, token_store)
 
 
@@ -73,6 +73,10 @@ def op12_filter_audit(spark, sf_dir):
     return filter_audit.audit(docs, C.read(spark, sf_dir, "labels"))
 
 
+def op13_chosen_path(spark, sf_dir):
+    return chosen_path.report(_docs(spark, sf_dir))
+
+
 # DuckDB SQL of the queries that SQL can express; it shares nothing with the code.
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -157,7 +161,8 @@ _ORDERS = ", ".join("('" + "".join(p) + "')" for p in permutations("ABCDE"))
 
 OP12_SQL = rf"""
 WITH lab AS (SELECT doc_id, bool_or(coalesce(quality = 1, false)) AS good, bool_or(coalesce(toxic = 1, false)) AS toxic FROM labels GROUP BY doc_id),
-d AS (SELECT doc_id, coalesce(source, '') AS part, t, regexp_extract_all(t, '[^ 	-]+') AS w,
+d AS (SELECT doc_id, coalesce(source, '') AS part, t, regexp_extract_all(t, '[^ 	-
+]+') AS w,
              coalesce(good, false) AS good, coalesce(toxic, false) AS toxic
       FROM (SELECT *, coalesce(text, '') AS t FROM documents) LEFT JOIN lab USING (doc_id)),
 f AS (SELECT part, good, toxic, list_filter(['A', 'B', 'C', 'D', 'E'], lambda x: CASE x
@@ -190,6 +195,7 @@ QUERIES = {
     "op10_quality_rules": op10_quality_rules,
     "op11_centroids": op11_centroids,
     "op12_filter_audit": op12_filter_audit,
+    "op13_chosen_path": op13_chosen_path,
 }
 SQL: dict[str, str] = {
     "op2_decontamination": OP2_SQL,

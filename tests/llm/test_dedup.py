@@ -10,7 +10,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from quillspark.llm import common as C
-from quillspark.llm import jaccard_join, substring_dedup, suffix_dedup
+from quillspark.llm import buckets, chosen_path, jaccard_join, substring_dedup, suffix_dedup
 
 SMALL = {"chunk_bytes": 4_000, "block_keys": 500}
 
@@ -160,7 +160,7 @@ def near_copies(seed):
 
 @pytest.mark.parametrize("rule", [(3, 90, 100), (5, 80, 100), (1, 50, 100)])
 def test_jaccard_classes(spark, rule, monkeypatch):
-    monkeypatch.setattr(jaccard_join, "TILE", 16)
+    monkeypatch.setattr(buckets, "TILE", 16)
     rows, r = near_copies(rule[0]), jaccard_join.Rule(*rule)
     got = Counter(map(tuple, jaccard_join.report(frame(spark, rows), r).collect()))
     assert got == classes_by_hand(rows, r)
@@ -177,6 +177,65 @@ def test_one_of_each_class_stays(spark):
     assert set(n) == lead | set(empty) and set(n.values()) == {1}
 
 
+@pytest.mark.parametrize("leaf, depth", [(256, 10), (6, 10), (4, 3)])
+def test_chosen_path_classes(spark, leaf, depth, monkeypatch):
+    """Small leaves make several levels, dense nodes and tiles; the trees are the
+    same in every run, and here they miss no link."""
+    monkeypatch.setattr(buckets, "TILE", 16)
+    rows = near_copies(2)
+    got = chosen_path.report(frame(spark, rows), leaf=leaf, depth=depth).collect()
+    assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in got) == classes_by_hand(rows, chosen_path.NEAR)
+    assert all(r.kept == (r.doc_id == r.component_id) for r in got if r.doc_id is not None)
+
+
+def test_chosen_path_recall():
+    """Share of pairs at similarity 0.8 that meet in a node of some tree, by depth."""
+    rnd = np.random.default_rng(5)
+    pairs = 200
+    common, own = 160, 20  # 160 of 200 tokens shared
+    x = rnd.integers(1, 1 << 63, (pairs, common + 2 * own)).astype(C.U64)
+    a, b = x[:, :common + own], np.concatenate((x[:, :common], x[:, common + own:]), axis=1)
+    minima = [chosen_path.minwise(s.ravel(), np.arange(pairs + 1) * (common + own)) for s in (a, b)]
+    agree = (minima[0] == minima[1]).mean()
+    assert 0.77 < agree < 0.83
+    roots = C.mix(np.arange(1, chosen_path.TREES + 1, dtype=C.U64) * C.U64(0x9E3779B97F4A7C15))
+    nodes = []
+    for m in minima:
+        row, path = np.tile(np.arange(pairs), len(roots)), np.repeat(roots, pairs)
+        for _ in range(4):
+            at, path = chosen_path.branch(path, m[row], chosen_path.NEAR)
+            row = row[at]
+        nodes.append(set(zip(row.tolist(), path.tolist())))
+    assert len({r for r, _ in nodes[0] & nodes[1]}) >= 0.97 * pairs
+    # unrelated sets do not meet
+    assert not {p for _, p in nodes[0]} & {p for r, p in nodes[1] if (r, p) not in nodes[0]}
+
+
+def test_chosen_path_of_nothing(spark):
+    none = spark.createDataFrame([], "doc_id long, text string")
+    assert chosen_path.report(none).count() == 0
+    empty = spark.createDataFrame([(1, None), (2, ""), (None, " ")], "doc_id long, text string")
+    assert sorted((str(r.doc_id), r.n_shingles, str(r.component_id), r.kept) for r in chosen_path.report(empty).collect()) == [
+        ("1", 0, "1", True), ("2", 0, "2", True), ("None", 0, "None", True)]
+
+
+@pytest.mark.parametrize("tile", [3, 7, 100])
+def test_tiles_hold_every_pair_across_components_once(spark, tile):
+    members = [(s, n) for s in range(3) for n in range(40) if (n * 7 + s) % 5]
+    comp = {n: (0 if n < 25 else n // 6 * 6) for n in range(40)}
+    found = Counter()
+    rows = buckets.tiled(spark.createDataFrame(members, "sig long, node long"), spark.createDataFrame(list(comp.items()), "node long, comp long"), (), tile)
+    by = {}
+    for r in rows.collect():
+        by.setdefault((r.sig, r.ti, r.tj), []).append(r)
+    for (sig, ti, tj), own in by.items():
+        if ti == tj:
+            found.update((sig, *sorted((a.node, b.node))) for a in own for b in own if a.node < b.node and comp[a.node] != comp[b.node])
+        else:
+            found.update((sig, *sorted((a.node, b.node))) for a in own for b in own if a.side == 0 and b.side == 1 and comp[a.node] != comp[b.node])
+    assert found == Counter((s, a, b) for s, a in members for t, b in members if s == t and a < b and comp[a] != comp[b])
+
+
 def test_allocation_covers_the_difference():
     rule = jaccard_join.Rule(5, 80, 100)
     for n in (10, 100, 10**6):
