@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import WS_CLASS, col_of, collapse_ws, first_line_nl, last_line, pystrip, strip_chars
+from .text import WS_CHARS, WS_CLASS, col_of, collapse_ws, first_line_nl, last_line, pystrip, strip_chars
 
 # --- fixed values: grading patterns ---------------------------------------
 BOXED = r"\\boxed\{([^}]*)\}"           # first \boxed{...} up to the first }
@@ -48,65 +50,182 @@ def normalize_for_dataset(dataset, text, stripped: bool = False) -> Column:
                                                F.coalesce(col_of(dataset), F.lit("null"))))))
 
 
-def balanced_boxed(depth: int = 4) -> str:
-    """Pattern of a ``\boxed{...}`` whose braces balance, nested up to ``depth``
-    levels; group 1 is the content."""
-    inner = r"[^{}]*"
-    for _ in range(depth):
-        inner = r"(?:[^{}]|\{" + inner + r"\})*"
-    return r"\\boxed\{(" + inner + r")\}"
+# --- boxes whose braces balance (H10, H11) ---------------------------------
+BOX = "\\boxed{"
+_NO_BRACE = "\u0002"  # stands for one character of an escaped brace
+
+
+def _brace_pieces(text: Column) -> Column:
+    """``text`` cut after every brace that is one (linear: a one-character pattern).
+
+    A brace after one backslash is a character of the text, after two it is a
+    brace again; either way the pieces have as many characters as the text.
+    """
+    shadow = text
+    for brace in "{}":
+        shadow = F.replace(shadow, F.lit("\\\\" + brace), F.lit(2 * _NO_BRACE + brace))
+        shadow = F.replace(shadow, F.lit("\\" + brace), F.lit(2 * _NO_BRACE))
+    return F.split(shadow, "(?<=[{}])", -1)
+
+
+def _after_first_closed_box(pieces: Column) -> Column:
+    """Characters that follow the opening brace of the first box that is closed; -1
+    without one.  Read from the right: an opening brace is closed when a closing
+    brace is still free there."""
+    def step(s, p):
+        closes = F.endswith(p, F.lit("}"))
+        closed = F.endswith(p, F.lit("{")) & (s["free"] > 0)
+        return F.struct(
+            (s["free"] + F.when(closes, 1).when(closed, -1).otherwise(0)).alias("free"),
+            (s["seen"] + F.length(p)).alias("seen"),
+            F.when(closed & F.endswith(p, F.lit(BOX)), s["seen"]).otherwise(s["found"]).alias("found"))
+
+    start = F.struct(F.lit(0).alias("free"), F.lit(0).alias("seen"), F.lit(-1).alias("found"))
+    return F.aggregate(F.reverse(pieces), start, step, lambda s: s["found"])
+
+
+def _group_length(pieces: Column) -> Column:
+    """Characters before the brace that closes the group the text begins in."""
+    def step(s, p):
+        depth = s["depth"] + F.when(F.endswith(p, F.lit("{")), 1).when(F.endswith(p, F.lit("}")), -1).otherwise(0)
+        seen = s["seen"] + F.length(p)
+        return F.struct(depth.alias("depth"), seen.alias("seen"),
+                        F.when((s["end"] < 0) & (depth == 0), seen - 1).otherwise(s["end"]).alias("end"))
+
+    start = F.struct(F.lit(1).alias("depth"), F.lit(0).alias("seen"), F.lit(-1).alias("end"))
+    return F.aggregate(pieces, start, step, lambda s: s["end"])
 
 
 def boxed_answer(c) -> Column:
-    """Content of the first balanced ``\boxed{...}``; null without one."""
+    r"""Content of the first ``\boxed{...}`` whose braces balance, at any
+    depth; null without one.
+
+    Two folds over the pieces between braces, each linear in the text, with a
+    state of three numbers: no pattern walks the nesting.  A box without braces
+    or escapes inside needs none of it.
+    """
     c = col_of(c)
-    return F.when(c.rlike(balanced_boxed()), F.regexp_extract(c, balanced_boxed(), 1))
+    rest = F.substr(c, F.instr(c, BOX) + len(BOX))
+    flat = F.substring_index(rest, "}", 1)
+    simple = F.contains(rest, F.lit("}")) & ~F.contains(flat, F.lit("{")) & ~F.endswith(flat, F.lit("\\"))
+    from_box = F.substr(c, F.instr(c, BOX))
+    after = _after_first_closed_box(_brace_pieces(from_box))
+    inner = F.right(from_box, after)
+    nested = F.when(after >= 0, F.left(inner, _group_length(_brace_pieces(inner))))
+    return F.when(F.contains(c, F.lit(BOX)), F.when(simple, flat).otherwise(nested))
 
 
 # --- fixed values: LaTeX rewrites (H11), applied in this order -------------
 MIXED = "\u0001"  # stands for the space of a mixed number while other spaces go
-LATEX_REWRITES = [
-    (balanced_boxed(), "$1"), (balanced_boxed(), "$1"),  # a box in a box
-    (r"([0-9])\s*\\[dt]?frac\{\s*([0-9]+)\s*\}\{\s*([0-9]+)\s*\}", "$1" + MIXED + "$2/$3"),
-    (r"([0-9])\s+([0-9]+)\s*/\s*([0-9]+)", "$1" + MIXED + "$2/$3"),
-    (r"\\[dt]?frac\{([^{}]*)\}\{([^{}]*)\}", "($1)/($2)"),
-    (r"\\text\{([^{}]*)\}", "$1"),
-    (r"\\mathrm\{([^{}]*)\}", "$1"),
+_WHOLE = r"(?:\{\s*([0-9]+)\s*\}|([0-9]))"     # a number as an argument: {12} or one digit
+_ARG = r"(?:\{([^{}]*)\}|([0-9A-Za-z]))"       # any argument
+# a fraction inside another's argument is rewritten first; each pass takes one level
+FRACTION_PASSES = 3
+MARKUP_REWRITES = [
+    (r"\\(?:text|mathrm|mathbf|mbox|textbf)\s*\{([^{}]*)\}", "$1"),
+    (r"\\(?:text|mathrm|mathbf|mbox|textbf|boxed)\s*\{", "{"),
+    (r"([0-9])\s*\\[dtc]?frac\s*" + _WHOLE + r"\s*" + _WHOLE, "$1" + MIXED + "$2$3/$4$5"),
+    *[(r"\\[dtc]?frac\s*" + _ARG + r"\s*" + _ARG, "($1$2)/($3$4)")] * FRACTION_PASSES,
     (r"\\left|\\right", ""),
     (r"\^\{?\\circ\}?", ""),
     (r"\\[,;:! ]", ""),
-    (r"\\cdot", "*"),
-    (r"\\times", "*"),
-    (r"\\?\$", ""),
+    (r"\\cdot|\\times", "*"),
     (r"\\%", "%"),
 ]
+PLAIN_REWRITES = [
+    (r"([0-9])\s+([0-9]+)\s*/\s*([0-9]+)", "$1" + MIXED + "$2/$3"),
+    (r"\\?\$", ""),
+]
 # --------------------------------------------------------------------------
 
 
 def latex_to_plain(c) -> Column:
-    """Common LaTeX answer markup to plain text without white space, but
-    for the one space of a mixed number (``1 1/2``)."""
+    r"""Common LaTeX answer markup to plain text without white space, but
+    for the one space of a mixed number (``1 1/2``).
+
+    Fractions are read with and without braces (``\frac12``); boxes and text
+    commands leave their content; braces that only group go (escaped ones stay).
+    The markup rules run on rows with a backslash or a brace only.
+    """
     out = col_of(c)
-    for pat, rep in LATEX_REWRITES:
+    marked = out
+    for pat, rep in MARKUP_REWRITES:
+        marked = F.regexp_replace(marked, pat, rep)
+    for brace, kept in (("{", "\u0003"), ("}", "\u0004")):
+        marked = F.replace(marked, F.lit("\\" + brace), F.lit(kept))
+    marked = F.translate(marked, "\u0003\u0004{}", "{}")
+    out = F.when(F.contains(out, F.lit("\\")) | F.contains(out, F.lit("{")) | F.contains(out, F.lit("}")), marked).otherwise(out)
+    for pat, rep in PLAIN_REWRITES:
         out = F.regexp_replace(out, pat, rep)
     out = F.regexp_replace(out, r"\(([0-9.\-]+)\)", "$1")
     return F.translate(F.regexp_replace(out, WS_CLASS + "+", ""), MIXED, " ")
 
 
-# --- fixed values: number-string clean-up (H12) -----------------------------
-UNIT_WORDS = ["dollars", "dollar", "cents", "cent", "percent", "units", "unit",
-              "meters", "meter", "m", "cm", "km", "kg", "g", "hours", "hour",
-              "minutes", "minute", "seconds", "second", "days", "day"]
+# --- fixed values: units of measure (H12) ------------------------------------
+CURRENCY_SIGNS = "$€£¥₹"
+PREFIX_WORDS = ["kilo", "centi", "milli", "deci", "deca", "hecto", "micro", "nano", "mega", "giga", "tera"]
+PREFIX_SYMBOLS = ["k", "c", "m", "d", "da", "h", "u", "µ", "n", "g", "t"]
+PREFIXED_WORDS = ["meter", "metre", "gram", "liter", "litre", "second", "watt", "joule", "byte", "hertz", "pascal", "volt"]
+PREFIXED_SYMBOLS = ["m", "g", "l", "s", "hz", "w", "j", "pa", "v", "b"]
+UNIT_WORDS = ["dollar", "cent", "euro", "pound", "rupee", "percent", "degree", "unit", "inch", "yard", "mile", "acre", "ounce",
+              "ton", "tonne", "gallon", "quart", "pint", "cup", "minute", "hour", "day", "week", "month", "year", "knot"]
+IRREGULAR_UNITS = ["foot", "feet", "inches", "penny", "pennies", "pence", "hertz"]
+UNIT_SYMBOLS = ["m", "g", "l", "in", "ft", "yd", "mi", "oz", "lb", "lbs", "sec", "secs", "min", "mins", "hr", "hrs", "mph", "kph",
+                "usd", "eur", "gbp", "°c", "°f", "°"]
+#: Units only after a stroke or "per" (alone they are letters of a formula).
+BELOW_STROKE = ["h", "s", "d"]
+#: Words after a number that belong to mathematics.
+MATH_WORDS = ["sqrt", "sin", "cos", "tan", "cot", "sec", "csc", "log", "exp", "mod", "inf", "infinity", "abc", "xyz", "times", "choose"]
 # --------------------------------------------------------------------------
 
 
+def unit_table() -> list[str]:
+    """Every spelling of a single unit, from the lists above."""
+    words = PREFIXED_WORDS + UNIT_WORDS + [p + w for p in PREFIX_WORDS for w in PREFIXED_WORDS]
+    return sorted({*words, *(w + "s" for w in words), *IRREGULAR_UNITS, *UNIT_SYMBOLS,
+                   *(p + s for p in PREFIX_SYMBOLS for s in PREFIXED_SYMBOLS)})
+
+
+def trie_pattern(words) -> str:
+    """Pattern that takes the longest of ``words``: their trie, one branch a letter,
+    so no letter is looked at twice."""
+    trie: dict = {}
+    for w in words:
+        node = trie
+        for ch in w:
+            node = node.setdefault(ch, {})
+        node[""] = {}
+
+    def spell(node: dict) -> str:
+        ways = [re.escape(ch) + spell(kid) for ch, kid in sorted(node.items()) if ch]
+        if not ways:
+            return ""
+        joined = ways[0] if len(ways) == 1 else "(?:" + "|".join(ways) + ")"
+        return f"(?:{joined})?" if "" in node else joined
+
+    return spell(trie)
+
+
+def unit_pattern() -> str:
+    """A unit with its power, and up to three more after a stroke, "per" or a product sign."""
+    power = r"(?:\^?\{?-?[23]\}?|[²³])?"
+    one = r"(?:(?:square|sq\.?|cubic|cu\.?)" + WS_CLASS + "*)?" + trie_pattern(unit_table()) + power
+    below = "(?:" + one + "|" + trie_pattern(BELOW_STROKE) + power + ")"
+    return one + "(?:" + WS_CLASS + r"*(?:(?:/|per)" + WS_CLASS + "*" + below + r"|[*·⋅]" + WS_CLASS + "*" + one + ")){0,3}"
+
+
 def normalize_number_string(c) -> Column:
-    """Drop thousands commas, currency signs, and a percent sign or unit
-    word that follows a digit; letters of a word never go."""
-    s = F.regexp_replace(col_of(c), r"[$]", "")
+    """Drop thousands commas, currency signs, and what is measured or counted
+    after a number: a percent sign or unit (with prefix, power, ``km/h``, ``sq ft``)
+    after a digit; and, where the text is a number and words, the words (``12 red
+    apples``) unless they are mathematics.  Other letters never go."""
+    s = F.translate(col_of(c), CURRENCY_SIGNS, "")
     s = F.regexp_replace(s, r"([0-9]),", "$1")
-    s = F.regexp_replace(s, r"(?i)([0-9])" + WS_CLASS + r"*(?:%|" + "|".join(UNIT_WORDS) + r")\.?\z", "$1")
-    s = F.regexp_replace(s, WS_CLASS + r"+\z|\A" + WS_CLASS + "+", "")
+    s = F.regexp_replace(s, r"(?i)([0-9]\.?)" + WS_CLASS + r"*(?:%|" + unit_pattern() + r")\.?\z", "$1")
+    counted = (r"(?i)\A([+-]?(?:[0-9]+(?:\.[0-9]+)?|\.[0-9]+)(?:[ /][0-9]+){0,2})" + WS_CLASS + r"*+(?!(?:" + "|".join(MATH_WORDS) + r")\b)"
+               r"[a-z]{3,}+(?:" + WS_CLASS + r"[a-z]++){0,4}\.?\z")
+    s = F.regexp_replace(s, counted, "$1")
+    s = F.btrim(s, F.lit(WS_CHARS))
     return F.regexp_replace(s, r"\.\z", "")
 
 

@@ -8,9 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.answers import (boxed_answer, 
-    ANSWER_MARK, BOXED, latex_to_plain, normalize_for_dataset, normalize_number_string,
-    numbers_match, to_number,
+from ..functions.answers import (
+    ANSWER_MARK, BOXED, boxed_answer, latex_to_plain, normalize_for_dataset, normalize_number_string, numbers_match, to_number,
 )
 from ..functions.text import col_of, pystrip
 from ..session import literal_table
@@ -18,15 +17,37 @@ from ..session import literal_table
 KEY = ["dataset", "sample_id"]
 
 
-def pair(references: DataFrame, predictions: DataFrame, keys: Sequence[str] = KEY) -> DataFrame:
+def one_prediction(predictions: DataFrame, keys: Sequence[str] = KEY, order: Sequence[str] = ()) -> DataFrame:
+    """One row a key: the prediction that is last in ``order`` (columns, most
+    important first; ties, and no order at all, by the text itself), how many
+    there are, and whether they differ.
+
+    ``max_by`` and the counts merge map-side, so a key with a third of all
+    predictions is one row a task.  The outcome depends on the rows only, never
+    on where or when they arrive.  A null prediction comes before every text.
+    """
+    rank = F.struct(*[F.col(c) for c in order], F.col("prediction"))
+    return predictions.groupBy(*keys).agg(
+        F.max_by("prediction", rank).alias("prediction"), F.count(F.lit(1)).alias("n_predictions"),
+        ((F.min("prediction") != F.max("prediction")) | ((F.count("prediction") > 0) & (F.count("prediction") < F.count(F.lit(1)))))
+        .alias("conflict"))
+
+
+def pair(references: DataFrame, predictions: DataFrame, keys: Sequence[str] = KEY, order: Sequence[str] = (),
+         report: bool = False) -> DataFrame:
     """H3: every reference with its prediction (positional zip becomes a key join).
 
-    A reference without a prediction scores as an empty prediction.  Both sides
+    As many rows as references: of several predictions with one key the one that
+    ``one_prediction`` takes counts; a reference without any scores as an empty
+    prediction.  ``report`` adds ``n_predictions`` and ``conflict``.  Both sides
     are hash-partitioned on the key (or the smaller one broadcast by AQE).
     """
-    preds = predictions.select(*keys, "prediction")
-    return (references.join(preds, list(keys), "left")
-            .withColumn("prediction", F.coalesce(F.col("prediction"), F.lit(""))))
+    preds = one_prediction(predictions, keys, order)
+    out = (references.join(preds, list(keys), "left")
+           .withColumns({"prediction": F.coalesce(F.col("prediction"), F.lit("")),
+                         "n_predictions": F.coalesce(F.col("n_predictions"), F.lit(0)),
+                         "conflict": F.coalesce(F.col("conflict"), F.lit(False))}))
+    return out if report else out.drop("n_predictions", "conflict")
 
 
 def strip_echo(output, prompt) -> Column:
@@ -113,10 +134,17 @@ def accuracy_by_category(graded: DataFrame, cols: Sequence[str]) -> DataFrame:
             .withColumn("accuracy", F.col("correct") / F.col("total")))
 
 
-def answer_text(raw: str, normalised: str):
-    """What to read an answer from: the whole balanced box of the raw
-    text, else the grader's normalised answer (which stops at the first brace)."""
-    return F.coalesce(boxed_answer(F.col(raw)), F.col(normalised))
+def _cleaned(graded: DataFrame, prediction: str, reference: str) -> DataFrame:
+    """``graded`` with ``_pc`` and ``_rc``: the plain number strings of both answers.
+
+    An answer is read from the first balanced box of the raw text, else from the
+    grader's normalised answer (which stops at the first brace).  Boxes, then
+    clean-up, as projections of their own: each runs once a row.
+    """
+    boxes = graded.withColumns({"_pc": F.coalesce(boxed_answer(prediction), F.col("pred_norm")),
+                                "_rc": F.coalesce(boxed_answer(reference), F.col("ref_norm"))})
+    plain = boxes.withColumns({c: latex_to_plain(c) for c in ("_pc", "_rc")})
+    return plain.withColumns({c: normalize_number_string(c) for c in ("_pc", "_rc")})
 
 
 def error_type(graded: DataFrame, dataset: str = "dataset", prediction: str = "prediction",
@@ -130,43 +158,56 @@ def error_type(graded: DataFrame, dataset: str = "dataset", prediction: str = "p
     d = F.lower(F.col(dataset))
     raw = F.col(prediction)
     marker = F.when(d == "math", raw.rlike(BOXED)).otherwise(raw.rlike(ANSWER_MARK))
-    # a projection of its own: each clean-up chain runs once a row
-    graded = graded.withColumns({"_pp": normalize_number_string(latex_to_plain(answer_text(prediction, "pred_norm"))),
-                                 "_pr": normalize_number_string(latex_to_plain(answer_text(reference, "ref_norm")))})
     kind = (F.when(F.col("correct"), F.lit("correct"))
             .when(raw.isNull() | (pystrip(raw) == ""), F.lit("empty_prediction"))
-            .when(F.col("_pp") == F.col("_pr"), F.lit("format_only"))
+            .when(F.col("_pc") == F.col("_rc"), F.lit("format_only"))
             .when(~marker, F.lit("no_answer_marker"))
             .otherwise(F.lit("wrong_value")))
-    return graded.withColumn("error_type", kind).drop("_pp", "_pr")
+    return _cleaned(graded, prediction, reference).withColumn("error_type", kind).drop("_pc", "_rc")
 
 
 def numeric_match(graded: DataFrame, tol: float = 1e-6, prediction: str = "prediction",
                   reference: str = "reference") -> DataFrame:
-    """Tolerant numeric comparison of the answers (``answer_text``).
-
-    Clean-up, parse and compare run as three projections so each regex chain
-    is evaluated once per row.
-    """
-    cleaned = graded.withColumns({
-        "_pc": normalize_number_string(latex_to_plain(answer_text(prediction, "pred_norm"))),
-        "_rc": normalize_number_string(latex_to_plain(answer_text(reference, "ref_norm")))})
-    parsed = cleaned.withColumns({"_pn": to_number("_pc", cleaned=True),
-                                  "_rn": to_number("_rc", cleaned=True)})
+    """Tolerant numeric comparison of the answers (see ``_cleaned``)."""
+    parsed = _cleaned(graded, prediction, reference).withColumns({"_pn": to_number("_pc", cleaned=True),
+                                                                  "_rn": to_number("_rc", cleaned=True)})
     return (parsed.withColumn("numeric_correct",
                               F.col("correct") | numbers_match("_pn", "_rn", tol, parsed=True))
             .drop("_pc", "_rc", "_pn", "_rn"))
 
 
-def rescore(graded: DataFrame, overrides: DataFrame, keys: Sequence[str] = KEY) -> DataFrame:
-    """Apply manual / secondary verdicts ``(keys..., correct_override)``.
+def merge_verdicts(log: DataFrame, keys: Sequence[str] = KEY, order: Sequence[str] = ("version",),
+                   verdict: str = "verdict") -> DataFrame:
+    """One row a key of a review log: the verdict that is last in ``order``
+    (ties: true wins), how many there are, and whether they disagree.
+
+    A last verdict that is null withdraws the review of its key.  ``max_by``
+    merges map-side, so a key that a third of the log is about is one row a task.
+    """
+    v = F.col(verdict).cast(T.BooleanType())
+    return log.groupBy(*keys).agg(
+        F.max_by(v, F.struct(*[F.col(c) for c in order], v)).alias("verdict"), F.count(F.lit(1)).alias("n_verdicts"),
+        F.coalesce(F.min(v) != F.max(v), F.lit(False)).alias("disputed"))
+
+
+def review_conflicts(log: DataFrame, keys: Sequence[str] = KEY, order: Sequence[str] = ("version",),
+                     verdict: str = "verdict") -> DataFrame:
+    """The keys whose verdicts disagree, with the one that holds."""
+    return merge_verdicts(log, keys, order, verdict).where("disputed").drop("disputed")
+
+
+def rescore(graded: DataFrame, overrides: DataFrame, keys: Sequence[str] = KEY, order: Sequence[str] = (),
+            verdict: str = "correct_override") -> DataFrame:
+    """Apply manual / secondary verdicts ``(keys..., verdict)``, a log in which a
+    key may occur any number of times (see ``merge_verdicts``).
 
-    Overrides are a reviewed subset; the left join keeps every graded row.
+    As many rows as ``graded``: the log is merged to one verdict a key first, and
+    the left join keeps every graded row.
     """
-    ov = overrides.select(*keys, F.col("correct_override").cast(T.BooleanType()))
-    return (graded.join(ov, list(keys), "left")
-            .withColumn("rescored", F.coalesce(F.col("correct_override"), F.col("correct")))
-            .drop("correct_override"))
+    held = merge_verdicts(overrides, keys, order, verdict).select(*keys, F.col("verdict").alias("_verdict"))
+    return (graded.join(held, list(keys), "left")
+            .withColumn("rescored", F.coalesce(F.col("_verdict"), F.col("correct")))
+            .drop("_verdict"))
 
 
 def unparsed(graded: DataFrame, dataset: str = "dataset", prediction: str = "prediction") -> DataFrame:
