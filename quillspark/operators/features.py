@@ -90,50 +90,73 @@ def encode(df: DataFrame, text_col: str, vocab: Vocab, max_len: int | Column, id
     return encode_many(df, {out_col: (text_col, max_len)}, vocab, id_cols, add_bos=add_bos)
 
 
+def _content(df: DataFrame, cols: Sequence[str]) -> list[Column]:
+    """Two 64-bit hashes of the columns' values (of a map's or variant's JSON)."""
+    def plain(c: str) -> Column:
+        kind = df.schema[c].dataType.simpleString()
+        return F.to_json(F.struct(F.col(c))) if "map<" in kind or "variant" in kind else F.col(c)
+
+    values = [plain(c) for c in cols]
+    return [F.xxhash64(F.lit(salt), *values) for salt in ("one", "two")]
+
+
 def encode_many(df: DataFrame, texts: dict[str, tuple[str, int | Column]], vocab: Vocab,
                 id_cols: Sequence[str], carry: Sequence[str] = (), add_bos: bool = True) -> DataFrame:
     """G2 for several text columns in one pass, row by row (rows with equal ids
     stay apart).
 
-    ``texts`` maps an output name to ``(text column, max_len)``.  Every text is
-    exploded into (row, field, position, token) - only tokens that survive
-    truncation - and joined to the vocabulary, frequent words by broadcast, the
-    others by token; two aggregates put the rows together again.  ``carry``
-    columns ride along.  For each output ``o`` the result has ``o`` (ids) and
-    ``o_full_len`` (ids before truncation).
+    ``texts`` maps an output name to ``(text column, max_len)``.  A row is known
+    by its content (128 bits of hash over everything it brings), never by its
+    place in a partition: a task that is run again with its input in another
+    order says the same.  Equal rows are one row with a count, put out as often.
+
+    Every row is laid out as one line with its other columns and one line per
+    token that survives truncation, so that nothing but (row, field, position,
+    token) meets the vocabulary: frequent words by broadcast, the others by
+    token.  One aggregate puts the rows together again.  ``carry`` columns ride
+    along.  For each output ``o`` the result has ``o`` (ids) and ``o_full_len``
+    (ids before truncation).
     """
-    keep, names, first = [*id_cols, *carry], list(texts), int(add_bos)
-    fields = []
-    for i, (col, cap) in enumerate(texts.values()):
-        capc = F.lit(cap) if isinstance(cap, int) else cap
-        fields.append(F.struct(F.lit(i).alias("f"), words(col).alias("w"), capc.cast("int").alias("cap")))
-    numbered = df.select("*", F.monotonically_increasing_id().alias("_row"))  # before the texts are laid out
-    base = numbered.select(*keep, "_row", F.explode(F.array(*fields)).alias("_t"))
-    ex = base.select(*keep, "_row", F.col("_t.f").alias("_f"), F.col("_t.cap").alias("_cap"), F.size("_t.w").alias("_n"),
-                     F.posexplode_outer("_t.w").alias("_pos", "token"))
-    # a cut text keeps its first position, for its length
-    ex = ex.where(F.col("_pos").isNull() | (F.col("_pos") < F.greatest(F.col("_cap") - first, F.lit(1))))
+    keep, names, first = list(dict.fromkeys([*id_cols, *carry])), list(texts), int(add_bos)
+    caps = {f"_cap{i}": (F.lit(cap) if isinstance(cap, int) else cap).cast("int") for i, (_, cap) in enumerate(texts.values())}
+    laid = df.select(*keep, *[F.col(c).alias(f"_text{i}") for i, (c, _) in enumerate(texts.values())], *[c.alias(n) for n, c in caps.items()])
+    h1, h2 = _content(laid, laid.columns)
+    laid = laid.select("*", h1.alias("_h1"), h2.alias("_h2"), *[words(f"_text{i}").alias(f"_w{i}") for i in range(len(names))])
+    rest = F.struct(*keep, *caps, *[F.size(f"_w{i}").alias(f"_n{i}") for i in range(len(names))])
+    none = F.when(F.lit(False), rest)
+
+    def lines(i: int) -> Column:
+        cut = F.slice(F.col(f"_w{i}"), F.lit(1), F.greatest(F.col(f"_cap{i}") - first, F.lit(0)))
+        return F.transform(cut, lambda w, k: F.struct(F.lit(i).alias("f"), k.alias("pos"), w.alias("token"), none.alias("rest")))
+
+    head_line = F.array(F.struct(F.lit(-1).alias("f"), F.lit(-1).alias("pos"), F.lit(None).cast("string").alias("token"), rest.alias("rest")))
+    ex = laid.select("_h1", "_h2", F.explode(F.concat(head_line, *[F.coalesce(lines(i), F.array()) for i in range(len(names))])).alias("_t"))
+    ex = ex.select("_h1", "_h2", F.col("_t.f").alias("_f"), F.col("_t.pos").alias("_pos"), F.col("_t.token").alias("token"), F.col("_t.rest").alias("_rest"))
+
     head = vocab.table.where(F.col("id") < HEAD).withColumnsRenamed({"id": "_head"})
     tail = vocab.table.where(F.col("id") >= HEAD).withColumnsRenamed({"token": "_word", "id": "_tail"})
     j = ex.join(F.broadcast(head), "token", "left")
     # words already found get a key that matches nothing and is not the same for all
     key = F.when(F.col("_head").isNull() & F.col("token").isNotNull(), F.col("token")).otherwise(
-        F.concat(F.lit(" "), F.col("_row").cast("string")))
+        F.concat(F.lit(" "), F.col("_h1").cast("string")))
     j = j.join(tail, key == F.col("_word"), "left")
     tok_id = F.coalesce("_head", "_tail", F.lit(vocab.unk_id))
-    per = j.groupBy("_row", "_f").agg(
-        *[F.first(c).alias(c) for c in keep], F.max("_n").alias("_n"), F.max("_cap").alias("_cap"),
-        F.array_sort(F.collect_list(F.when(F.col("_pos").isNotNull(), F.struct("_pos", tok_id.alias("id"))))).alias("_s"))
-    ids = F.transform(F.col("_s"), lambda s: s["id"])
-    if add_bos:
-        ids = F.concat(F.array(F.lit(vocab.bos_id)), ids)
-    per = per.select(*keep, "_row", "_f", F.slice(ids, F.lit(1), F.col("_cap")).alias("_ids"),
-                     (F.col("_n") + first).cast("int").alias("_full"))
-    aggs = [F.first(c).alias(c) for c in keep]
+    # a set: equal rows bring every (field, position) again
+    rows = j.groupBy("_h1", "_h2").agg(
+        F.first("_rest", ignorenulls=True).alias("_rest"), F.count_if(F.col("_f") < 0).alias("_copies"),
+        F.array_sort(F.collect_set(F.when(F.col("_f") >= 0, F.struct("_f", "_pos", tok_id.alias("id"))))).alias("_s"))
+
+    def ids_of(i: int) -> Column:
+        return F.transform(F.filter("_s", lambda s: s["_f"] == i), lambda s: s["id"])
+
+    out = []
     for i, name in enumerate(names):
-        aggs.append(F.max(F.when(F.col("_f") == i, F.col("_ids"))).alias(name))
-        aggs.append(F.max(F.when(F.col("_f") == i, F.col("_full"))).alias(f"{name}_full_len"))
-    return per.groupBy("_row").agg(*aggs).drop("_row")
+        ids = ids_of(i)
+        if add_bos:
+            ids = F.concat(F.array(F.lit(vocab.bos_id)), ids)
+        out += [F.slice(ids, F.lit(1), F.col(f"_rest._cap{i}")).alias(name), (F.col(f"_rest._n{i}") + first).cast("int").alias(f"{name}_full_len")]
+    rows = rows.select(*[F.col(f"_rest.`{c}`").alias(c) for c in keep], *out, "_copies")
+    return rows.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_copies")))).drop("_copies", "_copy")
 
 
 def append_eos(ids, eos_id: int) -> Column:

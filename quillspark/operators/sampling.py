@@ -5,11 +5,13 @@ Draws never use ``rand()``/``sample()``: every row gets a key
 order or cluster size, and the oracle (DuckDB ``md5``) can reproduce it.
 
 Ranking inside large groups avoids one-task windows: the leading hex digits of
-the key cut each group into buckets (4096 by default).  A small table of counts
-per (group, bucket) gives each bucket its offset, and ``row_number`` runs only
-inside a bucket.  Because the key is a hash, buckets are even whatever the
-group sizes, so a level holding a third of the rows is spread over thousands of
-tasks.
+the key cut each group into buckets, as many digits as the number of rows asks
+for (``BUCKET_ROWS``).  A small table of counts per (group, bucket) gives each
+bucket its offset, and ``row_number`` runs only inside a bucket.  Because the key
+is a hash, buckets are even whatever the group sizes, so a level holding a third
+of the rows is spread over as many tasks as its rows need.  Rows and offsets meet
+in an ordinary join on the window's own keys: no further exchange, and broadcast
+only where the runtime size is below the session's threshold.
 """
 
 from __future__ import annotations
@@ -43,21 +45,58 @@ def share(fraction) -> Column:
     return (F.lit(fraction) if not isinstance(fraction, Column) else fraction) * F.lit(float(DRAWS))
 
 
+#: Rows of one bucket, about: what a task sorts at once.
+BUCKET_ROWS = 1 << 16
+#: Hex digits of a bucket number at most (a long).
+MAX_DIGITS = 15
+
+
+def bucket_digits(df: DataFrame, bucket_rows: int = BUCKET_ROWS) -> Column:
+    """Leading hex digits of the key that make buckets of ``bucket_rows`` or fewer
+    rows: the next whole number above log16(rows / bucket_rows).  A scalar
+    subquery, so it follows the data at every size and stays in the plan."""
+    n = df.agg(F.count(F.lit(1)).alias("n"))
+    # one row more would ask for: rows <= bucket_rows * 16 ** digits
+    return n.select(F.least(F.lit(MAX_DIGITS), F.greatest(F.lit(0), F.ceil(F.log(
+        16.0, F.greatest(F.col("n"), F.lit(1)) / F.lit(float(bucket_rows)))))).cast("int")).scalar()
+
+
+def with_bucket(df: DataFrame, key: str, bucket_rows: int = BUCKET_ROWS, rows: DataFrame | None = None) -> DataFrame:
+    """``_bucket`` from the key's leading digits; ``rows``: a frame with as many rows
+    as ``df`` that is cheaper to count."""
+    digits = bucket_digits(df if rows is None else rows, bucket_rows)
+    number = F.conv(F.concat(F.lit("0"), F.substr(F.col(key), F.lit(1), digits)), 16, 10).cast("bigint")
+    return df.withColumn("_bucket", number)
+
+
+#: Buckets under one sum of the offsets.
+BUCKET_GROUP = 1 << 12
+
+
 def bucket_offsets(b: DataFrame, group_cols: Sequence[str]) -> DataFrame:
-    """Per (group, bucket): rows in earlier buckets of the group (``_off``)
-    and the group's size (``_gsize``).  One aggregate over the input, then
-    windows over the small counts table (at most groups x buckets rows)."""
+    """Per (group, bucket): rows in earlier buckets of the group (``_off``) and
+    the group's size (``_gsize``).  One aggregate over the input, then prefix sums
+    in two levels: within ``BUCKET_GROUP`` neighbouring buckets, and over these
+    stretches, so that the buckets of one large group are not one task's work."""
     group_cols = list(group_cols)
     counts = b.groupBy(*group_cols, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
+    counts = counts.withColumn("_span", F.floor(F.col("_bucket") / BUCKET_GROUP))
     part = Window.partitionBy(*group_cols) if group_cols else Window.partitionBy()
-    before = part.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    return counts.select(*group_cols, "_bucket",
-                         F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"),
-                         F.sum("_n").over(part).alias("_gsize"))
+    spans = counts.groupBy(*group_cols, "_span").agg(F.sum("_n").alias("_t"))
+    before = part.orderBy("_span").rowsBetween(Window.unboundedPreceding, -1)
+    spans = spans.select(*group_cols, "_span", F.coalesce(F.sum("_t").over(before), F.lit(0)).alias("_start"),
+                         F.sum("_t").over(part).alias("_gsize"))
+    inside = Window.partitionBy(*group_cols, "_span").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.withColumn("_in", F.coalesce(F.sum("_n").over(inside), F.lit(0)))
+    return same_groups(counts, spans, [*group_cols, "_span"]).select(
+        *group_cols, "_bucket", (F.col("_start") + F.col("_in")).alias("_off"), "_gsize")
 
 
-def with_bucket(df: DataFrame, key: str, hex_digits: int) -> DataFrame:
-    return df.withColumn("_bucket", F.conv(F.substring(F.col(key), 1, hex_digits), 16, 10).cast("int"))
+def same_groups(left: DataFrame, right: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Join on equal ``cols``, null being equal to null; the columns come once."""
+    names = {c: f"_r_{c}" for c in cols}
+    cond = [F.col(c).eqNullSafe(F.col(r)) for c, r in names.items()]
+    return left.join(right.withColumnsRenamed(names), cond).drop(*names.values())
 
 
 def rank_in_buckets(joined: DataFrame, group_cols: Sequence[str], key: str, tie_cols: Sequence[str],
@@ -67,34 +106,29 @@ def rank_in_buckets(joined: DataFrame, group_cols: Sequence[str], key: str, tie_
 
 
 def hash_rank(df: DataFrame, group_cols: Sequence[str], key: str, tie_cols: Sequence[str] = (),
-              hex_digits: int = 3, max_rank: int | None = None,
-              small_groups: bool = True, rank_col: str = "rank") -> DataFrame:
+              max_rank: int | None = None, rank_col: str = "rank", bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """1-based rank of each row within its group, ordered by ``key`` then ``tie_cols``.
 
     ``max_rank`` drops whole buckets that start past it before any sort.
-    With ``small_groups`` the offsets table (groups x 16^hex_digits rows) is
-    broadcast; otherwise the join is left to AQE.
     """
     group_cols = list(group_cols)
-    b = with_bucket(df, key, hex_digits)
+    b = with_bucket(df, key, bucket_rows)
     offsets = bucket_offsets(b, group_cols).drop("_gsize")
-    if small_groups:
-        offsets = F.broadcast(offsets)
-    j = b.join(offsets, group_cols + ["_bucket"], "inner")
+    j = same_groups(b, offsets, [*group_cols, "_bucket"])
     if max_rank is not None:
         j = j.where(F.col("_off") < F.lit(max_rank))
     return rank_in_buckets(j, group_cols, key, tie_cols, rank_col).drop("_bucket", "_off")
 
 
 def seeded_shuffle(df: DataFrame, seed: int = DEFAULT_SEED, id_cols: Sequence[str] = ("dataset", "sample_id"),
-                   position_col: str = "position", hex_digits: int = 4) -> DataFrame:
+                   position_col: str = "position", bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """a reproducible permutation, materialised as a 0-based ``position``.
 
-    No global ``Window.orderBy`` (that is a single task): 16^4 hash buckets, a
-    broadcast offsets table of at most 65,536 rows, and per-bucket row numbers.
+    No global ``Window.orderBy`` (that is a single task): hash buckets that follow
+    the number of rows, their offsets, and per-bucket row numbers.
     """
     keyed = df.withColumn("_key", hash_key(seed, *id_cols))
-    ranked = hash_rank(keyed, [], "_key", list(id_cols), hex_digits=hex_digits, rank_col="_rank")
+    ranked = hash_rank(keyed, [], "_key", list(id_cols), rank_col="_rank", bucket_rows=bucket_rows)
     return ranked.withColumn(position_col, F.col("_rank") - 1).drop("_rank", "_key")
 
 
@@ -117,15 +151,15 @@ MODES = ("sample", "balanced", "full")
 
 def analysis_pass(df: DataFrame, mode: str = "sample", per_level: int = 5, seed: int = DEFAULT_SEED,
                   level: str = "level", id_cols: Sequence[str] = ("sample_id",),
-                  hex_digits: int = 3) -> DataFrame:
+                  bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """one ranked frame, filtered per mode; ``all`` = the three modes
     stacked with an ``analysis`` column (one rank computation, not three).
 
     Pick counts per mode — sample: min(n, size); balanced: min(smallest
     non-empty size, size); full: size — are columns of the bucket offsets
     table, so sizes, the minimum and the offsets come from one aggregate and
-    one broadcast join.  Buckets that start past every mode's count are
-    dropped before the ranking sort.
+    one join.  Buckets that start past every mode's count are dropped before the
+    ranking sort.
     """
     if mode not in MODES + ("all",):
         raise ValueError(f"Unknown mode {mode}")
@@ -134,15 +168,15 @@ def analysis_pass(df: DataFrame, mode: str = "sample", per_level: int = 5, seed:
         return (sample_per_level(df, per_level, seed, level, id_cols)
                 .withColumns({"sample_index": F.col("sample_index").cast("bigint"), "analysis": F.lit("sample")}))
     keyed = df.withColumn("_key", hash_key(seed, *id_cols))
-    b = with_bucket(keyed, "_key", hex_digits)
+    b = with_bucket(keyed, "_key", bucket_rows)
     offs = bucket_offsets(b, [level])
-    offs = offs.withColumn("_min", F.min("_gsize").over(Window.partitionBy()))
+    offs = offs.withColumn("_min", offs.agg(F.min("_gsize")).scalar())
     offs = offs.select(level, "_bucket", "_off",
                        F.least(F.lit(per_level).cast("bigint"), F.col("_gsize")).alias("n_sample"),
                        F.least(F.col("_min"), F.col("_gsize")).alias("n_balanced"),
                        F.col("_gsize").alias("n_full"))
     modes = MODES if mode == "all" else (mode,)
-    j = b.join(F.broadcast(offs), [level, "_bucket"], "inner")
+    j = same_groups(b, offs, [level, "_bucket"])
     limit = F.greatest(*[F.col(f"n_{m}") for m in modes]) if len(modes) > 1 else F.col(f"n_{modes[0]}")
     j = j.where(F.col("_off") < limit)
     ranked = rank_in_buckets(j, [level], "_key", list(id_cols), "sample_index")
@@ -197,7 +231,7 @@ def stratified_sample(df: DataFrame, fractions: Mapping[int, float], seed: int =
 
 def mix_datasets(df: DataFrame, mode: str = "alternate", weights: Mapping[str, float] | None = None,
                  seed: int = DEFAULT_SEED, dataset: str = "dataset",
-                 id_cols: Sequence[str] = ("dataset", "sample_id")) -> DataFrame:
+                 id_cols: Sequence[str] = ("dataset", "sample_id"), bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """Mix datasets.
 
     ``weighted``: keep each row with its dataset's weight (hash threshold).
@@ -216,9 +250,9 @@ def mix_datasets(df: DataFrame, mode: str = "alternate", weights: Mapping[str, f
     if mode != "alternate":
         raise ValueError(f"Unknown mix mode {mode}")
     keyed = df.withColumn("_key", hash_key(seed, *id_cols))
-    b = with_bucket(keyed, "_key", 3)
+    b = with_bucket(keyed, "_key", bucket_rows)
     offs = bucket_offsets(b, [dataset])
-    ranked = rank_in_buckets(b.join(F.broadcast(offs.drop("_gsize")), [dataset, "_bucket"]),
+    ranked = rank_in_buckets(same_groups(b, offs.drop("_gsize"), [dataset, "_bucket"]),
                              [dataset], "_key", list(id_cols), "_r").drop("_bucket", "_off")
     sizes = (offs.groupBy(dataset).agg(F.max("_gsize").alias("n"))
              .agg(F.collect_list(F.struct(F.col(dataset).alias("d"), F.col("n"))).alias("s"))
