@@ -41,8 +41,8 @@ HEAD = 20_000
 
 
 def words(text) -> Column:
-    """Whitespace tokens of a text (Python ``str.split()`` semantics)."""
-    t = pystrip(col_of(text))
+    """Whitespace tokens of a text (Python ``str.split()`` semantics); none for null."""
+    t = pystrip(F.coalesce(col_of(text), F.lit("")))
     return F.when(t == "", F.array().cast("array<string>")).otherwise(F.split(t, WS_CLASS + "+"))
 
 
@@ -91,12 +91,14 @@ def encode(df: DataFrame, text_col: str, vocab: Vocab, max_len: int | Column, id
 
 
 def _content(df: DataFrame, cols: Sequence[str]) -> list[Column]:
-    """Two 64-bit hashes of the columns' values (of a map's or variant's JSON)."""
+    """Two 64-bit hashes of the columns' values: of the JSON of nested ones, and of
+    which are null, as a hash passes over nulls."""
     def plain(c: str) -> Column:
         kind = df.schema[c].dataType.simpleString()
-        return F.to_json(F.struct(F.col(c))) if "map<" in kind or "variant" in kind else F.col(c)
+        nested = any(k in kind for k in ("<", "variant"))
+        return F.to_json(F.struct(F.col(c)), {"ignoreNullFields": "false"}) if nested else F.col(c)
 
-    values = [plain(c) for c in cols]
+    values = [x for c in cols for x in (plain(c), F.col(c).isNull())]
     return [F.xxhash64(F.lit(salt), *values) for salt in ("one", "two")]
 
 
@@ -130,7 +132,7 @@ def encode_many(df: DataFrame, texts: dict[str, tuple[str, int | Column]], vocab
         return F.transform(cut, lambda w, k: F.struct(F.lit(i).alias("f"), k.alias("pos"), w.alias("token"), none.alias("rest")))
 
     head_line = F.array(F.struct(F.lit(-1).alias("f"), F.lit(-1).alias("pos"), F.lit(None).cast("string").alias("token"), rest.alias("rest")))
-    ex = laid.select("_h1", "_h2", F.explode(F.concat(head_line, *[F.coalesce(lines(i), F.array()) for i in range(len(names))])).alias("_t"))
+    ex = laid.select("_h1", "_h2", F.explode(F.concat(head_line, *[lines(i) for i in range(len(names))])).alias("_t"))
     ex = ex.select("_h1", "_h2", F.col("_t.f").alias("_f"), F.col("_t.pos").alias("_pos"), F.col("_t.token").alias("token"), F.col("_t.rest").alias("_rest"))
 
     head = vocab.table.where(F.col("id") < HEAD).withColumnsRenamed({"id": "_head"})

@@ -42,9 +42,10 @@ def encoded(spark, sf_dir):
     return enc, vocab
 
 
-def features(spark, sf_dir):
+def features(spark, sf_dir, eos: bool = True):
     enc, vocab = encoded(spark, sf_dir)
-    enc = enc.withColumn("response_ids", FT.append_eos("response_ids", vocab.eos_id))
+    if eos:
+        enc = enc.withColumn("response_ids", FT.append_eos("response_ids", vocab.eos_id))
     return FT.sft_features(enc, "prompt_ids", "response_ids"), vocab
 
 

@@ -224,6 +224,26 @@ def features_cached(spark, sf_dir):
                        F.size("prompt_ids").alias("n_prompt"))
 
 
+@query("features_reused", FQ.ENC_CTES + "," + FQ.FEAT_SQL + """,
+bare AS (SELECT len(p.ids) + len(r.ids) AS n FROM p_enc p JOIN r_enc r USING (dataset, conv_id, turn))
+SELECT 1 AS run, false AS reused, CAST(count(*) AS BIGINT) AS n, CAST(sum(len(prompt_ids) + len(response_ids)) AS BIGINT) AS n_ids FROM feat
+UNION ALL SELECT 2, true, CAST(count(*) AS BIGINT), CAST(sum(len(prompt_ids) + len(response_ids)) AS BIGINT) FROM feat
+UNION ALL SELECT 3, false, CAST(count(*) AS BIGINT), CAST(sum(n) AS BIGINT) FROM bare
+""")
+def features_reused(spark, sf_dir):
+    """A10: features written once, read by the second run, written again for other settings."""
+    root = shared_dir(spark, "feature-cache")
+    inputs = [table_path(sf_dir, "conversations")]
+    out = None
+    for run, eos in ((1, True), (2, True), (3, False)):
+        settings = {"templates": [[c.name, c.prompt_template, c.answer_template] for c in PQ.CONFIGS], "caps": FQ.CAPS, "append_eos": eos}
+        rows, reused = sinks.cached_features(spark, root, settings, inputs, lambda eos=eos: FQ.features(spark, sf_dir, eos)[0])
+        one = rows.agg(F.count(F.lit(1)).alias("n"), F.sum(F.size("input_ids")).alias("n_ids")).select(
+            F.lit(run).alias("run"), F.lit(reused).alias("reused"), "n", "n_ids")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 @query("report_written", Q.with_views("""
 SELECT line FROM (
   SELECT '| dataset | level | total | correct | accuracy |' AS line

@@ -4,10 +4,16 @@ sample as in a per-record loop."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import hashlib
+import json
+import uuid
+from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
 from ..session import literal_table
 
 # --- fixed values: output formats -------------------------------------------
@@ -79,6 +85,61 @@ def cache_features(df: DataFrame, path: str, partition_cols: Sequence[str] = ("s
     df.write.mode("overwrite").partitionBy(*partition_cols).parquet(path)
 
 
+#: Part of every cache key: entries of another layout are never read.
+CACHE_FORMAT = 1
+
+
+def input_state(spark: SparkSession, paths: Sequence[str]) -> str:
+    """What tells whether input files have changed: number, and a sum over the
+    hashes of path, length and modification time.  Only the listing is read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(list(paths))
+    r = files.select(F.xxhash64("path", "length", "modificationTime").cast("decimal(38,0)").alias("h")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum("h").alias("h")).first()
+    return f"{r['n']}:{r['h']}"
+
+
+def cache_key(settings: Mapping, inputs: str) -> str:
+    """Name of a cache entry: a digest of the settings (JSON values) and the inputs' state."""
+    text = json.dumps({"format": CACHE_FORMAT, "settings": settings, "inputs": inputs}, sort_keys=True)
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+def _committed(spark: SparkSession, entry: str) -> dict | None:
+    """The rows of an entry that were written to the end (of several writers', the first by name)."""
+    try:
+        mark = spark.read.text(f"{entry}/committed").agg(F.min("value")).first()[0]
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+    return json.loads(mark) if mark else None
+
+
+def cached_features(spark: SparkSession, root: str, settings: Mapping, inputs: Sequence[str], build: Callable[[], DataFrame],
+                    partition_cols: Sequence[str] = ("split", "dataset")) -> tuple[DataFrame, bool]:
+    """A10: the features for these settings and input files, and whether they were
+    there already.
+
+    An entry's folder is named by its content: settings (templates, caps, seed,
+    ...) and the state of the input files, so anything that could change the rows
+    makes another entry.  Every writer writes to a folder of its own and leaves
+    a mark when it is done; only marked rows are read, so one that was
+    interrupted is never seen, and of two at a time both read the same rows.
+    """
+    entry = f"{root.rstrip('/')}/{cache_key(settings, input_state(spark, inputs))}"
+    held = _committed(spark, entry)
+    reused = held is not None
+    if held is None:
+        rows = build()
+        name = f"rows-{uuid.uuid4().hex}"
+        rows.write.partitionBy(*partition_cols).parquet(f"{entry}/{name}")
+        mark = json.dumps({"rows": name, "schema": rows.schema.json()}, sort_keys=True)
+        literal_table(spark, [(mark,)], "value string").write.mode("append").text(f"{entry}/committed")
+        held = _committed(spark, entry)
+    schema = StructType.fromJson(json.loads(held["schema"]))
+    return spark.read.schema(schema).parquet(f"{entry}/{held['rows']}").select(*schema.names), reused
+
+
 def report_lines(df: DataFrame, cols: Sequence[str], digits: int = 4) -> DataFrame:
     """A11 (Markdown): a header, a rule and one ``| a | b |`` line per row.
     Doubles are printed with a fixed number of digits, rounded half-up on
