@@ -37,9 +37,9 @@ def qa_records(spark, sf_dir):
     return SM.split_dataset(qa, (8, 1, 1), SEED, ("dataset", "conv_id", "turn"))
 
 
-def rendered_union(spark, sf_dir, names=None):
+def rendered_union(spark, sf_dir, names=None, cot=False):
     """E1 over B1-selected configs: each dataset rendered with its own templates."""
-    return P.build_prompts(qa_records(spark, sf_dir), P.filter_configs(CONFIGS, names))
+    return P.build_prompts(qa_records(spark, sf_dir), P.filter_configs(CONFIGS, names), cot=cot)
 
 
 def render_sql(template, ctx):
@@ -84,6 +84,20 @@ def eval_samples(spark, sf_dir):
     return r.select("dataset", "conv_id", "turn", "prompt", F.col("response").alias("reference"))
 
 
+@query("eval_samples_cot", Q.with_views("""
+SELECT r.dataset, conv_id, turn, response AS reference, CASE WHEN r.dataset = 'math' THEN concat(prompt, chr(10),
+  'Please reason step by step, and put your final answer within ', chr(92), 'boxed{}.') ELSE prompt END AS prompt
+FROM rendered r
+JOIN (SELECT dataset, max(CASE WHEN split = 'test' THEN 1 ELSE 0 END) AS has_test FROM rendered GROUP BY dataset) h
+  ON h.dataset = r.dataset
+WHERE split = CASE WHEN has_test = 1 THEN 'test' ELSE 'validation' END
+""", **QA_VIEWS))
+def eval_samples_cot(spark, sf_dir):
+    """C5 with chain-of-thought prompts for one of the datasets."""
+    r = P.eval_split(rendered_union(spark, sf_dir, cot={"math"}))
+    return r.select("dataset", "conv_id", "turn", "prompt", F.col("response").alias("reference"))
+
+
 @query("prompts_math_only", Q.with_views("SELECT * FROM rendered WHERE dataset = 'math'", **QA_VIEWS))
 def prompts_math_only(spark, sf_dir):
     """B1: the whitelist removes the other branch from the plan."""

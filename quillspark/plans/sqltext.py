@@ -1,13 +1,15 @@
-"""DuckDB spellings of the Column rules, for the oracle SQL.
-
-The patterns are the same strings the Spark side uses (they are valid in both
-Java regex and RE2); only the function names differ.
-"""
+"""The Column rules once more in DuckDB's SQL, for the oracles.  Patterns and
+character sets are spelled here from the rules, not taken from the code."""
 
 from __future__ import annotations
 
-from ..functions.answers import ANSWER_MARK, BOXED, DOUBLE_BACKSLASH
-from ..functions.text import LINE_BREAK, STRIP_WS, WS_CLASS
+# white space and line ends of Python strings, by code point
+WS_CLASS = r"[\x09-\x0d\x1c-\x20\x{0085}\x{00a0}\x{1680}\x{2000}-\x{200a}\x{2028}-\x{2029}\x{202f}\x{205f}\x{3000}]"
+STRIP_WS = "^" + WS_CLASS + "+|" + WS_CLASS + "+$"
+LINE_BREAK = r"(?:\x0d\x0a|[\x0a-\x0d\x1c-\x1e\x{0085}\x{2028}\x{2029}])"
+BOXED = r"\\boxed[{]([^}]*)[}]"
+ANSWER_MARK = "(?:A|a)nswer" + WS_CLASS + "*(?::|-)" + WS_CLASS + r"*([^\x0a]*)"
+DOUBLE_BACKSLASH = r"\\{2}"
 
 
 def lit(s: str) -> str:
