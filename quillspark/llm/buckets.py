@@ -73,8 +73,8 @@ def sides(t: pa.Table) -> tuple[np.ndarray, np.ndarray, bool]:
     return np.flatnonzero(side == 0), np.flatnonzero(side == 1), False
 
 
-def groups(batches, keys: Sequence[str], fn: Callable[[pa.Table], Iterator[pa.RecordBatch]]) -> Iterator[pa.RecordBatch]:
-    """``fn`` on each group of two rows or more of batches sorted by ``keys``."""
+def complete(batches, keys: Sequence[str]) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """Tables of whole groups of batches sorted by ``keys``, and the groups' bounds."""
     held: list[pa.RecordBatch] = []
 
     def ready(done: bool):
@@ -83,9 +83,8 @@ def groups(batches, keys: Sequence[str], fn: Callable[[pa.Table], Iterator[pa.Re
         cols = np.column_stack([t.column(c).to_numpy() for c in keys])
         b = np.append(C.bounds(cols), len(cols))
         last = len(b) - 1 if done else len(b) - 2
-        for s, e in zip(b[:last].tolist(), b[1:last + 1].tolist()):
-            if e - s > 1:
-                yield from fn(t.slice(s, e - s))
+        if last > 0:
+            yield t.slice(0, b[last]), b[:last + 1]
         held = [] if done else t.slice(b[last]).to_batches()
 
     for batch in batches:
@@ -96,6 +95,30 @@ def groups(batches, keys: Sequence[str], fn: Callable[[pa.Table], Iterator[pa.Re
         yield from ready(True)
 
 
+def groups(batches, keys: Sequence[str], fn: Callable[[pa.Table], Iterator[pa.RecordBatch]]) -> Iterator[pa.RecordBatch]:
+    """``fn`` on each group of two rows or more of batches sorted by ``keys``."""
+    for t, b in complete(batches, keys):
+        for s, e in zip(b[:-1].tolist(), b[1:].tolist()):
+            if e - s > 1:
+                yield from fn(t.slice(s, e - s))
+
+
+def inner_pairs(b: np.ndarray, most: int = 1 << 20) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """All pairs of rows p < q of one group, for groups with bounds ``b``: many
+    groups at once, about ``most`` pairs."""
+    n = np.diff(b)
+    per = np.cumsum(n * (n - 1) // 2)
+    i = 0
+    while i < len(n):
+        j = max(i + 1, int(np.searchsorted(per, (per[i - 1] if i else 0) + most, side="right")))
+        rows = np.arange(b[i], b[j])
+        left = np.repeat(b[i + 1:j + 1], n[i:j]) - rows - 1  # later rows of the group
+        p = np.repeat(rows, left)
+        q = p + 1 + np.arange(len(p)) - np.repeat(np.cumsum(left) - left, left)
+        yield p, q
+        i = j
+
+
 def forest(a: np.ndarray, b: np.ndarray, far: np.ndarray) -> np.ndarray:
     """Pairs (by number) of a spanning forest over the ends a, b, nearest first."""
     parent: dict[int, int] = {}

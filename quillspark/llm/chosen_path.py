@@ -14,13 +14,14 @@ further and is compared as it is, as are nodes at ``DEPTH``.
 
 What a comparison leaves is verified on the full sets, so no wrong link is made.
 A spanning forest of each leaf's likely pairs (of a dense node: each member and
-one centre) is verified first, then what may join different components (see
-``buckets``); a large group of near copies costs about its size.
+one centre) is verified first; then, within tree nodes that still hold several
+components, the pairs across them that a parity sketch (an exact bound of the
+overlap) allows, see ``buckets``.  A large group of near copies costs about its size.
 
 Recall: two sets of similarity 0.8 share a node at depth k of one tree with
 probability .632, .469, .374, .312, .268 for k = 1 to 5 (survival of a branching
-process with one child on average), of at least one of 16 trees with .9999 at
-depth 2 and .993 at depth 5; more similar sets meet more often.  The comparison
+process with one child on average), of at least one of 16 trees with .9994 at
+depth 3 and .993 at depth 5; more similar sets meet more often.  The comparison
 by two bits loses a few of 10,000 pairs at the threshold.
 
 Scale: the description of a set is some 300 bytes; texts move only for documents
@@ -46,9 +47,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import common as C
-from .buckets import TILE, dealt, forest, groups, pair_batches, sides, tiled
+from .buckets import TILE, complete, forest, inner_pairs
 from .chunks import NULL_ID
-from .jaccard_join import Rule, candidates, id_of, sets_of, verified
+from .jaccard_join import Rule, across, candidates, id_of, sets_of, verified
 
 TOKENS = 64
 TREES = 16
@@ -56,8 +57,10 @@ LEAF = 256
 DEPTH = 10
 #: Share of its parent's documents from which a child is a dense node.
 DENSE = 0.7
+#: Rows of the tree that branch in one task.
+ROWS_A_TASK = 100_000
 #: Levels made at once from the root.
-FIRST = 2
+FIRST = 3
 NEAR = Rule(words=2, num=80, den=100)
 
 _ODD = C.mix(np.arange(1, 2 * TOKENS + 1, dtype=C.U64)) | C.U64(1)
@@ -86,27 +89,18 @@ def least_agreement(rule: Rule) -> int:
     return math.floor(TOKENS * p - 3.5 * math.sqrt(TOKENS * p * (1 - p)))
 
 
-def likely(t: pa.Table, p: np.ndarray, q: np.ndarray, rule: Rule, same: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Pairs of the rows p x q (p < q where these are the same rows) that may
-    link, with the number of tokens that disagree."""
+def likely(t: pa.Table, p: np.ndarray, q: np.ndarray, rule: Rule) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Those of the pairs of rows (p, q) that may link, with the number of tokens
+    that disagree."""
     n = t.column("n").to_numpy()
-    s = [t.column(c).to_numpy().view(C.U64) for c in ("s0", "s1")]
-    most = TOKENS - least_agreement(rule)
-    found: list = [[], [], []]
-    for i in range(0, len(p), 128):
-        r = p[i:i + 128]
-        differ = np.zeros((len(r), len(q)), np.int64)
-        for part in s:
-            x = part[r][:, None] ^ part[q][None, :]
-            differ += np.bitwise_count((x | x >> C.U64(1)) & C.U64(0x5555555555555555))
-        a, b = n[r][:, None], n[q][None, :]
-        ok = (differ <= most) & rule.linked(np.minimum(a, b), a, b)
-        if same:
-            ok &= r[:, None] < q[None, :]
-        u, v = np.nonzero(ok)
-        for f, y in zip(found, (r[u], q[v], differ[u, v])):
-            f.append(y)
-    return tuple(np.concatenate(f) if f else np.zeros(0, np.int64) for f in found)
+    differ = np.zeros(len(p), np.int64)
+    for c in ("s0", "s1"):
+        s = t.column(c).to_numpy().view(C.U64)
+        x = s[p] ^ s[q]
+        differ += np.bitwise_count((x | x >> C.U64(1)) & C.U64(0x5555555555555555))
+    a, b = n[p], n[q]
+    ok = (differ <= TOKENS - least_agreement(rule)) & rule.linked(np.minimum(a, b), a, b)
+    return p[ok], q[ok], differ[ok]
 
 
 def describe(keyed: DataFrame, rule: Rule) -> DataFrame:
@@ -186,54 +180,40 @@ def paths(nodes: DataFrame, rule: Rule, trees: int, leaf: int, depth: int) -> Da
         here = held.where(done).select("sig", "node", "size", "center")
         final = here if final is None else final.union(here)
         large = held.where(~done)
-        if level >= depth or large.isEmpty():
+        n = large.count()
+        if level >= depth or not n:
             return final
-        entries = C.saved(large.select("sig", "node", "size").join(nodes.select("node", "minima"), "node")
-                          .select("sig", "node", "size", "minima").mapInArrow(onward, schema), "path-entries")
+        # as many tasks as the rows ask for: they are small and much is done for each
+        parts = max(nodes.sparkSession.sparkContext.defaultParallelism, n // ROWS_A_TASK)
+        rows = large.select("sig", "node", "size").repartition(parts, "node").join(nodes.select("node", "minima").repartition(parts, "node"), "node")
+        entries = C.saved(rows.select("sig", "node", "size", "minima").mapInArrow(onward, schema), "path-entries")
         level += 1
 
 
 def _leaf_pairs(leaves: DataFrame, rule: Rule) -> DataFrame:
-    """(sig, node, n, s0, s1, partner) of the members of ``leaves(sig, node, n, s0,
-    s1)`` with a likely partner in their leaf; partner: the other end of the
-    member's edge of a spanning forest, if it brings one."""
-
-    def compare(t: pa.Table):
-        every = np.arange(t.num_rows)
-        p, q, far = likely(t, every, every, rule, True)
-        if not len(p):
-            return
-        chosen = forest(p, q, far)
-        p, q = p[chosen], q[chosen]
-        # members without an edge of their own come with a null partner
-        alone = np.setdiff1d(np.concatenate((p, q)), p)
-        row = np.concatenate((p, alone))
-        partner = t.column("node").to_numpy()[np.concatenate((q, alone))]
-        names = ["sig", "node", "n", "s0", "s1"]
-        arrays = [pa.array(t.column(c).to_numpy()[row]) for c in names]
-        yield pa.RecordBatch.from_arrays([*arrays, pa.array(partner, mask=np.arange(len(row)) >= len(p))], [*names, "partner"])
-
-    rows = leaves.select("sig", "node", "n", "s0", "s1").repartition("sig").sortWithinPartitions("sig")
-    return rows.mapInArrow(lambda batches: groups(batches, ("sig",), compare),
-                           "sig long, node long, n long, s0 long, s1 long, partner long")
-
-
-def _across(members: DataFrame, comp: DataFrame, rule: Rule, spanning: bool) -> DataFrame:
-    """Likely pairs (a, b) of one tree node in different components: all, or a
-    spanning forest of the components of each tile."""
-
-    def compare(t: pa.Table):
-        node, comp_ = t.column("node").to_numpy(), t.column("comp").to_numpy()
-        p, q, far = likely(t, *sides(t)[:2], rule, sides(t)[2])
-        ok = comp_[p] != comp_[q]
-        p, q, far = p[ok], q[ok], far[ok]
-        if spanning:
-            chosen = forest(comp_[p], comp_[q], far)
-            p, q = p[chosen], q[chosen]
-        yield from pair_batches(node[p], node[q])
-
-    rows = dealt(tiled(members, comp, ("n", "s0", "s1")))
-    return rows.mapInArrow(lambda batches: groups(batches, ("sig", "ti", "tj"), compare), "a long, b long").distinct()
+    """(sig, node, partner) of the members of ``leaves(sig, node, n, s0, s1)`` with a
+    likely partner in their leaf; partner: the other end of the member's edge of a
+    spanning forest, if it brings one."""
+
+    names = ["sig", "node", "n", "s0", "s1"]
+
+    def compare(batches):
+        for t, b in complete(batches, ("sig",)):
+            columns = [t.column(c).to_numpy() for c in names]
+            for p, q in inner_pairs(b):
+                p, q, far = likely(t, p, q, rule)
+                if not len(p):
+                    continue
+                chosen = forest(p, q, far)  # rows of different leaves never meet
+                p, q = p[chosen], q[chosen]
+                # members without an edge of their own come with a null partner
+                alone = np.setdiff1d(np.concatenate((p, q)), p)
+                row = np.concatenate((p, alone))
+                partner = pa.array(columns[1][np.concatenate((q, alone))], mask=np.arange(len(row)) >= len(p))
+                yield pa.RecordBatch.from_arrays([*(pa.array(c[row]) for c in columns[:2]), partner], ["sig", "node", "partner"])
+
+    rows = leaves.select(*names).repartition("sig").sortWithinPartitions("sig")
+    return rows.mapInArrow(compare, "sig long, node long, partner long")
 
 
 def classes(docs: DataFrame, rule: Rule = NEAR, trees: int = TREES, leaf: int = LEAF, depth: int = DEPTH) -> DataFrame:
@@ -247,20 +227,19 @@ def classes(docs: DataFrame, rule: Rule = NEAR, trees: int = TREES, leaf: int =
         F.min(F.struct("id", "th")).alias("lead"), F.first("minima").alias("minima"), F.first("s0").alias("s0"), F.first("s1").alias("s1"))
         .withColumn("node", F.monotonically_increasing_id()), "path-set-nodes")
 
-    ends = C.saved(paths(nodes, rule, trees, leaf, depth).join(nodes.select("node", "n", "s0", "s1"), "node"), "path-leaves")
-    small = C.saved(_leaf_pairs(ends.where(F.col("size") <= leaf), rule), "path-likely")
+    ends = C.saved(paths(nodes, rule, trees, leaf, depth), "path-leaves")
+    small = ends.where(F.col("size") <= leaf).select("sig", "node").join(nodes.select("node", "n", "s0", "s1"), "node")
+    small = C.saved(_leaf_pairs(small, rule), "path-likely")
     large = ends.where(F.col("size") > leaf)
     star = large.groupBy("node").agg(F.min("center").alias("b")).select(F.col("node").alias("a"), "b").where("a != b")
     pairs = small.where("partner is not null").select(F.least("node", "partner").alias("a"), F.greatest("node", "partner").alias("b")).union(star)
-    wanted = small.select("node").union(large.select("node"))
+    members = C.saved(small.select("sig", "node").distinct().union(large.select("sig", "node")), "path-members")
     lead = nodes.select("node", F.col("lead.id").alias("id"), F.col("lead.th").alias("th"))
-    sets = candidates(keyed, lead, wanted, rule)
+    sets = candidates(keyed, lead, members, rule)
 
     comp = C.components(C.saved(verified(pairs.distinct(), sets, rule), "path-links"))
-    members = (small.select("sig", "node", "n", "s0", "s1").distinct()
-               .union(large.select("sig", "node", "n", "s0", "s1")))
     for spanning in (True, True, False):
-        more = C.saved(verified(_across(members, comp, rule, spanning), sets, rule), "path-links")
+        more = C.saved(verified(across(members, sets, comp, rule, spanning), sets, rule), "path-links")
         if not more.isEmpty():
             comp = C.components(comp.select(F.col("node").alias("a"), F.col("comp").alias("b")).union(more))
 

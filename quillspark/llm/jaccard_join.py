@@ -297,7 +297,7 @@ def _possible(sketches: list, sizes: np.ndarray, rule: Rule, rows: np.ndarray, c
     return [np.concatenate(o) for o in out]
 
 
-def _across(members: DataFrame, sets: DataFrame, comp: DataFrame, rule: Rule, spanning: bool) -> DataFrame:
+def across(members: DataFrame, sets: DataFrame, comp: DataFrame, rule: Rule, spanning: bool) -> DataFrame:
     """Pairs (a, b) of one bucket, in different components, that may link: all,
     or a spanning forest of the components of each tile (closest first)."""
     rows = dealt(tiled(members.select("sig", "node"), comp, ()).join(sets.select("node", "n", "sketch"), "node"))
@@ -344,7 +344,7 @@ def classes(docs: DataFrame, rule: Rule | None = None) -> DataFrame:
     links = C.saved(verified(first, sets, rule), "jaccard-links")
     comp = C.components(links)
     for spanning in (True, True, False):
-        more = C.saved(verified(_across(members, sets, comp, rule, spanning), sets, rule), "jaccard-links")
+        more = C.saved(verified(across(members, sets, comp, rule, spanning), sets, rule), "jaccard-links")
         if not more.isEmpty():
             comp = C.components(comp.select(F.col("node").alias("a"), F.col("comp").alias("b")).union(more))
 
