@@ -7,7 +7,7 @@ import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import WS_CHARS, WS_CLASS, col_of, collapse_ws, first_line_nl, last_line, pystrip, strip_chars
+from .text import WS_CHARS, WS_CLASS, col_of, collapse_ws, first_line_nl, last_line, let, pystrip, strip_chars
 
 # --- fixed values: grading patterns ---------------------------------------
 BOXED = r"\\boxed\{([^}]*)\}"           # first \boxed{...} up to the first }
@@ -104,15 +104,21 @@ def boxed_answer(c) -> Column:
     state of three numbers: no pattern walks the nesting.  A box without braces
     or escapes inside needs none of it.
     """
-    c = col_of(c)
-    rest = F.substr(c, F.instr(c, BOX) + len(BOX))
-    flat = F.substring_index(rest, "}", 1)
-    simple = F.contains(rest, F.lit("}")) & ~F.contains(flat, F.lit("{")) & ~F.endswith(flat, F.lit("\\"))
-    from_box = F.substr(c, F.instr(c, BOX))
-    after = _after_first_closed_box(_brace_pieces(from_box))
-    inner = F.right(from_box, after)
-    nested = F.when(after >= 0, F.left(inner, _group_length(_brace_pieces(inner))))
-    return F.when(F.contains(c, F.lit(BOX)), F.when(simple, flat).otherwise(nested))
+    def nested(text: Column) -> Column:
+        """Of a text that begins with a box."""
+        def cut(after):
+            inner = F.right(text, after)
+            return F.when(after >= 0, F.left(inner, _group_length(_brace_pieces(inner))))
+
+        return let(_after_first_closed_box(_brace_pieces(text)), cut)
+
+    def first_box(text: Column) -> Column:
+        rest = F.substr(text, F.instr(text, BOX) + len(BOX))
+        flat = F.substring_index(rest, "}", 1)
+        simple = F.contains(rest, F.lit("}")) & ~F.contains(flat, F.lit("{")) & ~F.endswith(flat, F.lit("\\"))
+        return F.when(F.contains(text, F.lit(BOX)), F.when(simple, flat).otherwise(let(F.substr(text, F.instr(text, BOX)), nested)))
+
+    return first_box(col_of(c))
 
 
 # --- fixed values: LaTeX rewrites (H11), applied in this order -------------
@@ -121,24 +127,37 @@ _WHOLE = r"(?:\{\s*([0-9]+)\s*\}|([0-9]))"     # a number as an argument: {12} o
 _ARG = r"(?:\{([^{}]*)\}|([0-9A-Za-z]))"       # any argument
 # a fraction inside another's argument is rewritten first; each pass takes one level
 FRACTION_PASSES = 3
+# (needle, rules): the rules are tried on texts that hold the needle
 MARKUP_REWRITES = [
-    (r"\\(?:text|mathrm|mathbf|mbox|textbf)\s*\{([^{}]*)\}", "$1"),
-    (r"\\(?:text|mathrm|mathbf|mbox|textbf|boxed)\s*\{", "{"),
-    (r"([0-9])\s*\\[dtc]?frac\s*" + _WHOLE + r"\s*" + _WHOLE, "$1" + MIXED + "$2$3/$4$5"),
-    *[(r"\\[dtc]?frac\s*" + _ARG + r"\s*" + _ARG, "($1$2)/($3$4)")] * FRACTION_PASSES,
-    (r"\\left|\\right", ""),
-    (r"\^\{?\\circ\}?", ""),
-    (r"\\[,;:! ]", ""),
-    (r"\\cdot|\\times", "*"),
-    (r"\\%", "%"),
+    ("{", [(r"\\(?:text|mathrm|mathbf|mbox|textbf)\s*\{([^{}]*)\}", "$1"),
+           (r"\\(?:text|mathrm|mathbf|mbox|textbf|boxed)\s*\{", "{")]),
+    ("frac", [(r"([0-9])\s*\\[dtc]?frac\s*" + _WHOLE + r"\s*" + _WHOLE, "$1" + MIXED + "$2$3/$4$5"),
+              *[(r"\\[dtc]?frac\s*" + _ARG + r"\s*" + _ARG, "($1$2)/($3$4)")] * FRACTION_PASSES]),
+    ("\\", [(r"\\left|\\right", ""), (r"\^\{?\\circ\}?", ""), (r"\\[,;:! ]", ""), (r"\\cdot|\\times", "*"), (r"\\%", "%")]),
 ]
 PLAIN_REWRITES = [
-    (r"([0-9])\s+([0-9]+)\s*/\s*([0-9]+)", "$1" + MIXED + "$2/$3"),
-    (r"\\?\$", ""),
+    ("/", [(r"([0-9])\s+([0-9]+)\s*/\s*([0-9]+)", "$1" + MIXED + "$2/$3")]),
+    ("$", [(r"\\?\$", "")]),
+    ("(", [(r"\(([0-9.\-]+)\)", "$1")]),
 ]
 # --------------------------------------------------------------------------
 
 
+def _rewritten(text: Column, rewrites) -> Column:
+    def rule(needle: str, rules):
+        def apply(t: Column) -> Column:
+            out = t
+            for pat, rep in rules:
+                out = F.regexp_replace(out, pat, rep)
+            return F.when(F.contains(t, F.lit(needle)), out).otherwise(t)
+
+        return apply
+
+    for needle, rules in rewrites:
+        text = let(text, rule(needle, rules))
+    return text
+
+
 def latex_to_plain(c) -> Column:
     r"""Common LaTeX answer markup to plain text without white space, but
     for the one space of a mixed number (``1 1/2``).
@@ -147,18 +166,15 @@ def latex_to_plain(c) -> Column:
     commands leave their content; braces that only group go (escaped ones stay).
     The markup rules run on rows with a backslash or a brace only.
     """
-    out = col_of(c)
-    marked = out
-    for pat, rep in MARKUP_REWRITES:
-        marked = F.regexp_replace(marked, pat, rep)
-    for brace, kept in (("{", "\u0003"), ("}", "\u0004")):
-        marked = F.replace(marked, F.lit("\\" + brace), F.lit(kept))
-    marked = F.translate(marked, "\u0003\u0004{}", "{}")
-    out = F.when(F.contains(out, F.lit("\\")) | F.contains(out, F.lit("{")) | F.contains(out, F.lit("}")), marked).otherwise(out)
-    for pat, rep in PLAIN_REWRITES:
-        out = F.regexp_replace(out, pat, rep)
-    out = F.regexp_replace(out, r"\(([0-9.\-]+)\)", "$1")
-    return F.translate(F.regexp_replace(out, WS_CLASS + "+", ""), MIXED, " ")
+    def without_markup(t: Column) -> Column:
+        marked = _rewritten(t, MARKUP_REWRITES)
+        for brace, kept in (("{", "\u0003"), ("}", "\u0004")):
+            marked = F.replace(marked, F.lit("\\" + brace), F.lit(kept))
+        marked = F.translate(marked, "\u0003\u0004{}", "{}")
+        return F.when(F.contains(t, F.lit("\\")) | F.contains(t, F.lit("{")) | F.contains(t, F.lit("}")), marked).otherwise(t)
+
+    # white space goes, the mark of a mixed number becomes a space
+    return F.translate(_rewritten(let(col_of(c), without_markup), PLAIN_REWRITES), MIXED + WS_CHARS, " ")
 
 
 # --- fixed values: units of measure (H12) ------------------------------------
@@ -219,14 +235,19 @@ def normalize_number_string(c) -> Column:
     after a number: a percent sign or unit (with prefix, power, ``km/h``, ``sq ft``)
     after a digit; and, where the text is a number and words, the words (``12 red
     apples``) unless they are mathematics.  Other letters never go."""
-    s = F.translate(col_of(c), CURRENCY_SIGNS, "")
-    s = F.regexp_replace(s, r"([0-9]),", "$1")
-    s = F.regexp_replace(s, r"(?i)([0-9]\.?)" + WS_CLASS + r"*(?:%|" + unit_pattern() + r")\.?\z", "$1")
+    unit = r"(?i)([0-9]\.?)" + WS_CLASS + r"*(?:%|" + unit_pattern() + r")\.?\z"
     counted = (r"(?i)\A([+-]?(?:[0-9]+(?:\.[0-9]+)?|\.[0-9]+)(?:[ /][0-9]+){0,2})" + WS_CLASS + r"*+(?!(?:" + "|".join(MATH_WORDS) + r")\b)"
                r"[a-z]{3,}+(?:" + WS_CLASS + r"[a-z]++){0,4}\.?\z")
-    s = F.regexp_replace(s, counted, "$1")
-    s = F.btrim(s, F.lit(WS_CHARS))
-    return F.regexp_replace(s, r"\.\z", "")
+
+    def bare(s: Column) -> Column:
+        """Without a letter or sign of a unit there is nothing to take off."""
+        return F.when(s.rlike("[A-Za-z%°µ]"), F.regexp_replace(F.regexp_replace(s, unit, "$1"), counted, "$1")).otherwise(s)
+
+    def no_commas(s: Column) -> Column:
+        return F.when(F.contains(s, F.lit(",")), F.regexp_replace(s, "([0-9]),", "$1")).otherwise(s)
+
+    s = let(let(F.translate(col_of(c), CURRENCY_SIGNS, ""), no_commas), bare)
+    return F.regexp_replace(F.btrim(s, F.lit(WS_CHARS)), r"\.\z", "")
 
 
 def number_from_text(c) -> Column:
@@ -250,19 +271,21 @@ def to_number(c, cleaned: bool = False) -> Column:
 
     ``cleaned=True``: the input already went through ``normalize_number_string``.
     """
-    s = col_of(c) if cleaned else normalize_number_string(c)
+    def parsed(s: Column) -> Column:
+        def part(pattern: str, group: int) -> Column:
+            return F.regexp_extract(s, pattern, group).try_cast("double")
 
-    def part(pattern: str, group: int) -> Column:
-        return F.regexp_extract(s, pattern, group).try_cast("double")
+        def sign(pattern: str) -> Column:
+            return F.when(F.regexp_extract(s, pattern, 1) == "-", -1.0).otherwise(1.0)
 
-    def sign(pattern: str) -> Column:
-        return F.when(F.regexp_extract(s, pattern, 1) == "-", -1.0).otherwise(1.0)
+        plain = F.when(s.rlike(PLAIN_NUMBER), s.try_cast("double"))
+        fraction = F.when(part(FRACTION, 3) != 0, sign(FRACTION) * part(FRACTION, 2) / part(FRACTION, 3))
+        mixed = F.when(part(MIXED_NUMBER, 4) != 0, sign(MIXED_NUMBER) * (
+            part(MIXED_NUMBER, 2) + part(MIXED_NUMBER, 3) / part(MIXED_NUMBER, 4)))
+        # the two with a stroke are looked at for texts that have one
+        return F.when(F.contains(s, F.lit("/")), F.coalesce(mixed, fraction)).otherwise(plain)
 
-    plain = F.when(s.rlike(PLAIN_NUMBER), s.try_cast("double"))
-    fraction = F.when(part(FRACTION, 3) != 0, sign(FRACTION) * part(FRACTION, 2) / part(FRACTION, 3))
-    mixed = F.when(part(MIXED_NUMBER, 4) != 0, sign(MIXED_NUMBER) * (
-        part(MIXED_NUMBER, 2) + part(MIXED_NUMBER, 3) / part(MIXED_NUMBER, 4)))
-    return F.coalesce(plain, mixed, fraction)
+    return let(col_of(c) if cleaned else normalize_number_string(c), parsed)
 
 
 def numbers_match(a, b, tol: float = 1e-6, parsed: bool = False) -> Column:

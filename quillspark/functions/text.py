@@ -34,6 +34,16 @@ def col_of(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def let(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once and written once.
+
+    A rule that looks at its input many times would otherwise multiply the input's
+    expression with every step, as soon as a filter on the result is pushed below
+    the projections it was built in.
+    """
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def pystrip(c) -> Column:
     """``str.strip()`` with no argument: a character-set trim, no regex."""
     return F.btrim(col_of(c), F.lit(WS_CHARS))
