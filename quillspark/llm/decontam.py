@@ -13,8 +13,9 @@ applied one after the other, each in a scan of its own over the marks of the
 ones before (a written table in between).  Any benchmark size gives the same
 rows.
 
-Defined results: null and empty texts have no words and no hits; an empty
-benchmark hits nothing; repeated items count once, an item with a null id
+Defined results: null and empty texts have no words and no hits; a very long text
+is scanned whole by one task; an empty benchmark hits nothing, an empty table gives
+no rows; ties play no part; repeated items count once, an item with a null id
 marks words and counts under the name "null"; repeated documents are judged
 one by one; other columns, of whatever name, pass through.
 """

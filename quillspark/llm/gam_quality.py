@@ -15,8 +15,9 @@ ids, ``SAMPLE`` longs, are the only broadcast.
 
 Defined results: null and empty texts get the features of an empty text and so
 a score; no training rows gives score 0.5; one class only gives a score near
-that class; repeated rows are scored one by one; only id and text of the
-documents are read.
+that class; repeated rows are scored one by one; a very long text is measured
+whole by one task; training rows with equal hashes of their ids are taken by id; an
+empty table gives no rows; only id and text of the documents are read.
 """
 
 from __future__ import annotations

@@ -25,7 +25,8 @@ Scale: a projection; documents without a trigger character or word are not
 matched at all.
 
 Defined results: a null text stays null; texts without entities are unchanged;
-repeated rows get equal results; other columns pass through.  Single letters
+repeated rows get equal results; a very long text is one row like any other; an
+empty table gives no rows; other columns, of whatever name, pass through.  Single letters
 and digits have few replacements and may stay as they are.
 """
 

@@ -27,7 +27,8 @@ shuffle.  Only the marked rows' texts are joined to the labels, once for both
 contrasts; the toxic table has ``ROWS * buckets`` doubles.
 
 Defined results: null and empty texts have no words, so they fail the base
-rules; repeated rows are judged one by one; an empty target or corpus gives
+rules; a very long text is measured whole by one task; a score equal to the
+threshold passes; an empty table gives no rows; repeated rows are judged one by one; an empty target or corpus gives
 weight 0 everywhere, as does a corpus without toxic or without trusted rows for
 the toxic contrast; other columns of the input are never looked at.
 """

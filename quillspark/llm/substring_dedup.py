@@ -12,8 +12,9 @@ Scale: see ``chunks``.  Three looks at the texts, one exchange of them; what is
 grouped exactly has been merged per chunk first, so a window in a third of all
 documents costs one entry per chunk.
 
-Defined results: null and empty texts have no words; texts shorter than a
-window lose nothing; repeated rows with the same id count as one document, the
+Defined results: null and empty texts have no words; a very long text makes its
+chunk larger; an empty table gives no rows; texts shorter than a window lose
+nothing; repeated rows with the same id count as one document, the
 later row starting later; a null id counts as larger than all others; other
 columns are not read.
 """

@@ -12,7 +12,8 @@ read by each worker once.  A worker remembers counts of words seen before, up
 to a fixed number.
 
 Defined results: null and empty texts have no words and no tokens; repeated
-rows are counted one by one; very long words take time in proportion.
+rows are counted one by one; very long texts and words take time in proportion;
+an empty table gives no rows; columns other than id and text are not read.
 """
 
 from __future__ import annotations
