@@ -173,8 +173,10 @@ def latex_to_plain(c) -> Column:
         marked = F.translate(marked, "\u0003\u0004{}", "{}")
         return F.when(F.contains(t, F.lit("\\")) | F.contains(t, F.lit("{")) | F.contains(t, F.lit("}")), marked).otherwise(t)
 
+    text = col_of(c)
     # white space goes, the mark of a mixed number becomes a space
-    return F.translate(_rewritten(let(col_of(c), without_markup), PLAIN_REWRITES), MIXED + WS_CHARS, " ")
+    plain = F.translate(_rewritten(let(text, without_markup), PLAIN_REWRITES), MIXED + WS_CHARS, " ")
+    return F.when(text.rlike(r"[\\{}/$(]|" + WS_CLASS), plain).otherwise(text)
 
 
 # --- fixed values: units of measure (H12) ------------------------------------
@@ -246,8 +248,10 @@ def normalize_number_string(c) -> Column:
     def no_commas(s: Column) -> Column:
         return F.when(F.contains(s, F.lit(",")), F.regexp_replace(s, "([0-9]),", "$1")).otherwise(s)
 
-    s = let(let(F.translate(col_of(c), CURRENCY_SIGNS, ""), no_commas), bare)
-    return F.regexp_replace(F.btrim(s, F.lit(WS_CHARS)), r"\.\z", "")
+    text = col_of(c)
+    s = let(let(F.translate(text, CURRENCY_SIGNS, ""), no_commas), bare)
+    s = F.regexp_replace(F.btrim(s, F.lit(WS_CHARS)), r"\.\z", "")
+    return F.when(text.rlike("[A-Za-z%°µ,." + CURRENCY_SIGNS + "]|" + WS_CLASS), s).otherwise(text)
 
 
 def number_from_text(c) -> Column:
