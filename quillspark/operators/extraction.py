@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.answers import number_from_text
-from ..functions.text import WS_CLASS, col_of, pystrip
+from ..functions.text import WS_CLASS, col_of, let, pystrip
 from ..session import literal_table
 
 # --- fixed values: field names searched for the query text, in order --------
@@ -63,14 +63,17 @@ def parse_level_text(c) -> Column:
 def parse_level(record) -> Column:
     """D2 on a VARIANT record: numbers truncate toward zero (5.7 -> 5), booleans
     count as 0/1, strings follow ``parse_level_text``; anything else is null."""
-    v = col_of(record)
-    sub = F.variant_get(v, "$.level", "variant")
-    kind = F.schema_of_variant(sub)
-    num = F.try_variant_get(sub, "$", "double")
-    as_num = F.when(~F.isnan(num) & (F.abs(num) < F.lit(9.2e18)), num.cast("bigint"))
-    return (F.when(kind == "STRING", parse_level_text(F.variant_get(sub, "$", "string")))
-            .when(kind == "BOOLEAN", F.variant_get(sub, "$", "boolean").cast("bigint"))
-            .when(kind.rlike("^(BIGINT|INT|SMALLINT|TINYINT|DECIMAL|DOUBLE|FLOAT)"), as_num))
+    def level(sub: Column) -> Column:
+        def by_kind(kind: Column) -> Column:
+            num = F.try_variant_get(sub, "$", "double")
+            as_num = F.when(~F.isnan(num) & (F.abs(num) < F.lit(9.2e18)), num.cast("bigint"))
+            return (F.when(kind == "STRING", parse_level_text(F.variant_get(sub, "$", "string")))
+                    .when(kind == "BOOLEAN", F.variant_get(sub, "$", "boolean").cast("bigint"))
+                    .when(kind.rlike("^(BIGINT|INT|SMALLINT|TINYINT|DECIMAL|DOUBLE|FLOAT)"), as_num))
+
+        return let(F.schema_of_variant(sub), by_kind)
+
+    return let(F.variant_get(col_of(record), "$.level", "variant"), level)
 
 
 def parse_level_column(c, dtype: T.DataType) -> Column:
@@ -120,8 +123,8 @@ def validate_records(df: DataFrame, by: Sequence[str] = ("dataset",), raw: str =
     """Format and annotation defects per dataset.
 
     Counts rows, blank lines, unparseable JSON, missing query, unusable level,
-    answers with no number in them, and rows whose id occurs more than once.  Duplicates are counted with a two-level
-    aggregate (per id, then per dataset) so a hot id is pre-aggregated
+    answers with no number in them, and rows whose id occurs more than once.
+    Duplicates are counted with a two-level aggregate (per id, then per dataset) so a hot id is pre-aggregated
     map-side rather than gathered by a window.
     """
     by = list(by)
@@ -130,7 +133,7 @@ def validate_records(df: DataFrame, by: Sequence[str] = ("dataset",), raw: str =
         F.col(record).isNull().alias("_corrupt"),
         (F.col(record).isNotNull() & get_query(F.col(record)).isNull()).alias("_noq"),
         (F.col(record).isNotNull()
-         & F.coalesce(~parse_level(F.col(record)).between(LEVELS[0], LEVELS[-1]), F.lit(True))
+         & F.coalesce(let(parse_level(F.col(record)), lambda x: ~x.between(LEVELS[0], LEVELS[-1])), F.lit(True))
          ).alias("_badlvl"),
         (F.col(raw).isNull() | (pystrip(F.col(raw)) == "")).alias("_blank"),
         (F.col(record).isNotNull() & F.coalesce(
