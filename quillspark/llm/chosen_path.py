@@ -24,7 +24,7 @@ process with one child on average), of at least one of 16 trees with .9994 at
 depth 3 and .993 at depth 5; more similar sets meet more often.  The comparison
 by two bits loses a few of 10,000 pairs at the threshold.
 
-Scale: the description of a set is some 300 bytes; texts move only for documents
+Scale: the description of a set is some 180 bytes; texts move only for documents
 with a likely partner.  Nodes are counted with partial sums, so a node that a
 third of all documents share is a few rows per task.  Sets with equal content
 are one node of the graph.  The driver sees loop counters only.
@@ -68,17 +68,18 @@ _PLACE = (np.arange(TOKENS, dtype=C.U64) + C.U64(1)) << C.U64(40)
 
 
 def minwise(x: np.ndarray, off: np.ndarray) -> np.ndarray:
-    """(sets, TOKENS) 32-bit minima of the non-empty sets x[off[i]:off[i + 1]]."""
+    """(sets, TOKENS) of the non-empty sets x[off[i]:off[i + 1]]: the low 16 bits of
+    each minimum (different tokens share them once in 65,536 times)."""
     full = off[:-1][np.diff(off) > 0]
-    out = np.empty((len(full), TOKENS), np.uint32)
+    out = np.empty((len(full), TOKENS), np.uint16)
     for i in range(TOKENS if len(full) else 0):
-        out[:, i] = np.minimum.reduceat((x * _ODD[i] + _ODD[TOKENS + i]) >> C.U64(32), full)
+        out[:, i] = np.minimum.reduceat((x * _ODD[i] + _ODD[TOKENS + i]) >> C.U64(32), full) & C.U64(0xFFFF)
     return out
 
 
 def two_bits(minima: np.ndarray) -> np.ndarray:
     """(sets, 2) 64-bit numbers: the low two bits of every minimum."""
-    low = (minima & np.uint32(3)).astype(C.U64).reshape(len(minima), 2, TOKENS // 2)
+    low = (minima & np.uint16(3)).astype(C.U64).reshape(len(minima), 2, TOKENS // 2)
     return (low << (np.arange(TOKENS // 2, dtype=C.U64) * C.U64(2))).sum(axis=2, dtype=C.U64)
 
 
@@ -114,11 +115,11 @@ def describe(keyed: DataFrame, rule: Rule) -> DataFrame:
             pre = [np.concatenate((zero, np.cumsum(C.mix(x ^ C.U64(s)), dtype=C.U64))) for s in (0x51, 0xA7)]
             h = [(p[off[1:]] - p[off[:-1]]).view(np.int64) for p in pre]
             full = np.diff(off) > 0
-            minima = np.zeros((len(col), TOKENS), np.uint32)
+            minima = np.zeros((len(col), TOKENS), np.uint16)
             minima[full] = minwise(x, off)
             s = two_bits(minima).view(np.int64)
             raw = minima.tobytes()
-            size = 4 * TOKENS
+            size = 2 * TOKENS
             yield pa.RecordBatch.from_arrays(
                 [b.column("id"), b.column("th"), pa.array(np.diff(off).astype(np.int64)), *map(pa.array, h),
                  pa.array([raw[i * size:(i + 1) * size] if f else None for i, f in enumerate(full.tolist())], pa.binary()),
@@ -138,12 +139,12 @@ def branch(path: np.ndarray, minima: np.ndarray, rule: Rule) -> tuple[np.ndarray
 
 def _tokens(col) -> np.ndarray:
     """The ``minima`` column as (rows, TOKENS)."""
-    return np.array([np.frombuffer(x.as_buffer(), np.uint32) for x in col], np.uint32).reshape(-1, TOKENS)
+    return np.array([np.frombuffer(x.as_buffer(), np.uint16) for x in col], np.uint16).reshape(-1, TOKENS)
 
 
 def paths(nodes: DataFrame, rule: Rule, trees: int, leaf: int, depth: int) -> DataFrame:
-    """(sig, node, size, center) of the final tree nodes with two documents or
-    more; center: the smallest document.  ``nodes(node, minima)`` is a written table."""
+    """(sig, node, size) of the final tree nodes with two documents or more, from
+    written tables.  ``nodes(node, minima)`` is a written table."""
 
     def first(batches):
         roots = C.mix(np.arange(1, trees + 1, dtype=C.U64) * C.U64(0x9E3779B97F4A7C15))
@@ -158,6 +159,8 @@ def paths(nodes: DataFrame, rule: Rule, trees: int, leaf: int, depth: int) -> Da
                     found = [branch(path[s:s + 4096], minima[row[s:s + 4096]], rule) for s in range(0, len(row), 4096)]
                     row = np.concatenate([row[s:s + 4096][r] for s, (r, _) in zip(range(0, len(row), 4096), found)])
                     path = np.concatenate([p for _, p in found])
+                by = np.argsort(row, kind="stable")  # a document's paths together: its number is stored once
+                row, path = row[by], path[by]
                 yield pa.RecordBatch.from_arrays([pa.array(path.view(np.int64)), pa.array(node[row]), pa.array(np.zeros(len(row), np.int64))],
                                                  ["sig", "node", "parent"])
 
@@ -174,10 +177,10 @@ def paths(nodes: DataFrame, rule: Rule, trees: int, leaf: int, depth: int) -> Da
     final, level = None, FIRST
     entries = C.saved(nodes.select("node", "minima").mapInArrow(first, schema), "path-entries")
     while True:
-        counts = entries.groupBy("sig").agg(F.count(F.lit(1)).alias("size"), F.min("node").alias("center")).where("size > 1")
+        counts = entries.groupBy("sig").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
         held = C.saved(entries.join(counts, "sig"), "path-nodes")
         done = (F.col("size") <= leaf) | ((F.col("parent") > 0) & (F.col("size") >= DENSE * F.col("parent"))) | F.lit(level >= depth)
-        here = held.where(done).select("sig", "node", "size", "center")
+        here = held.where(done).select("sig", "node", "size")
         final = here if final is None else final.union(here)
         large = held.where(~done)
         n = large.count()
@@ -227,11 +230,12 @@ def classes(docs: DataFrame, rule: Rule = NEAR, trees: int = TREES, leaf: int =
         F.min(F.struct("id", "th")).alias("lead"), F.first("minima").alias("minima"), F.first("s0").alias("s0"), F.first("s1").alias("s1"))
         .withColumn("node", F.monotonically_increasing_id()), "path-set-nodes")
 
-    ends = C.saved(paths(nodes, rule, trees, leaf, depth), "path-leaves")
+    ends = paths(nodes, rule, trees, leaf, depth)
     small = ends.where(F.col("size") <= leaf).select("sig", "node").join(nodes.select("node", "n", "s0", "s1"), "node")
     small = C.saved(_leaf_pairs(small, rule), "path-likely")
     large = ends.where(F.col("size") > leaf)
-    star = large.groupBy("node").agg(F.min("center").alias("b")).select(F.col("node").alias("a"), "b").where("a != b")
+    centers = large.groupBy("sig").agg(F.min("node").alias("center"))
+    star = large.join(centers, "sig").groupBy("node").agg(F.min("center").alias("b")).select(F.col("node").alias("a"), "b").where("a != b")
     pairs = small.where("partner is not null").select(F.least("node", "partner").alias("a"), F.greatest("node", "partner").alias("b")).union(star)
     members = C.saved(small.select("sig", "node").distinct().union(large.select("sig", "node")), "path-members")
     lead = nodes.select("node", F.col("lead.id").alias("id"), F.col("lead.th").alias("th"))
