@@ -16,7 +16,10 @@ What a comparison leaves is verified on the full sets, so no wrong link is made.
 A spanning forest of each leaf's likely pairs (of a dense node: each member and
 one centre) is verified first; then, within tree nodes that still hold several
 components, the pairs across them that a parity sketch (an exact bound of the
-overlap) allows, see ``buckets``.  A large group of near copies costs about its size.
+overlap) allows, see ``buckets``: all of them at once where they are few, else a
+spanning forest first.  A tree node is looked at again only if pairs of it are
+left, and never if the first verification has met all its pairs.  A large group
+of near copies costs about its size.
 
 Recall: two sets of similarity 0.8 share a node at depth k of one tree with
 probability .632, .469, .374, .312, .268 for k = 1 to 5 (survival of a branching
@@ -61,6 +64,10 @@ DENSE = 0.7
 ROWS_A_TASK = 100_000
 #: Levels made at once from the root.
 FIRST = 3
+#: Edges of the link graph that one task joins.
+EDGES_A_TASK = 100_000
+#: Pairs a row up to which a tile gives all its pairs across components at once.
+SPARE = 2
 NEAR = Rule(words=2, num=80, den=100)
 
 _ODD = C.mix(np.arange(1, 2 * TOKENS + 1, dtype=C.U64)) | C.U64(1)
@@ -186,17 +193,22 @@ def paths(nodes: DataFrame, rule: Rule, trees: int, leaf: int, depth: int) -> Da
         n = large.count()
         if level >= depth or not n:
             return final
-        # as many tasks as the rows ask for: they are small and much is done for each
-        parts = max(nodes.sparkSession.sparkContext.defaultParallelism, n // ROWS_A_TASK)
-        rows = large.select("sig", "node", "size").repartition(parts, "node").join(nodes.select("node", "minima").repartition(parts, "node"), "node")
+        rows, tokens = large.select("sig", "node", "size"), nodes.select("node", "minima")
+        if n <= ROWS_A_TASK:  # of 24 bytes: less than the tokens they would make move
+            rows = tokens.join(F.broadcast(rows), "node")
+        else:
+            # as many tasks as the rows ask for: they are small and much is done for each
+            parts = max(nodes.sparkSession.sparkContext.defaultParallelism, n // ROWS_A_TASK)
+            rows = rows.repartition(parts, "node").join(tokens.repartition(parts, "node"), "node")
         entries = C.saved(rows.select("sig", "node", "size", "minima").mapInArrow(onward, schema), "path-entries")
         level += 1
 
 
 def _leaf_pairs(leaves: DataFrame, rule: Rule) -> DataFrame:
-    """(sig, node, partner) of the members of ``leaves(sig, node, n, s0, s1)`` with a
+    """(sig, node, partner, met) of the members of ``leaves(sig, node, n, s0, s1)`` with a
     likely partner in their leaf; partner: the other end of the member's edge of a
-    spanning forest, if it brings one."""
+    spanning forest, if it brings one; met: the forest has all pairs of the leaf's
+    members (there are two)."""
 
     names = ["sig", "node", "n", "s0", "s1"]
 
@@ -213,10 +225,17 @@ def _leaf_pairs(leaves: DataFrame, rule: Rule) -> DataFrame:
                 alone = np.setdiff1d(np.concatenate((p, q)), p)
                 row = np.concatenate((p, alone))
                 partner = pa.array(columns[1][np.concatenate((q, alone))], mask=np.arange(len(row)) >= len(p))
-                yield pa.RecordBatch.from_arrays([*(pa.array(c[row]) for c in columns[:2]), partner], ["sig", "node", "partner"])
+                # two rows of a leaf: one edge and its other end
+                _, of, rows = np.unique(columns[0][row], return_inverse=True, return_counts=True)
+                met = rows[of] == 2
+                yield pa.RecordBatch.from_arrays([*(pa.array(c[row]) for c in columns[:2]), partner, pa.array(met)], ["sig", "node", "partner", "met"])
 
     rows = leaves.select(*names).repartition("sig").sortWithinPartitions("sig")
-    return rows.mapInArrow(compare, "sig long, node long, partner long")
+    return rows.mapInArrow(compare, "sig long, node long, partner long, met boolean")
+
+
+def _joined(edges: DataFrame) -> DataFrame:
+    return C.components(edges, tasks=edges.count() // EDGES_A_TASK + 1)
 
 
 def classes(docs: DataFrame, rule: Rule = NEAR, trees: int = TREES, leaf: int = LEAF, depth: int = DEPTH) -> DataFrame:
@@ -237,15 +256,21 @@ def classes(docs: DataFrame, rule: Rule = NEAR, trees: int = TREES, leaf: int =
     centers = large.groupBy("sig").agg(F.min("node").alias("center"))
     star = large.join(centers, "sig").groupBy("node").agg(F.min("center").alias("b")).select(F.col("node").alias("a"), "b").where("a != b")
     pairs = small.where("partner is not null").select(F.least("node", "partner").alias("a"), F.greatest("node", "partner").alias("b")).union(star)
-    members = C.saved(small.select("sig", "node").distinct().union(large.select("sig", "node")), "path-members")
+    members = C.saved(small.select("sig", "node", "met").distinct().union(large.select("sig", "node", F.lit(False))), "path-members")
     lead = nodes.select("node", F.col("lead.id").alias("id"), F.col("lead.th").alias("th"))
     sets = candidates(keyed, lead, members, rule)
 
-    comp = C.components(C.saved(verified(pairs.distinct(), sets, rule), "path-links"))
+    comp = _joined(C.saved(verified(pairs.distinct(), sets, rule), "path-links"))
+    left = members.where("not met")
     for spanning in (True, True, False):
-        more = C.saved(verified(across(members, sets, comp, rule, spanning), sets, rule), "path-links")
+        found = C.saved(across(left, sets, comp, rule, spanning, SPARE), "path-across")
+        more = C.saved(verified(found.where("a is not null").select("a", "b"), sets, rule), "path-links")
         if not more.isEmpty():
-            comp = C.components(comp.select(F.col("node").alias("a"), F.col("comp").alias("b")).union(more))
+            comp = _joined(comp.select(F.col("node").alias("a"), F.col("comp").alias("b")).union(more))
+        again = found.where("open is not null").select(F.col("open").alias("sig"))
+        if again.isEmpty():
+            break
+        left = members.join(again, "sig", "left_semi")
 
     of = nodes.select("h1", "h2", "n", "lead", "node").join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     leads = of.groupBy("comp").agg(F.min("lead").alias("top"))

@@ -287,7 +287,7 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
+def components(edges: DataFrame, a: str = "a", b: str = "b", tasks: int | None = None) -> DataFrame:
     """(node, comp): smallest node reachable from each node that has an edge.
 
     Each round first shortens chains inside a partition (union-find over its
@@ -296,9 +296,15 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     connectivity, and the stars are final when a round changes nothing.  Each
     round is a written table, so a lost executor never restarts the loop.
     Self-loops and null ends are ignored.
+
+    ``tasks``: as many as the number of edges asks for; few edges in many files
+    would take a round for each chain that the files cut.  The stars of a single
+    task are final.
     """
     pairs = edges.select(F.col(a).cast("long").alias("a"), F.col(b).cast("long").alias("b"))
     pairs = pairs.where(F.col("a") != F.col("b"))
+    if tasks:
+        pairs = pairs.coalesce(tasks)
 
     def local_stars(batches):
         parent: dict[int, int] = {}
@@ -325,7 +331,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
 
     # every row: a is the larger end
     stars = saved(pairs.mapInArrow(local_stars, "a long, b long").where("a > b").distinct(), "cc")
-    while True:
+    while tasks != 1:
         both = stars.union(stars.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.min("b").alias("m"))
         # large-star: larger neighbours of a go to the smallest of a and its neighbours

@@ -297,9 +297,13 @@ def _possible(sketches: list, sizes: np.ndarray, rule: Rule, rows: np.ndarray, c
     return [np.concatenate(o) for o in out]
 
 
-def across(members: DataFrame, sets: DataFrame, comp: DataFrame, rule: Rule, spanning: bool) -> DataFrame:
+def across(members: DataFrame, sets: DataFrame, comp: DataFrame, rule: Rule, spanning: bool, spare: int | None = None) -> DataFrame:
     """Pairs (a, b) of one bucket, in different components, that may link: all,
-    or a spanning forest of the components of each tile (closest first)."""
+    or a spanning forest of the components of each tile (closest first).
+
+    With ``spare``, a tile of which there are at most ``spare`` pairs a row gives
+    all of them, and (a, b, open) come back: besides the pairs, a row with null
+    ends names every bucket ``open`` of which not all pairs were given."""
     rows = dealt(tiled(members.select("sig", "node"), comp, ()).join(sets.select("node", "n", "sketch"), "node"))
 
     def compare(t: pa.Table):
@@ -313,13 +317,19 @@ def across(members: DataFrame, sets: DataFrame, comp: DataFrame, rule: Rule, spa
         if same:
             ok &= p < q
         p, q, least = p[ok], q[ok], least[ok]
-        if spanning:
+        every = len(p)
+        if spanning and (spare is None or every > spare * t.num_rows):
             chosen = forest(comp_[p], comp_[q], least)
             p, q = p[chosen], q[chosen]
-        yield from pair_batches(node[p], node[q])
+        for b in pair_batches(node[p], node[q]):
+            yield b if spare is None else b.append_column("open", pa.nulls(b.num_rows, pa.int64()))
+        if spare is not None and len(p) < every:
+            yield pa.RecordBatch.from_pydict({"a": pa.nulls(1, pa.int64()), "b": pa.nulls(1, pa.int64()),
+                                              "open": pa.array([t.column("sig")[0].as_py()], pa.int64())})
 
     rows = rows.select("sig", "ti", "tj", "side", "node", "comp", "n", "sketch")
-    return rows.mapInArrow(lambda batches: groups(batches, ("sig", "ti", "tj"), compare), "a long, b long").distinct()
+    schema = "a long, b long" if spare is None else "a long, b long, open long"
+    return rows.mapInArrow(lambda batches: groups(batches, ("sig", "ti", "tj"), compare), schema).distinct()
 
 
 def classes(docs: DataFrame, rule: Rule | None = None) -> DataFrame:

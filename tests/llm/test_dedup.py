@@ -188,6 +188,26 @@ def test_chosen_path_classes(spark, leaf, depth, monkeypatch):
     assert all(r.kept == (r.doc_id == r.component_id) for r in got if r.doc_id is not None)
 
 
+@pytest.mark.parametrize("spare, edges", [(0, 20), (2, 100_000), (10**6, 20)])
+def test_chosen_path_looks_again_only_where_pairs_are_left(spark, spare, edges, monkeypatch):
+    """However many pairs a tile gives at once and tasks join the links: the same
+    classes, and later rounds take few of the tree nodes."""
+    monkeypatch.setattr(buckets, "TILE", 16)
+    monkeypatch.setattr(chosen_path, "SPARE", spare, raising=False)
+    monkeypatch.setattr(chosen_path, "EDGES_A_TASK", edges, raising=False)
+    real, looked = chosen_path.across, []
+
+    def counted(members, *args):
+        looked.append(members.select("sig").distinct().count())
+        return real(members, *args)
+
+    monkeypatch.setattr(chosen_path, "across", counted)
+    rows = near_copies(2)
+    got = chosen_path.report(frame(spark, rows), leaf=6).collect()
+    assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in got) == classes_by_hand(rows, chosen_path.NEAR)
+    assert looked[0] and sum(looked[1:]) < looked[0] and (spare < 10**6 or len(looked) == 1), looked
+
+
 def test_chosen_path_recall():
     """Share of pairs at similarity 0.8 that meet in a node of some tree, by depth."""
     rnd = np.random.default_rng(5)
@@ -256,3 +276,12 @@ def test_components(spark):
     assert {got[i] for i in range(61)} == {0} and got[500] == got[400] == 400
     assert all(v == 100 for k, v in got.items() if 100 <= k <= 140)
     assert C.components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+@pytest.mark.parametrize("tasks", [1, 3])
+def test_components_of_gathered_edges(spark, tasks):
+    rnd = random.Random(9)
+    edges = [(rnd.randint(0, 400), rnd.randint(0, 400)) for _ in range(180)] + [(7, 7), (None, 3)]
+    df = spark.createDataFrame(edges, "a long, b long").repartition(7)
+    assert sorted(C.components(df, tasks=tasks).collect()) == sorted(C.components(df).collect())
+    assert C.components(df.where("a < 0"), tasks=tasks).count() == 0
