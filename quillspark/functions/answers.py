@@ -25,7 +25,10 @@ def extract_math_answer(c, stripped: bool = False) -> Column:
     """
     c = col_of(c)
     t = c if stripped else pystrip(c)
-    cand = F.when(t.rlike(BOXED), F.regexp_extract(t, BOXED, 1)).otherwise(last_line(t, stripped=True))
+    # BOXED without a pattern, which would read on to the end from every box that is not closed
+    rest = F.substr(t, F.instr(t, BOX) + len(BOX))
+    closed = F.contains(t, F.lit(BOX)) & F.contains(rest, F.lit("}"))
+    cand = F.when(closed, F.substring_index(rest, "}", 1)).otherwise(last_line(t, stripped=True))
     cand = F.replace(cand, F.lit("\\\\"), F.lit(""))
     cand = collapse_ws(cand, " ")
     return F.coalesce(strip_chars(cand, " ."), F.lit(""))
