@@ -135,10 +135,20 @@ class Sketch:
             b = C.bounds(address)
             self.twice = np.diff(np.append(b, len(address))) > 1
         else:
-            order = np.argsort(address, kind="stable")
-            address, owner = address[order], owner[order]
+            places = max(len(keys) - 1, 1).bit_length()
+            if block_bits + LOW + places <= 64:  # address and place in one number
+                packed = address << C.U64(places)
+                packed |= np.arange(len(keys), dtype=C.U64)
+                packed.sort()
+                address = packed >> C.U64(places)
+                packed &= C.U64((1 << places) - 1)
+                self.order = packed.view(np.int64)
+            else:
+                self.order = np.argsort(address, kind="stable")
+                address = address[self.order]
             b = C.bounds(address)
-            self.twice = owner[b] != owner[np.append(b[1:], len(address)) - 1] if len(b) else np.zeros(0, bool)
+            self.n = np.diff(np.append(b, len(address)))
+            self.twice = owner[self.order[b]] != owner[self.order[b + self.n - 1]]
         self.at = address[b]
         self.block = (self.at >> C.U64(LOW)).astype(np.int64)
 
@@ -159,6 +169,13 @@ class Sketch:
             begin += n
         return out
 
+    def marked(self, repeated: np.ndarray) -> np.ndarray:
+        """Which of the keys given with owners have a marked counter; repeated: a
+        bit for each counter."""
+        out = np.empty(len(self.order), bool)
+        out[self.order] = np.repeat(repeated, self.n)
+        return out
+
     def among(self, repeated: np.ndarray, keys: np.ndarray) -> np.ndarray:
         """Which keys' counters are marked; repeated: a bit for each counter."""
         marked = self.at[repeated]
@@ -180,7 +197,8 @@ def repeated_counters(messages: list) -> list[bytes]:
         lows.append(low | (np.repeat(np.arange(len(high), dtype=np.uint32), high) << np.uint32(16)))
         twice.append(np.unpackbits(np.frombuffer(raw, np.uint8, -1, at + 2 * n), count=n, bitorder="little").astype(bool))
     every = np.sort(np.concatenate([*lows, *(x[t] for x, t in zip(lows, twice))]))
-    many = np.unique(every[1:][every[1:] == every[:-1]])
+    many = every[1:][every[1:] == every[:-1]]
+    many = many[C.bounds(many)]
     out = []
     for low in lows:
         hit = many[np.minimum(np.searchsorted(many, low), len(many) - 1)] == low if len(many) else np.zeros(len(low), bool)

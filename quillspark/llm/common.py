@@ -10,7 +10,6 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterable, Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -45,47 +44,6 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-@lru_cache(maxsize=8)
-def _byte_codes(seed: int) -> np.ndarray:
-    return mix(np.arange(1, 257, dtype=U64) * U64(0x9E3779B97F4A7C15) + U64(seed * 2 + 1))
-
-
-_POW: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-#: Odd multipliers, one per seed; inverses modulo 2**64 follow from them.
-_BASE = (0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB)
-
-
-def powers(seed: int, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers 0..n-1 of the seed's multiplier and of its inverse."""
-    have = _POW.get(seed)
-    if have is None or len(have[0]) < n:
-        size = 1 << max(16, int(n - 1).bit_length())
-        base = _BASE[seed]
-        out = []
-        for b in (base, pow(base, -1, 1 << 64)):
-            a = np.full(size, b, dtype=U64)
-            a[0] = 1
-            out.append(np.cumprod(a, dtype=U64))
-        have = (out[0], out[1])
-        if size <= 1 << 20:  # what a worker keeps: 16 MB a seed
-            _POW[seed] = have
-    return have[0][:n], have[1][:n]
-
-
-def span_hash(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int = 0) -> np.ndarray:
-    """Rolling hash of spans [start, end) of a sequence of 64-bit codes.  Unequal
-    spans with the structure of a Thue-Morse word can share it under every seed,
-    so it only ever drops what cannot match: equality is decided on the bytes,
-    or by ``byte_hash`` and ``window_hash``."""
-    n = len(values)
-    p, inv = powers(seed, n + 1)
-    pre = np.empty(n + 1, dtype=U64)
-    pre[0] = 0
-    np.cumsum(values * p[:n], dtype=U64, out=pre[1:])
-    length = (ends - starts).astype(U64)
-    return mix((pre[ends] - pre[starts]) * inv[starts] + length * U64(0x9E3779B97F4A7C15))
-
-
 #: Spans of more bytes are hashed one by one (BLAKE2b), shorter ones eight bytes a step.
 LONG_SPAN = 64
 _LOW_BYTES = np.array([(1 << 8 * k) - 1 for k in range(8)] + [(1 << 64) - 1], dtype=U64)

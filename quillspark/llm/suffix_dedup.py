@@ -6,8 +6,9 @@ with a smaller id.  Whole corpora cannot have every suffix sorted at
 suffixes that can have a twin:
 
 1. every string of ``LENGTH`` bytes holds ``LENGTH - GRAM + 1`` grams; the one
-   with the smallest hash is its anchor, and twins share their anchor.  Anchors
-   that two documents do not share are dropped, with their strings;
+   whose first eight bytes have the smallest hash is its anchor, and twins share
+   their anchor.  Only anchors are hashed whole, to the key they are sent by.
+   Anchors that two documents do not share are dropped, with their strings;
 2. of the remaining strings, those whose own hash counts one are dropped.
 
 The rest - runs of string starts under one anchor, merged per chunk - is sent
@@ -23,8 +24,9 @@ the runs of one passage are the same in all its documents, so a passage in a
 third of all documents sends one run per anchor and chunk.  Hashes only drop
 what cannot match; equality is decided on the bytes.
 
-Exact copies and equal runs are settled by SHA-256 and a dictionary before the
-sort; the quicksort's levels are sorted eight bytes a symbol by ``lexsort``.
+Exact copies of a text are settled by SHA-256, equal runs by a hash confirmed on
+the bytes in their chunk and by a dictionary in their block, before the sort; the
+quicksort's levels are sorted eight bytes a symbol by ``lexsort``.
 
 Defined results: a null text is empty; a very long text makes its chunk larger;
 an empty table gives no rows; texts shorter than ``LENGTH`` lose nothing; rows with equal ids never remove from each other; a null id counts as
@@ -51,6 +53,28 @@ FINER = 4
 BYTES_PER_KEY = 14
 
 
+#: Places hashed at once; their arrays stay in the cache.
+STRETCH = 1 << 16
+_SPREAD = C.U64(0x9E3779B97F4A7C15)
+_HIGH = C.U64(0xFFFFFFFF00000000)
+
+
+def _hash_at(eight: np.ndarray, at: np.ndarray, size: int) -> np.ndarray:
+    """Hash of the ``size`` bytes from each place on, eight bytes a step (the last
+    two steps overlap); ``eight``: see ``common._eights``."""
+    out = np.empty(len(at), C.U64)
+    for a in range(0, len(at), STRETCH):
+        p, h = at[a:a + STRETCH], C.U64(size)
+        for k in [*range(0, size - 8, 8), max(size - 8, 0)]:
+            x = eight[p + k]
+            if size < 8:
+                x &= C._LOW_BYTES[size]
+            h = (x ^ h) * _SPREAD
+            h ^= h >> C.U64(32)
+        out[a:a + STRETCH] = C.mix(h)
+    return out
+
+
 def _sliding_min(v: np.ndarray, width: int) -> np.ndarray:
     """Minimum of each ``width`` neighbours (len(v) - width + 1 of them)."""
     span = 1
@@ -67,25 +91,42 @@ class _Strings:
     def __init__(self, text: pa.LargeStringArray, length: int, gram: int):
         self.data, self.off = C.raw_bytes(text)
         self.length = length
-        found = [[np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, C.U64)]]
-        for i, j in C.slices(text, C.SLICE_BYTES // 2):
-            lo, hi = int(self.off[i]), int(self.off[j])
-            n = hi - lo
-            if n < length:
-                continue
-            at = np.arange(n - gram + 1)
-            h = C.span_hash(C._byte_codes(0)[self.data[lo:hi]], at, at + gram, 0)
-            # 32 bits of hash, then the place: the leftmost smallest
-            anchor = _sliding_min((h & C.U64(0xFFFFFFFF00000000)) | at.astype(C.U64), length - gram + 1) & C.U64(0xFFFFFFFF)
-            ends = self.off[i + 1:j + 1] - lo
-            start = np.arange(n - length + 1)
-            start = start[start + length <= np.repeat(ends, np.diff(self.off[i:j + 1]))[:len(start)]]
-            anchor = anchor[start].astype(np.int64)
-            b = C.bounds(anchor)
-            for f, x in zip(found, (start[b] + lo, np.diff(np.append(b, len(start))), h[anchor[b]])):
-                f.append(x)
-        self.start, self.n, self.key = map(np.concatenate, found)
-        self.row = np.searchsorted(self.off, self.start, side="right") - 1
+        self.eight = C._eights(self.data)
+        begin, anchor = self._anchors(length - gram + 1, min(gram, 8))
+        row = np.searchsorted(self.off, begin, side="right") - 1
+        # starts whose string ends in its text; runs that a stretch cut are one again
+        end = np.minimum(np.append(begin[1:], max(len(self.data) - length + 1, 0)), self.off[row + 1] - length + 1)
+        whole = end > begin
+        begin, end, anchor, row = begin[whole], end[whole], anchor[whole], row[whole]
+        b = C.bounds(anchor)
+        self.start, self.row = begin[b], row[b]
+        self.n = end[np.append(b[1:], len(end)) - 1] - self.start if len(b) else np.zeros(0, np.int64)
+        self.key = _hash_at(self.eight, anchor[b], gram)
+
+    def _anchors(self, span: int, size: int) -> tuple[np.ndarray, np.ndarray]:
+        """Where the anchor changes or a text begins, and the anchor from there:
+        of the ``span`` places from a start on, the leftmost whose first ``size``
+        bytes have the smallest hash."""
+        n = len(self.data) - self.length + 1
+        begins, anchors = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        place = np.arange(STRETCH + span, dtype=C.U64)
+        for lo in range(0, n, STRETCH):
+            hi = min(lo + STRETCH, n)
+            v = self.eight[lo:hi + span - 1] * _SPREAD
+            if size < 8:
+                v = (self.eight[lo:hi + span - 1] & C._LOW_BYTES[size]) * _SPREAD
+            v &= _HIGH  # 32 bits of hash, then the place: the leftmost smallest
+            v |= place[:len(v)]
+            at = _sliding_min(v, span).astype(np.uint32)
+            new = np.empty(hi - lo, bool)
+            new[0] = True
+            np.not_equal(at[1:], at[:-1], out=new[1:])
+            texts = self.off[np.searchsorted(self.off, lo):np.searchsorted(self.off, hi)]
+            new[texts - lo] = True
+            b = np.flatnonzero(new)
+            begins.append(b + lo)
+            anchors.append(at[b].astype(np.int64) + lo)
+        return np.concatenate(begins), np.concatenate(anchors)
 
     def only(self, keep: np.ndarray) -> None:
         self.start, self.n, self.key, self.row = (x[keep] for x in (self.start, self.n, self.key, self.row))
@@ -93,20 +134,7 @@ class _Strings:
     def starts(self) -> tuple[np.ndarray, np.ndarray]:
         """Every string's start and run."""
         run = np.repeat(np.arange(len(self.n)), self.n)
-        return self.start[run] + np.arange(len(run)) - (np.cumsum(self.n) - self.n)[run], run
-
-    def hashes(self, start: np.ndarray) -> np.ndarray:
-        """Hash of each string."""
-        out = np.zeros(len(start), C.U64)
-        a = 0
-        while a < len(start):  # over stretches of text of bounded size
-            lo = int(start[a])
-            b = max(int(np.searchsorted(start, lo + C.SLICE_BYTES // 2)), a + 1)
-            hi = int(start[b - 1]) + self.length
-            s = start[a:b] - lo
-            out[a:b] = C.span_hash(C._byte_codes(1)[self.data[lo:hi]], s, s + self.length, 1)
-            a = b
-        return out
+        return np.repeat(self.start - (np.cumsum(self.n) - self.n), self.n) + np.arange(len(run)), run
 
 
 class _Runs:
@@ -119,57 +147,64 @@ class _Runs:
         self.sketch = Sketch(s.key, bits, self.ids[s.row])
         if stage == 1:
             return
-        s.only(self.sketch.among(chunk.bits(1, self.sketch.sizes), s.key))
+        s.only(self.sketch.marked(chunk.bits(1, self.sketch.sizes)))
         start, run = s.starts()
-        h = s.hashes(start)
+        h = _hash_at(s.eight, start, length)
         self.sketch = Sketch(h, bits, self.ids[s.row[run]])
         if stage == 2:
             return
-        again = self.sketch.among(chunk.bits(2, self.sketch.sizes), h)
-        start, run = start[again], run[again]
-        b = C.bounds(np.column_stack([run, start - np.arange(len(start))]))
+        again = self.sketch.marked(chunk.bits(2, self.sketch.sizes))
+        start, run, h = start[again], run[again], h[again]
+        b = np.flatnonzero(np.concatenate((np.ones(min(len(start), 1), bool),
+                                           (run[1:] != run[:-1]) | (start[1:] != start[:-1] + 1))))
         self.begin, self.n = start[b], np.diff(np.append(b, len(start)))
-        self.row, key = s.row[run[b]], s.key[run[b]]
-        # distinct runs, by block; the smallest document of each
-        raw = s.data.tobytes()
-        seen: dict[bytes, int] = {}
-        self.block, self.size, self.bytes, self.least = [], [], [], []
-        self.run = np.empty(len(b), np.int64)
+        self.row = s.row[run[b]]
+        # distinct runs, by block; rows are by id, so the first of equal runs is of the smallest document
+        lead = self._first_equal(C.mix(h[b] ^ C.mix(h[b + self.n - 1])))
+        of = np.flatnonzero(lead == np.arange(len(lead)))
         # whole strings take more room than sketch addresses: finer blocks
-        blocks = (key >> C.U64(64 - bits - FINER)).astype(np.int64)
-        for k, (p, n, d, block) in enumerate(zip(self.begin.tolist(), self.n.tolist(), self.ids[self.row].tolist(),
-                                                 blocks.tolist())):
-            content = raw[p:p + n + length - 1]
-            g = seen.get(content)
-            if g is None:
-                g = seen[content] = len(self.bytes)
-                self.bytes.append(content)
-                self.block.append(block)
-                self.least.append(d)
-            elif d < self.least[g]:
-                self.least[g] = d
-            self.run[k] = g
-        self.order = np.argsort(np.array(self.block, np.int64), kind="stable")
-        self.strings = np.array([len(x) - length + 1 for x in self.bytes], np.int64)
+        block = (s.key[run[b[of]]] >> C.U64(64 - bits - FINER)).astype(np.int64)
+        order = np.argsort(block, kind="stable")
+        of, self.block = of[order], block[order]
+        self.first, self.strings, self.least = self.begin[of], self.n[of], self.ids[self.row[of]]
+        place = np.empty(len(lead), np.int64)
+        place[of] = np.arange(len(of))
+        self.run = place[lead]
+
+    def _first_equal(self, finger: np.ndarray) -> np.ndarray:
+        """The first run with the bytes of each run; runs that share a hash and
+        not the bytes stay by themselves."""
+        order = np.argsort(finger, kind="stable")
+        b = C.bounds(finger[order])
+        lead = np.empty(len(order), np.int64)
+        lead[order] = np.repeat(order[b], np.diff(np.append(b, len(order))))
+        later = np.flatnonzero(lead != np.arange(len(lead)))
+        p, q, n = self.begin[later], self.begin[lead[later]], self.n[later]
+        same, size = n == self.n[lead[later]], n + self.s.length - 1
+        for k in range(0, int(size.max(initial=0)), 8):
+            at = np.maximum(np.minimum(k, size - 8), 0)
+            differ = self.s.eight[p + at] ^ self.s.eight[q + at]
+            same &= (differ & C._LOW_BYTES[np.minimum(size, 8)]) == 0
+        lead[later[~same]] = later[~same]
+        return lead
 
     @property
     def sizes(self) -> dict[int, int]:
         """Strings sent to each block."""
-        if not self.bytes:
-            return {}
-        blocks, inverse = np.unique(np.array(self.block), return_inverse=True)
-        return dict(zip(blocks.tolist(), np.bincount(inverse, self.strings).astype(int).tolist()))
+        b = C.bounds(self.block)
+        return dict(zip(self.block[b].tolist(), np.add.reduceat(self.strings, b).tolist())) if len(b) else {}
 
     def blobs(self) -> list[tuple[int, bytes]]:
         """(block, number of runs, document and length of each, their bytes)."""
-        out = []
-        blocks = np.array(self.block, np.int64)[self.order]
-        edges = np.append(C.bounds(blocks), len(blocks))
-        for a, z in zip(edges[:-1], edges[1:]):
-            own = self.order[a:z]
-            out.append((int(blocks[a]), b"".join([
-                np.uint32(len(own)).tobytes(), np.array([self.least[g] for g in own], "<i8").tobytes(),
-                np.array([len(self.bytes[g]) for g in own], "<u4").tobytes(), *(self.bytes[g] for g in own)])))
+        size = self.strings + self.s.length - 1
+        end = np.cumsum(size)
+        docs, sizes = self.least.astype("<i8").tobytes(), size.astype("<u4").tobytes()
+        content = self.s.data[np.repeat(self.first - (end - size), size) + np.arange(end[-1] if len(end) else 0)].tobytes()
+        out, b, at = [], C.bounds(self.block), 0
+        for a, z in zip(b.tolist(), np.append(b[1:], len(self.block)).tolist()):
+            to = int(end[z - 1])
+            out.append((int(self.block[a]), b"".join([(z - a).to_bytes(4, "little"), docs[8 * a:8 * z], sizes[4 * a:4 * z], content[at:to]])))
+            at = to
         return out
 
 
@@ -229,13 +264,15 @@ def sort_suffixes(text: np.ndarray, starts: np.ndarray, length: int, shallow: in
         if not len(open_):
             break
         symbol = np.ascontiguousarray(words[starts[order[open_]] + depth]).view(">u8").ravel().astype(C.U64)
-        by = np.lexsort((symbol, group[open_]))
+        by = np.lexsort((symbol, group[open_])) if depth else np.argsort(symbol)
         order[open_], symbol = order[open_][by], symbol[by]
-        b = C.bounds(np.column_stack([group[open_].astype(C.U64), symbol]))
+        at = group[open_]
+        b = np.flatnonzero(np.concatenate(([True], (at[1:] != at[:-1]) | (symbol[1:] != symbol[:-1]))))
         sizes = np.diff(np.append(b, len(open_)))
         group[open_] = np.repeat(open_[b], sizes)
         open_ = open_[np.repeat(sizes > 1, sizes)]
-    edges = [np.unique(group)]
+    edge = np.zeros(len(starts), bool)
+    edge[group] = True
     b = C.bounds(group[open_])
     raw = text.tobytes()
     for a, z in zip(open_[b].tolist(), open_[np.append(b[1:], len(open_)) - 1].tolist() if len(b) else []):
@@ -244,8 +281,8 @@ def sort_suffixes(text: np.ndarray, starts: np.ndarray, length: int, shallow: in
         groups = _blind_trie_groups([raw[p + shallow:p + length] for p in at])
         if len(groups) > 1:
             order[a:z + 1] = [own[i] for g in groups for i in g]
-            edges.append(a + np.cumsum([len(g) for g in groups[:-1]]))
-    return order, np.unique(np.concatenate(edges))
+            edge[a + np.cumsum([len(g) for g in groups[:-1]])] = True
+    return order, np.flatnonzero(edge)
 
 
 def _smallest(length: int):
@@ -303,15 +340,11 @@ def _judged(corpus: Corpus, length: int, gram: int, finish, schema: str) -> Data
     def judge(chunk: Chunk) -> pa.Table:
         r = _Runs(chunk, bits, length, gram, 3)
         bits_ = chunk.bits(3, r.sizes)
-        # where each distinct run's bits begin, in the order sent
-        n_sent = r.strings[r.order]
-        where = np.empty(len(n_sent), np.int64)
-        where[r.order] = np.cumsum(n_sent) - n_sent
+        where = np.cumsum(r.strings) - r.strings  # where each distinct run's bits begin
         of = np.repeat(np.arange(len(r.run)), r.n)
         k = np.arange(len(of)) - np.repeat(np.cumsum(r.n) - r.n, r.n)
-        least = np.array(r.least, np.int64)
         if len(of):
-            gone = bits_[where[r.run[of]] + k] | (r.ids[r.row[of]] > least[r.run[of]])
+            gone = bits_[(where[r.run])[of] + k] | (r.ids[r.row] > r.least[r.run])[of]
         else:
             gone = np.zeros(0, bool)
         lost = C.covered(len(r.s.data), (r.begin[of] + k)[gone], length)

@@ -2,15 +2,17 @@
 
 import hashlib
 import random
+import sys
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from quillspark.llm import common as C
-from quillspark.llm import buckets, chosen_path, jaccard_join, substring_dedup, suffix_dedup
+from quillspark.llm import buckets, chosen_path, chunks, jaccard_join, substring_dedup, suffix_dedup
 
 SMALL = {"chunk_bytes": 4_000, "block_keys": 500}
 
@@ -117,6 +119,91 @@ def test_suffix_order(parts, seed):
     assert edges.tolist() == [i for i in range(len(keys)) if i == 0 or keys[i] != keys[i - 1]]
 
 
+def strings_of(seed, n=40, size=400):
+    rnd = random.Random(seed)
+    shared = rnd.randbytes(90).hex()
+    texts = [rnd.randbytes(rnd.randint(0, size)).hex() for _ in range(n)] + ["", "x" * 49, "x" * 50, "ab" * 300, "y" * 200, "é" * 60]
+    return pa.array([t if i % 3 else t + shared + t[:20] for i, t in enumerate(texts)], pa.large_string())
+
+
+@pytest.mark.parametrize("stretch", [1 << 16, 64, 1000])
+def test_anchor_runs_hold_every_string_once(stretch, monkeypatch):
+    """Whatever is hashed at once: every string under one run, equal strings under one key."""
+    col = strings_of(3)
+    whole = suffix_dedup._Strings(col, 50, 24)
+    monkeypatch.setattr(suffix_dedup, "STRETCH", stretch, raising=False)
+    s = suffix_dedup._Strings(col, 50, 24)
+    for a, b in ((s.start, whole.start), (s.n, whole.n), (s.key, whole.key), (s.row, whole.row)):
+        assert a.tolist() == b.tolist()
+    start, run = s.starts()
+    raw = s.data.tobytes()
+    assert start.tolist() == [int(o) + k for o, n in zip(s.off, np.diff(s.off)) for k in range(n - 49)]
+    keys = {}
+    for p, r in zip(start.tolist(), run.tolist()):
+        assert s.off[s.row[r]] <= p and p + 50 <= s.off[s.row[r] + 1]
+        assert keys.setdefault(raw[p:p + 50], s.key[r]) == s.key[r]
+    assert len(set(s.key.tolist())) < len(s.key) < len(start) / 5
+
+
+def alone(col):
+    """A chunk of these texts, every counter of which is said to repeat."""
+    ids = np.arange(len(col))
+    chunk = type("Alone", (), {"number": 0})()
+    chunk.own = lambda: (col, ids)
+    chunk.bits = lambda kind, sizes: np.ones(sum(sizes.values()), bool)
+    return chunk
+
+
+def test_runs_take_no_python_step_each():
+    """A chunk's runs are hashed and merged by arrays: the bytes that are hashed a
+    place are few, and the number of calls does not follow the number of runs."""
+    col = strings_of(5, n=400)
+    hashed, calls, real = [], [], C.mix
+    C.mix = lambda x: hashed.append(np.size(x)) or real(x)
+    try:
+        s = suffix_dedup._Strings(col, 50, 24)
+    finally:
+        C.mix = real
+    assert sum(hashed) < len(s.data) / 4
+    sys.setprofile(lambda frame, event, arg: calls.append(1) if event == "c_call" else None)
+    try:
+        r = suffix_dedup._Runs(alone(col), 0, 50, 24, 3)
+    finally:
+        sys.setprofile(None)
+    assert len(r.run) > 10_000 and len(calls) < len(r.run) / 4
+
+
+def test_equal_runs_are_one_and_clashing_hashes_are_told_apart(monkeypatch):
+    col = strings_of(7)
+    r = suffix_dedup._Runs(alone(col), 0, 50, 24, 3)
+    raw = r.s.data.tobytes()
+    content = [raw[p:p + n + 49] for p, n in zip(r.begin.tolist(), r.n.tolist())]
+    sent = [raw[p:p + n + 49] for p, n in zip(r.first.tolist(), r.strings.tolist())]
+    assert [sent[k] for k in r.run] == content and len(set(sent)) == len(sent) < len(content)
+    least = {}
+    for c, d in zip(content, r.ids[r.row].tolist()):
+        least[c] = min(least.get(c, d), d)
+    assert [least[c] for c in sent] == r.least.tolist()
+    assert sum(len(x) - 4 - 12 * int.from_bytes(x[:4], "little") for _, x in r.blobs()) == sum(map(len, sent))
+    # every run shares one hash: only runs with the bytes of the first are merged
+    lead = r._first_equal(np.zeros(len(r.n), C.U64))
+    assert all(content[a] == content[i] for i, a in enumerate(lead.tolist()))
+
+
+@pytest.mark.parametrize("bits", [0, 3, 33])
+def test_marked_keys_are_those_of_the_counters(bits):
+    rnd = np.random.default_rng(bits)
+    keys = C.mix(rnd.integers(0, 400, 1500).astype(C.U64))  # 33 bits: address and place do not fit one number
+    owner = np.sort(rnd.integers(0, 90, 1500))
+    s = chunks.Sketch(keys, bits, owner)
+    wide = {}
+    for k, o in zip((keys >> s.shift).tolist(), owner.tolist()):
+        wide.setdefault(k, set()).add(o)
+    assert s.at.tolist() == sorted(wide) and s.twice.tolist() == [len(wide[k]) > 1 for k in sorted(wide)]
+    repeated = rnd.random(len(s.at)) < 0.5
+    assert s.marked(repeated).tolist() == s.among(repeated, keys).tolist()
+
+
 def classes_by_hand(rows, rule):
     sets = []
     for _, t in rows:
